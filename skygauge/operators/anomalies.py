@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 
 from skygauge.functions.scoring import iqr_outlier, severity, z_score
 from skygauge.functions.times import event_time
-from skygauge.operators.joins import lookup_join
-from skygauge.operators.quantiles import quartiles, trim_band
+from skygauge.operators.joins import lookup_join, total_bytes
+from skygauge.operators.quantiles import QUARTILES, counted_quantiles, quartiles, trim_band
+from skygauge.operators.ranks import WEIGHT
 from skygauge.operators.refine import distinct_rows
 from skygauge.session import materialize
 
@@ -91,23 +92,52 @@ def prepare(
     return facts
 
 
-def baseline(facts: DataFrame, kind: Readings, method: str = "exact") -> DataFrame:
-    """Hourly statistics and quartiles of prepared facts, as one stored lookup.
+@dataclass(frozen=True)
+class Baseline:
+    """Statistics of every entity and hour of day, with their measured size."""
+
+    table: DataFrame
+    size: int
+
 
-    One row per entity and hour of day; the facts reach it by partial aggregates
-    only.
+def baseline(facts: DataFrame, kind: Readings, method: str = "exact") -> Baseline:
+    """Hourly statistics joined with quartiles: one row per entity and hour.
+
+    What is derived from the facts is stored, so scoring does not repeat it.
+    ``method`` chooses exact or sketched quartiles.
     """
-    entity_quartiles = quartiles(facts, kind.keys, kind.value, method)
-    return materialize(
-        hourly_stats(facts, kind).join(entity_quartiles, list(kind.keys)), "baseline"
+    keys = list(kind.keys)
+    if method == "exact":
+        return _baseline_in_one_scan(facts, kind)
+    table = hourly_stats(facts, kind).join(quartiles(facts, keys, kind.value, method), keys)
+    stored = materialize(table, "baseline", size=total_bytes(table))
+    return Baseline(stored.table, stored.measures["size"])
+
+
+def _baseline_in_one_scan(facts: DataFrame, kind: Readings) -> Baseline:
+    """Two grouping sets share one scan and one shuffle of partial aggregates:
+    by hour for the moments, by value for the counts that quartiles come from."""
+    keys, by_hour = list(kind.keys), F.col("hour").isNotNull()
+    grouped = facts.select(*keys, "hour", kind.value).groupingSets(
+        [[*keys, "hour"], [*keys, kind.value]], *keys, "hour", kind.value
+    ).agg(
+        F.avg(kind.value).alias(kind.mean),
+        F.stddev_samp(kind.value).alias(kind.spread),
+        F.count(F.lit(1)).alias(WEIGHT),
     )
+    stored = materialize(grouped, "grouped", size=total_bytes(grouped, by_hour))
+    hourly = stored.table.filter(by_hour).select(*keys, "hour", kind.mean, kind.spread)
+    counted = stored.table.filter(~by_hour).select(*keys, kind.value, WEIGHT)
+    entity = counted_quantiles(counted, stored.rows, keys, kind.value, QUARTILES)
+    return Baseline(hourly.join(entity, keys), stored.measures["size"])
 
 
-def score(facts: DataFrame, lookup: DataFrame, kind: Readings, limit: int | None = None) -> DataFrame:
+def score(facts: DataFrame, against: Baseline, kind: Readings,
+          limit: int | None = None) -> DataFrame:
     """Add statistics, z-score, severity, quartiles and the IQR flag to facts."""
     x, q1, q3 = F.col(kind.value), F.col("Q1"), F.col("Q3")
     return (
-        lookup_join(facts, lookup, [*kind.keys, "hour"], limit=limit)
+        lookup_join(facts, against.table, [*kind.keys, "hour"], against.size, limit)
         .withColumn(kind.score, z_score(x, F.col(kind.mean), F.col(kind.spread)))
         .withColumn("anomaly_level", severity(F.col(kind.score)))
         .withColumn("IQR", q3 - q1)

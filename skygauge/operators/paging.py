@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from skygauge.functions.times import day_bound
 from skygauge.operators.ranks import FIRST, LAST, WEIGHT, count_copies, select_ranks
+from skygauge.session import materialize
 
 #: A page that ends within this many rows is a bounded top-k in every task.
 TOP_K_ROWS = 100_000
@@ -49,9 +50,9 @@ def page(
 def _ranked_page(df, offset, end, ties, one_slice_rows):
     hour = F.date_trunc("hour", "timestamp")
     # One row per hour of data, ranked like any other counted rows.
-    per_hour = count_copies(df.select(hour.alias("_hour")), ["_hour"])
+    per_hour = materialize(count_copies(df.select(hour.alias("_hour")), ["_hour"]), "hours")
     touched = select_ranks(
-        per_hour, [], [F.asc_nulls_last("_hour")],
+        per_hour.table, per_hour.rows, [], [F.asc_nulls_last("_hour")],
         lambda total: [(F.lit(offset + 1), F.lit(end))],
     )
     span = touched.agg(
@@ -72,9 +73,9 @@ def _ranked_page(df, offset, end, ties, one_slice_rows):
     skipped = span["first"] - 1
     low, high = F.lit(offset + 1 - skipped), F.lit(end - skipped)
 
+    counted = materialize(count_copies(df.filter(kept), df.columns), "counted")
     ranked = select_ranks(
-        count_copies(df.filter(kept), df.columns), [], _time_order(df, ties),
-        lambda total: [(low, high)], one_slice_rows,
+        counted.table, counted.rows, [], _time_order(df, ties), lambda total: [(low, high)], one_slice_rows
     )
     copies = F.least(F.col(LAST), high) - F.greatest(F.col(FIRST), low) + 1
     repeated = ranked.withColumn(WEIGHT, F.explode(F.sequence(F.lit(1), copies)))

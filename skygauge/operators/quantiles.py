@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skygauge.operators.ranks import FIRST, LAST, TOTAL, count_copies, select_ranks
+from skygauge.session import materialize
 
 #: Items a sketch keeps; larger is more precise (0.1 % of rank at 4096).
 SKETCH_SIZE = 4096
@@ -35,9 +36,23 @@ def exact_quantiles(
     grows with distinct readings, and no task holds an unbounded group.
     """
     counted = count_copies(df.filter(F.col(value).isNotNull()), [*group, value])
+    stored = materialize(counted, "counted")
+    return counted_quantiles(stored.table, stored.rows, group, value, shares)
+
+
+def counted_quantiles(
+    counted: DataFrame,
+    rows: int,
+    group: Sequence[str],
+    value: str,
+    shares: Mapping[str, float],
+    one_slice_rows: int | None = None,
+) -> DataFrame:
+    """The same from a stored count of at most ``rows`` readings by group and value."""
     picked = select_ranks(
-        counted, group, [F.col(value)],
+        counted, rows, group, [F.col(value)],
         lambda total: [(_rank(s, total), _rank(s, total)) for s in shares.values()],
+        one_slice_rows,
     )
     return picked.groupBy(*group).agg(*[
         F.max(
@@ -73,12 +88,12 @@ def sketch_quantiles(
     ])
 
 
+METHODS = {"exact": exact_quantiles, "sketch": sketch_quantiles}
+
+
 def quartiles(df: DataFrame, group: Sequence[str], value: str, method: str = "exact") -> DataFrame:
     """Q1 and Q3 by group; ``method`` is ``exact`` or ``sketch``."""
-    if method not in ("exact", "sketch"):
-        raise ValueError(f"unknown quartile method {method!r}")
-    compute = exact_quantiles if method == "exact" else sketch_quantiles
-    return compute(df, group, value, QUARTILES)
+    return METHODS[method](df, group, value, QUARTILES)
 
 
 def global_quantiles(

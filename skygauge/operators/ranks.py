@@ -15,7 +15,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from skygauge.operators.joins import lookup_join
+from skygauge.operators.joins import lookup_join, total_bytes
 from skygauge.session import materialize
 
 #: Up to this many counted rows in all are ranked without slicing.
@@ -51,34 +51,35 @@ def _any_overlap(first: Column, last: Column, ranges: Sequence[tuple[Column, Col
 
 def select_ranks(
     counted: DataFrame,
+    rows: int,
     group: Sequence[str],
     order: Sequence[Column],
     wanted: RankRanges,
     one_slice_rows: int | None = None,
 ) -> DataFrame:
-    """Rows of ``counted`` that cover a wanted rank of their group.
+    """Counted rows that cover a wanted rank of their group.
 
-    ``counted`` carries its multiplicity in ``_weight``.  The result adds the
-    ranks each row covers (``_first`` to ``_last``) and the group's ``_total``.
-    Groups with a NULL key are left out.
+    ``counted`` is read from a stored table, has at most ``rows`` rows and carries
+    multiplicity in ``_weight``.  The result adds the ranks each row covers
+    (``_first`` to ``_last``) and the group's ``_total``.  Groups with a NULL key
+    are left out.
     """
     group = list(group)
     bound = ONE_SLICE_ROWS if one_slice_rows is None else one_slice_rows
     for key in group:
         counted = counted.filter(F.col(key).isNotNull())
-    stored = materialize(counted, "counted")
 
-    if stored.count() <= bound:
-        placed = stored.withColumn(LAST, _running_sum(WEIGHT, group, order)).withColumn(
+    if rows <= bound:
+        placed = counted.withColumn(LAST, _running_sum(WEIGHT, group, order)).withColumn(
             TOTAL, F.sum(WEIGHT).over(Window.partitionBy(*group))
         )
     else:
         # Stored again so that a row's slice number cannot change between uses.
         slices = materialize(
-            stored.repartitionByRange(*[F.col(c) for c in group], *order)
+            counted.repartitionByRange(*[F.col(c) for c in group], *order)
             .withColumn(_SLICE, F.spark_partition_id()),
             "sliced",
-        )
+        ).table
         # One row per group plus one per slice boundary.
         totals = slices.groupBy(*group, _SLICE).agg(F.sum(WEIGHT).alias(_ROWS))
         totals = totals.withColumn(
@@ -89,9 +90,10 @@ def select_ranks(
                 F.col(_BEFORE) + 1, F.col(_BEFORE) + F.col(_ROWS), wanted(F.col(TOTAL))
             )
         ).drop(_ROWS)
+        hits = materialize(hits, "slices", size=total_bytes(hits))
         keys = [*group, _SLICE]
         placed = (
-            lookup_join(slices, materialize(hits, "slices"), keys)
+            lookup_join(slices, hits.table, keys, hits.measures["size"])
             .withColumn(LAST, F.col(_BEFORE) + _running_sum(WEIGHT, keys, order))
             .drop(_SLICE, _BEFORE)
         )

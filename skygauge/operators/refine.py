@@ -10,15 +10,18 @@ from pyspark.sql import types as T
 
 from skygauge.functions.text import city_part, uf_part
 from skygauge.functions.times import event_time
-from skygauge.operators.joins import lookup_join
 
 # Scores that read 0 instead of NULL after cleanup.
 ZERO_WHEN_MISSING = ["std_value", "aqi_z_score"]
 
 
 def add_coordinates(df: DataFrame, cities: DataFrame) -> DataFrame:
-    """Left join with the city dimension; an unknown city keeps NULL lat, long."""
-    return lookup_join(df, cities, ["city"], "left")
+    """Left join with the city dimension; an unknown city keeps NULL lat, long.
+
+    The dimension is file-backed, so the optimizer broadcasts it by its known size
+    and shuffles instead where it has outgrown the session's threshold.
+    """
+    return df.join(cities, "city", "left")
 
 
 def split_city_key(df: DataFrame, keep_tail: bool = False) -> DataFrame:

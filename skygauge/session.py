@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 #: What the library relies on.  Cluster sizing (executors, memory, shuffle
 #: partitions, split size) is left to the submitter.
@@ -54,14 +56,32 @@ def scratch_root(spark: SparkSession) -> str:
     return local
 
 
-def materialize(df: DataFrame, label: str) -> DataFrame:
+@dataclass(frozen=True)
+class Stored:
+    """A stored intermediate table and what was measured while writing it."""
+
+    table: DataFrame
+    rows: int
+    measures: dict[str, int]
+
+
+def materialize(df: DataFrame, label: str, **measures: Column) -> Stored:
     """Write ``df`` once as Parquet in the shared folder and read it back.
 
-    The stored copy survives lost executors, fixes values that a recomputation
-    could change, and gives the optimizer a true size.  Retention of the folder
-    follows the cluster's policy for checkpoint files.
+    The stored copy survives lost executors and fixes values that a recomputation
+    could change.  Rows and any further ``measures`` (aggregate columns) are
+    observed by the write itself.  Retention of the folder follows the cluster's
+    policy for checkpoint files.
     """
     spark = df.sparkSession
-    path = f"{scratch_root(spark).rstrip('/')}/skygauge/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    path = scratch_path(spark, label)
+    seen = Observation(label)
+    named = [column.alias(name) for name, column in measures.items()]
+    df.observe(seen, F.count(F.lit(1)).alias("rows"), *named).write.parquet(path)
+    found = dict(seen.get)
+    return Stored(spark.read.schema(df.schema).parquet(path), found.pop("rows"), found)
+
+
+def scratch_path(spark: SparkSession, label: str) -> str:
+    """A new path under the shared folder."""
+    return f"{scratch_root(spark).rstrip('/')}/skygauge/{label}-{uuid.uuid4().hex}"

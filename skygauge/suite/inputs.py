@@ -10,7 +10,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skygauge.operators.anomalies import AIR_QUALITY, Readings
-from skygauge.operators.joins import lookup_join
 
 #: Cities of the air-quality readings, and of the sparser weather.
 AIR_CITIES, WEATHER_CITIES = 5, 25
@@ -52,7 +51,8 @@ def _events_with_city(spark: SparkSession, sf_dir: str, n_cities: int) -> DataFr
     events = table(spark, sf_dir, "events").withColumn(
         "n_nationkey", F.pmod("user_id", F.lit(n_cities)).cast("int")
     )
-    return lookup_join(events, city_keys(spark, sf_dir), ["n_nationkey"])
+    # nation and region have 25 and 5 rows at every scale.
+    return events.join(F.broadcast(city_keys(spark, sf_dir)), "n_nationkey")
 
 
 def air_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

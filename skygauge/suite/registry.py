@@ -16,6 +16,7 @@ from skygauge.functions import payloads
 from skygauge.operators import anomalies, cities, contracts, paging, quantiles, refine
 from skygauge.operators.anomalies import WEATHER
 from skygauge.plans import serving
+from skygauge.session import scratch_path
 from skygauge.sources import landed, tables
 from skygauge.streaming import ingest, refresh
 from skygauge.suite import inputs
@@ -217,7 +218,7 @@ def letter_range_cities(spark, sf_dir):
 def city_file(spark, sf_dir):
     """The city dimension written as one JSON object and read back."""
     entry = F.struct("city", F.struct("lat", F.col("long").alias("lon")).alias("at"))
-    path = f"{tables_scratch(spark, 'cities')}"
+    path = scratch_path(spark, "cities")
     inputs.cities(spark, sf_dir).agg(
         F.to_json(F.map_from_entries(F.collect_list(entry))).alias("value")
     ).write.text(path)
@@ -433,14 +434,6 @@ def preview_rows(spark, sf_dir):
 
 # --- streams ---------------------------------------------------------------------
 
-def tables_scratch(spark: SparkSession, label: str) -> str:
-    """A new folder for one run of a query that stores files."""
-    import uuid
-
-    from skygauge.session import scratch_root
-    return f"{scratch_root(spark).rstrip('/')}/skygauge/{label}-{uuid.uuid4().hex}"
-
-
 def _event_stream(spark, sf_dir):
     schema = table(spark, sf_dir, "events").schema
     return spark.readStream.schema(schema).parquet(f"{sf_dir}/events.parquet*")
@@ -456,7 +449,7 @@ def stream_airquality_landing(spark, sf_dir):
         F.col("user_id").cast("string").alias("city"), F.col("event_type").alias("parameter"),
         "value", F.lit("AQI").alias("unit"), F.date_format("ts", STAMP).alias("timestamp"),
         F.lit("WAQI").alias("source")))
-    home = tables_scratch(spark, "landing")
+    home = scratch_path(spark, "landing")
     ingest.land_air_quality(
         messages, f"{home}/airquality", f"{home}/checkpoint", ONCE).awaitTermination()
     return plain(landed.read_recent_airquality(spark, f"{home}/airquality", AS_OF, 2 * 86400))
@@ -467,7 +460,7 @@ def stream_weather_landing(spark, sf_dir):
     messages = payloads.encode_json(_event_stream(spark, sf_dir).select(
         F.concat(F.lit("UF-"), F.pmod("user_id", F.lit(5))).alias("city"),
         F.date_format("ts", STAMP).alias("time"), F.col("value").alias("temperature")))
-    home = tables_scratch(spark, "landing")
+    home = scratch_path(spark, "landing")
     ingest.land_weather(
         messages, f"{home}/weather", f"{home}/checkpoint", ONCE).awaitTermination()
     return plain(landed.read_weather(spark, f"{home}/weather").select("city", "time", "temperature"))
@@ -479,7 +472,7 @@ def stream_sliding_stats(spark, sf_dir):
     readings = _event_stream(spark, sf_dir).select(
         F.col("event_type").alias("parameter"), F.lit("all").alias("city"), "value",
         F.col("ts").cast("timestamp").alias("timestamp"))
-    home = tables_scratch(spark, "windows")
+    home = scratch_path(spark, "windows")
     stats = refresh.sliding_stats(readings, EVENT_READINGS)
     (stats.writeStream.format("parquet").option("checkpointLocation", f"{home}/checkpoint")
      .trigger(**ONCE).start(f"{home}/stats").awaitTermination())
