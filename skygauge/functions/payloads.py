@@ -14,18 +14,23 @@ _CORRUPT = "_unreadable"
 
 
 def decode_json(df: DataFrame, column: str, schema: T.StructType) -> DataFrame:
-    """Replace ``column`` by the fields of its JSON document.
+    """Replace ``column`` by the fields of its JSON object.
 
-    Rows that are not JSON stay, with the text in ``_unreadable`` and NULL
-    fields; see :func:`readable` and :func:`unreadable`.
+    Rows without one stay, with the text in ``_unreadable`` and NULL fields; see
+    :func:`readable` and :func:`unreadable`.
     """
     with_corrupt = T.StructType([*schema.fields, T.StructField(_CORRUPT, T.StringType())])
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}
     others = [c for c in df.columns if c != column]
     text = F.col(column).cast("string")
+    absent = F.when(F.col("_doc").isNull(), F.coalesce("_text", F.lit("")))
     return df.select(
-        *others, F.from_json(text, with_corrupt, options).alias("_doc")
-    ).select(*others, "_doc.*")
+        *others, text.alias("_text"), F.from_json(text, with_corrupt, options).alias("_doc")
+    ).select(
+        *others,
+        *[F.col(f"_doc.{name}") for name in schema.names],
+        F.coalesce(F.col(f"_doc.{_CORRUPT}"), absent).alias(_CORRUPT),
+    )
 
 
 def readable(decoded: DataFrame) -> DataFrame:

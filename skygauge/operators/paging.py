@@ -41,6 +41,8 @@ def page(
     """
     if limit < 0 or offset < 0:
         raise ValueError("limit and offset must not be negative")
+    if limit == 0:
+        return df.limit(0)
     end = offset + limit
     if end <= (TOP_K_ROWS if top_k_rows is None else top_k_rows):
         return by_time(df, ties).offset(offset).limit(limit)

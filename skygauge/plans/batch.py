@@ -41,10 +41,11 @@ def detect_air_quality(spark: SparkSession, lake: Lake, **options) -> None:
     write_table(refined, lake.refined_path("airquality_anomalies"))
 
 
-def refine_all(spark: SparkSession, lake: Lake, by_day: bool = False) -> None:
+def refine_all(spark: SparkSession, lake: Lake, by_day: bool = True) -> None:
     """Write both facts with coordinates, state and typed time, once each row.
 
-    ``by_day`` stores them in day directories for pruned date ranges.
+    Day directories let date ranges read their days only; with ``by_day=False`` the
+    tables are flat and have no ``obs_date``.
     """
     cities = read_cities(spark, lake.cities)
     weather = read_weather(spark, lake.raw_path("weather"))

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
+import io
+
 import pytest
 
 from skygauge.session import build_session
@@ -26,3 +29,11 @@ def rows(df, *columns):
     """Rows as a sorted list of tuples, for comparison."""
     picked = df.select(*columns) if columns else df
     return sorted((tuple(r) for r in picked.collect()), key=repr)
+
+
+def plan(df) -> str:
+    """The formatted plan as text."""
+    text = io.StringIO()
+    with contextlib.redirect_stdout(text):
+        df.explain("formatted")
+    return text.getvalue()

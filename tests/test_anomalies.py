@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from skygauge.operators import anomalies as an
 from skygauge.operators.anomalies import AIR_QUALITY, WEATHER
-from tests.conftest import rows
+from tests.conftest import plan, rows
 
 NOON = datetime(2025, 6, 8, 12, 0)
 SCHEMA = "city string, parameter string, value double, unit string, timestamp timestamp_ntz, source string"
@@ -185,15 +185,6 @@ def test_shuffled_join_gives_the_same_scores(spark):
     assert outcome(copied) == wide
 
 
-def plan(df) -> str:
-    import contextlib
-    import io
-    text = io.StringIO()
-    with contextlib.redirect_stdout(text):
-        df.explain("formatted")
-    return text.getvalue()
-
-
 def test_weather_keeps_time_timestamp_and_hour(spark):
     data = [("SP-Santos", f"2025-06-08T12:{i:02d}", float(v)) for i, v in enumerate(SPIKE)]
     df = spark.createDataFrame(data, "city string, time string, temperature double")

@@ -1,0 +1,204 @@
+"""Streams over file sources: landing, restart, refresh, windows, redelivery."""
+
+from __future__ import annotations
+
+import json
+from datetime import datetime, timedelta
+from pathlib import Path
+
+import pytest
+from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
+
+from skygauge.functions import payloads
+from skygauge.operators.anomalies import AIR_QUALITY
+from skygauge.plans import recent
+from skygauge.sources import landed
+from skygauge.sources.tables import load_refined
+from skygauge.streaming import ingest, refresh, topics
+from tests.conftest import rows
+from tests.lake import NOON, SPIKE, make_lake
+
+ONCE = {"availableNow": True}
+
+
+def put(folder: Path, name: str, messages: list) -> None:
+    folder.mkdir(parents=True, exist_ok=True)
+    lines = [m if isinstance(m, str) else json.dumps(m, ensure_ascii=False) for m in messages]
+    (folder / name).write_text("\n".join(lines), encoding="utf-8")
+
+
+def source(spark, folder: Path):
+    return spark.readStream.text(str(folder))
+
+
+def air(value, time="2025-06-08 12:00:00", city="SP-Santos", parameter="o3"):
+    return {"city": city, "parameter": parameter, "value": value, "unit": "AQI",
+            "timestamp": time, "source": "WAQI"}
+
+
+def test_air_quality_lands_by_its_own_day(spark, tmp_path):
+    put(tmp_path / "in", "a.txt", [
+        air(1.0, "2025-06-08 23:59:00"), air(2.0, "2025-06-09 00:01:00"),
+        air(None, "2025-06-09 00:02:00"), "not json"])
+    out, mark = str(tmp_path / "out"), str(tmp_path / "mark")
+    ingest.land_air_quality(source(spark, tmp_path / "in"), out, mark, ONCE).awaitTermination()
+    assert sorted(p.name for p in (tmp_path / "out" / "year=2025" / "month=06").iterdir()) == ["day=08", "day=09"]
+    df = landed.read_airquality(spark, out)
+    assert rows(df, "value", "timestamp") == sorted([
+        (1.0, datetime(2025, 6, 8, 23, 59)), (2.0, datetime(2025, 6, 9, 0, 1)),
+        (None, datetime(2025, 6, 9, 0, 2))], key=repr)
+    assert landed.read_recent_airquality(spark, out, datetime(2025, 6, 9, 12)).count() == 2
+
+
+def test_message_without_time_takes_ingestion_time(spark, tmp_path):
+    put(tmp_path / "in", "a.txt", [air(1.0, None), air(2.0, "whenever")])
+    out = str(tmp_path / "out")
+    before = refresh.utc_now() - timedelta(minutes=1)
+    ingest.land_air_quality(source(spark, tmp_path / "in"), out, str(tmp_path / "mark"), ONCE).awaitTermination()
+    times = [r.timestamp for r in landed.read_airquality(spark, out).collect()]
+    assert len(times) == 2 and all(before < t < before + timedelta(minutes=5) for t in times)
+
+
+def test_restart_adds_only_new_messages(spark, tmp_path):
+    out, mark = str(tmp_path / "out"), str(tmp_path / "mark")
+    put(tmp_path / "in", "a.txt", [air(1.0), air(2.0)])
+    for _ in range(2):
+        ingest.land_air_quality(source(spark, tmp_path / "in"), out, mark, ONCE).awaitTermination()
+    assert landed.read_airquality(spark, out).count() == 2
+    put(tmp_path / "in", "b.txt", [air(3.0)])
+    ingest.land_air_quality(source(spark, tmp_path / "in"), out, mark, ONCE).awaitTermination()
+    assert rows(landed.read_airquality(spark, out), "value") == [(1.0,), (2.0,), (3.0,)]
+
+
+def test_unreadable_messages_are_counted_and_landed_aside(spark, tmp_path):
+    put(tmp_path / "in", "a.txt", [air(1.0), "not json", '{"city": 3', "[1"])
+    query = ingest.land_air_quality(
+        source(spark, tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "m1"), ONCE)
+    query.awaitTermination()
+    seen = [p.observedMetrics["decode"] for p in query.recentProgress if "decode" in p.observedMetrics]
+    assert (sum(m.messages for m in seen), sum(m.unreadable for m in seen)) == (4, 3)
+    ingest.land_unreadable(
+        source(spark, tmp_path / "in"), str(tmp_path / "bad"), str(tmp_path / "m2"), ONCE).awaitTermination()
+    assert rows(spark.read.text(str(tmp_path / "bad"))) == [("[1",), ("not json",), ('{"city": 3',)]
+
+
+def weather(city, minute, temperature):
+    return {"time": f"2025-06-08T12:{minute:02d}", "interval": 900, "temperature": temperature,
+            "windspeed": 5.5, "winddirection": 90, "is_day": 1, "weathercode": 3, "city": city}
+
+
+def test_weather_lands_under_its_city(spark, tmp_path):
+    put(tmp_path / "in", "a.txt", [weather("SP-São Paulo", 0, 20.0), weather("SP-Santos", 1, 25.5)])
+    out = str(tmp_path / "out")
+    ingest.land_weather(source(spark, tmp_path / "in"), out, str(tmp_path / "mark"), ONCE).awaitTermination()
+    assert {p.name for p in Path(out).glob("city_key=*")} == {"city_key=SP-São Paulo", "city_key=SP-Santos"}
+    found = landed.read_weather(spark, out)
+    assert rows(found, "city", "time", "temperature", "winddirection") == [
+        ("SP-Santos", "2025-06-08T12:01", 25.5, 90), ("SP-São Paulo", "2025-06-08T12:00", 20.0, 90)]
+    now = refresh.utc_now()
+    assert landed.read_recent_landed_weather(spark, out, now).count() == 2
+    assert landed.read_recent_landed_weather(spark, out, now + timedelta(days=2)).count() == 0
+
+
+def test_stream_then_recent_weather_job(spark, tmp_path):
+    lake = make_lake(tmp_path)
+    put(tmp_path / "in", "a.txt", [weather("SP-Santos", i, v) for i, v in enumerate(SPIKE)])
+    ingest.land_weather(source(spark, tmp_path / "in"), lake.raw_path("weather"),
+                        str(tmp_path / "mark"), ONCE).awaitTermination()
+    assert recent.detect_recent_weather(spark, lake, refresh.utc_now(), landed_by_stream=True)
+    assert rows(load_refined(spark, lake, "weather_recent_anomalies"), "city", "temperature") == [("Santos", 90.0)]
+
+
+def test_refresh_runs_the_recent_job_per_batch(spark, tmp_path):
+    lake = make_lake(tmp_path)
+    root = lake.raw_path("airquality")
+    put(tmp_path / "in", "a.txt", [air(v, f"2025-06-08 12:{i:02d}:00") for i, v in enumerate(SPIKE)])
+    ingest.land_air_quality(source(spark, tmp_path / "in"), root, str(tmp_path / "m1"), ONCE).awaitTermination()
+    runs = []
+
+    def job(as_of):
+        runs.append(as_of)
+        recent.detect_recent_air_quality(spark, lake, as_of)
+
+    refresh.refresh_recent(
+        source(spark, tmp_path / "in"), job, str(tmp_path / "m2"), ONCE,
+        clock=lambda: NOON + timedelta(hours=1)).awaitTermination()
+    assert runs == [NOON + timedelta(hours=1)]
+    assert rows(load_refined(spark, lake, "airquality_recent_anomalies"), "city", "value") == [("Santos", 90.0)]
+
+
+def stamped(spark, folder):
+    return source(spark, folder).select(
+        F.from_json("value", "city string, parameter string, value double, timestamp timestamp").alias("d")
+    ).select("d.*")
+
+
+def run_to_table(df, path, mark):
+    df.writeStream.format("parquet").option("checkpointLocation", mark).trigger(**ONCE).start(path).awaitTermination()
+
+
+def test_sliding_stats_close_behind_the_watermark(spark, tmp_path):
+    put(tmp_path / "in", "a.txt", [air(1.0, "2025-06-08 12:05:00"), air(3.0, "2025-06-08 12:20:00")])
+    put(tmp_path / "in", "b.txt", [air(9.0, "2025-06-08 18:00:00")])
+    stats = refresh.sliding_stats(stamped(spark, tmp_path / "in"), AIR_QUALITY)
+    run_to_table(stats, str(tmp_path / "out"), str(tmp_path / "mark"))
+    found = spark.read.parquet(str(tmp_path / "out"))
+    both = found.filter("readings = 2").collect()
+    assert len(both) == 7 and {(r.avg_value, round(r.std_value, 6)) for r in both} == {(2.0, 1.414214)}
+    assert found.filter("readings = 1").count() == 2
+
+
+def test_redelivered_readings_are_dropped(spark, tmp_path):
+    put(tmp_path / "in", "a.txt", [air(1.0), air(1.0), air(2.0, parameter="co")])
+    put(tmp_path / "in", "b.txt", [air(1.0)])
+    once = refresh.drop_redelivered(stamped(spark, tmp_path / "in"), ["city", "parameter", "timestamp"])
+    run_to_table(once, str(tmp_path / "out"), str(tmp_path / "mark"))
+    assert rows(spark.read.parquet(str(tmp_path / "out")), "parameter", "value") == [("co", 2.0), ("o3", 1.0)]
+
+
+def test_responses_become_messages(spark):
+    good = {"status": "ok", "city": "SP-Santos", "data": {
+        "iaqi": {"pm25": {"v": 12.5}, "o3": {}}, "time": {"s": "2025-06-08 12:00:00"}}}
+    df = spark.createDataFrame([(json.dumps(good),), (json.dumps({**good, "status": "error"}),)], "value string")
+    from skygauge import schemas
+    decoded = payloads.readable(payloads.decode_json(df, "value", schemas.AIR_QUALITY_PAYLOAD))
+    found = payloads.explode_pollutants(decoded)
+    assert rows(found, "city", "parameter", "value", "unit", "timestamp", "source") == [
+        ("SP-Santos", "o3", None, "AQI", "2025-06-08 12:00:00", "WAQI"),
+        ("SP-Santos", "pm25", 12.5, "AQI", "2025-06-08 12:00:00", "WAQI")]
+    messages = payloads.encode_json(found.filter("parameter = 'o3'"))
+    assert json.loads(messages.first().value) == air(None)
+
+
+def test_weather_responses_flatten(spark):
+    from skygauge import schemas
+    body = weather("x", 0, 20.0)
+    body.pop("city")
+    df = spark.createDataFrame(
+        [(json.dumps({"current_weather": body, "city": "SP-Santos"}),), ('{"city": "SP-Bauru"}',)], "value string")
+    found = payloads.flatten_weather(payloads.decode_json(df, "value", schemas.WEATHER_PAYLOAD))
+    assert [json.loads(r.value) for r in payloads.encode_json(found).collect()] == [{**body, "city": "SP-Santos"}]
+
+
+@pytest.mark.parametrize("text", ["", "   ", "3", '"x"', "[]", "null", "not json", '{"k": '])
+def test_what_is_no_message(spark, text):
+    df = spark.createDataFrame([(text,), ('{"city": "SP-Santos"}',)], "value string")
+    from skygauge import schemas
+    decoded = payloads.decode_json(df, "value", schemas.WEATHER)
+    assert payloads.readable(decoded).count() == 1
+    assert rows(payloads.unreadable(decoded)) == [(text,)]
+
+
+def test_topic_options_follow_the_flush_rule():
+    options = topics.topic_options("broker:9092", "weather")
+    assert options["startingOffsets"] == "earliest"
+    assert (options["minOffsetsPerTrigger"], options["maxTriggerDelay"]) == ("100", "30s")
+    assert "maxOffsetsPerTrigger" not in options
+
+
+def test_topics_need_the_connector(spark):
+    with pytest.raises(AnalysisException, match="(?i)kafka"):
+        topics.topic_source(spark, "broker:9092", "weather")
+    with pytest.raises(AnalysisException, match="(?i)kafka"):
+        topics.publish(spark.range(1), "broker:9092", "weather")
