@@ -16,20 +16,28 @@ _CORRUPT = "_unreadable"
 def decode_json(df: DataFrame, column: str, schema: T.StructType) -> DataFrame:
     """Replace ``column`` by the fields of its JSON object.
 
-    Rows without one stay, with the text in ``_unreadable`` and NULL fields; see
-    :func:`readable` and :func:`unreadable`.
+    Rows without exactly one such object stay, with the text in ``_unreadable``
+    and NULL fields; see :func:`readable` and :func:`unreadable`.
     """
-    with_corrupt = T.StructType([*schema.fields, T.StructField(_CORRUPT, T.StringType())])
-    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}
     others = [c for c in df.columns if c != column]
-    text = F.col(column).cast("string")
-    absent = F.when(F.col("_doc").isNull(), F.coalesce("_text", F.lit("")))
-    return df.select(
-        *others, text.alias("_text"), F.from_json(text, with_corrupt, options).alias("_doc")
-    ).select(
-        *others,
-        *[F.col(f"_doc.{name}") for name in schema.names],
-        F.coalesce(F.col(f"_doc.{_CORRUPT}"), absent).alias(_CORRUPT),
+    wrapped = T.StructType([
+        T.StructField("_doc", schema), T.StructField(_CORRUPT, T.StringType())
+    ])
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}
+    text = F.col("_text")
+    # The parser stops after the first value; the two wrappings expose a rest.
+    parsed = F.from_json(F.concat(F.lit('{"_doc":'), text, F.lit("}")), wrapped, options)
+    alone = F.json_array_length(F.concat(F.lit("["), text, F.lit("]"))) == 1
+    good = alone & F.col(f"_parsed.{_CORRUPT}").isNull() & F.col("_parsed._doc").isNotNull()
+    return (
+        df.select(*others, F.col(column).cast("string").alias("_text"))
+        .withColumn("_parsed", parsed)
+        .withColumn("_good", F.coalesce(good, F.lit(False)))
+        .select(
+            *others,
+            *[F.when(F.col("_good"), F.col(f"_parsed._doc.{n}")).alias(n) for n in schema.names],
+            F.when(~F.col("_good"), F.coalesce(text, F.lit(""))).alias(_CORRUPT),
+        )
     )
 
 

@@ -43,9 +43,14 @@ def slugify(text: Column) -> Column:
 def is_json(text: Column) -> Column:
     """Whether the text is one JSON value; scalars and ``null`` count.
 
-    Strict JSON: NaN, Infinity and repeated keys are invalid.
+    The parser stops after the first value, so the text is tried inside an array
+    and inside an object: anything after the value breaks one of the two.  Strict
+    JSON: NaN, Infinity and repeated keys are invalid.
     """
-    return F.try_parse_json(text).isNotNull()
+    in_array = F.concat(F.lit("["), text, F.lit("]"))
+    in_object = F.concat(F.lit('{"v":'), text, F.lit("}"))
+    valid = F.try_parse_json(in_array).isNotNull() & F.try_parse_json(in_object).isNotNull()
+    return F.coalesce(valid, F.lit(False))
 
 
 def url_encode(text: Column) -> Column:

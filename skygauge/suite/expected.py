@@ -133,8 +133,8 @@ placed AS (
   FROM {source}, range(8) AS r(i)),
 closed AS (
   SELECT {keys}, since, since + INTERVAL 2 HOUR AS until,
-         round(avg(value), 6) AS avg_value, round(stddev_samp(value), 6) AS std_value,
-         count(value) AS readings
+         round(avg(value) + 1e-9, 6) AS avg_value,
+         round(stddev_samp(value) + 1e-9, 6) AS std_value, count(value) AS readings
   FROM placed GROUP BY {keys}, since)"""
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import re
 import unicodedata
 from datetime import datetime
@@ -83,8 +84,20 @@ def test_slugify_example(spark):
 
 
 def test_is_json(spark):
-    texts = ['{"a": 1}', "[1, 2]", "3", "null", '"x"', "{", "word", "", None]
-    assert values(spark, texts, sf.is_json) == [True] * 5 + [False] * 4
+    valid = ['{"a": 1}', "[1, 2]", "3", " 3 ", "null", "true", '"x"', "1e5"]
+    invalid = ["{", "word", "", "3 foo", '{"a":1} x', "[1] [2]", "1,2", '1,"a":2', "[1]]",
+               '{"a":1}}', "01", "nullx", "1] [2", "1} {", None]
+    assert values(spark, valid + invalid, sf.is_json) == [True] * len(valid) + [False] * len(invalid)
+    for text in valid + invalid[:-1]:
+        assert python_accepts(text) == (text in valid)
+
+
+def python_accepts(text):
+    try:
+        json.loads(text)
+        return True
+    except ValueError:
+        return False
 
 
 LATIN = st.text(st.characters(codec="latin-1", exclude_characters="\x00"), max_size=30)

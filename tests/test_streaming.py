@@ -181,7 +181,10 @@ def test_weather_responses_flatten(spark):
     assert [json.loads(r.value) for r in payloads.encode_json(found).collect()] == [{**body, "city": "SP-Santos"}]
 
 
-@pytest.mark.parametrize("text", ["", "   ", "3", '"x"', "[]", "null", "not json", '{"k": '])
+@pytest.mark.parametrize("text", [
+    "", "   ", "3", '"x"', "[]", "null", "not json", '{"k": ', '{"city": "a"} rest',
+    '{"city": "a"}{"city": "b"}', '{"city": "a"}, {"city": "b"}', '{"city": "a"}} {', '{"city": "a"}] [',
+    '[{"city": "a"}]', '{"city": "a"}, "x": 1', '{"temperature": "warm"}'])
 def test_what_is_no_message(spark, text):
     df = spark.createDataFrame([(text,), ('{"city": "SP-Santos"}',)], "value string")
     from skygauge import schemas
