@@ -21,22 +21,23 @@ def decode_json(df: DataFrame, column: str, schema: T.StructType) -> DataFrame:
     """
     others = [c for c in df.columns if c != column]
     wrapped = T.StructType([
-        T.StructField("_doc", schema), T.StructField(_CORRUPT, T.StringType())
+        T.StructField("_doc", schema), T.StructField("_rejected", T.StringType())
     ])
-    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_rejected"}
     text = F.col("_text")
     # The parser stops after the first value; the two wrappings expose a rest.
     parsed = F.from_json(F.concat(F.lit('{"_doc":'), text, F.lit("}")), wrapped, options)
     alone = F.json_array_length(F.concat(F.lit("["), text, F.lit("]"))) == 1
-    good = alone & F.col(f"_parsed.{_CORRUPT}").isNull() & F.col("_parsed._doc").isNotNull()
+    good = F.coalesce(alone, F.lit(False)) & F.col("_rejected").isNull() & F.col("_doc").isNotNull()
     return (
-        df.select(*others, F.col(column).cast("string").alias("_text"))
-        .withColumn("_parsed", parsed)
-        .withColumn("_good", F.coalesce(good, F.lit(False)))
+        df.select(*others, F.coalesce(F.col(column).cast("string"), F.lit("")).alias("_text"))
+        # As a generator the document is parsed once, whatever is later filtered.
+        .select(*others, "_text", F.inline(F.array(parsed)))
+        .withColumn("_good", good)
         .select(
             *others,
-            *[F.when(F.col("_good"), F.col(f"_parsed._doc.{n}")).alias(n) for n in schema.names],
-            F.when(~F.col("_good"), F.coalesce(text, F.lit(""))).alias(_CORRUPT),
+            *[F.when(F.col("_good"), F.col(f"_doc.{n}")).alias(n) for n in schema.names],
+            F.when(~F.col("_good"), text).alias(_CORRUPT),
         )
     )
 
