@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skygauge.functions.times import day_bound
@@ -49,35 +49,70 @@ def page(
     return _ranked_page(df, offset, end, ties, one_slice_rows)
 
 
-def _ranked_page(df, offset, end, ties, one_slice_rows):
-    hour = F.date_trunc("hour", "timestamp")
-    # One row per hour of data, ranked like any other counted rows.
-    per_hour = materialize(count_copies(df.select(hour.alias("_hour")), ["_hour"]), "hours")
-    touched = select_ranks(
-        per_hour.table, per_hour.rows, [], [F.asc_nulls_last("_hour")],
+def _touched(df: DataFrame, bucket: Column, offset: int, end: int):
+    """Buckets of the time order that hold ranks ``offset + 1`` to ``end``.
+
+    Returns the first and last such bucket as text (NULL times come last), whether
+    NULL is among them, and the rank of the first row in them; None if there are
+    no such rows.  Only one small row per bucket is ranked.
+    """
+    counted = materialize(count_copies(df.select(bucket.alias("_bucket")), ["_bucket"]), "buckets")
+    hits = select_ranks(
+        counted.table, counted.rows, [], [F.asc_nulls_last("_bucket")],
         lambda total: [(F.lit(offset + 1), F.lit(end))],
     )
-    span = touched.agg(
-        F.min("_hour").cast("string").alias("since"),
-        F.max("_hour").cast("string").alias("until"),
-        F.max(F.col("_hour").isNull()).alias("missing"),
-        F.min(F.col(FIRST)).alias("first"),
+    span = hits.agg(
+        F.min("_bucket").cast("string").alias("since"),
+        F.max("_bucket").cast("string").alias("until"),
+        F.max(F.col("_bucket").isNull()).alias("missing"),
+        F.min(FIRST).alias("first"),
     ).first()
-    if span["first"] is None:
-        return df.limit(0)
+    return span if span["first"] is not None else None
+
+
+def _within(column: str, since: Column | None, until: Column | None, missing: bool) -> Column:
+    kept = F.col(column).isNull() if missing else F.lit(False)
+    if since is not None:
+        kept = kept | ((F.col(column) >= since) & (F.col(column) < until))
+    return kept
+
 
-    kept = F.col("timestamp").isNull() if span["missing"] else F.lit(False)
+def days_of_page(df: DataFrame, limit: int, offset: int) -> tuple[DataFrame, int]:
+    """Only the day directories of a page, and the offset that remains in them.
+
+    The days are counted from the filter columns alone; a table without
+    ``obs_date`` stays as it is.
+    """
+    if "obs_date" not in df.columns or limit <= 0 or offset < 0:
+        return df, offset
+    span = _touched(df, F.col("obs_date"), offset, offset + limit)
+    if span is None:
+        return df.limit(0), 0
+    since = until = None
+    if span["since"] is not None:
+        since = F.lit(span["since"]).cast("date")
+        until = F.date_add(F.lit(span["until"]).cast("date"), 1)
+    kept = df.filter(_within("obs_date", since, until, span["missing"]))
+    return kept, offset - (span["first"] - 1)
+
+
+def _ranked_page(df, offset, end, ties, one_slice_rows):
+    span = _touched(df, F.date_trunc("hour", "timestamp"), offset, end)
+    if span is None:
+        return df.limit(0)
+    since = until = None
     if span["since"] is not None:
         kind = df.schema["timestamp"].dataType
         since = F.lit(span["since"]).cast(kind)
         until = F.lit(span["until"]).cast(kind) + F.expr("INTERVAL 1 HOUR")
-        kept = kept | ((F.col("timestamp") >= since) & (F.col("timestamp") < until))
+    kept = df.filter(_within("timestamp", since, until, span["missing"]))
     skipped = span["first"] - 1
     low, high = F.lit(offset + 1 - skipped), F.lit(end - skipped)
 
-    counted = materialize(count_copies(df.filter(kept), df.columns), "counted")
+    counted = materialize(count_copies(kept, df.columns), "counted")
     ranked = select_ranks(
-        counted.table, counted.rows, [], _time_order(df, ties), lambda total: [(low, high)], one_slice_rows
+        counted.table, counted.rows, [], _time_order(df, ties), lambda total: [(low, high)],
+        one_slice_rows,
     )
     copies = F.least(F.col(LAST), high) - F.greatest(F.col(FIRST), low) + 1
     repeated = ranked.withColumn(WEIGHT, F.explode(F.sequence(F.lit(1), copies)))

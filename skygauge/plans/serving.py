@@ -12,7 +12,7 @@ from skygauge.operators.contracts import (
     Contract,
     project,
 )
-from skygauge.operators.paging import date_range, page, place
+from skygauge.operators.paging import date_range, days_of_page, page, place
 from skygauge.operators.refine import clean_numbers
 from skygauge.sources.tables import Lake, load_refined
 
@@ -33,9 +33,11 @@ def serve(
 ) -> DataFrame:
     """One page of a refined table under a contract.
 
-    Filters come first and reach the scan; only contract columns are read.
+    Filters come first and reach the scan, only contract columns are read, and of
+    a table stored by day only the days that hold the page.
     """
     rows = place(date_range(table, date_from, date_to), uf, city)
+    rows, offset = days_of_page(rows, limit, offset)
     rows = project(rows, contract)
     if cleaned:
         rows = clean_numbers(rows)

@@ -18,6 +18,9 @@ SESSION_SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # Stream state on local disk instead of the executor heap.
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
 _LOCAL_SCRATCH = "skygauge.local.scratch"
