@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from skygauge.schemas import WEATHER, conform, lenient
+
 # Constants of every air-quality measurement.
 AQI_UNIT = "AQI"
 AQI_SOURCE = "WAQI"
@@ -17,11 +19,12 @@ def decode_json(df: DataFrame, column: str, schema: T.StructType) -> DataFrame:
     """Replace ``column`` by the fields of its JSON object.
 
     Rows without exactly one such object stay, with the text in ``_unreadable``
-    and NULL fields; see :func:`readable` and :func:`unreadable`.
+    and NULL fields; see :func:`readable` and :func:`unreadable`.  Whole numbers
+    inside nested fields stay doubles.
     """
     others = [c for c in df.columns if c != column]
     wrapped = T.StructType([
-        T.StructField("_doc", schema), T.StructField("_rejected", T.StringType())
+        T.StructField("_doc", lenient(schema)), T.StructField("_rejected", T.StringType())
     ])
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_rejected"}
     text = F.col("_text")
@@ -36,12 +39,19 @@ def decode_json(df: DataFrame, column: str, schema: T.StructType) -> DataFrame:
         .withColumn("_good", good)
         .select(
             *others,
-            *[F.when(F.col("_good"), F.col(f"_doc.{n}")).alias(n) for n in schema.names],
+            *[
+                F.when(F.col("_good"), _typed(F.col(f"_doc.{f.name}"), f.dataType)).alias(f.name)
+                for f in schema.fields
+            ],
             F.when(~F.col("_good"), text).alias(_CORRUPT),
         )
     )
 
 
+def _typed(field: Column, kind: T.DataType) -> Column:
+    return field.try_cast(kind) if isinstance(kind, T.NumericType) else field
+
+
 def readable(decoded: DataFrame) -> DataFrame:
     """The decoded rows without the failed ones."""
     return decoded.filter(F.col(_CORRUPT).isNull()).drop(_CORRUPT)
@@ -61,9 +71,10 @@ def encode_json(df: DataFrame) -> DataFrame:
 
 def flatten_weather(payloads: DataFrame) -> DataFrame:
     """Observation fields of each weather response, with its city."""
-    return payloads.filter(F.col("current_weather").isNotNull()).select(
+    flat = payloads.filter(F.col("current_weather").isNotNull()).select(
         "city", "current_weather.*"
     )
+    return conform(flat, WEATHER)
 
 
 def ok_status(status: Column) -> Column:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import SparkSession
 
 from skygauge.operators.anomalies import AIR_QUALITY, WEATHER, detect_anomalies
@@ -41,14 +43,23 @@ def detect_air_quality(spark: SparkSession, lake: Lake, **options) -> None:
     write_table(refined, lake.refined_path("airquality_anomalies"))
 
 
-def refine_all(spark: SparkSession, lake: Lake, by_day: bool = True) -> None:
-    """Write both facts with coordinates, state and typed time, once each row.
+#: Reader and refinement of each fact.
+FACTS = {
+    "weather": (read_weather, refine_weather),
+    "airquality": (read_airquality, refine_air_quality),
+}
+
+
+def refine_facts(
+    spark: SparkSession, lake: Lake, facts: Sequence[str] = tuple(FACTS), by_day: bool = True
+) -> None:
+    """Write facts with coordinates, state and typed time, once each row.
 
     Day directories let date ranges read their days only; with ``by_day=False`` the
     tables are flat and have no ``obs_date``.
     """
     cities = read_cities(spark, lake.cities)
-    weather = read_weather(spark, lake.raw_path("weather"))
-    write_table(refine_weather(weather, cities), lake.refined_path("weather"), by_day)
-    readings = read_airquality(spark, lake.raw_path("airquality"))
-    write_table(refine_air_quality(readings, cities), lake.refined_path("airquality"), by_day)
+    for name in facts:
+        read, refine = FACTS[name]
+        refined = refine(read(spark, lake.raw_path(name)), cities)
+        write_table(refined, lake.refined_path(name), by_day)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 _S, _D, _I = T.StringType(), T.DoubleType(), T.IntegerType()
@@ -51,3 +53,30 @@ CITIES = _struct(city=_S, lat=_D, long=_D)
 
 #: Coordinates as the city file spells them.
 CITY_FILE = T.MapType(_S, _struct(lat=_D, lon=_D))
+
+
+def lenient(schema: T.StructType) -> T.StructType:
+    """The schema to parse JSON with: a whole number may be written as ``90.0``."""
+    def widen(kind: T.DataType) -> T.DataType:
+        if isinstance(kind, T.StructType):
+            return lenient(kind)
+        return _D if isinstance(kind, T.IntegerType) else kind
+    return T.StructType([T.StructField(f.name, widen(f.dataType)) for f in schema.fields])
+
+
+def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """The schema's columns, numbers in its types; a missing column is NULL.
+
+    Times keep the type they were stored in.
+    """
+    found = {f.name: f.dataType for f in df.schema.fields}
+    columns = []
+    for field in schema.fields:
+        if field.name not in found:
+            column = F.lit(None).cast(field.dataType)
+        elif isinstance(field.dataType, T.NumericType):
+            column = F.col(field.name).try_cast(field.dataType)
+        else:
+            column = F.col(field.name)
+        columns.append(column.alias(field.name))
+    return df.select(*columns)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from datetime import datetime, timedelta
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -15,17 +16,33 @@ from skygauge.functions.times import event_time, file_name_time
 # Fixed value: how far the recent jobs look back, in seconds.
 LOOKBACK = 7200
 
-#: Weather landed by the stream also says when it was ingested.
-LANDED_WEATHER = T.StructType(
-    [*schemas.WEATHER.fields, T.StructField("ingest_ts", T.TimestampType())]
+#: Weather as its JSON is parsed; the stream also says when it was ingested.
+WEATHER_JSON = schemas.lenient(schemas.WEATHER)
+LANDED_WEATHER_JSON = T.StructType(
+    [*WEATHER_JSON.fields, T.StructField("ingest_ts", T.TimestampType())]
 )
 
 
+def _airquality_files(spark: SparkSession, root: str) -> DataFrame:
+    """Landed Parquet with its date columns.  The stored types are asked for, since
+    collectors may have stored whole-number values as integers."""
+    try:
+        return spark.read.parquet(root)
+    except AnalysisException as error:
+        if error.getCondition() != "UNABLE_TO_INFER_SCHEMA":
+            raise
+        return spark.read.schema(_AIRQUALITY_LAYOUT).parquet(root)
+
+
+_AIRQUALITY_LAYOUT = T.StructType([
+    *schemas.AIR_QUALITY.fields,
+    *[T.StructField(part, T.IntegerType()) for part in ("year", "month", "day")],
+])
+
+
 def read_airquality(spark: SparkSession, root: str) -> DataFrame:
     """Every landed measurement; the date directories are not columns."""
-    return spark.read.schema(schemas.AIR_QUALITY).parquet(root).select(
-        *schemas.AIR_QUALITY.names
-    )
+    return schemas.conform(_airquality_files(spark, root), schemas.AIR_QUALITY)
 
 
 def read_recent_airquality(
@@ -42,10 +59,8 @@ def read_recent_airquality(
         (F.col("year") == d.year) & (F.col("month") == d.month) & (F.col("day") == d.day)
         for d in days
     ])
-    return (
-        spark.read.schema(schemas.AIR_QUALITY).parquet(root)
-        .filter(any_day)
-        .select(*schemas.AIR_QUALITY.names)
+    return schemas.conform(
+        _airquality_files(spark, root).filter(any_day), schemas.AIR_QUALITY
     )
 
 
@@ -66,11 +81,11 @@ def since_cutoff(
 
 def read_weather(spark: SparkSession, root: str) -> DataFrame:
     """Every landed observation, in directories by city or as the stream lands them."""
-    return (
-        spark.read.schema(schemas.WEATHER)
-        .option("recursiveFileLookup", "true")
-        .json(root)
-    )
+    return schemas.conform(_weather_files(spark, root), schemas.WEATHER)
+
+
+def _weather_files(spark: SparkSession, root: str) -> DataFrame:
+    return spark.read.schema(WEATHER_JSON).option("recursiveFileLookup", "true").json(root)
 
 
 def read_recent_weather_files(
@@ -81,9 +96,10 @@ def read_recent_weather_files(
     The condition is on file metadata, so older files are listed but not opened.
     """
     cutoff = F.lit(str(as_of - timedelta(seconds=lookback))).cast("timestamp")
-    return read_weather(spark, root).filter(
+    recent = _weather_files(spark, root).filter(
         file_name_time(F.col("_metadata.file_path")) >= cutoff
     )
+    return schemas.conform(recent, schemas.WEATHER)
 
 
 def read_recent_landed_weather(
@@ -91,12 +107,12 @@ def read_recent_landed_weather(
 ) -> DataFrame:
     """The same for the stream's layout: by ingestion date, then ingestion time."""
     cutoff = as_of - timedelta(seconds=lookback)
-    return (
-        spark.read.schema(LANDED_WEATHER).json(root)
+    recent = (
+        spark.read.schema(LANDED_WEATHER_JSON).json(root)
         .filter(F.col("ingest_date") >= F.lit(str(cutoff.date())).cast("date"))
         .filter(F.col("ingest_ts") >= F.lit(str(cutoff)).cast("timestamp"))
-        .select(*schemas.WEATHER.names)
     )
+    return schemas.conform(recent, schemas.WEATHER)
 
 
 def read_cities(spark: SparkSession, path: str) -> DataFrame:

@@ -73,11 +73,22 @@ def land_air_quality(
 
 
 def land_weather(
-    messages: DataFrame, path: str, checkpoint: str, trigger: dict | None = None
+    messages: DataFrame,
+    path: str,
+    checkpoint: str,
+    trigger: dict | None = None,
+    by_city: bool = True,
 ) -> StreamingQuery:
-    """Stream weather messages to JSON by city and ingestion date."""
+    """Stream weather messages to JSON by city and ingestion date.
+
+    With many cities ``by_city=False`` keeps the files of a batch few: directories
+    by ingestion date only, which is what the recent read prunes on.
+    """
     rows = by_city_and_date(decode_weather(messages))
-    return _start(rows, path, checkpoint, "json", ["city_key", "ingest_date"], trigger)
+    if not by_city:
+        rows = rows.drop("city_key")
+    folders = ["city_key", "ingest_date"] if by_city else ["ingest_date"]
+    return _start(rows, path, checkpoint, "json", folders, trigger)
 
 
 def land_unreadable(

@@ -138,6 +138,20 @@ closed AS (
   FROM placed GROUP BY {keys}, since)"""
 
 
+POLLUTANT = """CASE event_type WHEN 'click' THEN 'pm25' WHEN 'error' THEN 'pm10'
+         WHEN 'purchase' THEN 'no2' WHEN 'view' THEN 'o3' ELSE 'dew' END"""
+LAKE_AIR = AIR.replace("event_type AS parameter", POLLUTANT + " AS parameter")
+
+
+def lake_air_scored(where: str = "true") -> str:
+    return "WITH" + LAKE_AIR + scored(
+        "air", "value", AIR_KEYS, f"parameter IN ('pm25', 'pm10', 'no2', 'o3') AND {where}")
+
+
+LAKE_AIR_ANOMALIES = AIR_ANOMALIES.replace("SELECT event_id,", "SELECT")
+LAKE_WEATHER_ANOMALIES = WEATHER_ANOMALIES.replace("SELECT event_id,", "SELECT")
+
+
 EXPECTED_SQL = {
     # statistics and scores
     "hourly_stats": air_scored() + """
@@ -299,6 +313,23 @@ ORDER BY timestamp, {SERVED_WEATHER_ANOMALY} LIMIT 300""",
     "preview_rows": f"WITH {AIR}" + f"""
 SELECT event_id, {stamp('timestamp')} AS timestamp, city, parameter, round(value, 6) AS value
 FROM air ORDER BY air.timestamp, event_id LIMIT 10""",
+    # stored jobs
+    "job_batch_airquality": lake_air_scored() + LAKE_AIR_ANOMALIES,
+    "job_batch_weather": weather_scored() + LAKE_WEATHER_ANOMALIES,
+    "job_recent_airquality": lake_air_scored(SINCE) + f", refined AS ({LAKE_AIR_ANOMALIES})" + f"""
+SELECT {SERVED_AIR_ANOMALY} FROM refined WHERE uf = 'ASIA'
+ORDER BY timestamp, {SERVED_AIR_ANOMALY} LIMIT 1000""",
+    "job_recent_weather": weather_scored(SINCE) + f", refined AS ({LAKE_WEATHER_ANOMALIES})" + f"""
+SELECT {SERVED_WEATHER_ANOMALY} FROM refined
+ORDER BY timestamp, {SERVED_WEATHER_ANOMALY} LIMIT 50""",
+    "job_refine_then_page": f"WITH {WEATHER}, refined AS ({REFINED_WEATHER})" + f"""
+SELECT {SERVED_WEATHER} FROM refined ORDER BY timestamp, {SERVED_WEATHER}
+LIMIT 800 OFFSET 3000""",
+    "job_refine_then_range": f"WITH {LAKE_AIR}, refined AS ({REFINED_AIR})" + f"""
+SELECT {SERVED_AIR} FROM refined
+WHERE uf = 'EUROPE'
+  AND timestamp BETWEEN '2024-01-10 00:00:00.000000' AND '2024-01-20 00:00:00.000000'
+ORDER BY timestamp, {SERVED_AIR} LIMIT 1000""",
     # streams
     "stream_airquality_landing": f"""
 SELECT user_id::VARCHAR AS city, event_type AS parameter, round(value, 6) AS value,

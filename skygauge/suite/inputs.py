@@ -9,7 +9,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from skygauge.functions.times import partition_dates
+
 from skygauge.operators.anomalies import AIR_QUALITY, Readings
+from skygauge.operators.refine import refine_air_quality, refine_weather
+from skygauge.session import scratch_path
+from skygauge.sources.tables import Lake
 
 #: Cities of the air-quality readings, and of the sparser weather.
 AIR_CITIES, WEATHER_CITIES = 5, 25
@@ -23,6 +28,10 @@ EVENT_READINGS = Readings(
     parameters=PARAMETERS,
 )
 
+#: Pollutant that each event type stands for in the stored lake; the last is
+#: reported but not scored.
+POLLUTANTS = {"click": "pm25", "error": "pm10", "purchase": "no2", "view": "o3", "signup": "dew"}
+
 STAMP = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 
 
@@ -117,10 +126,37 @@ def weather_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def refined_air_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from skygauge.operators.refine import refine_air_quality
     return refine_air_quality(air_quality(spark, sf_dir), cities(spark, sf_dir))
 
 
 def refined_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from skygauge.operators.refine import refine_weather
     return refine_weather(weather(spark, sf_dir), cities(spark, sf_dir))
+
+
+def city_file(spark: SparkSession, sf_dir: str, path: str) -> None:
+    """The city dimension, 24 rows at every scale, as one JSON object."""
+    entry = F.struct("city", F.struct("lat", F.col("long").alias("lon")).alias("at"))
+    cities(spark, sf_dir).agg(
+        F.to_json(F.map_from_entries(F.collect_list(entry))).alias("value")
+    ).write.text(path)
+
+
+def lake(spark: SparkSession, sf_dir: str, *facts: str) -> Lake:
+    """A stored lake of the named facts in the landed layouts."""
+    home = scratch_path(spark, "lake")
+    stored = Lake(raw=f"{home}/raw", refined=f"{home}/refined", cities=f"{home}/cities")
+    city_file(spark, sf_dir, stored.cities)
+    if "airquality" in facts:
+        pollutant = F.coalesce(*[
+            F.when(F.col("parameter") == kind, name) for kind, name in POLLUTANTS.items()
+        ])
+        dated = partition_dates(F.col("timestamp"))
+        air_quality(spark, sf_dir).drop("event_id").withColumns(
+            {"parameter": pollutant, **dated}
+        ).write.partitionBy(*dated).parquet(stored.raw_path("airquality"))
+    if "weather" in facts:
+        arrived = F.to_timestamp("time")
+        weather(spark, sf_dir).drop("event_id").withColumns(
+            {"ingest_ts": arrived, "ingest_date": F.to_date(arrived)}
+        ).write.partitionBy("ingest_date").json(stored.raw_path("weather"))
+    return stored

@@ -15,7 +15,7 @@ from skygauge import schemas
 from skygauge.functions import payloads
 from skygauge.operators import anomalies, cities, contracts, paging, quantiles, refine
 from skygauge.operators.anomalies import WEATHER
-from skygauge.plans import serving
+from skygauge.plans import batch, recent, serving
 from skygauge.session import scratch_path
 from skygauge.sources import landed, tables
 from skygauge.streaming import ingest, refresh
@@ -217,11 +217,8 @@ def letter_range_cities(spark, sf_dir):
 @query
 def city_file(spark, sf_dir):
     """The city dimension written as one JSON object and read back."""
-    entry = F.struct("city", F.struct("lat", F.col("long").alias("lon")).alias("at"))
     path = scratch_path(spark, "cities")
-    inputs.cities(spark, sf_dir).agg(
-        F.to_json(F.map_from_entries(F.collect_list(entry))).alias("value")
-    ).write.text(path)
+    inputs.city_file(spark, sf_dir, path)
     return plain(landed.read_cities(spark, path))
 
 
@@ -432,6 +429,51 @@ def preview_rows(spark, sf_dir):
     return plain(tables.preview(ordered, ["event_id", "timestamp", "city", "parameter", "value"]))
 
 
+# --- stored jobs -----------------------------------------------------------------
+
+@query
+def job_batch_airquality(spark, sf_dir):
+    lake = inputs.lake(spark, sf_dir, "airquality")
+    batch.detect_air_quality(spark, lake)
+    return plain(tables.load_refined(spark, lake, "airquality_anomalies"))
+
+
+@query
+def job_batch_weather(spark, sf_dir):
+    lake = inputs.lake(spark, sf_dir, "weather")
+    batch.detect_weather(spark, lake)
+    return plain(tables.load_refined(spark, lake, "weather_anomalies"))
+
+
+@query
+def job_recent_airquality(spark, sf_dir):
+    lake = inputs.lake(spark, sf_dir, "airquality")
+    recent.detect_recent_air_quality(spark, lake, AS_OF, RECENT)
+    return plain(serving.query_recent_air_quality_anomalies(spark, lake, uf="Asia"))
+
+
+@query
+def job_recent_weather(spark, sf_dir):
+    lake = inputs.lake(spark, sf_dir, "weather")
+    recent.detect_recent_weather(spark, lake, AS_OF, RECENT, landed_by_stream=True)
+    return plain(serving.query_recent_weather_anomalies(spark, lake, limit=50))
+
+
+@query
+def job_refine_then_page(spark, sf_dir):
+    lake = inputs.lake(spark, sf_dir, "weather")
+    batch.refine_facts(spark, lake, ["weather"])
+    return plain(serving.query_weather(spark, lake, limit=800, offset=3000))
+
+
+@query
+def job_refine_then_range(spark, sf_dir):
+    lake = inputs.lake(spark, sf_dir, "airquality")
+    batch.refine_facts(spark, lake, ["airquality"])
+    return plain(serving.query_air_quality(
+        spark, lake, date_from="2024-01-10", date_to="20-01-2024", uf="europe"))
+
+
 # --- streams ---------------------------------------------------------------------
 
 def _event_stream(spark, sf_dir):

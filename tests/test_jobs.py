@@ -21,7 +21,7 @@ def lake(spark, tmp_path_factory):
     fill(lake)
     batch.detect_weather(spark, lake)
     batch.detect_air_quality(spark, lake)
-    batch.refine_all(spark, lake)
+    batch.refine_facts(spark, lake)
     recent.detect_recent_air_quality(spark, lake, NOON + timedelta(hours=2))
     assert recent.detect_recent_weather(spark, lake, NOON + timedelta(hours=2))
     return lake
@@ -122,7 +122,7 @@ def test_served_z_score_is_the_score(spark, lake):
 def test_flat_refined_tables_serve_alike(spark, lake, tmp_path_factory):
     flat = make_lake(tmp_path_factory.mktemp("flat"))
     fill(flat)
-    batch.refine_all(spark, flat, by_day=False)
+    batch.refine_facts(spark, flat, by_day=False)
     assert "obs_date" not in load_refined(spark, flat, "weather").columns
     for run in (serving.query_weather, serving.query_air_quality):
         assert rows(run(spark, flat, date_from="2025-06-08")) == rows(run(spark, lake, date_from="2025-06-08"))

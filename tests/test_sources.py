@@ -5,6 +5,7 @@ from __future__ import annotations
 from datetime import datetime, timedelta
 from pathlib import Path
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -107,3 +108,26 @@ def test_preview_projects_and_limits(spark):
     df = spark.range(50).withColumn("x", F.lit(1))
     assert tables.preview(df, ["x"]).columns == ["x"]
     assert tables.preview(df, ["x"]).count() == 10
+
+
+def test_values_stored_as_integers_are_read(spark, tmp_path):
+    folder = tmp_path / "year=2025" / "month=06" / "day=08"
+    folder.mkdir(parents=True)
+    pd.DataFrame({"city": ["SP-Santos"], "parameter": ["o3"], "value": [7], "timestamp": [NOON]}).to_parquet(
+        folder / "a.parquet", coerce_timestamps="us")
+    found = landed.read_airquality(spark, str(tmp_path))
+    assert dict(found.dtypes)["value"] == "double"
+    assert rows(found, "value", "unit") == [(7.0, None)]
+    assert landed.read_recent_airquality(spark, str(tmp_path), NOON).count() == 1
+
+
+def test_an_empty_folder_reads_as_no_rows(spark, tmp_path):
+    assert landed.read_airquality(spark, str(tmp_path)).count() == 0
+    assert landed.read_recent_airquality(spark, str(tmp_path), NOON).count() == 0
+
+
+def test_whole_numbers_may_be_written_as_floats(spark, tmp_path):
+    (tmp_path / "a.json").write_text('{"city": "SP-Santos", "winddirection": 262.0, "is_day": 1, "temperature": 20}')
+    found = landed.read_weather(spark, str(tmp_path))
+    assert rows(found, "winddirection", "is_day", "temperature") == [(262, 1, 20.0)]
+    assert dict(found.dtypes)["winddirection"] == "int"

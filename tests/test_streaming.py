@@ -101,11 +101,12 @@ def test_weather_lands_under_its_city(spark, tmp_path):
     assert landed.read_recent_landed_weather(spark, out, now + timedelta(days=2)).count() == 0
 
 
-def test_stream_then_recent_weather_job(spark, tmp_path):
+@pytest.mark.parametrize("by_city", [True, False])
+def test_stream_then_recent_weather_job(spark, tmp_path, by_city):
     lake = make_lake(tmp_path)
     put(tmp_path / "in", "a.txt", [weather("SP-Santos", i, v) for i, v in enumerate(SPIKE)])
     ingest.land_weather(source(spark, tmp_path / "in"), lake.raw_path("weather"),
-                        str(tmp_path / "mark"), ONCE).awaitTermination()
+                        str(tmp_path / "mark"), ONCE, by_city=by_city).awaitTermination()
     assert recent.detect_recent_weather(spark, lake, refresh.utc_now(), landed_by_stream=True)
     assert rows(load_refined(spark, lake, "weather_recent_anomalies"), "city", "temperature") == [("Santos", 90.0)]
 
@@ -175,10 +176,12 @@ def test_weather_responses_flatten(spark):
     from skygauge import schemas
     body = weather("x", 0, 20.0)
     body.pop("city")
+    body["winddirection"] = 90.0
     df = spark.createDataFrame(
         [(json.dumps({"current_weather": body, "city": "SP-Santos"}),), ('{"city": "SP-Bauru"}',)], "value string")
     found = payloads.flatten_weather(payloads.decode_json(df, "value", schemas.WEATHER_PAYLOAD))
     assert [json.loads(r.value) for r in payloads.encode_json(found).collect()] == [{**body, "city": "SP-Santos"}]
+    assert dict(found.dtypes)["winddirection"] == "int"
 
 
 @pytest.mark.parametrize("text", [
