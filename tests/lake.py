@@ -20,7 +20,7 @@ NOON = datetime(2025, 6, 8, 12, 0)
 
 
 def make_lake(root: Path) -> Lake:
-    cities = root / "cities.json"
+    cities = root / "city_table.json"
     cities.write_text(json.dumps(CITIES, ensure_ascii=False, indent=2), encoding="utf-8")
     return Lake(raw=str(root / "raw"), refined=str(root / "refined"), cities=str(cities))
 
