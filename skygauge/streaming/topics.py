@@ -16,7 +16,9 @@ FLUSH_ROWS = 100
 FLUSH_DELAY = "30s"
 
 
-def topic_options(servers: str, topic: str) -> dict[str, str]:
+def topic_options(
+    servers: str, topic: str, flush_rows: int = FLUSH_ROWS, flush_delay: str = FLUSH_DELAY
+) -> dict[str, str]:
     """Source options: from the earliest offset, small batches held back briefly.
 
     A batch starts at the row count or the delay, whichever comes first, and
@@ -26,14 +28,14 @@ def topic_options(servers: str, topic: str) -> dict[str, str]:
         "kafka.bootstrap.servers": servers,
         "subscribe": topic,
         "startingOffsets": "earliest",
-        "minOffsetsPerTrigger": str(FLUSH_ROWS),
-        "maxTriggerDelay": FLUSH_DELAY,
+        "minOffsetsPerTrigger": str(flush_rows),
+        "maxTriggerDelay": flush_delay,
     }
 
 
-def topic_source(spark: SparkSession, servers: str, topic: str) -> DataFrame:
+def topic_source(spark: SparkSession, servers: str, topic: str, **flush) -> DataFrame:
     """Messages of a topic as a stream with a ``value`` column."""
-    reader = spark.readStream.format("kafka").options(**topic_options(servers, topic))
+    reader = spark.readStream.format("kafka").options(**topic_options(servers, topic, **flush))
     return reader.load().select("value")
 
 

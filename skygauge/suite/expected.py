@@ -349,4 +349,8 @@ FROM closed WHERE until <= (SELECT max(timestamp) FROM readings) - INTERVAL 2 HO
 SELECT city, parameter, {stamp('since')} AS since, {stamp('until')} AS until,
        avg_value, std_value, readings
 FROM closed""",
+    "stream_redelivery": "SELECT event_id, round(value, 6) AS value FROM events",
+    "stream_recent_refresh": lake_air_scored(SINCE) + f", refined AS ({LAKE_AIR_ANOMALIES})" + f"""
+SELECT {SERVED_AIR_ANOMALY} FROM refined WHERE city = 'NATION_1'
+ORDER BY timestamp, {SERVED_AIR_ANOMALY} LIMIT 1000""",
 }

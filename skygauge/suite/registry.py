@@ -531,3 +531,26 @@ def sliding_window_stats(spark, sf_dir):
     readings = inputs.air_quality(spark, sf_dir).withColumn(
         "timestamp", F.col("timestamp").cast("timestamp"))
     return _off_halves(refresh.sliding_stats(readings, EVENT_READINGS))
+
+
+@query
+def stream_redelivery(spark, sf_dir):
+    """Every event delivered twice; each lands once."""
+    events = _event_stream(spark, sf_dir).withColumn("timestamp", F.col("ts").cast("timestamp"))
+    once = refresh.drop_redelivered(events.union(events), ["event_id"])
+    home = scratch_path(spark, "redelivery")
+    (once.writeStream.format("parquet").option("checkpointLocation", f"{home}/checkpoint")
+     .trigger(**ONCE).start(f"{home}/events").awaitTermination())
+    return plain(spark.read.schema(once.schema).parquet(f"{home}/events").select("event_id", "value"))
+
+
+@query
+def stream_recent_refresh(spark, sf_dir):
+    """The recent job run by arrivals, then served."""
+    lake = inputs.lake(spark, sf_dir, "airquality")
+    refresh.refresh_recent(
+        _event_stream(spark, sf_dir),
+        lambda as_of: recent.detect_recent_air_quality(spark, lake, as_of, RECENT),
+        scratch_path(spark, "refresh"), ONCE, clock=lambda: AS_OF,
+    ).awaitTermination()
+    return plain(serving.query_recent_air_quality_anomalies(spark, lake, city="NATION_1"))
