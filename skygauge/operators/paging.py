@@ -49,16 +49,15 @@ def page(
     return _ranked_page(df, offset, end, ties, one_slice_rows)
 
 
-def _touched(df: DataFrame, bucket: Column, offset: int, end: int):
+def _touched(counted: DataFrame, rows: int, offset: int, end: int):
     """Buckets of the time order that hold ranks ``offset + 1`` to ``end``.
 
     Returns the first and last such bucket as text (NULL times come last), whether
     NULL is among them, and the rank of the first row in them; None if there are
     no such rows.  Only one small row per bucket is ranked.
     """
-    counted = materialize(count_copies(df.select(bucket.alias("_bucket")), ["_bucket"]), "buckets")
     hits = select_ranks(
-        counted.table, counted.rows, [], [F.asc_nulls_last("_bucket")],
+        counted, rows, [], [F.asc_nulls_last("_bucket")],
         lambda total: [(F.lit(offset + 1), F.lit(end))],
     )
     span = hits.agg(
@@ -85,7 +84,9 @@ def days_of_page(df: DataFrame, limit: int, offset: int) -> tuple[DataFrame, int
     """
     if "obs_date" not in df.columns or limit <= 0 or offset < 0:
         return df, offset
-    span = _touched(df, F.col("obs_date"), offset, offset + limit)
+    counted = count_copies(df.select(F.col("obs_date").alias("_bucket")), ["_bucket"])
+    # The calendar itself bounds the days, so they are ranked without storing them.
+    span = _touched(counted, 0, offset, offset + limit)
     if span is None:
         return df.limit(0), 0
     since = until = None
@@ -97,7 +98,9 @@ def days_of_page(df: DataFrame, limit: int, offset: int) -> tuple[DataFrame, int
 
 
 def _ranked_page(df, offset, end, ties, one_slice_rows):
-    span = _touched(df, F.date_trunc("hour", "timestamp"), offset, end)
+    hours = df.select(F.date_trunc("hour", "timestamp").alias("_bucket"))
+    counted = materialize(count_copies(hours, ["_bucket"]), "hours")
+    span = _touched(counted.table, counted.rows, offset, end)
     if span is None:
         return df.limit(0)
     since = until = None

@@ -14,7 +14,7 @@ from skygauge.operators.refine import (
     refine_weather_anomalies,
 )
 from skygauge.sources.landed import read_airquality, read_cities, read_weather
-from skygauge.sources.tables import Lake, write_table
+from skygauge.sources.tables import Lake, parsed_once, write_table
 
 
 def detect_weather(spark: SparkSession, lake: Lake, **options) -> None:
@@ -24,8 +24,8 @@ def detect_weather(spark: SparkSession, lake: Lake, **options) -> None:
     stored anomalies, so the history is scored once.
     """
     raw = lake.raw_path("weather_anomalies")
-    history = read_weather(spark, lake.raw_path("weather"))
-    write_table(detect_anomalies(history, WEATHER, **options), raw)
+    with parsed_once(read_weather(spark, lake.raw_path("weather"))) as history:
+        write_table(detect_anomalies(history, WEATHER, **options), raw)
     refined = refine_weather_anomalies(
         spark.read.parquet(raw), read_cities(spark, lake.cities)
     )

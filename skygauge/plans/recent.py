@@ -16,7 +16,7 @@ from skygauge.sources.landed import (
     read_recent_weather_files,
     since_cutoff,
 )
-from skygauge.sources.tables import Lake, write_table
+from skygauge.sources.tables import Lake, parsed_once, write_table
 
 
 def detect_recent_weather(
@@ -33,11 +33,11 @@ def detect_recent_weather(
     whether anything was written.  ``as_of`` is in the session's time zone (UTC).
     """
     read = read_recent_landed_weather if landed_by_stream else read_recent_weather_files
-    recent = read(spark, lake.raw_path("weather"), as_of, lookback)
-    if recent.isEmpty():
-        return False
     raw = lake.raw_path("weather_recent_anomalies")
-    write_table(detect_anomalies(recent, WEATHER, **options), raw)
+    with parsed_once(read(spark, lake.raw_path("weather"), as_of, lookback)) as recent:
+        if recent.isEmpty():
+            return False
+        write_table(detect_anomalies(recent, WEATHER, **options), raw)
     refined = refine_weather_anomalies(
         spark.read.parquet(raw), read_cities(spark, lake.cities)
     )

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -57,6 +59,20 @@ def write_table(df: DataFrame, path: str, by_day: bool = False) -> None:
         df.write.mode("overwrite").parquet(path)
 
 
+@contextmanager
+def parsed_once(df: DataFrame) -> Iterator[DataFrame]:
+    """Keep the parsed rows of text files on executor disks while they are used.
+
+    The statistics and the scoring each read the facts; JSON is dear to parse
+    twice.  Rows of a lost executor are parsed again from the files.
+    """
+    kept = df.persist(StorageLevel.DISK_ONLY)
+    try:
+        yield kept
+    finally:
+        kept.unpersist()
+
+
 def load_refined(spark: SparkSession, lake: Lake, name: str) -> DataFrame:
     """One refined table by name."""
     return spark.read.parquet(lake.refined_path(name))
