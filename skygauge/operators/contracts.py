@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -54,20 +55,28 @@ def project(df: DataFrame, contract: Contract) -> DataFrame:
     return df.select(*contract.columns)
 
 
-def violations(contract: Contract) -> Column:
-    """Array of the rules a row breaks: ``<column> missing`` or ``not allowed``."""
-    reasons = [
-        F.when(F.col(c).isNull(), F.lit(f"{c} missing"))
+def rules(contract: Contract) -> dict[str, Column]:
+    """What breaks the contract: reason to condition, neither ever NULL."""
+    missing = {
+        f"{c} missing": F.col(c).isNull()
         for c in contract.columns if c not in contract.nullable
-    ] + [
-        F.when(~F.col(c).isin(*values), F.lit(f"{c} not allowed"))
+    }
+    outside = {
+        f"{c} not allowed": F.col(c).isNotNull() & ~F.col(c).isin(*values)
         for c, values in contract.allowed.items()
-    ]
-    return F.array_compact(F.array(*reasons))
+    }
+    return missing | outside
+
+
+def violations(contract: Contract) -> Column:
+    """Array of the reasons for which a row breaks the contract."""
+    return F.array_compact(F.array(*[
+        F.when(broken, F.lit(reason)) for reason, broken in rules(contract).items()
+    ]))
 
 
 def check_contract(df: DataFrame, contract: Contract) -> tuple[DataFrame, DataFrame]:
     """Split into (valid rows, quarantined rows with their ``violations``)."""
-    checked = df.withColumn("violations", violations(contract))
-    broken = F.size("violations") > 0
-    return checked.filter(~broken).drop("violations"), checked.filter(broken)
+    broken = reduce(Column.__or__, rules(contract).values())
+    quarantined = df.filter(broken).withColumn("violations", violations(contract))
+    return df.filter(~broken), quarantined
