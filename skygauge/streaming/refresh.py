@@ -15,6 +15,9 @@ from skygauge.operators.anomalies import Readings
 LOOKBACK_WINDOW = "2 hours"
 REFRESH_EVERY = "15 minutes"
 
+#: Tasks that share the repeats of one reading.
+REDELIVERY_PARTS = 16
+
 
 def utc_now() -> datetime:
     return datetime.now(timezone.utc).replace(tzinfo=None)
@@ -70,9 +73,23 @@ def sliding_stats(
 
 
 def drop_redelivered(
-    readings: DataFrame, keys: Sequence[str], lateness: str = LOOKBACK_WINDOW
+    readings: DataFrame,
+    keys: Sequence[str],
+    lateness: str = LOOKBACK_WINDOW,
+    parts: int = REDELIVERY_PARTS,
 ) -> DataFrame:
-    """Drop repeats of a key that arrive within ``lateness`` of each other."""
-    return readings.withWatermark("timestamp", lateness).dropDuplicatesWithinWatermark(
-        list(keys)
-    )
+    """Drop repeats of a key that arrive within ``lateness`` of each other.
+
+    Repeats are dropped within parts of the input first, so one reading delivered
+    very often is spread over ``parts`` tasks and leaves at most one row in each;
+    the second step then drops across parts.  ``parts=1`` does it in one step.
+    """
+    once = readings.withWatermark("timestamp", lateness)
+    if parts > 1:
+        part = F.pmod(F.spark_partition_id(), F.lit(parts))
+        once = (
+            once.withColumn("_part", part)
+            .dropDuplicatesWithinWatermark([*keys, "_part"])
+            .drop("_part")
+        )
+    return once.dropDuplicatesWithinWatermark(list(keys))

@@ -217,7 +217,8 @@ SELECT doc_id FROM documents
 WHERE (lang = 'en' AND upper(text[1]) BETWEEN 'A' AND 'H')
    OR (lang = 'fr' AND upper(text[1]) BETWEEN 'D' AND 'P')
    OR (lang = 'de' AND upper(text[1]) BETWEEN 'C' AND 'Z')""",
-    "city_file": f"WITH {CITY_KEYS} SELECT city, {COORDS} FROM cities",
+    "city_file_coordinates": f"WITH {AIR}" + f"""
+SELECT event_id, city, {COORDS} FROM air LEFT JOIN cities USING (city)""",
     # payloads and scalars
     "payload_explode": f"WITH {AIR}" + """,
 reported AS (

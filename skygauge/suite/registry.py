@@ -215,11 +215,13 @@ def letter_range_cities(spark, sf_dir):
 
 
 @query
-def city_file(spark, sf_dir):
-    """The city dimension written as one JSON object and read back."""
+def city_file_coordinates(spark, sf_dir):
+    """Every event located by the city dimension read from its JSON file."""
     path = scratch_path(spark, "cities")
     inputs.city_file(spark, sf_dir, path)
-    return plain(landed.read_cities(spark, path))
+    located = refine.add_coordinates(
+        inputs.air_quality(spark, sf_dir), landed.read_cities(spark, path))
+    return plain(located.select("event_id", "city", "lat", "long"))
 
 
 # --- payloads and scalars ------------------------------------------------------

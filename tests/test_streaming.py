@@ -150,14 +150,26 @@ def test_sliding_stats_close_behind_the_watermark(spark, tmp_path):
     assert found.filter("readings = 1").count() == 2
 
 
-def test_redelivered_readings_are_dropped(spark, tmp_path):
+@pytest.mark.parametrize("parts", [1, 16])
+def test_redelivered_readings_are_dropped(spark, tmp_path, parts):
     put(tmp_path / "in", "a.txt", [air(1.0), air(1.0), air(2.0, parameter="co")])
-    put(tmp_path / "in", "b.txt", [air(1.0)])
-    once = refresh.drop_redelivered(stamped(spark, tmp_path / "in"), ["city", "parameter", "timestamp"])
+    put(tmp_path / "in", "b.txt", [air(1.0)] * 50)
+    once = refresh.drop_redelivered(
+        stamped(spark, tmp_path / "in"), ["city", "parameter", "timestamp"], parts=parts)
     run_to_table(once, str(tmp_path / "out"), str(tmp_path / "mark"))
     assert rows(spark.read.parquet(str(tmp_path / "out")), "parameter", "value") == [("co", 2.0), ("o3", 1.0)]
 
 
+def test_redelivery_is_remembered_between_batches(spark, tmp_path):
+    out, mark = str(tmp_path / "out"), str(tmp_path / "mark")
+    for name, messages in (("a.txt", [air(1.0)]), ("b.txt", [air(1.0), air(5.0, "2025-06-08 12:10:00")])):
+        put(tmp_path / "in", name, messages)
+        once = refresh.drop_redelivered(
+            stamped(spark, tmp_path / "in"), ["city", "parameter", "timestamp"])
+        run_to_table(once, out, mark)
+    assert rows(spark.read.parquet(out), "value") == [(1.0,), (5.0,)]
+
+
 def test_responses_become_messages(spark):
     good = {"status": "ok", "city": "SP-Santos", "data": {
         "iaqi": {"pm25": {"v": 12.5}, "o3": {}}, "time": {"s": "2025-06-08 12:00:00"}}}
