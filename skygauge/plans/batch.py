@@ -25,7 +25,7 @@ def detect_weather(spark: SparkSession, lake: Lake, **options) -> None:
     """
     raw = lake.raw_path("weather_anomalies")
     with parsed_once(read_weather(spark, lake.raw_path("weather"))) as history:
-        write_table(detect_anomalies(history, WEATHER, **options), raw)
+        write_table(detect_anomalies(history, WEATHER, **options), raw, compact=True)
     refined = refine_weather_anomalies(
         spark.read.parquet(raw), read_cities(spark, lake.cities)
     )
@@ -36,7 +36,7 @@ def detect_air_quality(spark: SparkSession, lake: Lake, **options) -> None:
     """Write raw and refined air-quality anomalies of the whole history."""
     raw = lake.raw_path("airquality_anomalies")
     history = read_airquality(spark, lake.raw_path("airquality"))
-    write_table(detect_anomalies(history, AIR_QUALITY, **options), raw)
+    write_table(detect_anomalies(history, AIR_QUALITY, **options), raw, compact=True)
     refined = refine_air_quality_anomalies(
         spark.read.parquet(raw), read_cities(spark, lake.cities)
     )

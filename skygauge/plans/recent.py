@@ -37,7 +37,7 @@ def detect_recent_weather(
     with parsed_once(read(spark, lake.raw_path("weather"), as_of, lookback)) as recent:
         if recent.isEmpty():
             return False
-        write_table(detect_anomalies(recent, WEATHER, **options), raw)
+        write_table(detect_anomalies(recent, WEATHER, **options), raw, compact=True)
     refined = refine_weather_anomalies(
         spark.read.parquet(raw), read_cities(spark, lake.cities)
     )

@@ -43,12 +43,15 @@ class Lake:
         return f"{self.refined.rstrip('/')}/{REFINED_PATHS[name]}"
 
 
-def write_table(df: DataFrame, path: str, by_day: bool = False) -> None:
+def write_table(
+    df: DataFrame, path: str, by_day: bool = False, compact: bool = False
+) -> None:
     """Replace a Parquet table.
 
     ``by_day`` stores it in directories ``obs_date=...`` so that date ranges read
     only their days.  The rows are rebalanced by day first: small days share
-    tasks and large days are split, whatever their size.
+    tasks and large days are split, whatever their size.  ``compact`` rebalances
+    what few rows each scan task kept into files of the advisory size.
     """
     if by_day:
         dated = df.withColumn("obs_date", F.to_date("timestamp"))
@@ -56,7 +59,8 @@ def write_table(df: DataFrame, path: str, by_day: bool = False) -> None:
             "obs_date"
         ).parquet(path)
     else:
-        df.write.mode("overwrite").parquet(path)
+        rows = df.hint("rebalance") if compact else df
+        rows.write.mode("overwrite").parquet(path)
 
 
 @contextmanager

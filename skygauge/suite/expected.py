@@ -317,6 +317,21 @@ FROM air ORDER BY air.timestamp, event_id LIMIT 10""",
     # stored jobs
     "job_batch_airquality": lake_air_scored() + LAKE_AIR_ANOMALIES,
     "job_batch_weather": weather_scored() + LAKE_WEATHER_ANOMALIES,
+    "job_batch_then_query_airquality": (
+        "WITH" + LAKE_AIR + """,
+known AS (SELECT * FROM air WHERE parameter IN ('pm25', 'pm10', 'no2', 'o3')),
+band AS (
+  SELECT * FROM known
+  WHERE value BETWEEN (SELECT quantile_disc(value, 0.05) FROM known)
+                  AND (SELECT quantile_disc(value, 0.95) FROM known))"""
+        + scored("band", "value", AIR_KEYS) + f", refined AS ({LAKE_AIR_ANOMALIES})" + f"""
+SELECT {SERVED_AIR_ANOMALY} FROM refined WHERE timestamp <= '2024-01-25 00:00:00.000000'
+ORDER BY timestamp, {SERVED_AIR_ANOMALY} LIMIT 200 OFFSET 5"""),
+    "job_batch_then_query_weather": (
+        weather_scored() + f", refined AS ({LAKE_WEATHER_ANOMALIES})" + f"""
+SELECT {SERVED_WEATHER_ANOMALY} FROM refined
+WHERE uf = 'AFRICA' AND timestamp >= '2024-01-10 00:00:00.000000'
+ORDER BY timestamp, {SERVED_WEATHER_ANOMALY} LIMIT 200"""),
     "job_recent_airquality": lake_air_scored(SINCE) + f", refined AS ({LAKE_AIR_ANOMALIES})" + f"""
 SELECT {SERVED_AIR_ANOMALY} FROM refined WHERE uf = 'ASIA'
 ORDER BY timestamp, {SERVED_AIR_ANOMALY} LIMIT 1000""",

@@ -447,6 +447,22 @@ def job_batch_weather(spark, sf_dir):
     return plain(tables.load_refined(spark, lake, "weather_anomalies"))
 
 
+@query
+def job_batch_then_query_airquality(spark, sf_dir):
+    lake = inputs.lake(spark, sf_dir, "airquality")
+    batch.detect_air_quality(spark, lake, relative_error=0.0)
+    return plain(serving.query_air_quality_anomalies(
+        spark, lake, limit=200, offset=5, date_to="2024-01-25"))
+
+
+@query
+def job_batch_then_query_weather(spark, sf_dir):
+    lake = inputs.lake(spark, sf_dir, "weather")
+    batch.detect_weather(spark, lake, method="sketch")
+    return plain(serving.query_weather_anomalies(
+        spark, lake, limit=200, date_from="2024-01-10", uf="africa"))
+
+
 @query
 def job_recent_airquality(spark, sf_dir):
     lake = inputs.lake(spark, sf_dir, "airquality")
