@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from skygauge.operators import anomalies
 from skygauge.session import build_session
 from skygauge.suite import QUERIES
-from skygauge.suite.inputs import EVENT_READINGS, PARAMETERS, air_quality, cities
+from skygauge.suite.inputs import EVENT_READINGS, PARAMETERS, air_quality
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")

@@ -13,6 +13,7 @@ from skygauge.operators.refine import (
     refine_weather,
     refine_weather_anomalies,
 )
+from skygauge.session import scratch_of
 from skygauge.sources.landed import read_airquality, read_cities, read_weather
 from skygauge.sources.tables import Lake, parsed_once, write_table
 
@@ -24,7 +25,8 @@ def detect_weather(spark: SparkSession, lake: Lake, **options) -> None:
     stored anomalies, so the history is scored once.
     """
     raw = lake.raw_path("weather_anomalies")
-    with parsed_once(read_weather(spark, lake.raw_path("weather"))) as history:
+    history = read_weather(spark, lake.raw_path("weather"))
+    with scratch_of(lake.job("detect-weather")), parsed_once(history) as history:
         write_table(detect_anomalies(history, WEATHER, **options), raw, compact=True)
     refined = refine_weather_anomalies(
         spark.read.parquet(raw), read_cities(spark, lake.cities)
@@ -36,7 +38,8 @@ def detect_air_quality(spark: SparkSession, lake: Lake, **options) -> None:
     """Write raw and refined air-quality anomalies of the whole history."""
     raw = lake.raw_path("airquality_anomalies")
     history = read_airquality(spark, lake.raw_path("airquality"))
-    write_table(detect_anomalies(history, AIR_QUALITY, **options), raw, compact=True)
+    with scratch_of(lake.job("detect-airquality")):
+        write_table(detect_anomalies(history, AIR_QUALITY, **options), raw, compact=True)
     refined = refine_air_quality_anomalies(
         spark.read.parquet(raw), read_cities(spark, lake.cities)
     )

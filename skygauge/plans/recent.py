@@ -8,6 +8,7 @@ from pyspark.sql import SparkSession
 
 from skygauge.operators.anomalies import AIR_QUALITY, WEATHER, detect_anomalies
 from skygauge.operators.refine import refine_air_quality_anomalies, refine_weather_anomalies
+from skygauge.session import scratch_of
 from skygauge.sources.landed import (
     LOOKBACK,
     read_cities,
@@ -34,7 +35,8 @@ def detect_recent_weather(
     """
     read = read_recent_landed_weather if landed_by_stream else read_recent_weather_files
     raw = lake.raw_path("weather_recent_anomalies")
-    with parsed_once(read(spark, lake.raw_path("weather"), as_of, lookback)) as recent:
+    recent = read(spark, lake.raw_path("weather"), as_of, lookback)
+    with scratch_of(lake.job("recent-weather")), parsed_once(recent) as recent:
         if recent.isEmpty():
             return False
         write_table(detect_anomalies(recent, WEATHER, **options), raw, compact=True)
@@ -57,7 +59,8 @@ def detect_recent_air_quality(
         read_recent_airquality(spark, lake.raw_path("airquality"), as_of, lookback),
         as_of, lookback,
     )
-    refined = refine_air_quality_anomalies(
-        detect_anomalies(recent, AIR_QUALITY, **options), read_cities(spark, lake.cities)
-    )
-    write_table(refined, lake.refined_path("airquality_recent_anomalies"))
+    with scratch_of(lake.job("recent-airquality")):
+        refined = refine_air_quality_anomalies(
+            detect_anomalies(recent, AIR_QUALITY, **options), read_cities(spark, lake.cities)
+        )
+        write_table(refined, lake.refined_path("airquality_recent_anomalies"))

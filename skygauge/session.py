@@ -4,7 +4,11 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from dataclasses import dataclass
+from itertools import count
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -25,6 +29,8 @@ SESSION_SETTINGS = {
 
 _LOCAL_SCRATCH = "skygauge.local.scratch"
 
+_job: ContextVar[tuple[str, Iterator[int]] | None] = ContextVar("job", default=None)
+
 
 def build_session(app_name: str = "skygauge", **extra: str) -> SparkSession:
     """Return a session with the library's settings; ``extra`` overrides them.
@@ -73,18 +79,35 @@ def materialize(df: DataFrame, label: str, **measures: Column) -> Stored:
 
     The stored copy survives lost executors and fixes values that a recomputation
     could change.  Rows and any further ``measures`` (aggregate columns) are
-    observed by the write itself.  Retention of the folder follows the cluster's
-    policy for checkpoint files.
+    observed by the write itself.
     """
     spark = df.sparkSession
     path = scratch_path(spark, label)
     seen = Observation(label)
     named = [column.alias(name) for name, column in measures.items()]
-    df.observe(seen, F.count(F.lit(1)).alias("rows"), *named).write.parquet(path)
+    df.observe(seen, F.count(F.lit(1)).alias("rows"), *named).write.mode("overwrite").parquet(path)
     found = dict(seen.get)
     return Stored(spark.read.schema(df.schema).parquet(path), found.pop("rows"), found)
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A new path under the shared folder."""
-    return f"{scratch_root(spark).rstrip('/')}/skygauge/{label}-{uuid.uuid4().hex}"
+    """A path under the shared folder: new, or the job's own (see ``scratch_of``)."""
+    root, job = f"{scratch_root(spark).rstrip('/')}/skygauge", _job.get()
+    if job is None:
+        return f"{root}/{label}-{uuid.uuid4().hex}"
+    name, numbers = job
+    return f"{root}/{name}/{next(numbers)}-{label}"
+
+
+@contextmanager
+def scratch_of(job: str) -> Iterator[None]:
+    """Keep a job's intermediate tables under its own name.
+
+    The next run of the job replaces them, so repeated runs do not add up.  What
+    the job computes must be written before the block ends.
+    """
+    token = _job.set((job, count()))
+    try:
+        yield
+    finally:
+        _job.reset(token)

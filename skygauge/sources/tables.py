@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass
@@ -42,6 +43,11 @@ class Lake:
     def refined_path(self, name: str) -> str:
         return f"{self.refined.rstrip('/')}/{REFINED_PATHS[name]}"
 
+    def job(self, name: str) -> str:
+        """Name of a job on this lake, for its intermediate tables."""
+        zones = f"{self.raw} {self.refined}".encode()
+        return f"{name}-{hashlib.sha256(zones).hexdigest()[:16]}"
+
 
 def write_table(
     df: DataFrame, path: str, by_day: bool = False, compact: bool = False

@@ -184,6 +184,9 @@ SELECT event_id, round(q1, 6) AS "Q1", round(q3, 6) AS "Q3", round(iqr, 6) AS "I
     "anomalies_weather": weather_scored() + WEATHER_ANOMALIES,
     "anomalies_dedup_first": air_scored() + """
 SELECT event_id, round(z, 6) AS aqi_z_score, anomaly_level, flag AS is_iqr_anomaly
+FROM found""",
+    "anomalies_drop_nonfinite": air_scored("event_id % 50 <> 0 AND event_id % 51 <> 0") + """
+SELECT event_id, round(z, 6) AS aqi_z_score, anomaly_level, flag AS is_iqr_anomaly
 FROM found""",
     "recent_anomalies": air_scored(SINCE) + AIR_ANOMALIES,
     "recent_anomalies_weather": weather_scored(SINCE) + WEATHER_ANOMALIES,

@@ -135,6 +135,15 @@ def anomalies_dedup_first(spark, sf_dir):
     return plain(found.select("event_id", "aqi_z_score", "anomaly_level", "is_iqr_anomaly"))
 
 
+@query
+def anomalies_drop_nonfinite(spark, sf_dir):
+    spoiled = inputs.air_quality(spark, sf_dir).withColumn(
+        "value", F.when(F.pmod("event_id", F.lit(50)) == 0, F.lit(float("inf")))
+        .when(F.pmod("event_id", F.lit(51)) == 0, F.lit(float("nan"))).otherwise(F.col("value")))
+    found = anomalies.detect_anomalies(spoiled, EVENT_READINGS, drop_nonfinite=True)
+    return plain(found.select("event_id", "aqi_z_score", "anomaly_level", "is_iqr_anomaly"))
+
+
 @query
 def recent_anomalies(spark, sf_dir):
     recent = landed.since_cutoff(inputs.air_quality(spark, sf_dir), AS_OF, RECENT)

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import functools
 import math
 from datetime import datetime, timedelta
 from statistics import mean, stdev
 
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skygauge.operators import anomalies as an
@@ -207,3 +211,20 @@ def test_window_form_gives_the_same_scores(spark):
         F.expr("percentile_disc(0.25) WITHIN GROUP (ORDER BY value)").over(entity).alias("q1"))
     scored = an.score(facts, an.baseline(facts, AIR_QUALITY), AIR_QUALITY)
     assert rows(windowed) == rows(scored.select("value", F.round("aqi_z_score", 6), "Q1"))
+
+
+VALUES = st.lists(
+    st.one_of(st.none(), st.just(float("nan")), st.integers(-30, 30).map(float), st.just(500.0)),
+    min_size=1, max_size=40)
+
+
+@settings(max_examples=6, deadline=None, derandomize=True, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.dictionaries(st.sampled_from(["SP-Santos", "SP-Campinas", "RJ-Niterói"]), VALUES, min_size=1))
+def test_random_groups_match_definition(spark, groups):
+    """Each city by itself, whatever else is scored with it."""
+    parts = [readings(spark, values, city=city) for city, values in groups.items()]
+    df = functools.reduce(DataFrame.union, parts)
+    found = an.detect_anomalies(df, AIR_QUALITY)
+    for city, values in groups.items():
+        real = [v for v in values if v is not None and not math.isnan(v)]
+        assert outcome(found.filter(F.col("city") == city)) == (brute_force(values) if real else [])

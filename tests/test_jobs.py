@@ -2,16 +2,17 @@
 
 from __future__ import annotations
 
-import json
-from datetime import datetime, timedelta
+from datetime import timedelta
+from pathlib import Path
 
 import pytest
 
 from skygauge.operators import contracts as ct
 from skygauge.plans import batch, recent, serving
+from skygauge.session import scratch_root
 from skygauge.sources.tables import load_refined
 from tests.conftest import rows
-from tests.lake import NOON, fill, make_lake, put_airquality, put_weather
+from tests.lake import NOON, fill, make_lake, put_airquality
 
 
 @pytest.fixture(scope="module")
@@ -136,3 +137,15 @@ def test_non_finite_numbers_are_cleaned_for_serving(spark, tmp_path):
     served = serving.query_air_quality_anomalies(spark, lake).collect()
     assert [(r.value, r.std_value, r.aqi_z_score, r.anomaly_level) for r in served] == [
         (1.0, 0.0, 0.0, "extrema"), (2.0, 0.0, 0.0, "extrema"), (None, 0.0, 0.0, "extrema")]
+
+
+def test_repeated_runs_do_not_add_up_scratch(spark, tmp_path):
+    lake = make_lake(tmp_path)
+    fill(lake)
+    folder = Path(scratch_root(spark)) / "skygauge" / lake.job("recent-airquality")
+    seen = []
+    for _ in range(3):
+        recent.detect_recent_air_quality(spark, lake, NOON + timedelta(hours=2))
+        seen.append(sorted(p.name for p in folder.iterdir()))
+        assert load_refined(spark, lake, "airquality_recent_anomalies").count() == 1
+    assert seen[0] == seen[1] == seen[2] == ["0-grouped"]
