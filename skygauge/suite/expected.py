@@ -1,4 +1,9 @@
-"""SQL equivalents of the registered queries, over the same tables."""
+"""SQL equivalents of the registered queries, over the same tables.
+
+A mean of 32 two-decimal readings ends in a half of the sixth place.  Computed
+numbers are moved off it before rounding, here and in the registry, so that the
+order of a sum cannot decide the last digit.
+"""
 
 from __future__ import annotations
 
@@ -73,8 +78,8 @@ COORDS = "round(lat, 6) AS lat, round(long, 6) AS long"
 AIR_ANOMALIES = f"""
 SELECT event_id, {PLACE}, parameter, round(value, 6) AS value, unit,
        {stamp('timestamp')} AS timestamp, source,
-       round(mean, 6) AS avg_value, round(coalesce(sd, 0), 6) AS std_value,
-       round(coalesce(z, 0), 6) AS aqi_z_score, anomaly_level,
+       round(mean + 1e-9, 6) AS avg_value, round(coalesce(sd, 0) + 1e-9, 6) AS std_value,
+       round(coalesce(z, 0) + 1e-9, 6) AS aqi_z_score, anomaly_level,
        round(q1, 6) AS "Q1", round(q3, 6) AS "Q3", round(iqr, 6) AS "IQR",
        flag AS is_iqr_anomaly, {COORDS}
 FROM found LEFT JOIN cities USING (city)"""
@@ -83,7 +88,7 @@ WEATHER_ANOMALIES = f"""
 SELECT event_id, {PLACE}, time, interval, is_day, round(temperature, 6) AS temperature,
        weathercode, winddirection, round(windspeed, 6) AS windspeed,
        {stamp('timestamp')} AS timestamp, hr AS hour,
-       round(mean, 6) AS avg_temp, round(sd, 6) AS std_temp, round(z, 6) AS temp_z_score,
+       round(mean + 1e-9, 6) AS avg_temp, round(sd + 1e-9, 6) AS std_temp, round(z + 1e-9, 6) AS temp_z_score,
        anomaly_level, round(q1, 6) AS "Q1", round(q3, 6) AS "Q3", round(iqr, 6) AS "IQR",
        flag AS is_iqr_anomaly, {COORDS}
 FROM found LEFT JOIN cities USING (city)"""
@@ -155,7 +160,7 @@ LAKE_WEATHER_ANOMALIES = WEATHER_ANOMALIES.replace("SELECT event_id,", "SELECT")
 EXPECTED_SQL = {
     # statistics and scores
     "hourly_stats": air_scored() + """
-SELECT city, parameter, hr AS hour, round(mean, 6) AS avg_value, round(sd, 6) AS std_value
+SELECT city, parameter, hr AS hour, round(mean + 1e-9, 6) AS avg_value, round(sd + 1e-9, 6) AS std_value
 FROM stats""",
     "quartile_stats": air_scored() + """
 SELECT city, parameter, round(q1, 6) AS "Q1", round(q3, 6) AS "Q3" FROM quarts""",
@@ -175,7 +180,7 @@ WHERE value BETWEEN (SELECT quantile_disc(value, 0.05) FROM numbers)
                 AND (SELECT quantile_disc(value, 0.95) FROM numbers)""",
     "pollutant_filter": f"WITH {AIR} SELECT event_id, parameter FROM air WHERE {SCORED_TYPES}",
     "zscore_severity": air_scored() + """
-SELECT event_id, round(z, 6) AS aqi_z_score, anomaly_level FROM levelled""",
+SELECT event_id, round(z + 1e-9, 6) AS aqi_z_score, anomaly_level FROM levelled""",
     "iqr_flags": air_scored() + """
 SELECT event_id, round(q1, 6) AS "Q1", round(q3, 6) AS "Q3", round(iqr, 6) AS "IQR",
        flag AS is_iqr_anomaly FROM scored""",
@@ -183,10 +188,10 @@ SELECT event_id, round(q1, 6) AS "Q1", round(q3, 6) AS "Q3", round(iqr, 6) AS "I
     "anomalies_airquality": air_scored() + AIR_ANOMALIES,
     "anomalies_weather": weather_scored() + WEATHER_ANOMALIES,
     "anomalies_dedup_first": air_scored() + """
-SELECT event_id, round(z, 6) AS aqi_z_score, anomaly_level, flag AS is_iqr_anomaly
+SELECT event_id, round(z + 1e-9, 6) AS aqi_z_score, anomaly_level, flag AS is_iqr_anomaly
 FROM found""",
     "anomalies_drop_nonfinite": air_scored("event_id % 50 <> 0 AND event_id % 51 <> 0") + """
-SELECT event_id, round(z, 6) AS aqi_z_score, anomaly_level, flag AS is_iqr_anomaly
+SELECT event_id, round(z + 1e-9, 6) AS aqi_z_score, anomaly_level, flag AS is_iqr_anomaly
 FROM found""",
     "recent_anomalies": air_scored(SINCE) + AIR_ANOMALIES,
     "recent_anomalies_weather": weather_scored(SINCE) + WEATHER_ANOMALIES,
