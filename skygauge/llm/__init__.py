@@ -1 +1,8 @@
 """Operators of a training-data pipeline; nothing else in the library imports them."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# Tasks get these functions by value, so executors need no copy of the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

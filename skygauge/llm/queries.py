@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skygauge.llm import lines, quality
+from skygauge.llm import decontaminate, lines, mixing, ngram_join, quality
 from skygauge.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -23,7 +23,8 @@ def query(build: Query) -> Query:
 @query
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the lines that like lines elsewhere repeat."""
-    return lines.dedup_lines(documents(spark, sf_dir))
+    found = lines.dedup_lines(documents(spark, sf_dir).select("doc_id", "text"))
+    return found.select("doc_id", "text", "line_dedup.n_lines", "line_dedup.n_removed")
 
 
 @query
@@ -33,3 +34,23 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select(
         "doc_id", "quality.n_words", "quality.word_chars", "quality.n_symbols", "quality.n_dup_lines",
         "quality.n_repeat_words", "quality.base_failed", quality.kept().alias("kept"))
+
+
+@query
+def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Component of every document by word 3-grams, Jaccard 0.9 or more."""
+    found = ngram_join.ngram_components(documents(spark, sf_dir), size=3, percent=90)
+    return found.select("doc_id", "n_shingles", "component_id")
+
+
+@query
+def op9_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that the mix takes of every document."""
+    return mixing.mix(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query
+def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of a document and a benchmark item that it holds."""
+    found = decontaminate.contaminated(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return found.select("doc_id", "item_id", "question_overlap", "answer_overlap")
