@@ -185,3 +185,13 @@ def judge(docs: DataFrame, rules: Sequence[Rule] | None = None,
 def kept() -> Column:
     """Whether a judged row stays."""
     return ~F.col("quality.base_failed") & F.col("quality.rejected_by").isNull()
+
+
+def good(docs: DataFrame, rules: Sequence[Rule] | None = None) -> DataFrame:
+    """The rows of ``docs`` that stay, with the columns of ``docs``.
+
+    A filter is moved below the measures, which are then computed once more for each
+    time that the verdict names them, unless it reads something like a partition id.
+    """
+    judged = judge(docs, rules).withColumn("judged_at", F.spark_partition_id())
+    return judged.filter(kept() & (F.col("judged_at") >= 0)).select(*[F.col(f"`{c}`") for c in docs.columns])
