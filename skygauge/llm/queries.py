@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skygauge.llm import decontaminate, lines, mixing, ngram_join, quality
+from skygauge.llm import chat, decontaminate, html, lines, mixing, ngram_join, quality, urls
 from skygauge.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -54,3 +54,24 @@ def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     """Pairs of a document and a benchmark item that it holds."""
     found = decontaminate.contaminated(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
     return found.select("doc_id", "item_id", "question_overlap", "answer_overlap")
+
+
+@query
+def op5_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict of every page's url."""
+    return urls.judge_urls(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
+@query
+def op6_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digest of every conversation, read back from its formatted examples."""
+    table = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text")
+    says = "</s>[INST] ok [/INST]"
+    more = spark.createDataFrame([(-7, 0, "user", says), (-7, 1, "assistant", says)], table.schema)
+    return chat.read_back(chat.examples(table.union(more)))
+
+
+@query
+def op8_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return html.extract(spark.read.parquet(f"{sf_dir}/pages.parquet"))
