@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skygauge.llm import chat, decontaminate, html, lines, mixing, ngram_join, quality, urls
+from skygauge.llm import (
+    chat, decontaminate, html, language_model, lines, mixing, ngram_join, quality, toxicity, urls)
 from skygauge.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -75,3 +76,18 @@ def op6_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of every page."""
     return html.extract(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
+@query
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document."""
+    return toxicity.toxicity(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+@query
+def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log10 probability of every document, by counts and by the model."""
+    docs = documents(spark, sf_dir)
+    found = language_model.score(docs, ~toxicity.held_out(F.col("doc_id"), 1))
+    return found.select("doc_id", (~F.col("trained")).alias("held_out"), "n_tokens", "n_known", "train_tokens",
+                        "base_score", "score")
