@@ -5,10 +5,11 @@ a decay for every letter that a subsequence spans.  Letters put in between there
 weaken a match but do not end it, and other characters are passed over; letters that
 stand alone ("i d i o t") are read as one word.
 
-Landmarks are words that tell toxic labelled documents from others.  A sentence is
-the largest kernel of its words with each landmark; the inverse root of the
-landmarks' own kernel turns these into Nyström features, on which a linear machine
-is trained with hinge loss.  A text scores as its worst sentence, on a logistic scale
+Landmarks are words, or beginnings of words that are inflected, which tell toxic
+labelled documents from others.  A sentence is the largest kernel of its words with
+each landmark, as a share of the landmark's kernel with itself; the inverse root of
+the landmarks' own kernel turns these into Nyström features, on which a linear
+machine is trained with hinge loss.  A text scores as its worst sentence, on a logistic scale
 fitted to the labelled documents.
 """
 
@@ -29,9 +30,11 @@ from skygauge.llm.common import slices, stored, whole
 LABELLED_DOCS = 20_000
 LANDMARKS = 64
 #: Letters that a subsequence may span, and the decay of each beyond the third.
-SPAN, DECAY = 7, 0.6
-#: Kernels below this count as zero, so most words need no further look.
-FLOOR = 0.35
+SPAN, DECAY = 7, 0.8
+#: Shares below this count as zero, so most words need no further look.
+FLOOR = 0.55
+#: Letters of a beginning of a word that may be a landmark.
+STEM = range(4, 13)
 #: Longer words are read in overlapping pieces of this many letters.
 PIECE = 32
 #: Words that a task remembers.
@@ -65,10 +68,7 @@ def subsequences(codes: list[int]) -> dict[int, float]:
 
 
 def kernel(x: dict[int, float], y: dict[int, float]) -> float:
-    """Normalised kernel of two words."""
-    dot = sum(v * y[k] for k, v in x.items() if k in y)
-    own = sum(v * v for v in x.values()) * sum(v * v for v in y.values())
-    return dot / own ** 0.5 if own else 0.0
+    return sum(v * y[k] for k, v in x.items() if k in y)
 
 
 @dataclass
@@ -77,7 +77,7 @@ class Landmarks:
 
     def __post_init__(self):
         self.maps = [subsequences(letters(w)) for w in self.words]
-        norms = [sum(v * v for v in m.values()) ** 0.5 for m in self.maps]
+        norms = [kernel(m, m) for m in self.maps]
         self.table = np.zeros((_BASE ** 3, max(1, len(self.words))), np.float32)
         for k, (m, norm) in enumerate(zip(self.maps, norms, strict=True)):
             for key, v in m.items():
@@ -85,7 +85,7 @@ class Landmarks:
         self.most = self.table.max(axis=1)
 
     def features(self, words: list[str]) -> dict[int, np.ndarray]:
-        """Kernel above the floor with every landmark, of the words (by place) that have one."""
+        """Share of every landmark's kernel, of the words (by place) that have one above the floor."""
         by_length: dict[int, tuple[list[int], list[list[int]]]] = {}
         for place, word in enumerate(words):
             codes = letters(word)
@@ -99,19 +99,15 @@ class Landmarks:
         for n, (at, rows) in by_length.items():
             codes = np.array(rows, dtype=np.int64)
             bound = np.zeros(len(rows), np.float32)
-            least = 0.0  # of the square of a word's own norm, at this length
             for a, b in _OFFSETS:
                 if b < n:
                     keys = (codes[:, : n - b] * _BASE + codes[:, a: n - b + a]) * _BASE + codes[:, b:]
                     bound += self.most[keys].sum(axis=1) * DECAY ** (b - 2)
-                    least += (n - b) * DECAY ** (2 * (b - 2))
-            for i in np.flatnonzero(bound >= FLOOR * least ** 0.5).tolist():
+            for i in np.flatnonzero(bound >= FLOOR).tolist():
                 own = subsequences(rows[i])
-                norm = sum(v * v for v in own.values()) ** 0.5
-                keys = np.fromiter(own, np.int64)
-                dots = np.fromiter(own.values(), np.float32) @ self.table[keys] / norm
-                if dots.max() >= FLOOR:
-                    f = np.where(dots >= FLOOR, dots - FLOOR, 0).astype(np.float32)
+                shares = np.fromiter(own.values(), np.float32) @ self.table[np.fromiter(own, np.int64)]
+                if shares.max() >= FLOOR:
+                    f = np.where(shares >= FLOOR, np.minimum(shares, 1), 0).astype(np.float32)
                     found[at[i]] = np.maximum(found.get(at[i], 0), f)
         return found
 
@@ -166,28 +162,33 @@ class Model:
         return self.bias + max(0.0, float((rows @ self.weights).max())) if len(rows) else self.bias
 
     def score(self, margin: float) -> float:
-        return float(1 / (1 + np.exp(-np.clip(self.slope * margin + self.shift, -30, 30))))
+        sure = max(-1.0, min(1.0, margin))
+        return float(1 / (1 + np.exp(-np.clip(self.slope * sure + self.shift, -30, 30))))
 
 
-def train_svm(x: np.ndarray, y: np.ndarray, own: np.ndarray, rounds: int = 400) -> tuple[np.ndarray, float]:
-    """Weights on kernels and bias of a linear machine on Nyström features; y is -1 or 1."""
-    values, vectors = np.linalg.eigh(own + 1e-3 * np.eye(len(own)))
-    root = vectors @ np.diag(np.maximum(values, 1e-3) ** -0.5) @ vectors.T
-    z = x @ root
-    balance = np.where(y > 0, 0.5 / max(1, (y > 0).sum()), 0.5 / max(1, (y < 0).sum()))
-    w, b, regular = np.zeros(z.shape[1]), -0.1, 1e-3
-    for step in range(rounds):
-        wrong = y * (z @ w + b) < 1
-        g = balance * y * wrong
-        rate = 2.0 / (1 + 0.05 * step)
-        w += rate * (z.T @ g - regular * w)
-        b += rate * 0.1 * g.sum()
-    return root @ w, float(b)
+def train_svm(x: np.ndarray, y: np.ndarray, own: np.ndarray, each: np.ndarray,
+              rounds: int = 1500) -> tuple[np.ndarray, float]:
+    """Weights on kernels and bias of a linear machine on Nyström features.
+
+    y is -1 or 1, ``each`` the number of sentences that a row stands for.  Hinge loss
+    by subgradients whose steps shrink with what they have summed to.
+    """
+    values, vectors = np.linalg.eigh(own + 1e-2 * np.eye(len(own)))
+    root = vectors @ np.diag(np.maximum(values, 1e-2) ** -0.5) @ vectors.T
+    z = np.concatenate([x @ root, np.ones((len(x), 1))], axis=1)
+    share = each / each.sum()
+    w, squares = np.zeros(z.shape[1]), np.full(z.shape[1], 1e-8)
+    for _ in range(rounds):
+        wrong = y * (z @ w) < 1
+        g = -(z.T @ (share * y * wrong)) + 1e-5 * w
+        squares += g * g
+        w -= 0.3 * g / np.sqrt(squares)
+    return root @ w[:-1], float(w[-1])
 
 
 def fit_scale(margins: np.ndarray, y: np.ndarray, rounds: int = 60) -> tuple[float, float]:
-    """Slope and shift of a logistic scale (Newton's method, slightly regularised)."""
-    x = np.stack([margins, np.ones_like(margins)], axis=1)
+    """Slope and shift of a logistic scale of margins in [-1, 1] (Newton's method)."""
+    x = np.stack([np.clip(margins, -1, 1), np.ones_like(margins)], axis=1)
     t = np.array([1.0, 0.0])
     for _ in range(rounds):
         p = 1 / (1 + np.exp(-np.clip(x @ t, -30, 30)))
@@ -202,12 +203,16 @@ def choose_landmarks(sample: DataFrame, count: int = LANDMARKS) -> list[str]:
     words = sample.select("toxic", F.explode(F.array_distinct(F.split(F.lower("text"), r"\s+"))).alias("word")).select(
         "toxic", clean.alias("word")).filter((F.length("word") >= 3) & (F.length("word") <= PIECE))
     marked = words.groupBy("word").agg(F.sum("toxic").alias("bad"), F.sum(1 - F.col("toxic")).alias("fair"))
-    best = marked.filter("bad >= 3 AND bad >= 4 * fair").orderBy(F.desc("bad"), "fair", "word").limit(20 * count)
+    stems = marked.select("bad", "fair", F.explode(F.array_distinct(F.transform(
+        F.array(*[F.lit(k) for k in STEM]), lambda k: F.substring("word", F.lit(1), k)))).alias("word"))
+    best = stems.filter(F.length("word") >= STEM[0]).groupBy("word").agg(
+        F.sum("bad").alias("bad"), F.sum("fair").alias("fair")).filter("bad >= 3 AND bad >= 9 * fair").orderBy(
+        F.desc("bad"), "fair", F.desc(F.length("word")), "word").limit(20 * count)
     chosen: list[str] = []
     maps: list[dict[int, float]] = []
     for row in best.collect():
         own = subsequences(letters(row["word"]))
-        if own and all(kernel(own, m) < 0.85 for m in maps):
+        if own and all(kernel(own, m) < 0.8 * min(kernel(m, m), kernel(own, own)) for m in maps):
             chosen.append(row["word"])
             maps.append(own)
         if len(chosen) == count:
@@ -243,12 +248,13 @@ def fit(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED_DOCS) -> Mo
     bags = [np.array(r, np.float32).reshape(-1, len(landmarks)) for r in table["rows"].to_pylist()]
     y = np.array(table["toxic"].to_pylist(), dtype=np.float64)
     # Sentences with features, by their document's label; clean documents add one without.
-    x = np.concatenate([*bags, np.zeros((int((y == 0).sum()), len(landmarks)), np.float32)])
-    signs = np.concatenate([*(np.full(len(b), 2 * t - 1) for b, t in zip(bags, y, strict=True)),
-                            np.full(int((y == 0).sum()), -1.0)])
+    x = np.concatenate([*bags, np.zeros((1, len(landmarks)), np.float32)])
+    signs = np.concatenate([*(np.full(len(b), 2 * t - 1) for b, t in zip(bags, y, strict=True)), [-1.0]])
+    each = np.ones(len(x))
+    each[-1] = max(1, (y == 0).sum())
     maps = Landmarks(landmarks).maps
-    own = np.array([[kernel(p, q) for q in maps] for p in maps])
-    weights, bias = train_svm(x.astype(np.float64), signs, own)
+    own = np.array([[kernel(p, q) / (kernel(p, p) * kernel(q, q)) ** 0.5 for q in maps] for p in maps])
+    weights, bias = train_svm(x.astype(np.float64), signs, own, each)
     model = Model(landmarks, weights.astype(np.float32), bias)
     model.slope, model.shift = fit_scale(np.array([model.margin(b) for b in bags]), y)
     return model
