@@ -19,6 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -31,6 +32,8 @@ from skygauge.llm.components import connected_components
 COUNT_BITS = 18
 #: Prefix shingles of a group that look for a pivot in the first round.
 PIVOT_SHINGLES = 3
+#: Parts of the hash range whose counts bound what two sets can share.
+RANGES = 64
 
 
 def _texts(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray]]]:
@@ -56,6 +59,11 @@ def _signature(found: np.ndarray) -> bytes:
         return bytes(np.array([found.sum(), mixed.sum()], dtype=np.uint64).data) + len(found).to_bytes(4, "big")
 
 
+def _group_id(size: int, head: np.ndarray) -> int:
+    """64 bits for a prefix and a set size."""
+    return int.from_bytes(xxhash.xxh3_64_digest(head.tobytes(), seed=size), "big", signed=True)
+
+
 def shingle_counts(texts: DataFrame, size: int) -> np.ndarray:
     """Documents by leading bits of their shingles' hashes, over all documents."""
     def count(batches):
@@ -76,9 +84,9 @@ def shingle_counts(texts: DataFrame, size: int) -> np.ndarray:
 
 
 def document_sets(texts: DataFrame, size: int, percent: int) -> DataFrame:
-    """doc_id, txt, n (set size), cls (the set), grp (prefix and size), prefix of each row.
+    """doc_id, txt, n (set size), cls (the set), grp (prefix and size), prefix, spread of each row.
 
-    cls, grp and prefix are null without words.
+    spread counts the set by ranges of the hash.  cls and grp are null without words.
     """
     counts = texts.sparkSession.sparkContext.broadcast(shingle_counts(texts, size))
 
@@ -94,12 +102,15 @@ def document_sets(texts: DataFrame, size: int, percent: int) -> DataFrame:
                 batch.column(batch.schema.get_field_index("txt")),
                 pa.array([len(s) for s in sets], pa.int64()),
                 pa.array([_signature(s) if len(s) else None for s in sets], pa.binary()),
-                pa.array([_signature(h) + len(s).to_bytes(4, "big") if len(s) else None
-                          for s, h in zip(sets, heads, strict=True)], pa.binary()),
+                pa.array([_group_id(len(s), h) if len(s) else None for s, h in zip(sets, heads, strict=True)],
+                         pa.int64()),
                 _lists(heads, pa.int64()),
-            ], ["doc_id", "txt", "n", "cls", "grp", "prefix"])
+                pa.array([np.bincount((s >> np.uint64(58)).astype(np.int64), minlength=RANGES).tolist()
+                          for s in sets], pa.list_(pa.int32())),
+            ], ["doc_id", "txt", "n", "cls", "grp", "prefix", "spread"])
 
-    return texts.mapInArrow(prefixes, "doc_id long, txt long, n long, cls binary, grp binary, prefix array<long>")
+    return texts.mapInArrow(prefixes, "doc_id long, txt long, n long, cls binary, grp long, prefix array<long>, "
+                            "spread array<int>")
 
 
 def class_sets(texts: DataFrame, size: int) -> DataFrame:
@@ -120,10 +131,17 @@ def _sizes_fit(a: str, b: str, percent: int):
 def verified(pairs: DataFrame, classes: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
     """The pairs (a, b) of classes whose whole sets are alike.
 
-    Sets are made again from one text of each class that is in a pair.
+    What two sets can share is at most the sum of the lesser counts over the ranges
+    of the hash, which rules out most pairs.  The sets of the rest are made again from
+    one text of each class.
     """
-    held = stored(pairs.filter(F.col("a") != F.col("b")).select(
-        F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "set-pairs")
+    seen = stored(pairs.filter(F.col("a") != F.col("b")).select(
+        F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "set-candidates").table
+    left = classes.select(F.col("cls").alias("a"), F.col("n").alias("m"), F.col("spread").alias("x"))
+    right = classes.select(F.col("cls").alias("b"), F.col("n").alias("k"), F.col("spread").alias("y"))
+    most = F.aggregate(F.zip_with("x", "y", lambda c, d: F.least(c, d)), F.lit(0), lambda total, c: total + c)
+    held = stored(seen.join(left, "a").join(right, "b").filter(
+        (100 + percent) * most >= percent * (F.col("m") + F.col("k"))).select("a", "b"), "set-pairs")
     ends = held.table.select(F.col("a").alias("cls")).union(held.table.select("b")).distinct()
     wanted = measured(ends.join(classes.select("cls", "doc_id"), "cls"), "wanted-sets")
     ids = lookup(wanted).select("doc_id").distinct()
@@ -202,7 +220,8 @@ def ngram_components(docs: DataFrame, size: int = 5, percent: int = 80) -> DataF
     rows = stored(document_sets(texts, size, percent), "doc-sets").table
     named = rows.filter("cls IS NOT NULL")
     classes = stored(named.groupBy("cls").agg(
-        F.min("doc_id").alias("doc_id"), F.min("grp").alias("grp"), F.min("n").alias("n")), "classes").table
+        F.min("doc_id").alias("doc_id"), F.min("grp").alias("grp"), F.min("n").alias("n"),
+        F.first("spread").alias("spread")), "classes").table
     groups = named.select("grp", "n", "prefix").dropDuplicates(["grp"])
     index = stored(groups.select("grp", "n", F.posexplode("prefix").alias("pos", "token")), "prefixes").table
     near = stored(verified(_pivot_pairs(classes, index, percent), classes, texts, size, percent), "pivots")
