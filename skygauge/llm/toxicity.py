@@ -103,12 +103,19 @@ class Landmarks:
                 if b < n:
                     keys = (codes[:, : n - b] * _BASE + codes[:, a: n - b + a]) * _BASE + codes[:, b:]
                     bound += self.most[keys].sum(axis=1) * DECAY ** (b - 2)
-            for i in np.flatnonzero(bound >= FLOOR).tolist():
-                own = subsequences(rows[i])
-                shares = np.fromiter(own.values(), np.float32) @ self.table[np.fromiter(own, np.int64)]
-                if shares.max() >= FLOOR:
-                    f = np.where(shares >= FLOOR, np.minimum(shares, 1), 0).astype(np.float32)
-                    found[at[i]] = np.maximum(found.get(at[i], 0), f)
+            likely = np.flatnonzero(bound >= FLOOR)
+            for begin in range(0, len(likely), 1024):
+                some = likely[begin: begin + 1024]
+                shares = np.zeros((len(some), self.table.shape[1]), np.float32)
+                for a, b in _OFFSETS:
+                    if b < n:
+                        keys = (codes[some, : n - b] * _BASE + codes[some, a: n - b + a]) * _BASE + codes[some, b:]
+                        for k in range(n - b):
+                            shares += self.table[keys[:, k]] * np.float32(DECAY ** (b - 2))
+                for i in np.flatnonzero(shares.max(axis=1) >= FLOOR).tolist():
+                    f = np.where(shares[i] >= FLOOR, np.minimum(shares[i], 1), 0).astype(np.float32)
+                    place = at[some[i]]
+                    found[place] = np.maximum(found.get(place, 0), f)
         return found
 
 
@@ -118,14 +125,16 @@ class Reader:
     def __init__(self, landmarks: Landmarks):
         self.landmarks = landmarks
         self.seen: dict[str, np.ndarray | None] = {}
+        self.active: set[str] = set()
 
     def _learn(self, words: set[str]) -> None:
         fresh = [w for w in words if w not in self.seen]
         if len(self.seen) + len(fresh) > REMEMBERED:
-            self.seen = {}
+            self.seen, self.active = {}, set()
             fresh = list(words)
         found = self.landmarks.features(fresh)
         self.seen.update((w, found.get(i)) for i, w in enumerate(fresh))
+        self.active.update(fresh[i] for i in found)
 
     def sentences(self, texts: list[str]) -> Iterator[np.ndarray]:
         """For each text the features of its sentences that have any (rows; none: no rows)."""
@@ -134,7 +143,7 @@ class Reader:
         split = [t.split() for t in lowered]
         self._learn(set().union(*split, *merged))
         seen, width = self.seen, self.landmarks.table.shape[1]
-        active = {w for w in set().union(*split, *merged) if seen[w] is not None}
+        active = self.active
         for text, words, joined in zip(lowered, split, merged, strict=True):
             if active.isdisjoint(words) and active.isdisjoint(joined):
                 yield np.zeros((0, width), np.float32)
