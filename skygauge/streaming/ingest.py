@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from skygauge import schemas
@@ -92,8 +93,9 @@ def land_weather(
 
 
 def land_unreadable(
-    messages: DataFrame, path: str, checkpoint: str, trigger: dict | None = None
+    messages: DataFrame, path: str, checkpoint: str, trigger: dict | None = None,
+    schema: T.StructType = schemas.WEATHER,
 ) -> StreamingQuery:
-    """Stream the messages that are not JSON to text files."""
-    rows = unreadable(decode_json(messages.select("value"), "value", schemas.WEATHER))
+    """Stream the messages that do not read by their topic's ``schema`` to text files."""
+    rows = unreadable(decode_json(messages.select("value"), "value", schema))
     return _start(rows, path, checkpoint, "text", [], trigger)
