@@ -8,7 +8,7 @@ positions, and only members of pairs of groups that pass are verified on whole s
 
 Only components are asked for, so pairs already joined need no look.  A first round
 verifies each class against one pivot of its group and each group against one pivot
-of its rarest prefix shingles; a second round compares what different components
+of its prefix shingles; a second round compares what different components
 still share.  Every link between different components is verified, whatever the
 number of documents that share a shingle.
 """
@@ -84,18 +84,22 @@ def shingle_counts(texts: DataFrame, size: int) -> np.ndarray:
 
 
 def document_sets(texts: DataFrame, size: int, percent: int) -> DataFrame:
-    """doc_id, txt, n (set size), cls (the set), grp (prefix and size), prefix, spread of each row.
+    """doc_id, txt, n (set size), cls (the set), grp (prefix and size), prefix, spread, core of each row.
 
-    spread counts the set by ranges of the hash.  cls and grp are null without words.
+    spread counts the set by ranges of the hash; core is the mean log of its shingles'
+    counts, highest for the text that most copies were made from.  cls and grp are
+    null without words.
     """
     counts = texts.sparkSession.sparkContext.broadcast(shingle_counts(texts, size))
 
     def prefixes(batches):
         table = counts.value
         for batch, sets in _texts(batches, size):
-            heads = []
+            heads, cores = [], []
             for s in sets:
-                order = np.lexsort((s, table[(s >> np.uint64(64 - COUNT_BITS)).astype(np.int64)]))
+                found = table[(s >> np.uint64(64 - COUNT_BITS)).astype(np.int64)]
+                cores.append(float(np.log(found).mean()) if len(s) else None)
+                order = np.lexsort((s, found))
                 heads.append(s[order[: len(s) - (percent * len(s) + 99) // 100 + 1]] if len(s) else s)
             yield pa.RecordBatch.from_arrays([
                 batch.column(batch.schema.get_field_index("doc_id")),
@@ -107,10 +111,11 @@ def document_sets(texts: DataFrame, size: int, percent: int) -> DataFrame:
                 _lists(heads, pa.int64()),
                 pa.array([np.bincount((s >> np.uint64(58)).astype(np.int64), minlength=RANGES).tolist()
                           for s in sets], pa.list_(pa.int32())),
-            ], ["doc_id", "txt", "n", "cls", "grp", "prefix", "spread"])
+                pa.array(cores, pa.float64()),
+            ], ["doc_id", "txt", "n", "cls", "grp", "prefix", "spread", "core"])
 
     return texts.mapInArrow(prefixes, "doc_id long, txt long, n long, cls binary, grp long, prefix array<long>, "
-                            "spread array<int>")
+                            "spread array<int>, core double")
 
 
 def class_sets(texts: DataFrame, size: int) -> DataFrame:
@@ -158,20 +163,27 @@ def verified(pairs: DataFrame, classes: DataFrame, texts: DataFrame, size: int,
 
 
 def _pivot_pairs(classes: DataFrame, index: DataFrame, percent: int) -> DataFrame:
-    """Each class with its group's least class; each group with its rare shingles' least group."""
-    first = classes.groupBy("grp").agg(F.min("cls").alias("lead"), F.min("n").alias("n"))
-    within = classes.join(first.select("grp", "lead"), "grp").filter("cls != lead").select(
+    """Each class with its group's lead; each group with pivots of its prefix shingles.
+
+    The lead of a group and the pivot of a shingle are those of highest core: copies that
+    were edited apart are often like their common origin only.  A group
+    meets the pivots of its rarest shingles and the one of highest core among all its pivots.
+    """
+    top = F.struct("core", "cls")
+    first = classes.groupBy("grp").agg(F.max(top).alias("top")).select("grp", F.col("top.cls").alias("lead"))
+    within = classes.join(first, "grp").filter("cls != lead").select(
         F.col("lead").alias("a"), F.col("cls").alias("b"))
-    heads = index.filter(F.col("pos") < PIVOT_SHINGLES)
-    pivots = heads.groupBy("token").agg(
-        F.min("grp").alias("pivot"), F.min_by("n", "grp").alias("m"), F.count(F.lit(1)).alias("k")
-    ).filter("k > 1").drop("k")
-    across = heads.join(pivots, "token").filter(
-        (F.col("grp") != F.col("pivot")) & _sizes_fit("n", "m", percent)).select("grp", "pivot").distinct()
-    leads = first.select("grp", "lead")
+    pivots = index.groupBy("token").agg(
+        F.max(F.struct("core", F.col("grp").alias("pivot"), F.col("n").alias("m"))).alias("best"),
+        F.count(F.lit(1)).alias("k")).filter("k > 1").select("token", "best")
+    met = index.join(pivots, "token").filter(
+        (F.col("grp") != F.col("best.pivot")) & _sizes_fit("n", "best.m", percent)).groupBy("grp").agg(
+        F.max("best").alias("best"),
+        F.collect_set(F.when(F.col("pos") < PIVOT_SHINGLES, F.col("best.pivot"))).alias("near"))
+    across = met.select("grp", F.explode(F.array_union("near", F.array("best.pivot"))).alias("pivot"))
     return within.union(
-        across.join(leads, "grp").withColumnRenamed("lead", "b")
-        .join(leads.select(F.col("grp").alias("pivot"), F.col("lead").alias("a")), "pivot").select("a", "b"))
+        across.join(first, "grp").withColumnRenamed("lead", "b")
+        .join(first.select(F.col("grp").alias("pivot"), F.col("lead").alias("a")), "pivot").select("a", "b"))
 
 
 def _cross_pairs(classes: DataFrame, index: DataFrame, parts: DataFrame, percent: int) -> DataFrame:
@@ -221,9 +233,10 @@ def ngram_components(docs: DataFrame, size: int = 5, percent: int = 80) -> DataF
     named = rows.filter("cls IS NOT NULL")
     classes = stored(named.groupBy("cls").agg(
         F.min("doc_id").alias("doc_id"), F.min("grp").alias("grp"), F.min("n").alias("n"),
-        F.first("spread").alias("spread")), "classes").table
-    groups = named.select("grp", "n", "prefix").dropDuplicates(["grp"])
-    index = stored(groups.select("grp", "n", F.posexplode("prefix").alias("pos", "token")), "prefixes").table
+        F.first("spread").alias("spread"), F.min("core").alias("core")), "classes").table
+    groups = named.groupBy("grp").agg(F.min("n").alias("n"), F.first("prefix").alias("prefix"),
+                                      F.max("core").alias("core"))
+    index = stored(groups.select("grp", "n", "core", F.posexplode("prefix").alias("pos", "token")), "prefixes").table
     near = stored(verified(_pivot_pairs(classes, index, percent), classes, texts, size, percent), "pivots")
     parts = connected_components(near.table, "a", "b")
     rest = stored(verified(_cross_pairs(classes, index, parts, percent), classes, texts, size, percent), "cross")
