@@ -162,6 +162,20 @@ def verified(pairs: DataFrame, classes: DataFrame, texts: DataFrame, size: int,
                        ).select("a", "b")
 
 
+def shared_prefixes(named: DataFrame) -> DataFrame:
+    """grp, token, n, pos, core: the prefix shingles that several groups have.
+
+    Rare shingles come first, so most of a prefix is in one group only and joins
+    nothing.  What is left is a small part of all prefixes, so that only
+    (shingle, group) pairs are shuffled whole, combined in the map tasks.
+    """
+    every = named.select("grp", "n", "core", F.posexplode("prefix").alias("pos", "token"))
+    several = measured(every.groupBy("token").agg(F.min("grp").alias("lo"), F.max("grp").alias("hi"))
+                       .filter("lo < hi").select("token"), "shared-shingles")
+    return every.join(lookup(several), "token", "left_semi").groupBy("grp", "token").agg(
+        F.min("n").alias("n"), F.min("pos").alias("pos"), F.max("core").alias("core"))
+
+
 def _pivot_pairs(classes: DataFrame, index: DataFrame, percent: int) -> DataFrame:
     """Each class with its group's lead; each group with pivots of its prefix shingles.
 
@@ -174,8 +188,7 @@ def _pivot_pairs(classes: DataFrame, index: DataFrame, percent: int) -> DataFram
     within = classes.join(first, "grp").filter("cls != lead").select(
         F.col("lead").alias("a"), F.col("cls").alias("b"))
     pivots = index.groupBy("token").agg(
-        F.max(F.struct("core", F.col("grp").alias("pivot"), F.col("n").alias("m"))).alias("best"),
-        F.count(F.lit(1)).alias("k")).filter("k > 1").select("token", "best")
+        F.max(F.struct("core", F.col("grp").alias("pivot"), F.col("n").alias("m"))).alias("best"))
     met = index.join(pivots, "token").filter(
         (F.col("grp") != F.col("best.pivot")) & _sizes_fit("n", "best.m", percent)).groupBy("grp").agg(
         F.max("best").alias("best"),
@@ -234,9 +247,7 @@ def ngram_components(docs: DataFrame, size: int = 5, percent: int = 80) -> DataF
     classes = stored(named.groupBy("cls").agg(
         F.min("doc_id").alias("doc_id"), F.min("grp").alias("grp"), F.min("n").alias("n"),
         F.first("spread").alias("spread"), F.min("core").alias("core")), "classes").table
-    groups = named.groupBy("grp").agg(F.min("n").alias("n"), F.first("prefix").alias("prefix"),
-                                      F.max("core").alias("core"))
-    index = stored(groups.select("grp", "n", "core", F.posexplode("prefix").alias("pos", "token")), "prefixes").table
+    index = stored(shared_prefixes(named), "prefixes").table
     near = stored(verified(_pivot_pairs(classes, index, percent), classes, texts, size, percent), "pivots")
     parts = connected_components(near.table, "a", "b")
     rest = stored(verified(_cross_pairs(classes, index, parts, percent), classes, texts, size, percent), "cross")
