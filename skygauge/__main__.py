@@ -5,6 +5,7 @@ from __future__ import annotations
 import argparse
 from datetime import datetime
 
+from skygauge import schemas
 from skygauge.plans import batch, recent
 from skygauge.session import build_session
 from skygauge.sources.landed import LOOKBACK
@@ -22,8 +23,8 @@ RECENT = {
     "recent-airquality": recent.detect_recent_air_quality,
 }
 LANDING = {
-    "land-weather": ("weather", ingest.land_weather),
-    "land-airquality": ("airquality", ingest.land_air_quality),
+    "land-weather": ("weather", ingest.land_weather, schemas.WEATHER),
+    "land-airquality": ("airquality", ingest.land_air_quality, schemas.AIR_QUALITY_MESSAGE),
 }
 
 
@@ -42,6 +43,17 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     return parser.parse_args(argv)
 
 
+def start_landing(job: str, messages, lake: Lake, checkpoint: str, trigger: dict | None = None) -> list:
+    """Start the landing of a topic, and of the messages that it rejects beside it."""
+    topic, land, schema = LANDING[job]
+    trigger = trigger or topics.WHEN_FLUSHED
+    return [
+        land(messages, lake.raw_path(topic), f"{checkpoint}/{topic}", trigger),
+        ingest.land_unreadable(
+            messages, lake.raw_path(f"{topic}_rejected"), f"{checkpoint}/{topic}_rejected", trigger, schema),
+    ]
+
+
 def run(spark, args: argparse.Namespace) -> None:
     lake = Lake(args.raw, args.refined, args.cities)
     if args.job in BATCH:
@@ -51,9 +63,9 @@ def run(spark, args: argparse.Namespace) -> None:
         layout = {"landed_by_stream": True} if streamed else {}
         RECENT[args.job](spark, lake, args.as_of or utc_now(), args.lookback, **layout)
     else:
-        topic, land = LANDING[args.job]
-        messages = topics.topic_source(spark, args.servers, topic)
-        land(messages, lake.raw_path(topic), args.checkpoint).awaitTermination()
+        start_landing(args.job, topics.topic_source(spark, args.servers, LANDING[args.job][0]), lake,
+                      args.checkpoint)
+        spark.streams.awaitAnyTermination()
 
 
 if __name__ == "__main__":

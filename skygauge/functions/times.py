@@ -12,15 +12,43 @@ DISPLAY_DATE = "dd-MM-yyyy"
 FILE_TIME = "yyyyMMdd-HHmmss"
 FILE_TIME_PATTERN = r"/(\d{8}-\d{6})\.json$"
 
+_CLOCK_ONLY = r"^\s*T?\d{1,2}:"
+
 
 def event_time(when: Column) -> Column:
-    """Timestamp of a string or timestamp column; NULL where it cannot be read."""
-    return F.try_to_timestamp(when)
+    """Timestamp of a string or timestamp column; NULL where it cannot be read.
+
+    A time of day without a date is not read: it would mean another day at each run.
+    """
+    return F.when(~when.cast("string").rlike(_CLOCK_ONLY), F.try_to_timestamp(when))
+
+
+def _iso(text: Column) -> Column:
+    """ISO text of a compact date, with its time of day if there is one; other text as it is."""
+    day = F.regexp_replace(text, r"^(\d{4})(\d{2})(\d{2})(?=$|[T ])", "$1-$2-$3")
+    minutes = F.regexp_replace(day, r"^(\S{10}[T ]\d{2})(\d{2})(?=$|\d{2}$)", "$1:$2")
+    return F.regexp_replace(minutes, r"^(\S{10}[T ]\d{2}:\d{2})(\d{2})$", "$1:$2")
+
+
+def _numeric(text: Column, order: str) -> Column:
+    """ISO text of a date written as two numbers and a year, which ``order`` arranges."""
+    return F.regexp_replace(text, r"^(\d{2})-(\d{2})-(\d{4})(?=$|[T ])", order)
 
 
 def landing_time(when: Column, ingested: Column) -> Column:
-    """Wall-clock event time of a message, or its ingestion time if unreadable."""
-    return F.coalesce(event_time(when), ingested).cast("timestamp_ntz")
+    """Wall-clock event time of a message, or its ingestion time if unreadable.
+
+    Read are ISO, then ``yyyyMMdd``, then ``MM-dd-yyyy``, then ``dd-MM-yyyy``, each
+    with or without a time of day.  A bare time of day is unreadable.
+    """
+    text = when.cast("string")
+    return F.coalesce(
+        event_time(when),
+        event_time(_iso(text)),
+        event_time(_numeric(text, "$3-$1-$2")),
+        event_time(_numeric(text, "$3-$2-$1")),
+        ingested,
+    ).cast("timestamp_ntz")
 
 
 def file_name_time(path: Column) -> Column:
@@ -44,11 +72,9 @@ def to_day(text: Column) -> Column:
 
     The time of day and any offset are dropped, not converted.
     """
-    iso_day = F.regexp_extract(text, r"^(\d{4}-\d{2}-\d{2})(?:[T ].*)?$", 1)
-    compact_day = F.regexp_extract(text, r"^(\d{8})(?:[T ].*)?$", 1)
+    day = F.regexp_extract(_iso(text), r"^(\d{4}-\d{2}-\d{2})(?:[T ].*)?$", 1)
     return F.coalesce(
-        F.when(event_time(text).isNotNull(), F.try_to_date(iso_day, "yyyy-MM-dd")),
-        F.try_to_date(compact_day, "yyyyMMdd"),
+        F.when(event_time(_iso(text)).isNotNull(), F.try_to_date(day, "yyyy-MM-dd")),
         F.try_to_date(text, DISPLAY_DATE),
     ).cast("timestamp_ntz")
 

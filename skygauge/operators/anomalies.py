@@ -7,6 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from skygauge.functions.scoring import iqr_outlier, severity, z_score
 from skygauge.functions.times import event_time
@@ -55,9 +56,10 @@ def pollutant_filter(df: DataFrame, parameters: Sequence[str] = SCORED_PARAMETER
 
 def with_hour(df: DataFrame, kind: Readings) -> DataFrame:
     """Add the parsed ``timestamp`` and its hour of day."""
-    return df.withColumn("timestamp", event_time(F.col(kind.time))).withColumn(
-        "hour", F.hour("timestamp")
-    )
+    when = F.col(kind.time)
+    text = isinstance(df.schema[kind.time].dataType, T.StringType)
+    moment = event_time(when) if text else F.try_to_timestamp(when)
+    return df.withColumn("timestamp", moment).withColumn("hour", F.hour("timestamp"))
 
 
 def hourly_stats(df: DataFrame, kind: Readings) -> DataFrame:

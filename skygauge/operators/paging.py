@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from skygauge.functions.times import day_bound
 from skygauge.operators.ranks import FIRST, LAST, WEIGHT, count_copies, select_ranks
@@ -43,12 +44,21 @@ def page(
         raise ValueError("limit and offset must not be negative")
     if limit == 0:
         return df.limit(0)
+    df = positive_zeros(df)
     end = offset + limit
     if end <= (TOP_K_ROWS if top_k_rows is None else top_k_rows):
         return by_time(df, ties).offset(offset).limit(limit)
     return _ranked_page(df, offset, end, ties, one_slice_rows)
 
 
+def positive_zeros(df: DataFrame) -> DataFrame:
+    """0.0 for -0.0, as grouping makes it, so that every way to a page gives one value."""
+    floating = (T.DoubleType, T.FloatType)
+    return df.select(*[
+        (F.col(f"`{f.name}`") + F.lit(0.0).cast(f.dataType)).alias(f.name)
+        if isinstance(f.dataType, floating) else F.col(f"`{f.name}`") for f in df.schema.fields])
+
+
 def _touched(counted: DataFrame, rows: int, offset: int, end: int):
     """Buckets of the time order that hold ranks ``offset + 1`` to ``end``.
 

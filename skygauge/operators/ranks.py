@@ -20,6 +20,8 @@ from skygauge.session import materialize
 
 #: Up to this many counted rows in all are ranked without slicing.
 ONE_SLICE_ROWS = 1_000_000
+#: Slices at most; beyond as many times ``ONE_SLICE_ROWS`` rows slices grow.
+MOST_SLICES = 20_000
 
 WEIGHT, FIRST, LAST, TOTAL = "_weight", "_first", "_last", "_total"
 _SLICE, _ROWS, _BEFORE = "_slice", "_rows", "_before"
@@ -76,7 +78,8 @@ def select_ranks(
     else:
         # Stored again so that a row's slice number cannot change between uses.
         slices = materialize(
-            counted.repartitionByRange(*[F.col(c) for c in group], *order)
+            counted.repartitionByRange(
+                min(MOST_SLICES, -(-rows // max(1, bound))), *[F.col(c) for c in group], *order)
             .withColumn(_SLICE, F.spark_partition_id()),
             "sliced",
         ).table

@@ -16,6 +16,8 @@ from skygauge.functions.times import event_time, file_name_time
 # Fixed value: how far the recent jobs look back, in seconds.
 LOOKBACK = 7200
 
+_REJECTED = "_rejected"
+
 #: Weather as its JSON is parsed; the stream also says when it was ingested.
 WEATHER_JSON = schemas.lenient(schemas.WEATHER)
 LANDED_WEATHER_JSON = T.StructType(
@@ -85,7 +87,33 @@ def read_weather(spark: SparkSession, root: str) -> DataFrame:
 
 
 def _weather_files(spark: SparkSession, root: str) -> DataFrame:
-    return spark.read.schema(WEATHER_JSON).option("recursiveFileLookup", "true").json(root)
+    return readable_lines(_weather_lines(spark, root, WEATHER_JSON, recursiveFileLookup="true"))
+
+
+def _weather_lines(spark: SparkSession, root: str, schema: T.StructType, **options: str) -> DataFrame:
+    """Landed lines; ``_rejected`` holds a line that is no JSON object of ``schema``."""
+    marked = T.StructType([*schema.fields, T.StructField(_REJECTED, T.StringType())])
+    return spark.read.schema(marked).options(
+        mode="PERMISSIVE", columnNameOfCorruptRecord=_REJECTED, **options).json(root)
+
+
+def readable_lines(lines: DataFrame) -> DataFrame:
+    """The rows of the lines that could be read."""
+    return lines.filter(_judged_whole(lines)).filter(F.col(_REJECTED).isNull()).drop(_REJECTED)
+
+
+def _judged_whole(lines: DataFrame) -> Column:
+    """Always true, of all fields: the parser looks only at the fields that a query names,
+    and a line must not be readable for one query and rejected for another."""
+    fields = [c for c in WEATHER_JSON.names if c in lines.columns]
+    return F.xxhash64(*fields) >= F.lit(-(1 << 63))
+
+
+def rejected_weather(spark: SparkSession, root: str) -> DataFrame:
+    """The landed lines that the reads leave out, with their file, to be counted or set aside."""
+    lines = _weather_lines(spark, root, WEATHER_JSON, recursiveFileLookup="true")
+    found = lines.filter(_judged_whole(lines)).filter(F.col(_REJECTED).isNotNull())
+    return found.select(F.col("_metadata.file_path").alias("file"), F.col(_REJECTED).alias("line"))
 
 
 def read_recent_weather_files(
@@ -108,7 +136,7 @@ def read_recent_landed_weather(
     """The same for the stream's layout: by ingestion date, then ingestion time."""
     cutoff = as_of - timedelta(seconds=lookback)
     recent = (
-        spark.read.schema(LANDED_WEATHER_JSON).json(root)
+        readable_lines(_weather_lines(spark, root, LANDED_WEATHER_JSON))
         .filter(F.col("ingest_date") >= F.lit(str(cutoff.date())).cast("date"))
         .filter(F.col("ingest_ts") >= F.lit(str(cutoff)).cast("timestamp"))
     )
@@ -116,9 +144,18 @@ def read_recent_landed_weather(
 
 
 def read_cities(spark: SparkSession, path: str) -> DataFrame:
-    """City dimension from a JSON object of coordinates by city."""
+    """City dimension from a JSON object of coordinates by city.
+
+    A file that is no such object, or an empty one, fails the query that reads it; a file
+    of no bytes is skipped by the reader and gives no city.
+    Of a city that is listed again the last entry counts.
+    """
+    found = F.from_json("value", schemas.CITY_FILE, {"mode": "FAILFAST"})
+    cities = F.when(F.size(found) > 0, found).otherwise(
+        F.raise_error(F.lit("the city file holds no city")))
     return (
         spark.read.text(path, wholetext=True)
-        .select(F.explode(F.from_json("value", schemas.CITY_FILE)).alias("city", "_at"))
+        .select(F.posexplode(cities).alias("_pos", "city", "_at"))
+        .groupBy("city").agg(F.max_by("_at", "_pos").alias("_at"))
         .select("city", F.col("_at.lat").alias("lat"), F.col("_at.lon").alias("long"))
     )

@@ -15,6 +15,9 @@ TOPICS = ("airquality", "weather")
 FLUSH_ROWS = 100
 FLUSH_DELAY = "30s"
 
+#: Trigger of a query on a topic: whenever the source's options let a batch start.
+WHEN_FLUSHED = {"processingTime": "0 seconds"}
+
 
 def topic_options(
     servers: str, topic: str, flush_rows: int = FLUSH_ROWS, flush_delay: str = FLUSH_DELAY

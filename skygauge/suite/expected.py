@@ -254,7 +254,7 @@ SELECT '{"event_id":' || event_id || ',"city":"' || city || '","parameter":"' ||
        || '}' AS value
 FROM air""",
     "json_validity": MIXED + """
-SELECT origin, json_valid(value) AS valid, count(*) AS n FROM mixed GROUP BY ALL""",
+SELECT origin, value, json_valid(value) AS valid FROM mixed""",
     "slugify_documents": """
 SELECT doc_id, trim(regexp_replace(regexp_replace(
          translate(lower(text), ' àáâãäåèéêëìíîïòóôõöùúûüñç', '-aaaaaaeeeeiiiiooooouuuunc'),
@@ -272,13 +272,17 @@ FROM written""",
 SELECT o_orderkey,
        CASE kind WHEN 0 THEN {stamp("date_trunc('day', o_orderdate)::TIMESTAMP")}
                  WHEN 1 THEN strftime(o_orderdate, '%Y-%m-%d 15:30:00.000000') END AS parsed
-FROM written WHERE kind IN (0, 1, 5)""",
+FROM written""",
     "landing_times": WRITTEN + f"""
 SELECT o_orderkey,
        CASE kind WHEN 0 THEN {stamp("date_trunc('day', o_orderdate)::TIMESTAMP")}
                  WHEN 1 THEN strftime(o_orderdate, '%Y-%m-%d 15:30:00.000000')
+                 WHEN 2 THEN CASE WHEN day(o_orderdate) <= 12
+                                  THEN strftime(o_orderdate, '%Y-%d-%m 00:00:00.000000')
+                                  ELSE strftime(o_orderdate, '%Y-%m-%d 00:00:00.000000') END
+                 WHEN 3 THEN strftime(o_orderdate, '%Y-%m-%d 00:00:00.000000')
                  ELSE '2025-01-01 00:00:00.000000' END AS landed
-FROM written WHERE kind IN (0, 1, 5)""",
+FROM written""",
     "date_partitions": """
 SELECT l_orderkey, l_linenumber, date_part('year', l_shipdate) AS year,
        strftime(l_shipdate, '%m') AS month, strftime(l_shipdate, '%d') AS day

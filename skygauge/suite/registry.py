@@ -282,8 +282,8 @@ def message_encode(spark, sf_dir):
 
 @query
 def json_validity(spark, sf_dir):
-    return plain(_mixed_messages(spark, sf_dir).groupBy(
-        "origin", sf.is_json(F.col("value")).alias("valid")).agg(F.count("*").alias("n")))
+    return plain(_mixed_messages(spark, sf_dir).select(
+        "origin", "value", sf.is_json(F.col("value")).alias("valid")))
 
 
 @query
@@ -323,16 +323,14 @@ def day_bounds(spark, sf_dir):
 
 @query
 def event_times(spark, sf_dir):
-    iso = F.pmod("o_orderkey", F.lit(6)).isin(0, 1, 5)
-    return plain(_written_dates(spark, sf_dir).filter(iso).select(
+    return plain(_written_dates(spark, sf_dir).select(
         "o_orderkey", sf.event_time(F.col("written")).alias("parsed")))
 
 
 @query
 def landing_times(spark, sf_dir):
     ingested = F.lit("2025-01-01 00:00:00").cast("timestamp")
-    iso = F.pmod("o_orderkey", F.lit(6)).isin(0, 1, 5)
-    return plain(_written_dates(spark, sf_dir).filter(iso).select(
+    return plain(_written_dates(spark, sf_dir).select(
         "o_orderkey", sf.landing_time(F.col("written"), ingested).alias("landed")))
 
 

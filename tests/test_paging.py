@@ -94,3 +94,10 @@ def test_page_of_a_table_by_day_reads_its_days_only(spark, tmp_path):
     write_table(df, str(tmp_path / "t"), by_day=True)
     rows_, rest = paging.days_of_page(spark.read.parquet(str(tmp_path / "t")), 10, 200)
     assert "PartitionFilters: [isnotnull(obs_date" in plan(rows_) and rest < 200
+
+
+def test_signed_zeros_are_one_value_on_every_way(spark):
+    df = spark.createDataFrame([(START, -0.0), (START, 0.0), (START, -0.0)], "timestamp timestamp, value double")
+    for bounds in ({}, {"top_k_rows": 0}, {"top_k_rows": 0, "one_slice_rows": 0}):
+        found = paging.page(df, 2, 0, **bounds).collect()
+        assert [str(r["value"]) for r in found] == ["0.0", "0.0"]

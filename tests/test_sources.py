@@ -131,3 +131,30 @@ def test_whole_numbers_may_be_written_as_floats(spark, tmp_path):
     found = landed.read_weather(spark, str(tmp_path))
     assert rows(found, "winddirection", "is_day", "temperature") == [(262, 1, 20.0)]
     assert dict(found.dtypes)["winddirection"] == "int"
+
+
+def test_broken_weather_lines_are_set_aside(spark, lake):
+    root = lake.raw_path("weather")
+    good = landed.read_weather(spark, root)
+    before = good.count()
+    folder = Path(root) / "UF-Broken"
+    folder.mkdir()
+    broken = ["not json", '{"city": "UF-Broken", "temperature": "warm"}', '{"city": "UF-Broken"']
+    (folder / "20250608-120000.json").write_text("\n".join(broken) + "\n")
+    assert landed.read_weather(spark, root).count() == before
+    assert landed.read_weather(spark, root).filter("city = 'UF-Broken'").select("city").count() == 0
+    assert rows(landed.rejected_weather(spark, root).select("line")) == sorted((line,) for line in broken)
+
+
+@pytest.mark.parametrize("text", ["{}", '{"SP-Santos": {"lat": 1', "[1, 2]"])
+def test_broken_city_file_fails(spark, tmp_path, text):
+    (tmp_path / "cities.json").write_text(text)
+    with pytest.raises(Exception):
+        landed.read_cities(spark, str(tmp_path / "cities.json")).collect()
+
+
+def test_last_entry_of_a_city_counts(spark, tmp_path):
+    (tmp_path / "cities.json").write_text(
+        '{"A": {"lat": 1.0, "lon": 2.0}, "B": {"lat": 3.0, "lon": 4.0}, "A": {"lat": 5.0, "lon": 6.0}}')
+    found = landed.read_cities(spark, str(tmp_path / "cities.json"))
+    assert rows(found) == [("A", 5.0, 6.0), ("B", 3.0, 4.0)]
