@@ -6,6 +6,7 @@ import hashlib
 import html as entities
 import math
 import os
+import random
 import re
 import zlib
 from collections import Counter
@@ -100,6 +101,43 @@ def test_lines_like_each_other_stay_once(spark):
     assert found == {0: f"first own line of one\n{line}", 1: "another line of its own here", 2: "", 3: "short one\nshort one"}
 
 
+def test_lines_edited_at_random_places_are_found(spark):
+    rng = random.Random(7)
+    first, second, alike = [], [], []
+    for n in (5, 6, 7, 9, 10, 11, 12, 14, 15, 19, 20, 25, 30, 40, 60, 80, 100):
+        for k in range(40):
+            line = [f"w{rng.randrange(20_000)}x" for _ in range(n)]
+            near = list(line)
+            edits = rng.randint(1, n // 5)
+            if k % 4 == 3:  # twice as many words as the limit allows
+                edits = 2 * (n // 5) + 1
+            for at in rng.sample(range(n), edits):
+                near[at] = f"new{rng.randrange(10**6)}"
+            if k % 4 == 2:
+                at = rng.randrange(n)
+                near = near[:at] + near[at + 1:] if edits == 1 else line[:at] + ["put", *line[at:]]
+            if len(near) < lines.MIN_WORDS:
+                continue
+            first.append(" ".join(line))
+            second.append(" ".join(near))
+            alike.append(edit_distance(line, near) <= max(len(line), len(near)) * 20 // 100)
+    found = {r["doc_id"]: r["line_dedup"]["n_removed"] for r in lines.dedup_lines(frame(spark, first + second)).collect()}
+    removed = [found[len(first) + i] == 1 for i in range(len(second))]
+    assert not any(r and not a for r, a in zip(removed, alike, strict=True))
+    recall = sum(removed) / sum(alike)
+    print(f"recall {recall:.4f} of {sum(alike)} pairs")
+    assert recall >= 0.99
+
+
+def edit_distance(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        last, row[0] = row[0], i
+        for j, y in enumerate(b, 1):
+            last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
+    return row[-1]
+
+
 def test_masks_find_every_pair_within_the_distance(spark):
     for count in (10, 10**6, 10**9):
         masks = lines.block_masks(count)
