@@ -167,13 +167,13 @@ def main_text(page: str, weights: dict[str, float]) -> str:
         if not place:
             scores.append(TAG if not text else 0.0)
         else:
-            apart = place in APART or place in PARTS or place == "header"
+            apart = is_apart(place)
             weight = weights.get(place, -1.0 if apart else 1.0)
             scores.append(len(_WORD.findall(text)) * (min(weight, -0.5) if apart else max(weight, 0.5)))
-    start, stop = best_run(scores)
+    start, stop = best_run(neutral_inside(found, scores))
     blocks: dict[int, list[str]] = {}
     for text, place, _, block in found[start:stop]:
-        if text and not (place in APART or place in PARTS or place == "header"):
+        if text and not is_apart(place):
             blocks.setdefault(block, []).append(text)
     lines = (_SPACE.sub(" ", entities.unescape("".join(parts))).strip() for parts in blocks.values())
     return "\n".join(line for line in lines if line)
@@ -191,6 +191,23 @@ def extract(pages: DataFrame) -> DataFrame:
 
     def read(batches):
         for batch in slices(batches):
+def is_apart(place: str) -> bool:
+    return place in APART or place in PARTS or place == "header"
+
+
+def neutral_inside(found: list[tuple[str, str, bool, int]], scores: list[float]) -> list[float]:
+    """The scores, zero for tags and removable parts between two texts of one content element.
+
+    Such a part is removed anyway, so its length must not part the texts around it.
+    """
+    answer = list(scores)
+    inside = [i for i, (text, place, content, _) in enumerate(found) if content and text.strip() and not is_apart(place)]
+    for before, after in zip(inside, inside[1:], strict=False):
+        if all(found[i][2] for i in range(before + 1, after)):
+            answer[before + 1: after] = [0.0] * (after - before - 1)
+    return answer
+
+
             texts = [main_text(page, weights) for page in batch.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(texts, pa.string()),

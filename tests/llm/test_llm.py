@@ -355,6 +355,18 @@ def test_article_is_found(spark):
     assert found[5] == ("only this text", 14)
 
 
+WEIGHTS = {"p": 3.0, "h1": 3.0, "div": 1.0, "ad": -3.0, "aside": -3.0, "form": -3.0, "comments": -3.0, "sidebar": -3.0}
+BODY = "<h1>ten words of a heading that stands before it all</h1>{}<p>" + "body " * 200 + "</p>{}<p>the last words</p>"
+
+
+@pytest.mark.parametrize("part", ["<div class='ad'>{}</div>", "<aside>{}</aside>", "<form>{}</form>"])
+@pytest.mark.parametrize("size", [5, 12, 500])
+def test_removable_parts_do_not_part_an_article(part, size):
+    long = part.format("<b>spam</b> " * size)
+    found = html.main_text(f"<nav>menu here</nav><article>{BODY.format(long, long)}</article><p></p>", WEIGHTS)
+    assert found.split("\n") == ["ten words of a heading that stands before it all", ("body " * 200).strip(), "the last words"]
+
+
 def test_best_run():
     assert html.best_run([-1, 2, -1, 3, -5, 4]) == (1, 4)
     assert html.best_run([-1.0, 0.0]) == html.best_run([]) == (0, 0)
