@@ -85,11 +85,28 @@ def named_parts(attributes: str) -> set[str]:
 
 
 def pieces(page: str) -> list[tuple[str, str, bool, int]]:
+    """The pieces of a page, see ``_pieces``; no wrapper of its content counts as another part.
+
+    A wrapper is an element that holds all words of article and main elements, or on
+    pages without these, named as a part, more than half of all words.
+    """
+    words: dict[int, list[int]] = {}
+    found = _pieces(page, frozenset(), words)
+    every, inside = words.pop(-1, [0, 0])
+    wrappers = frozenset(n for n, (own, labelled) in words.items() if (labelled == inside if inside else
+                                                                      2 * own > every))
+    return _pieces(page, wrappers, {}) if wrappers else found
+
+
+def _pieces(page: str, wrappers: frozenset[int], words: dict[int, list[int]]) -> list[tuple[str, str, bool, int]]:
     """(text, place, in labelled content, block number) of each text, and ("", "", _, block) of each tag.
 
     ``place`` is what the weights know: the nearest block element, or the part of the
-    page around it.  Texts of hidden elements are left out.
+    page around it.  Texts of hidden elements are left out.  ``words`` gets words of the
+    page (-1) and of each part outside of content, in all and in content; ``wrappers`` are
+    numbers of elements that are no parts.
     """
+    number, parts = 0, [(0, -1, True)]  # depth, number, whether a name makes it one
     stack: list[tuple[str, str, bool, bool]] = [("", "", False, False)]  # element, part, hidden, content
     found: list[tuple[str, str, bool, int]] = []
     block = 0
@@ -99,6 +116,14 @@ def pieces(page: str) -> list[tuple[str, str, bool, int]]:
             if not hidden:
                 near = next((e for e, *_ in reversed(stack) if e in BLOCKS), "")
                 found.append((rest, part or near, content, block))
+                count = len(_WORD.findall(rest))
+                while parts[-1][0] >= len(stack):
+                    parts.pop()
+                for _, n, named in parts:
+                    if named or content:
+                        total = words.setdefault(n, [0, 0])
+                        total[0] += count
+                        total[1] += count * content
             continue
         block += name in BLOCKS
         found.append(("", "", content, block))
@@ -117,6 +142,13 @@ def pieces(page: str) -> list[tuple[str, str, bool, int]]:
             own = own or ("header" if name == "header" and not content else "")
             if name in CONTENT or name == "body" or name == "html":
                 own = name if name in APART else ""
+            number += 1
+            if own and not content and number in wrappers:
+                own = ""
+            while parts[-1][0] >= len(stack):
+                parts.pop()
+            if own and not content:
+                parts.append((len(stack), number, own != name))
             stack.append((name, part or own, hidden or name in HIDDEN, content or name in CONTENT))
         else:
             depth = next((i for i in range(len(stack) - 1, 0, -1) if stack[i][0] == name), 0)
@@ -159,6 +191,23 @@ def best_run(scores: list[float]) -> tuple[int, int]:
     return answer
 
 
+def is_apart(place: str) -> bool:
+    return place in APART or place in PARTS or place == "header"
+
+
+def neutral_inside(found: list[tuple[str, str, bool, int]], scores: list[float]) -> list[float]:
+    """The scores, zero for tags and removable parts between two texts of one content element.
+
+    Such a part is removed anyway, so its length must not part the texts around it.
+    """
+    answer = list(scores)
+    inside = [i for i, (text, place, content, _) in enumerate(found) if content and text.strip() and not is_apart(place)]
+    for before, after in zip(inside, inside[1:], strict=False):
+        if all(found[i][2] for i in range(before + 1, after)):
+            answer[before + 1: after] = [0.0] * (after - before - 1)
+    return answer
+
+
 def main_text(page: str, weights: dict[str, float]) -> str:
     """The article's blocks, one to a line."""
     found = pieces(page)
@@ -191,23 +240,6 @@ def extract(pages: DataFrame) -> DataFrame:
 
     def read(batches):
         for batch in slices(batches):
-def is_apart(place: str) -> bool:
-    return place in APART or place in PARTS or place == "header"
-
-
-def neutral_inside(found: list[tuple[str, str, bool, int]], scores: list[float]) -> list[float]:
-    """The scores, zero for tags and removable parts between two texts of one content element.
-
-    Such a part is removed anyway, so its length must not part the texts around it.
-    """
-    answer = list(scores)
-    inside = [i for i, (text, place, content, _) in enumerate(found) if content and text.strip() and not is_apart(place)]
-    for before, after in zip(inside, inside[1:], strict=False):
-        if all(found[i][2] for i in range(before + 1, after)):
-            answer[before + 1: after] = [0.0] * (after - before - 1)
-    return answer
-
-
             texts = [main_text(page, weights) for page in batch.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(texts, pa.string()),

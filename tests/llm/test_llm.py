@@ -367,6 +367,21 @@ def test_removable_parts_do_not_part_an_article(part, size):
     assert found.split("\n") == ["ten words of a heading that stands before it all", ("body " * 200).strip(), "the last words"]
 
 
+@pytest.mark.parametrize("names", ["class='content with-sidebar'", "class='no-sidebar'", "class='has-comments'",
+                                   "id='main-nav-wrapper'"])
+@pytest.mark.parametrize("element", ["article", "div"])
+def test_wrapper_names_do_not_remove_the_article(names, element):
+    side = "<div class='sidebar'>" + "other " * 60 + "</div>"
+    page = f"<body><div {names}><{element}>{BODY.format('', '')}</{element}>{side}</div>{side}</body>"
+    found = html.main_text(page, WEIGHTS)
+    assert found.startswith("ten words") and found.endswith("the last words") and "other" not in found
+
+
+def test_comments_with_more_words_than_the_article_are_removed():
+    page = "<article><p>a short article</p></article><div id='comments'><p>" + "reply " * 90 + "</p></div>"
+    assert html.main_text(page, WEIGHTS) == "a short article"
+
+
 def test_best_run():
     assert html.best_run([-1, 2, -1, 3, -5, 4]) == (1, 4)
     assert html.best_run([-1.0, 0.0]) == html.best_run([]) == (0, 0)
