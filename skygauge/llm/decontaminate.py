@@ -10,12 +10,14 @@ a block can span, is a query: blocks whose largest shares sum to less than the
 threshold are skipped (block-max WAND); in the others, posting lists are merged in
 item order, skipping to the first item that its lists can lift to the threshold.
 All items above it are retrieved, and a pair is kept when enough of the item's
-question and of its answer is found, in order, in the words of the passage.
+question and of its answer is found, in order, in the words of the passage.  Words
+are runs of letters and digits, so punctuation changes nothing.
 """
 
 from __future__ import annotations
 
 import math
+import re
 from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
@@ -30,7 +32,7 @@ from skygauge.llm.common import slices, stored, whole
 
 #: Share of an item's own BM25 score that a window must reach.
 THRESHOLD = 0.7
-#: Least share of the question's and of the answer's word 3-grams that must be found.
+#: Least share of the question's and of the answer's words that must be found in order.
 QUESTION, ANSWER = 0.6, 0.5
 #: Items of one index, which is copied to every executor; more items make more
 #: indexes, searched in turn.
@@ -42,7 +44,9 @@ CELL = 16
 #: A passage may be this much longer than the item that it holds.
 STRETCH = 1.25
 K1, B = 1.2, 0.75
+#: Least words of an answer.
 GRAM = 3
+_WORD = re.compile(r"[^\W_]+")
 
 
 @dataclass
@@ -120,11 +124,6 @@ def retrieve(index: Index, block: int, terms: list[int], threshold: float) -> li
     return found
 
 
-def _grams(found: list[bytes]) -> set[tuple[bytes, ...]]:
-    width = min(GRAM, len(found))
-    return {tuple(found[i: i + width]) for i in range(len(found) - width + 1)} if found else set()
-
-
 def question_answer(found: list[bytes]) -> tuple[list[bytes], list[bytes]]:
     """An item's question and answer: its last fifth, of three words or more, is the answer."""
     cut = len(found) - max(min(GRAM, len(found)), len(found) // 5)
@@ -132,15 +131,29 @@ def question_answer(found: list[bytes]) -> tuple[list[bytes], list[bytes]]:
 
 
 def overlap(part: list[bytes], near: list[bytes]) -> float:
-    """Share of the part's word 3-grams that the words near a window hold; 1 for no words."""
-    grams = _grams(part)
-    if not grams:
-        return 1.0
-    return len(grams & {tuple(near[i: i + len(next(iter(grams)))]) for i in range(len(near))}) / len(grams)
-
+    """Share of the part's words that the words near a window hold in order; 1 for no words.
 
-def search(index: Index, texts: list[list[bytes]], threshold: float) -> Iterator[tuple[int, int, float, float]]:
-    """(text number, item number, question overlap, answer overlap) of all retrieved pairs."""
+    Longest common subsequence, a bit for each word of the part; an edit costs one word.
+    """
+    if not part:
+        return 1.0
+    places: dict[bytes, int] = {}
+    for i, word in enumerate(part):
+        places[word] = places.get(word, 0) | 1 << i
+    every = open_bits = (1 << len(part)) - 1
+    for word in near:
+        met = open_bits & places.get(word, 0)
+        if met:
+            open_bits = ((open_bits + met) | (open_bits - met)) & every
+    return (len(part) - open_bits.bit_count()) / len(part)
+
+
+def search(index: Index, texts: list[list[bytes]], threshold: float, least_question: float = QUESTION,
+           least_answer: float = ANSWER) -> Iterator[tuple[int, int, float, float]]:
+    """(text number, item number, question overlap, answer overlap) of all retrieved pairs.
+
+    A pair has the overlaps of one passage, if there is one of a passage within both limits.
+    """
     threshold -= 1e-6
     get, width = index.words.get, len(index.words)
     cells = [-(-len(found) // CELL) for found in texts]
@@ -173,13 +186,16 @@ def search(index: Index, texts: list[list[bytes]], threshold: float) -> Iterator
                 near = texts[text][begin: begin + (span + 1) * CELL]
                 question, answer = question_answer(index.items[item][1])
                 pair = (overlap(question, near), overlap(answer, near))
-                best[text, item] = max(best.get((text, item), pair), pair)
+                best[text, item] = max(best.get((text, item), pair), pair, key=lambda p: (
+                    p[0] >= least_question and p[1] >= least_answer, p))
     for (text, item), (q, a) in best.items():
         yield text, item, q, a
 
 
 def words_of(text: bytes) -> list[bytes]:
-    return text.lower().split()
+    """Words of letters and digits in lower case; symbols where there are no others."""
+    lowered = text.decode("utf-8", "replace").lower()
+    return [w.encode() for w in _WORD.findall(lowered) or lowered.split()]
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD,
@@ -215,7 +231,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = THRES
             for batch in slices(batches):
                 docs, hashes, texts = (batch.column(i).to_pylist() for i in range(3))
                 rows = [(docs[n], hashes[n], known.items[item][0], q, a)
-                        for n, item, q, a in search(known, [words_of(t) for t in texts], threshold)
+                        for n, item, q, a in search(known, [words_of(t) for t in texts], threshold, question, answer)
                         if q >= question and a >= answer]
                 columns = list(zip(*rows, strict=True)) or [[]] * 5
                 yield pa.RecordBatch.from_arrays(

@@ -205,6 +205,38 @@ def test_planted_items_are_found_and_clean_texts_are_not(spark):
     assert decontaminate.contaminated(frame(spark, texts), bench.limit(0)).count() == 0
 
 
+def test_near_copies_with_edits_at_every_place_are_found():
+    items = [(n, decontaminate.words_of(pseudo(size, n + 1).encode())) for n, size in enumerate((8, 12, 19, 30, 60))]
+    frequency = Counter(w for _, found in items for w in set(found))
+    index = decontaminate.build_index(items, frequency, len(items))
+    texts, wanted = [], []
+    for number, (_, found) in enumerate(index.items):
+        for at in range(len(found)):
+            near = [*found[:at], b"other", *found[at + 1:]]
+            texts.append([b"before"] * 5 + near + [b"after"] * 5)
+            wanted.append(number)
+    pairs = {(t, i) for t, i, q, a in decontaminate.search(index, texts, decontaminate.THRESHOLD)
+             if q >= decontaminate.QUESTION and a >= decontaminate.ANSWER}
+    assert pairs == set(enumerate(wanted))
+
+
+def test_punctuation_does_not_hide_an_item(spark):
+    item = " ".join(f"{w}," for w in pseudo(20).split()) + "."
+    benchmark = spark.createDataFrame([(1, item)], "item_id long, text string")
+    docs = frame(spark, [f"before {pseudo(20)} after", "nothing of it here"])
+    assert [r["doc_id"] for r in decontaminate.contaminated(docs, benchmark).collect()] == [0]
+
+
+def test_a_pair_is_kept_if_one_passage_passes_both_limits():
+    found = decontaminate.words_of(pseudo(60).encode())
+    index = decontaminate.build_index([(1, found)], Counter(found), 1)
+    question, answer = decontaminate.question_answer(found)
+    far = [b"x"] * 300
+    text = question + [b"y"] * len(answer) + far + question[:-4] + [b"z"] * 4 + answer
+    (_, _, q, a), = decontaminate.search(index, [text], decontaminate.THRESHOLD)
+    assert q >= decontaminate.QUESTION and a >= decontaminate.ANSWER
+
+
 def test_wand_retrieves_what_full_scoring_does():
     items = [(i, [f"w{(i * k) % 23}".encode() for k in range(1, 12)]) for i in range(40)]
     frequency = Counter(w for _, found in items for w in set(found))
