@@ -29,8 +29,6 @@ from skygauge.llm.common import slices, stored, whole
 OWN, ENDINGS = 127, 63
 #: Size of a vector, words of context, noise samples of a batch.
 WIDTH, CONTEXT, NOISE = 16, 4, 64
-#: Every so many-th position of a training document is a training target.
-STRIDE = 8
 BATCH, RATE = 1024, 0.1
 #: Frequent words whose counts every task holds; the others' are joined.
 KNOWN = 100_000
@@ -109,6 +107,13 @@ def contexts(texts: list[list[bytes]], classes: Classes) -> tuple[np.ndarray, np
     return flat[at], np.stack([flat[at - k - 1] for k in range(CONTEXT)], axis=1), text
 
 
+def examples(texts: list[list[bytes]], classes: Classes, seed: int) -> tuple[np.ndarray, np.ndarray]:
+    """Targets and contexts of every position of the texts, in random order."""
+    target, context, _ = contexts(texts, classes)
+    order = np.random.default_rng(seed).permutation(len(target))
+    return target[order], context[order]
+
+
 def train(p: Parameters, target: np.ndarray, context: np.ndarray, noise: np.ndarray,
           seed: int, squares: list[np.ndarray]) -> None:
     """One pass of noise-contrastive estimation with AdaGrad, in place."""
@@ -205,10 +210,9 @@ def fit(texts: DataFrame, own: list[bytes], mass: np.ndarray) -> Parameters:
         noise = mass / mass.sum()
         seen = 0
         for number, batch in enumerate(slices(batches)):
-            target, context, _ = contexts([words_of(t) for t in batch.column(0).to_pylist()], classes)
-            order = np.random.default_rng(number).permutation(len(target))[:: STRIDE]
-            train(p, target[order], context[order], noise, number, squares)
-            seen += len(order)
+            target, context = examples([words_of(t) for t in batch.column(0).to_pylist()], classes, number)
+            train(p, target, context, noise, number, squares)
+            seen += len(target)
         if seen:
             flat = p.flat().astype(np.float64)
             yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(flat)), pa.int64()), pa.array(flat * seen),

@@ -324,6 +324,16 @@ def test_language_model_base_is_exact_and_the_model_better(spark):
     assert sum(r["score"] for r in rows.values()) > sum(r["base_score"] for r in rows.values())
 
 
+def test_every_position_is_trained_on():
+    texts = [language_model.words_of(pseudo(n, n).encode()) for n in (0, 1, 30, 77)]
+    classes = language_model.Classes([b"w0x"])
+    target, context, _ = language_model.contexts(texts, classes)
+    trained, before = language_model.examples(texts, classes, 5)
+    assert len(trained) == sum(len(t) + 1 for t in texts)
+    assert sorted([t, *c] for t, c in zip(trained.tolist(), before.tolist(), strict=True)) == sorted(
+        [t, *c] for t, c in zip(target.tolist(), context.tolist(), strict=True))
+
+
 def test_class_probabilities_sum_to_one():
     import numpy as np
 
