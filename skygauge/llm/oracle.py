@@ -37,3 +37,28 @@ SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars,
         lambda x: regexp_matches(x, '^[\x20\x09-\x0D]*[-*•]'))) > 90 * n_lines) AS kept
 FROM b
 """
+
+EXPECTED_SQL["op11_hard_negatives"] = """
+WITH r AS (
+  SELECT row_number() OVER () AS r, vec_id,
+    CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda c: floor(256 * c::DOUBLE)::DOUBLE) AS x
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND vec_id IS NOT NULL
+    AND len(list_filter(embedding, lambda c: c IS NOT NULL AND isfinite(c))) = len(embedding)),
+s AS (
+  SELECT a.r AS a, a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS alike,
+    list_sum(list_transform(list_zip(a.x, b.x), lambda p: p[1] * p[2]))::BIGINT AS score
+  FROM r a JOIN r b ON a.r <> b.r WHERE a.vec_id % 100 = 0),
+p AS (
+  SELECT *, row_number() OVER (PARTITION BY a ORDER BY score DESC, vec_id) AS k FROM s WHERE alike),
+n AS (
+  SELECT p.anchor_id, p.vec_id AS positive_id, s.vec_id AS negative_id, p.score AS positive_score,
+    s.score AS negative_score,
+    row_number() OVER (PARTITION BY p.a, p.k ORDER BY s.score DESC, s.vec_id) AS rank
+  FROM p JOIN s ON p.a = s.a AND NOT s.alike
+    AND 80 * p.score <= 100 * s.score AND 100 * s.score <= 100 * p.score
+  WHERE p.k <= 5)
+SELECT anchor_id, positive_id, rank::INTEGER AS rank, negative_id, positive_score, negative_score
+FROM n WHERE rank <= 5
+"""

@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skygauge.llm import (
-    chat, decontaminate, html, language_model, lines, mixing, ngram_join, quality, toxicity, urls)
+    chat, decontaminate, hard_negatives, html, language_id, language_model, lines, mixing, ngram_join, quality,
+    toxicity, urls, vectors, whitening)
 from skygauge.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -91,3 +92,26 @@ def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = language_model.score(docs, ~toxicity.held_out(F.col("doc_id"), 1))
     return found.select("doc_id", (~F.col("trained")).alias("held_out"), "n_tokens", "n_known", "train_tokens",
                         "base_score", "score")
+
+
+@query
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five hard negatives of each positive of every hundredth embedding."""
+    table = spark.read.parquet(f"{sf_dir}/embeddings.parquet").filter(F.col("label").isNotNull())
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = vectors.integer_vectors(table).withColumn("label", moved)
+    return hard_negatives.hard_negatives(rows, F.col("vec_id") % 100 == 0)
+
+
+@query
+def op12_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document."""
+    held_out = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % 4 == 2
+    found = language_id.identify(documents(spark, sf_dir), ~held_out)
+    return found.select("doc_id", (~F.col("trained")).alias("held_out"), "lang_pred", "score")
+
+
+@query
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whitened coordinates of every embedding."""
+    return whitening.whiten(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))

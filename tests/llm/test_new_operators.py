@@ -1,0 +1,339 @@
+"""Hard negatives, language identification and whitening against brute force and odd rows."""
+
+from __future__ import annotations
+
+import math
+import os
+import random
+import zlib
+from collections import Counter
+from fractions import Fraction
+
+import duckdb
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from skygauge.llm import hard_negatives, language_id, vectors, whitening
+from skygauge.llm.oracle import EXPECTED_SQL
+from skygauge.llm.queries import QUERIES
+
+SF_DIR = "/root/testdata/sf0.001"
+tables = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test tables")
+EMBEDDING = "vec_id long, embedding array<float>, label int"
+
+
+# --- integer vectors ------------------------------------------------------------------
+
+def odd_vectors(spark):
+    inf, nan = float("inf"), float("nan")
+    rows = [(1, [0.5, -0.25], 1), (2, None, 1), (3, [0.5, None], 1), (4, [inf, 0.0], 1), (5, [nan, 0.0], 1),
+            (6, [0.1], 1), (7, [], 1), (8, [0.001, -0.001], None), (None, [-0.5, 1.0], 2), (1, [0.5, -0.25], 1)]
+    return spark.createDataFrame(rows, EMBEDDING).withColumn("x", F.lit("taken")).withColumn("copies", F.lit(9))
+
+
+def test_integer_vectors_of_odd_rows(spark):
+    found = vectors.integer_vectors(odd_vectors(spark)).select("vec_id", "x").collect()
+    assert sorted(((r[0] or -1), r[1]) for r in found) == [
+        (-1, [-128, 256]), (1, [128, -64]), (1, [128, -64]), (8, [0, -1])]
+
+
+def test_products_are_exact_whatever_the_size():
+    for size in (3, 1 << 30, 1 << 40):
+        a = np.array([[size, -size, 1], [1, 2, 3]], np.int64)
+        expected = [[sum(int(x) * int(y) for x, y in zip(r, c, strict=True)) for c in a] for r in a]
+        assert vectors.products(a, a.T).tolist() == expected
+
+
+# --- 11 hard negatives ----------------------------------------------------------------
+
+def mined(rows, is_anchor, k=5):
+    """All pairs; a row is (vec_id, label, x)."""
+    rows = [r for r in rows if None not in r]
+    answer = []
+    for a, (anchor, label, x) in enumerate(rows):
+        if not is_anchor(anchor):
+            continue
+        scored = sorted((-sum(p * q for p, q in zip(x, y, strict=True)), i, lab) for b, (i, lab, y) in enumerate(rows)
+                        if b != a)
+        for s, i, _ in [t for t in scored if t[2] == label][:k]:
+            fit = [(t, j) for t, j, lab in scored if lab != label and -80 * s <= -100 * t <= -100 * s][:k]
+            answer += [(anchor, i, n + 1, j, -s, -t) for n, (t, j) in enumerate(fit)]
+    return sorted(answer)
+
+
+def negatives_of(spark, rows, every=3, **sizes):
+    table = spark.createDataFrame(rows, "vec_id long, label long, x array<long>")
+    found = hard_negatives.hard_negatives(table, F.col("vec_id") % every == 0, **sizes)
+    return sorted(map(tuple, found.select("anchor_id", "positive_id", "rank", "negative_id", "positive_score",
+                                          "negative_score").collect()))
+
+
+@pytest.mark.parametrize("spread, labels", [(3, 2), (40, 4), (1, 3)])
+def test_negatives_equal_brute_force(spark, spread, labels):
+    rng = random.Random(spread)
+    rows = [(i, rng.randrange(labels), [rng.randint(-spread, spread) for _ in range(6)]) for i in range(400)]
+    rows += [(1000 + i, 1, [spread] * 6) for i in range(150)]  # one vector that many rows have
+    sizes = {"tile_rows": 60, "leaf_rows": 8, "chunk_bytes": 4000}
+    found = negatives_of(spark, rows, 25, **sizes)
+    assert found and found == mined(rows, lambda i: i % 25 == 0)
+
+
+def test_negatives_of_rows_that_repeat_and_odd_rows(spark):
+    rows = [(0, 1, [3, 4]), (0, 1, [3, 4]), (1, 1, [3, 3]), (2, 2, [3, 3]), (2, 2, [3, 3]), (3, 2, [2, 4]),
+            (4, None, [3, 4]), (5, 1, None), (6, 1, [-3, -4]), (7, 2, [-3, -4])]
+    assert negatives_of(spark, rows) == mined(rows, lambda i: i % 3 == 0)
+    assert negatives_of(spark, [], 3) == []
+    assert negatives_of(spark, [(1, 1, [1]), (2, 2, [1])], 3) == []
+    assert negatives_of(spark, [(3, 1, [1]), (2, 2, [1])], 3) == []
+    clash = odd_vectors(spark).drop("x")
+    found = hard_negatives.hard_negatives(vectors.integer_vectors(clash), F.col("vec_id") == 1)
+    assert found.columns == ["anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score"]
+    assert found.count() == 0  # nothing of another label that has an id
+
+
+def test_a_negative_score_has_no_window_and_scores_are_exact(spark):
+    big = 1 << 29
+    rows = [(0, 1, [big, 1]), (1, 1, [big, 2]), (2, 2, [big, 1]), (4, 2, [big, 0]), (9, 3, [1, 0]), (5, 3, [-1, 0])]
+    found = negatives_of(spark, rows)
+    assert found == mined(rows, lambda i: i % 3 == 0) and {r[4] for r in found} == {big * big + 2}
+
+
+@tables
+def test_negatives_equal_sql(spark):
+    connection = duckdb.connect()
+    connection.execute(f"CREATE VIEW embeddings AS SELECT * FROM '{SF_DIR}/embeddings.parquet'")
+    answer = connection.execute(EXPECTED_SQL["op11_hard_negatives"])
+    names = [c[0] for c in answer.description]
+    found = QUERIES["op11_hard_negatives"](spark, SF_DIR)
+    assert sorted(map(tuple, found.select(*names).collect())) == sorted(answer.fetchall())
+
+
+def test_intervals_hold_every_score():
+    import pyarrow as pa
+
+    rng = np.random.default_rng(1)
+    x = rng.integers(-50, 50, (300, 5))
+    parts = [x[i: i + 20] for i in range(0, 300, 20)]
+    batch = pa.RecordBatch.from_pydict({
+        "lo": [p.min(axis=0).tolist() for p in parts], "hi": [p.max(axis=0).tolist() for p in parts],
+        "ids": [list(range(20))] * 15, "labels": [[1] * 20] * 15, "copies": [[1] * 20] * 15,
+        "x": [p.ravel().tolist() for p in parts]})
+    tree = hard_negatives.Tree(batch, 4)
+    assert len(tree.lo) == 15 + 4 + 1 and tree.root == 19
+    anchors = rng.integers(-50, 50, (10, 5))
+    low, high = tree.intervals(anchors)
+    for k, a in enumerate(anchors):
+        for n, p in enumerate(parts):
+            assert low[k, n] <= (p @ a).min() and (p @ a).max() <= high[k, n]
+        assert low[k, 19] <= low[k, :15].min() and high[k, 19] >= high[k, :15].max()
+
+
+# --- 12 language identification ----------------------------------------------------------
+
+def profile_of(texts, size=language_id.PROFILE):
+    """Straight from the definition, on strings."""
+    counts = Counter()
+    for text in texts:
+        letters = "".join(c if c.isalpha() else " " for c in text.lower())
+        padded = " " + " ".join(letters.split()) + " "
+        if not padded.strip():
+            continue
+        for n in (1, 2, 3):
+            for i in range(len(padded) - n + 1):
+                gram = padded[i: i + n]
+                if gram.strip() and " " not in gram[1:-1]:
+                    counts[gram] += 1
+    gap = chr(0x10FFFF)  # a space comes after every letter
+    order = sorted(counts, key=lambda g: (-counts[g], len(g), g.replace(" ", gap)))
+    return order[:size]
+
+
+def nearest(text, profiles, size=language_id.PROFILE):
+    own = profile_of([text], size)
+    if not own:
+        return language_id.UNKNOWN, 0.0
+    places = {lang: {g: i for i, g in enumerate(p)} for lang, p in profiles.items()}
+    found = sorted((sum(abs(i - at[g]) if g in at else size for i, g in enumerate(own)), lang)
+                   for lang, at in places.items())
+    second = found[1][0] if len(found) > 1 else len(own) * size
+    total = found[0][0] + second
+    return found[0][1], second / total if total else 0.5
+
+
+@tables
+@pytest.mark.parametrize("size", [20, 300])
+def test_languages_equal_brute_force(spark, size):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    found = {r["doc_id"]: (r["lang_pred"], r["score"], r["trained"])
+             for r in language_id.identify(docs, F.col("doc_id") % 4 != 2, size).collect()}
+    rows = docs.select("doc_id", "lang", "text").collect()
+    by_lang = {}
+    for r in rows:
+        if r["doc_id"] % 4 != 2 and r["lang"] is not None:
+            by_lang.setdefault(r["lang"], []).append(r["text"] or "")
+    profiles = {lang: profile_of(texts, size) for lang, texts in by_lang.items()}
+    for r in rows:
+        lang, score = nearest(r["text"] or "", profiles, size)
+        assert found[r["doc_id"]][0] == lang and found[r["doc_id"]][1] == pytest.approx(score)
+        assert found[r["doc_id"]][2] == (r["doc_id"] % 4 != 2)
+
+
+@tables
+def test_held_out_languages_are_found(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    found = QUERIES["op12_language_id"](spark, "/root/testdata/sf0.01").join(docs.select("doc_id", "lang"), "doc_id").collect()
+    assert all(r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 4 == 2) for r in found)
+    held = [r for r in found if r["held_out"] and r["lang"]]
+    assert sum(r["lang"] == r["lang_pred"] for r in held) >= 0.98 * len(held)
+    assert all(0 <= r["score"] <= 1 for r in found)
+
+
+def test_languages_of_odd_rows(spark):
+    rows = [(1, "the cat and the dog", "en"), (2, "le chat et le chien", "fr"), (3, None, "en"), (4, "", None),
+            (None, "12 34 !?", "fr"), (5, "the dog", None), (5, "the dog", None), (6, "et le chat " * 100_000, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").withColumn("gram", F.lit(1)).withColumn(
+        "place", F.lit("p"))
+    found = [(r["doc_id"], r["lang_pred"]) for r in language_id.identify(docs, F.lit(True)).collect()]
+    assert sorted(found, key=repr) == sorted(
+        [(1, "en"), (2, "fr"), (3, "und"), (4, "und"), (None, "und"), (5, "en"), (5, "en"), (6, "fr")], key=repr)
+    assert language_id.identify(docs.limit(0), F.lit(True)).count() == 0
+    nothing = language_id.identify(docs, F.lit(None).cast("boolean")).collect()
+    assert {(r["lang_pred"], r["score"], r["trained"]) for r in nothing} == {("und", 0.0, False)}
+
+
+def test_pieces_of_a_text_make_the_n_grams_of_the_whole():
+    text = "Ab cde f! ghi, JKL mno " * 9
+    whole = np.sort(np.concatenate(list(language_id.ngrams(language_id.characters(text)))))
+    for at_once in (1, 2, 7, 50):
+        pieces = np.sort(np.concatenate(list(language_id.ngrams(language_id.characters(text), at_once))))
+        assert pieces.tolist() == whole.tolist()
+
+
+def test_equal_profiles_are_decided_by_name():
+    import pyarrow as pa
+
+    table = pa.table({"lang": ["b", "a"], "gram": [97, 97], "place": [0, 0]})
+    assert language_id.Profiles.of(table).predict("a b") == ("a", 0.5)
+    one = language_id.Profiles.of(pa.table({"lang": ["x"], "gram": [97], "place": [0]}))
+    assert one.predict("a")[0] == "x" and 0.5 <= one.predict("a")[1] <= 1
+    assert language_id.Profiles.of(table.slice(0, 0)).predict("a") == ("und", 0.0)
+
+
+# --- 13 whitening -------------------------------------------------------------------------
+
+def matrix_polynomial(values):
+    """Faddeev and LeVerrier's recurrence on fractions, the highest coefficient first."""
+    d = len(values)
+    a = [[Fraction(v) for v in row] for row in values]
+    m, answer = [[Fraction(0)] * d for _ in range(d)], [Fraction(1)]
+    for k in range(1, d + 1):
+        m = [[sum(a[i][t] * m[t][j] for t in range(d)) + (answer[-1] if i == j else 0) for j in range(d)] for i in range(d)]
+        answer.append(-sum(sum(a[i][t] * m[t][i] for t in range(d)) for i in range(d)) / k)
+    return [int(c) for c in answer]
+
+
+def scatter_of(x):
+    x = np.array(x, dtype=object)
+    n, s = len(x), x.sum(axis=0)
+    return whitening.Scatter(n, s.tolist(), (n * (x.T @ x) - np.outer(s, s)).tolist())
+
+
+@pytest.mark.parametrize("d, size", [(1, 5), (2, 3), (3, 1000), (7, 300), (9, 2)])
+def test_polynomial_is_exact(spark, d, size):
+    rng = random.Random(d)
+    found = scatter_of([[rng.randint(-size, size) for _ in range(d)] for _ in range(12)])
+    assert whitening.characteristic_polynomial(spark, found) == matrix_polynomial(found.values)
+
+
+def test_polynomial_of_matrices_whose_reduction_needs_swaps_or_stops():
+    for a in ([[0, 0, 1], [0, 0, 0], [1, 0, 0]], [[2, 0, 0, 1], [0, 2, 0, 0], [0, 0, 2, 0], [1, 0, 0, 2]], np.zeros((4, 4), int)):
+        a, p = np.array(a, np.int64), 2_147_483_647
+        expected = [c % p for c in matrix_polynomial(a.tolist())][::-1]
+        assert whitening.characteristic_modulo(a, p).tolist() == expected
+
+
+def test_primes_and_remainders():
+    assert [n for n in range(60) if whitening.is_prime(n)] == [
+        2, 3, 5, 7, 11, 13, 17, 19, 23, 29, 31, 37, 41, 43, 47, 53, 59]
+    assert whitening.primes_beyond(1 << 70)[:2] == [2147483647, 2147483629]
+    values = [0, -1, 10**30, -(10**30) - 7]
+    primes = whitening.primes_beyond(4 * 10**30)
+    assert whitening.chinese_remainder({p: [v % p for v in values] for p in primes}) == values
+
+
+def polynomial_of(roots):
+    found = [1]
+    for r in roots:
+        found = [a - r * b for a, b in zip([*found, 0], [0, *found], strict=True)]
+    return found
+
+
+def test_roots_repeated_close_and_zero():
+    roots = [10**12 + 1, 10**12, 10**12, 17, 3, 0, 0]
+    poly = polynomial_of(roots)
+    assert [whitening.roots_above(poly, t) for t in (-1, 0, 3, 16, 10**12, 10**12 + 1)] == [7, 5, 4, 4, 1, 0]
+    for guesses in ([float(r) for r in roots], [1.0] * 7, [1e30] * 7):
+        found = whitening.greatest_roots(poly, 7, guesses)
+        assert [Fraction(m, 1 << bits) for m, bits in found] == roots[:5]
+    # x^2 - 4 x + 2: the roots are not whole.
+    for m, bits in whitening.greatest_roots([1, -4, 2], 2, [3.4, 0.5]):
+        assert abs((Fraction(m, 1 << bits) - 2) ** 2 - 2) < Fraction(1, 1 << 150)
+
+
+def whitened(spark, rows, **options):
+    table = spark.createDataFrame([(i, [float(v) / 256 for v in x], 0) for i, x in rows], EMBEDDING)
+    return whitening.whiten(table, **options).collect()
+
+
+def test_whitening_equals_brute_force(spark):
+    rng = random.Random(5)
+    base = [[rng.randint(-90, 90) * (j + 1) for j in range(6)] for _ in range(60)]
+    rows = list(enumerate(base + base[:20]))
+    found = whitened(spark, rows)
+    x = np.array(base, float)
+    away = x - x.mean(axis=0)
+    values, axes = np.linalg.eigh(away.T @ away / len(x))
+    assert len(found) == 80 * 4
+    for k in range(1, 5):
+        own = {r["vec_id"]: r for r in found if r["component"] == k}
+        expected = (np.array([v for _, v in rows], float) - x.mean(axis=0)) @ axes[:, -k] / values[-k] ** 0.5
+        got = np.array([own[i]["whitened"] for i, _ in rows])
+        assert min(abs(got - expected).max(), abs(got + expected).max()) < 1e-9
+        assert own[0]["explained"] == pytest.approx(values[-k] / values.sum(), rel=1e-12)
+        assert own[0]["n"] == 60 and own[0]["identity_error"] < 1e-9
+    sums = np.array(base, dtype=object).sum(axis=0)
+    for i, v in rows:
+        assert {r["deviation"] for r in found if r["vec_id"] == i} == {
+            int(sum((60 * int(a) - int(s)) ** 2 for a, s in zip(v, sums, strict=True)))}
+
+
+def test_equal_and_missing_eigenvalues(spark):
+    # Corners of a cross: two equal eigenvalues; the third coordinate never varies.
+    found = whitened(spark, enumerate([[5, 0, 7], [-5, 0, 7], [0, 5, 7], [0, -5, 7]]))
+    assert len(found) == 8 and {r["explained"] for r in found} == {0.5}
+    assert all(r["identity_error"] < 1e-12 for r in found)
+    by_row = {}
+    for r in found:
+        by_row.setdefault(r["vec_id"], []).append(r["whitened"])
+    assert all(math.hypot(*w) == pytest.approx(2 ** 0.5) for w in by_row.values())
+    # The variance of one direction is a trillion times the other's.
+    found = whitened(spark, enumerate([[1_000_000, 1], [-1_000_000, 1], [1_000_000, -1], [-1_000_000, -1]]))
+    assert {round(abs(r["whitened"]), 12) for r in found} == {1.0} and len(found) == 8
+    assert all(r["explained"] == pytest.approx(1e-12, rel=1e-9) for r in found if r["component"] == 2)
+
+
+def test_whitening_of_odd_rows(spark):
+    odd = odd_vectors(spark)
+    found = whitening.whiten(odd).collect()
+    assert sorted((r["vec_id"] or -1, r["component"]) for r in found) == [
+        (-1, 1), (-1, 2), (1, 1), (1, 1), (1, 2), (1, 2), (8, 1), (8, 2)]
+    assert {r["n"] for r in found} == {3}
+    assert whitening.whiten(odd.limit(0)).count() == 0
+    assert whitening.whiten(odd.filter("vec_id = 1")).count() == 0  # one vector, twice
+    far = whitened(spark, enumerate([[1 << 31, 0], [-(1 << 31), 3], [5, 1]]))
+    assert {r["deviation"] is None for r in far} == {True, False} and len(far) == 6
+
+
+def test_queries_need_no_sql_where_none_is_given():
+    assert "op12_language_id" not in EXPECTED_SQL and "op13_whitening" not in EXPECTED_SQL
