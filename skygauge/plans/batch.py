@@ -15,7 +15,7 @@ from skygauge.operators.refine import (
 )
 from skygauge.session import scratch_of
 from skygauge.sources.landed import read_airquality, read_cities, read_weather
-from skygauge.sources.tables import Lake, parsed_once, write_table
+from skygauge.sources.tables import Lake, parsed_once, read_table, write_table
 
 
 def detect_weather(spark: SparkSession, lake: Lake, **options) -> None:
@@ -26,10 +26,10 @@ def detect_weather(spark: SparkSession, lake: Lake, **options) -> None:
     """
     raw = lake.raw_path("weather_anomalies")
     history = read_weather(spark, lake.raw_path("weather"))
-    with scratch_of(lake.job("detect-weather")), parsed_once(history) as history:
+    with scratch_of(spark, lake.job("detect-weather")), parsed_once(history) as history:
         write_table(detect_anomalies(history, WEATHER, **options), raw, compact=True)
     refined = refine_weather_anomalies(
-        spark.read.parquet(raw), read_cities(spark, lake.cities)
+        read_table(spark, raw), read_cities(spark, lake.cities)
     )
     write_table(refined, lake.refined_path("weather_anomalies"))
 
@@ -38,10 +38,10 @@ def detect_air_quality(spark: SparkSession, lake: Lake, **options) -> None:
     """Write raw and refined air-quality anomalies of the whole history."""
     raw = lake.raw_path("airquality_anomalies")
     history = read_airquality(spark, lake.raw_path("airquality"))
-    with scratch_of(lake.job("detect-airquality")):
+    with scratch_of(spark, lake.job("detect-airquality")):
         write_table(detect_anomalies(history, AIR_QUALITY, **options), raw, compact=True)
     refined = refine_air_quality_anomalies(
-        spark.read.parquet(raw), read_cities(spark, lake.cities)
+        read_table(spark, raw), read_cities(spark, lake.cities)
     )
     write_table(refined, lake.refined_path("airquality_anomalies"))
 

@@ -17,7 +17,7 @@ from skygauge.sources.landed import (
     read_recent_weather_files,
     since_cutoff,
 )
-from skygauge.sources.tables import Lake, parsed_once, write_table
+from skygauge.sources.tables import Lake, parsed_once, read_table, write_table
 
 
 def detect_recent_weather(
@@ -36,12 +36,12 @@ def detect_recent_weather(
     read = read_recent_landed_weather if landed_by_stream else read_recent_weather_files
     raw = lake.raw_path("weather_recent_anomalies")
     recent = read(spark, lake.raw_path("weather"), as_of, lookback)
-    with scratch_of(lake.job("recent-weather")), parsed_once(recent) as recent:
+    with scratch_of(spark, lake.job("recent-weather")), parsed_once(recent) as recent:
         if recent.isEmpty():
             return False
         write_table(detect_anomalies(recent, WEATHER, **options), raw, compact=True)
     refined = refine_weather_anomalies(
-        spark.read.parquet(raw), read_cities(spark, lake.cities)
+        read_table(spark, raw), read_cities(spark, lake.cities)
     )
     write_table(refined, lake.refined_path("weather_recent_anomalies"))
     return True
@@ -59,7 +59,7 @@ def detect_recent_air_quality(
         read_recent_airquality(spark, lake.raw_path("airquality"), as_of, lookback),
         as_of, lookback,
     )
-    with scratch_of(lake.job("recent-airquality")):
+    with scratch_of(spark, lake.job("recent-airquality")):
         refined = refine_air_quality_anomalies(
             detect_anomalies(recent, AIR_QUALITY, **options), read_cities(spark, lake.cities)
         )

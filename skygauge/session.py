@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
+import time
 import uuid
-from collections.abc import Iterator
-from contextlib import contextmanager
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager, suppress
 from contextvars import ContextVar
 from dataclasses import dataclass
 from itertools import count
@@ -13,6 +15,8 @@ from itertools import count
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from skygauge import files
+
 #: What the library relies on.  Cluster sizing (executors, memory, shuffle
 #: partitions, split size) is left to the submitter.
 SESSION_SETTINGS = {
@@ -29,7 +33,14 @@ SESSION_SETTINGS = {
 
 _LOCAL_SCRATCH = "skygauge.local.scratch"
 
-_job: ContextVar[tuple[str, Iterator[int]] | None] = ContextVar("job", default=None)
+#: Scratch whose owner gave no sign for so many seconds belongs to a run that died.
+STALE_SECONDS = 7 * 86400
+_MARK = "_owner"
+
+#: Folder and step numbers of the run that is under way.
+_run: ContextVar[tuple[str, Iterator[int]] | None] = ContextVar("run", default=None)
+#: Folders of the steps that the innermost ``settle`` will remove.
+_passing: ContextVar[list[str] | None] = ContextVar("passing", default=None)
 
 
 def build_session(app_name: str = "skygauge", **extra: str) -> SparkSession:
@@ -72,6 +83,12 @@ class Stored:
     table: DataFrame
     rows: int
     measures: dict[str, int]
+    path: str = ""
+
+    def release(self) -> None:
+        """Remove the table.  Whatever reads it must have ended."""
+        if self.path:
+            files.remove(self.table.sparkSession, self.path)
 
 
 def materialize(df: DataFrame, label: str, **measures: Column) -> Stored:
@@ -87,27 +104,85 @@ def materialize(df: DataFrame, label: str, **measures: Column) -> Stored:
     named = [column.alias(name) for name, column in measures.items()]
     df.observe(seen, F.count(F.lit(1)).alias("rows"), *named).write.mode("overwrite").parquet(path)
     found = dict(seen.get)
-    return Stored(spark.read.schema(df.schema).parquet(path), found.pop("rows"), found)
+    passing = _passing.get()
+    if passing is not None:
+        passing.append(path)
+    return Stored(spark.read.schema(df.schema).parquet(path), found.pop("rows"), found, path)
+
+
+def settle(build: Callable[[], DataFrame], label: str, **measures: Column) -> Stored:
+    """Store what ``build`` returns, and remove the steps that were stored on the way to it."""
+    outer, steps = _passing.get(), []
+    token = _passing.set(steps)
+    try:
+        df = build()
+        _passing.set(outer)
+        spark = df.sparkSession
+        done = materialize(df, label, **measures)
+    finally:
+        _passing.reset(token)
+    for path in steps:
+        files.remove(spark, path)
+    return done
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A path under the shared folder: new, or the job's own (see ``scratch_of``)."""
-    root, job = f"{scratch_root(spark).rstrip('/')}/skygauge", _job.get()
-    if job is None:
-        return f"{root}/{label}-{uuid.uuid4().hex}"
-    name, numbers = job
-    return f"{root}/{name}/{next(numbers)}-{label}"
+    """A path under the shared folder: the run's own (see ``scratch_of``), else the session's."""
+    run = _run.get()
+    if run is not None:
+        folder, numbers = run
+        return f"{folder}/{next(numbers)}-{label}"
+    return f"{_session_folder(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def _top(spark: SparkSession) -> str:
+    return f"{scratch_root(spark).rstrip('/')}/skygauge"
+
+
+_sessions: dict[str, str] = {}
+
+
+def _session_folder(spark: SparkSession) -> str:
+    """Folder of the steps that no run owns; removed when the interpreter ends."""
+    application, top = spark.sparkContext.applicationId, _top(spark)
+    folder = f"{top}/sessions/{application}"
+    if _sessions.get(application) != folder:
+        _claim(spark, folder)
+        atexit.register(_forget, spark, folder)
+        _sessions[application] = folder
+    return folder
+
+
+def _forget(spark: SparkSession, folder: str) -> None:
+    # The session may have ended before; then the next one finds the folder stale.
+    with suppress(Exception):
+        if spark.sparkContext._jsc and not spark.sparkContext._jsc.sc().isStopped():
+            files.remove(spark, folder)
+
+
+def _claim(spark: SparkSession, folder: str) -> None:
+    """Mark a folder as owned, and remove those beside it whose owner died long ago."""
+    parent = folder.rpartition("/")[0]
+    for other in files.entries(spark, parent):
+        mark = [e for e in files.entries(spark, other.path) if e.name == _MARK] if other.folder else []
+        if time.time() - max([other.changed, *(m.changed for m in mark)]) > STALE_SECONDS:
+            files.remove(spark, other.path)
+    files.write_text(spark, f"{folder}/{_MARK}", spark.sparkContext.applicationId)
 
 
 @contextmanager
-def scratch_of(job: str) -> Iterator[None]:
-    """Keep a job's intermediate tables under its own name.
+def scratch_of(spark: SparkSession, job: str) -> Iterator[str]:
+    """A folder for the intermediate tables of one run of a job, removed at its end.
 
-    The next run of the job replaces them, so repeated runs do not add up.  What
-    the job computes must be written before the block ends.
+    Runs of one job that overlap have a folder each.  What the job computes must be
+    written before the block ends.  A run that dies leaves its folder to a later run of
+    the job, which removes it after ``STALE_SECONDS``.
     """
-    token = _job.set((job, count()))
+    folder = f"{_top(spark)}/{job}/{uuid.uuid4().hex}"
+    _claim(spark, folder)
+    token = _run.set((folder, count()))
     try:
-        yield
+        yield folder
     finally:
-        _job.reset(token)
+        _run.reset(token)
+        files.remove(spark, folder)

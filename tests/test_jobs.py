@@ -7,10 +7,11 @@ from pathlib import Path
 
 import pytest
 
+from skygauge.operators import anomalies
 from skygauge.operators import contracts as ct
 from skygauge.plans import batch, recent, serving
 from skygauge.session import scratch_root
-from skygauge.sources.tables import load_refined
+from skygauge.sources.tables import load_refined, read_table
 from tests.conftest import rows
 from tests.lake import NOON, fill, make_lake, put_airquality
 
@@ -29,7 +30,7 @@ def lake(spark, tmp_path_factory):
 
 
 def test_batch_air_quality(spark, lake):
-    raw = spark.read.parquet(lake.raw_path("airquality_anomalies"))
+    raw = read_table(spark, lake.raw_path("airquality_anomalies"))
     assert "hour" in raw.columns
     refined = load_refined(spark, lake, "airquality_anomalies")
     assert set(refined.columns) == {
@@ -43,7 +44,7 @@ def test_batch_weather(spark, lake):
     refined = load_refined(spark, lake, "weather_anomalies")
     assert {"time", "timestamp", "hour", "uf", "lat", "long"} <= set(refined.columns)
     assert rows(refined, "uf", "city", "temperature", "hour") == [("SP", "Campinas", 90.0, 12)]
-    assert spark.read.parquet(lake.raw_path("weather_anomalies")).count() == 1
+    assert read_table(spark, lake.raw_path("weather_anomalies")).count() == 1
 
 
 def test_refined_facts(spark, lake):
@@ -80,7 +81,7 @@ def test_repeated_rows_count_in_statistics_but_appear_once(spark, tmp_path):
     records = [("SP-Santos", "o3", v, NOON + timedelta(minutes=i)) for i, v in enumerate(values)]
     put_airquality(lake, NOON, records + records[-1:])
     batch.detect_air_quality(spark, lake)
-    assert spark.read.parquet(lake.raw_path("airquality_anomalies")).count() == 2
+    assert read_table(spark, lake.raw_path("airquality_anomalies")).count() == 2
     refined = load_refined(spark, lake, "airquality_anomalies").collect()
     assert [round(r.avg_value, 6) for r in refined] == [round(sum(values + [90.0]) / 22, 6)]
 
@@ -139,13 +140,72 @@ def test_non_finite_numbers_are_cleaned_for_serving(spark, tmp_path):
         (1.0, 0.0, 0.0, "extrema"), (2.0, 0.0, 0.0, "extrema"), (None, 0.0, 0.0, "extrema")]
 
 
-def test_repeated_runs_do_not_add_up_scratch(spark, tmp_path):
+def left_behind(spark, lake, job):
+    folder = Path(scratch_root(spark)) / "skygauge" / lake.job(job)
+    return sorted(p.name for p in folder.iterdir()) if folder.exists() else []
+
+
+def test_runs_leave_no_scratch(spark, tmp_path):
     lake = make_lake(tmp_path)
     fill(lake)
-    folder = Path(scratch_root(spark)) / "skygauge" / lake.job("recent-airquality")
-    seen = []
-    for _ in range(3):
+    for _ in range(2):
         recent.detect_recent_air_quality(spark, lake, NOON + timedelta(hours=2))
-        seen.append(sorted(p.name for p in folder.iterdir()))
         assert load_refined(spark, lake, "airquality_recent_anomalies").count() == 1
-    assert seen[0] == seen[1] == seen[2] == ["0-grouped"]
+    batch.detect_weather(spark, lake)
+    assert left_behind(spark, lake, "recent-airquality") == left_behind(spark, lake, "detect-weather") == []
+
+
+def test_a_run_that_fails_leaves_no_scratch(spark, tmp_path):
+    lake = make_lake(tmp_path)
+    fill(lake)
+    Path(lake.cities).write_text("[]")
+    with pytest.raises(Exception):
+        recent.detect_recent_air_quality(spark, lake, NOON + timedelta(hours=2))
+    assert left_behind(spark, lake, "recent-airquality") == []
+
+
+def test_overlapping_runs_do_not_disturb_each_other(spark, tmp_path, monkeypatch):
+    """A run that starts and ends between another's statistics and its scoring."""
+    lake = make_lake(tmp_path)
+    fill(lake)
+    alone = {}
+    for hours in (2, 4):
+        recent.detect_recent_air_quality(spark, lake, NOON + timedelta(hours=hours), hours * 3600)
+        alone[hours] = rows(load_refined(spark, lake, "airquality_recent_anomalies"))
+    inner, score = [], anomalies.score
+
+    def interrupted(*args, **options):
+        if not inner:
+            inner.append(None)
+            recent.detect_recent_air_quality(spark, lake, NOON + timedelta(hours=4), 4 * 3600)
+            inner[0] = rows(load_refined(spark, lake, "airquality_recent_anomalies"))
+        return score(*args, **options)
+
+    monkeypatch.setattr(anomalies, "score", interrupted)
+    recent.detect_recent_air_quality(spark, lake, NOON + timedelta(hours=2), 2 * 3600)
+    assert inner == [alone[4]]
+    assert rows(load_refined(spark, lake, "airquality_recent_anomalies")) == alone[2]
+    assert left_behind(spark, lake, "recent-airquality") == []
+
+
+def test_a_query_that_began_before_a_rerun_reads_the_old_rows(spark, tmp_path):
+    lake = make_lake(tmp_path)
+    fill(lake)
+    batch.refine_facts(spark, lake, ["airquality"])
+    begun = load_refined(spark, lake, "airquality")
+    before = rows(begun)
+    put_airquality(lake, NOON, [("SP-Santos", "o3", 1.0, NOON)])
+    batch.refine_facts(spark, lake, ["airquality"])
+    assert rows(begun) == before
+    assert load_refined(spark, lake, "airquality").count() == len(before) + 1
+
+
+def test_a_failed_job_leaves_the_earlier_table(spark, tmp_path):
+    lake = make_lake(tmp_path)
+    fill(lake)
+    batch.refine_facts(spark, lake, ["airquality"])
+    before = rows(load_refined(spark, lake, "airquality"))
+    Path(lake.cities).write_text('{"broken')
+    with pytest.raises(Exception):
+        batch.refine_facts(spark, lake, ["airquality"])
+    assert rows(load_refined(spark, lake, "airquality")) == before

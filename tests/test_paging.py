@@ -8,7 +8,7 @@ from datetime import datetime, timedelta
 import pytest
 
 from skygauge.operators import paging
-from skygauge.sources.tables import write_table
+from skygauge.sources.tables import read_table, write_table
 from tests.conftest import plan, rows
 
 START = datetime(2025, 6, 1)
@@ -83,7 +83,7 @@ def test_place_ignores_case(spark):
 def test_page_of_a_table_by_day(spark, tmp_path, offset, limit):
     df, data = observations(spark)
     write_table(df, str(tmp_path / "t"), by_day=True)
-    table = spark.read.parquet(str(tmp_path / "t"))
+    table = read_table(spark, str(tmp_path / "t"))
     rows_, rest = paging.days_of_page(table, limit, offset)
     found = [tuple(r) for r in paging.page(rows_.drop("obs_date"), limit, rest).collect()]
     assert found == ordered(data)[offset:offset + limit]
@@ -92,7 +92,7 @@ def test_page_of_a_table_by_day(spark, tmp_path, offset, limit):
 def test_page_of_a_table_by_day_reads_its_days_only(spark, tmp_path):
     df, _ = observations(spark)
     write_table(df, str(tmp_path / "t"), by_day=True)
-    rows_, rest = paging.days_of_page(spark.read.parquet(str(tmp_path / "t")), 10, 200)
+    rows_, rest = paging.days_of_page(read_table(spark, str(tmp_path / "t")), 10, 200)
     assert "PartitionFilters: [isnotnull(obs_date" in plan(rows_) and rest < 200
 
 

@@ -87,21 +87,62 @@ def test_cities_rename_coordinates(spark, lake):
         ("SP-Águas de Lindóia", -22.5, -46.6)]
 
 
+def versions(path):
+    return sorted(p.name for p in Path(path).iterdir())
+
+
 def test_write_replaces_the_table(spark, tmp_path):
     path = str(tmp_path / "t")
     tables.write_table(spark.range(5), path)
+    old = tables.read_table(spark, path)
     tables.write_table(spark.range(3), path)
-    assert spark.read.parquet(path).count() == 3
+    assert tables.read_table(spark, path).count() == 3 and old.count() == 5
+    assert len(versions(path)) == 2
+    tables.write_table(tables.read_table(spark, path).filter("id > 0"), path, keep_seconds=-1)
+    assert rows(tables.read_table(spark, path)) == [(1,), (2,)] and len(versions(path)) == 1
 
 
-def test_write_by_day_prunes(spark, tmp_path):
+def test_a_failed_or_unfinished_write_is_not_read(spark, tmp_path):
+    path = str(tmp_path / "t")
+    tables.write_table(spark.range(5), path)
+    with pytest.raises(Exception, match="no such row"):
+        tables.write_table(spark.range(9).select(F.raise_error(F.lit("no such row")).alias("id")), path)
+    spark.range(7).write.parquet(f"{path}/v-99990101T000000000000-0")  # written, not published
+    assert tables.read_table(spark, path).count() == 5
+    tables.write_table(spark.range(6), path, keep_seconds=-1)
+    assert tables.read_table(spark, path).count() == 6
+    assert len(versions(path)) >= 2  # that of a writer which may be at work still
+
+
+def test_a_plain_folder_is_a_table(spark, tmp_path):
+    spark.range(4).write.parquet(str(tmp_path / "t"))
+    assert tables.read_table(spark, str(tmp_path / "t")).count() == 4
+    tables.write_table(spark.range(2), str(tmp_path / "t"))
+    assert tables.read_table(spark, str(tmp_path / "t")).count() == 2
+
+
+def test_write_by_day_prunes_and_counts(spark, tmp_path):
     path = str(tmp_path / "t")
     df = spark.range(96).select((F.lit("2025-06-01 00:00:00").cast("timestamp_ntz")
-                                 + F.make_dt_interval(hours=F.col("id"))).alias("timestamp"))
-    tables.write_table(df.union(spark.sql("SELECT CAST(NULL AS TIMESTAMP_NTZ)")), path, by_day=True)
-    assert {p.name for p in (tmp_path / "t").glob("obs_date=*")} == {
-        *(f"obs_date=2025-06-0{d}" for d in range(1, 5)), "obs_date=__HIVE_DEFAULT_PARTITION__"}
-    assert spark.read.parquet(path).count() == 97
+                                 + F.make_dt_interval(mins=F.col("id") * 90)).alias("timestamp"),
+                                F.lit("SP").alias("uf"))
+    tables.write_table(df.union(spark.sql("SELECT CAST(NULL AS TIMESTAMP_NTZ), 'RJ'")), path, by_day=True)
+    assert {p.name for p in Path(tables.current(spark, path).removeprefix("file:")).glob("obs_date=*")} == {
+        *(f"obs_date=2025-06-0{d}" for d in range(1, 7)), "obs_date=__HIVE_DEFAULT_PARTITION__"}
+    table = tables.read_table(spark, path)
+    assert table.count() == 97 and table.columns == ["timestamp", "uf", "obs_date"]
+    index = tables.row_index(spark, path)
+    assert index.columns == ["hour", "uf", "rows", "at_start"]
+    assert index.agg(F.sum("rows"), F.sum("at_start")).first()[:] == (97, 48)
+    assert rows(index.filter("hour IS NULL"), "uf", "rows", "at_start") == [("RJ", 1, 0)]
+
+
+def test_a_table_by_day_without_rows(spark, tmp_path):
+    path = str(tmp_path / "t")
+    empty = spark.createDataFrame([], "timestamp timestamp_ntz, uf string, city string")
+    tables.write_table(empty, path, by_day=True)
+    assert tables.read_table(spark, path).count() == 0
+    assert tables.row_index(spark, path).count() == 0
 
 
 def test_preview_projects_and_limits(spark):
