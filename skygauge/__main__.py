@@ -5,8 +5,7 @@ from __future__ import annotations
 import argparse
 from datetime import datetime
 
-from skygauge import schemas
-from skygauge.plans import batch, recent
+from skygauge.plans import batch, recent, upkeep
 from skygauge.session import build_session
 from skygauge.sources.landed import LOOKBACK
 from skygauge.sources.tables import Lake
@@ -23,18 +22,23 @@ RECENT = {
     "recent-airquality": recent.detect_recent_air_quality,
 }
 LANDING = {
-    "land-weather": ("weather", ingest.land_weather, schemas.WEATHER),
-    "land-airquality": ("airquality", ingest.land_air_quality, schemas.AIR_QUALITY_MESSAGE),
+    "land-weather": ("weather", ingest.WEATHER),
+    "land-airquality": ("airquality", ingest.AIR_QUALITY),
+}
+UPKEEP = {
+    "file-weather": upkeep.file_weather,
+    "compact-airquality": upkeep.compact_air_quality,
+    "compact-weather": upkeep.compact_weather,
 }
 
 
 def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="skygauge", description=__doc__)
-    parser.add_argument("job", choices=[*BATCH, *RECENT, *LANDING])
+    parser.add_argument("job", choices=[*BATCH, *RECENT, *LANDING, *UPKEEP])
     parser.add_argument("--raw", required=True, help="root of the raw zone")
     parser.add_argument("--refined", default="", help="root of the refined zone")
     parser.add_argument("--cities", default="", help="JSON file of coordinates by city")
-    parser.add_argument("--as-of", type=datetime.fromisoformat, help="UTC moment of a recent job")
+    parser.add_argument("--as-of", type=datetime.fromisoformat, help="UTC moment of a recent or upkeep job")
     parser.add_argument("--lookback", type=int, default=LOOKBACK, help="seconds")
     parser.add_argument("--landed-by-stream", action="store_true",
                         help="recent weather lies in the layout of land-weather")
@@ -43,15 +47,11 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     return parser.parse_args(argv)
 
 
-def start_landing(job: str, messages, lake: Lake, checkpoint: str, trigger: dict | None = None) -> list:
-    """Start the landing of a topic, and of the messages that it rejects beside it."""
-    topic, land, schema = LANDING[job]
-    trigger = trigger or topics.WHEN_FLUSHED
-    return [
-        land(messages, lake.raw_path(topic), f"{checkpoint}/{topic}", trigger),
-        ingest.land_unreadable(
-            messages, lake.raw_path(f"{topic}_rejected"), f"{checkpoint}/{topic}_rejected", trigger, schema),
-    ]
+def start_landing(job: str, messages, lake: Lake, checkpoint: str, trigger: dict | None = None):
+    """Start the landing of a topic: its rows, and the messages that cannot be read beside them."""
+    topic, kind = LANDING[job]
+    return ingest.land(messages, kind, lake.raw_path(topic), lake.raw_path(f"{topic}_rejected"),
+                       f"{checkpoint}/{topic}", trigger or topics.WHEN_FLUSHED)
 
 
 def run(spark, args: argparse.Namespace) -> None:
@@ -62,10 +62,11 @@ def run(spark, args: argparse.Namespace) -> None:
         streamed = args.job == "recent-weather" and args.landed_by_stream
         layout = {"landed_by_stream": True} if streamed else {}
         RECENT[args.job](spark, lake, args.as_of or utc_now(), args.lookback, **layout)
+    elif args.job in UPKEEP:
+        UPKEEP[args.job](spark, lake, args.as_of or utc_now())
     else:
-        start_landing(args.job, topics.topic_source(spark, args.servers, LANDING[args.job][0]), lake,
-                      args.checkpoint)
-        spark.streams.awaitAnyTermination()
+        messages = topics.topic_source(spark, args.servers, LANDING[args.job][0])
+        start_landing(args.job, messages, lake, args.checkpoint).awaitTermination()
 
 
 if __name__ == "__main__":

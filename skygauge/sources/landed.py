@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from datetime import datetime, timedelta
 from functools import reduce
 
@@ -10,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from skygauge import schemas
+from skygauge import files, schemas
 from skygauge.functions.times import event_time, file_name_time
 
 # Fixed value: how far the recent jobs look back, in seconds.
@@ -90,7 +91,7 @@ def _weather_files(spark: SparkSession, root: str) -> DataFrame:
     return readable_lines(_weather_lines(spark, root, WEATHER_JSON, recursiveFileLookup="true"))
 
 
-def _weather_lines(spark: SparkSession, root: str, schema: T.StructType, **options: str) -> DataFrame:
+def _weather_lines(spark: SparkSession, root: str | list[str], schema: T.StructType, **options: str) -> DataFrame:
     """Landed lines; ``_rejected`` holds a line that is no JSON object of ``schema``."""
     marked = T.StructType([*schema.fields, T.StructField(_REJECTED, T.StringType())])
     return spark.read.schema(marked).options(
@@ -116,17 +117,60 @@ def rejected_weather(spark: SparkSession, root: str) -> DataFrame:
     return found.select(F.col("_metadata.file_path").alias("file"), F.col(_REJECTED).alias("line"))
 
 
+#: Folder of the files that were ingested on a day.
+_FILED = "ingest_date="
+_FILE_NAME = re.compile(r"(\d{4})(\d{2})(\d{2})-\d{6}\.json")
+
+
+def recent_folders(spark: SparkSession, root: str, cutoff: datetime) -> list[str]:
+    """Folders below ``root`` that may hold files ingested since ``cutoff``.
+
+    These are the days from the cutoff's on, and what is not filed by day yet.
+    """
+    return [
+        e.path for e in files.entries(spark, root)
+        if e.folder and not e.name.startswith(("_", "."))
+        and (not e.name.startswith(_FILED) or e.name.removeprefix(_FILED) >= str(cutoff.date()))
+    ]
+
+
+def file_weather_by_date(spark: SparkSession, root: str) -> int:
+    """Move landed files from their city's folder to one of their ingestion date; how many were moved.
+
+    The day and time are those that the file's name carries.  Each file is moved by
+    itself and keeps its name, so a run that breaks off leaves every file in one place,
+    and the next run moves the rest; files of another name stay.  A run lists the
+    cities' folders, which hold only what came since the last one.
+    """
+    moved = 0
+    for city in files.entries(spark, root):
+        if not city.folder or city.name.startswith(("_", ".")) or "=" in city.name:
+            continue
+        for file in files.entries(spark, city.path):
+            named = _FILE_NAME.fullmatch(file.name)
+            if named and not file.folder:
+                day = "-".join(named.groups())
+                files.move(spark, file.path, f"{root}/{_FILED}{day}/city_key={city.name}/{file.name}")
+                moved += 1
+    return moved
+
+
 def read_recent_weather_files(
     spark: SparkSession, root: str, as_of: datetime, lookback: int = LOOKBACK
 ) -> DataFrame:
     """Observations of files whose name time is at or after the cutoff.
 
-    The condition is on file metadata, so older files are listed but not opened.
+    Only folders of the lookback's days are listed (see ``file_weather_by_date``), and
+    those of cities whose files are not filed by day yet.  The condition on the name is
+    one on file metadata, so older files of these folders are listed but not opened.
     """
-    cutoff = F.lit(str(as_of - timedelta(seconds=lookback))).cast("timestamp")
-    recent = _weather_files(spark, root).filter(
-        file_name_time(F.col("_metadata.file_path")) >= cutoff
-    )
+    moment = as_of - timedelta(seconds=lookback)
+    folders = recent_folders(spark, root, moment)
+    if not folders:
+        return spark.createDataFrame([], schemas.WEATHER)
+    lines = readable_lines(_weather_lines(spark, folders, WEATHER_JSON, recursiveFileLookup="true"))
+    cutoff = F.lit(str(moment)).cast("timestamp")
+    recent = lines.filter(file_name_time(F.col("_metadata.file_path")) >= cutoff)
     return schemas.conform(recent, schemas.WEATHER)
 
 

@@ -81,6 +81,33 @@ def test_recent_weather_opens_only_recent_files(spark, lake):
     assert recent.select(F.input_file_name()).distinct().count() == 13
 
 
+def test_filing_by_date_leaves_the_other_days_unlisted(spark, lake):
+    root, as_of = lake.raw_path("weather"), NOON + timedelta(hours=2)
+    put_weather(lake, "SP-Santos", NOON - timedelta(days=400), "2024-01-01T00:00", 5.0)
+    before = {look: rows(landed.read_recent_weather_files(spark, root, as_of, look)) for look in (5400, 7200, 10 * 86400)}
+    (Path(root) / "SP-Santos" / "notes.txt").write_text("not a landing")
+    whole = rows(landed.read_weather(spark, root).filter("city IS NOT NULL"))
+    assert landed.file_weather_by_date(spark, root) == 26
+    assert landed.file_weather_by_date(spark, root) == 0
+    assert {p.name for p in Path(root).glob("ingest_date=*")} == {
+        "ingest_date=2025-06-08", "ingest_date=2025-06-05", "ingest_date=2024-05-04"}
+    for look, expected in before.items():
+        assert rows(landed.read_recent_weather_files(spark, root, as_of, look)) == expected
+    folders = landed.recent_folders(spark, root, as_of - timedelta(hours=2))
+    assert sorted(f.rpartition("/")[2] for f in folders) == ["RJ-Rio-Bonito", "SP-Campinas", "SP-Santos", "ingest_date=2025-06-08"]
+    files_read = landed.read_recent_weather_files(spark, root, as_of).inputFiles()
+    assert files_read and not any("2025-06-05" in f or "2024-05-04" in f for f in files_read)
+    assert rows(landed.read_weather(spark, root).filter("city IS NOT NULL")) == whole
+    # What comes next lies in the city's folder until it is filed.
+    put_weather(lake, "SP-Santos", NOON + timedelta(hours=1), "2025-06-08T13:00", 7.0)
+    assert landed.read_recent_weather_files(spark, root, as_of).count() == len(before[7200]) + 1
+
+
+def test_recent_weather_of_a_folder_that_is_not_there(spark, tmp_path):
+    found = landed.read_recent_weather_files(spark, str(tmp_path / "none"), NOON)
+    assert found.count() == 0 and found.columns[0] == "city"
+
+
 def test_cities_rename_coordinates(spark, lake):
     assert rows(landed.read_cities(spark, lake.cities), "city", "lat", "long") == [
         ("SP-Campinas", -22.9, -47.1), ("SP-Santos", -23.9, -46.3),

@@ -10,14 +10,16 @@ import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
+from skygauge import files
+from skygauge.__main__ import LANDING, arguments, run, start_landing
 from skygauge.functions import payloads
 from skygauge.operators.anomalies import AIR_QUALITY
-from skygauge.plans import recent
-from skygauge.sources import landed
+from skygauge.plans import recent, upkeep
+from skygauge.sources import compaction, landed
 from skygauge.sources.tables import load_refined
 from skygauge.streaming import ingest, refresh, topics
 from tests.conftest import rows
-from tests.lake import NOON, SPIKE, make_lake
+from tests.lake import NOON, SPIKE, make_lake, put_airquality, put_weather
 
 ONCE = {"availableNow": True}
 
@@ -72,15 +74,159 @@ def test_restart_adds_only_new_messages(spark, tmp_path):
 
 
 def test_unreadable_messages_are_counted_and_landed_aside(spark, tmp_path):
-    put(tmp_path / "in", "a.txt", [air(1.0), "not json", '{"city": 3', "[1"])
-    query = ingest.land_air_quality(
-        source(spark, tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "m1"), ONCE)
+    bad = ["not json", '{"city": 3', "[1", '{"value": "much"}']
+    put(tmp_path / "in", "a.txt", [air(1.0), *bad])
+    query = ingest.land_air_quality(source(spark, tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "m1"), ONCE)
     query.awaitTermination()
     seen = [p.observedMetrics["decode"] for p in query.recentProgress if "decode" in p.observedMetrics]
-    assert (sum(m.messages for m in seen), sum(m.unreadable for m in seen)) == (4, 3)
-    ingest.land_unreadable(
-        source(spark, tmp_path / "in"), str(tmp_path / "bad"), str(tmp_path / "m2"), ONCE).awaitTermination()
-    assert rows(spark.read.text(str(tmp_path / "bad"))) == [("[1",), ("not json",), ('{"city": 3',)]
+    assert (sum(m.messages for m in seen), sum(m.unreadable for m in seen)) == (5, 4)
+    assert rows(landed.read_airquality(spark, str(tmp_path / "out")), "value") == [(1.0,)]
+    assert rows(ingest.read_rejected(spark, str(tmp_path / "out_rejected")), "value") == sorted((b,) for b in bad)
+    assert ingest.read_rejected(spark, str(tmp_path / "nothing")).count() == 0
+
+
+JOBS = {
+    "land-airquality": lambda i: air(float(i), None if i % 5 == 0 else f"2025-06-0{1 + i % 3} 12:00:00"),
+    "land-weather": lambda i: weather(f"SP-C{i % 3}", i, float(i)),
+}
+VALUE = {"land-airquality": "value", "land-weather": "temperature"}
+
+
+def landed_by(spark, lake, job):
+    topic = LANDING[job][0]
+    read = {"airquality": landed.read_airquality, "weather": landed.read_weather}[topic]
+    return (sorted(rows(read(spark, lake.raw_path(topic)), VALUE[job])),
+            rows(ingest.read_rejected(spark, lake.raw_path(f"{topic}_rejected")), "value"))
+
+
+@pytest.mark.parametrize("job", list(JOBS))
+def test_landing_jobs_land_and_set_aside_everything(spark, tmp_path, job, monkeypatch):
+    lake = make_lake(tmp_path)
+    monkeypatch.setattr(topics, "topic_source", lambda spark, servers, topic: source(spark, tmp_path / topic))
+    monkeypatch.setattr(topics, "WHEN_FLUSHED", ONCE)
+    topic = LANDING[job][0]
+    for n in range(3):
+        put(tmp_path / topic, f"{n}.txt", [*[JOBS[job](i) for i in range(20 * n, 20 * n + 20)], f"broken {n}"])
+        run(spark, arguments([job, "--raw", lake.raw, "--checkpoint", str(tmp_path / "marks")]))
+    good, bad = landed_by(spark, lake, job)
+    assert good == [(float(i),) for i in range(60)] and bad == [("broken 0",), ("broken 1",), ("broken 2",)]
+
+
+@pytest.mark.parametrize("job", list(JOBS))
+@pytest.mark.parametrize("fails_at", [1, 2, 4])
+def test_a_batch_that_broke_off_lands_once(spark, tmp_path, job, fails_at, monkeypatch):
+    """Ended before, between and after the moves of either table, then started again."""
+    lake, topic, count = make_lake(tmp_path), LANDING[job][0], [0]
+    put(tmp_path / "in", "a.txt", [JOBS[job](i) for i in range(10)])
+    start = lambda: start_landing(job, source(spark, tmp_path / "in"), lake, str(tmp_path / "marks"), ONCE)
+    start().awaitTermination()
+    put(tmp_path / "in", "b.txt", [*[JOBS[job](i) for i in range(10, 40)], "broken 1", "broken 2"])
+    move = files.move
+
+    def breaks(*args):
+        count[0] += 1
+        if count[0] == fails_at:
+            raise RuntimeError("ended here")
+        move(*args)
+
+    with monkeypatch.context() as patched:
+        patched.setattr(files, "move", breaks)
+        with pytest.raises(Exception, match="ended here"):
+            start().awaitTermination()
+            raise RuntimeError("ended here")  # fewer moves than that
+    start().awaitTermination()
+    good, bad = landed_by(spark, lake, job)
+    assert good == [(float(i),) for i in range(40)] and bad == [("broken 1",), ("broken 2",)]
+    (pending,) = ingest.pending_batches(spark, lake.raw_path(topic))
+    assert pending.endswith("-000000001")
+
+
+def test_a_batch_that_was_not_noted_replaces_its_files(spark, tmp_path):
+    """Moved wholly, but the query's own note of the batch is lost."""
+    out, marks = str(tmp_path / "out"), tmp_path / "marks"
+    put(tmp_path / "in", "a.txt", [air(float(i), None) for i in range(30)])
+    ingest.land_air_quality(source(spark, tmp_path / "in"), out, str(marks), ONCE).awaitTermination()
+    before = rows(landed.read_airquality(spark, out), "value", "timestamp")
+    for note in (marks / "commits").iterdir():
+        note.unlink()
+    ingest.land_air_quality(source(spark, tmp_path / "in"), out, str(marks), ONCE).awaitTermination()
+    assert rows(landed.read_airquality(spark, out), "value", "timestamp") == before and len(before) == 30
+
+
+def test_a_query_started_anew_replaces_nothing(spark, tmp_path):
+    out = str(tmp_path / "out")
+    for mark in ("m1", "m2"):
+        put(tmp_path / mark / "in", "a.txt", [air(1.0)])
+        ingest.land_air_quality(source(spark, tmp_path / mark / "in"), out, str(tmp_path / mark / "c"), ONCE).awaitTermination()
+    assert landed.read_airquality(spark, out).count() == 2
+
+
+def test_a_table_of_a_file_sink_is_refused(spark, tmp_path):
+    (tmp_path / "out" / "_spark_metadata").mkdir(parents=True)
+    put(tmp_path / "in", "a.txt", [air(1.0)])
+    with pytest.raises(ValueError, match="file sink"):
+        ingest.land_air_quality(source(spark, tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "m"), ONCE)
+
+
+# --- compaction -----------------------------------------------------------------
+
+def data_files(root):
+    return sorted(str(p.relative_to(root)) for p in Path(root).rglob("*")
+                  if p.is_file() and not any(part.startswith(("_", ".")) for part in p.relative_to(root).parts))
+
+
+@pytest.mark.parametrize("job", list(JOBS))
+def test_closed_days_are_compacted(spark, tmp_path, job):
+    lake, topic = make_lake(tmp_path), LANDING[job][0]
+    for n in range(4):
+        put(tmp_path / "in", f"{n}.txt", [JOBS[job](i) for i in range(12 * n, 12 * n + 12)])
+        start_landing(job, source(spark, tmp_path / "in"), lake, str(tmp_path / "marks"), ONCE).awaitTermination()
+    root, before = lake.raw_path(topic), landed_by(spark, lake, job)
+    many, now = data_files(root), refresh.utc_now()
+    compact = {"airquality": upkeep.compact_air_quality, "weather": upkeep.compact_weather}[topic]
+    assert compact(spark, lake, datetime(2025, 6, 1, 12)) == 0 and data_files(root) == many
+    later = now + timedelta(days=3)
+    done = compact(spark, lake, later)
+    # Every folder but those with a file of the last batch, which may be written again.
+    assert done == 0 and data_files(root) == many
+    put(tmp_path / "in", "last.txt", ["broken"])
+    start_landing(job, source(spark, tmp_path / "in"), lake, str(tmp_path / "marks"), ONCE).awaitTermination()
+    folders = {f.rpartition("/")[0] for f in many}
+    assert compact(spark, lake, later) == len(folders)
+    assert [f.rpartition("/")[0] for f in data_files(root)] == sorted(folders)
+    assert landed_by(spark, lake, job)[0] == before[0]
+    assert compact(spark, lake, later) == 0
+    put(tmp_path / "in", "more.txt", [JOBS[job](100)])
+    start_landing(job, source(spark, tmp_path / "in"), lake, str(tmp_path / "marks"), ONCE).awaitTermination()
+    assert landed_by(spark, lake, job)[0] == sorted([*before[0], (100.0,)])
+
+
+def test_compaction_cuts_large_days_and_leaves_named_files(spark, tmp_path):
+    lake = make_lake(tmp_path)
+    for n in range(30):
+        put_airquality(lake, NOON, [("SP-Santos", "o3", float(n), NOON + timedelta(minutes=n))])
+    root = lake.raw_path("airquality")
+    size = sum((Path(root) / f).stat().st_size for f in data_files(root))
+    assert upkeep.compact_air_quality(spark, lake, NOON + timedelta(days=9), file_bytes=size // 4) == 1
+    assert 2 <= len(data_files(root)) <= 5
+    assert sorted(rows(landed.read_airquality(spark, root), "value")) == [(float(n),) for n in range(30)]
+    assert landed.read_recent_airquality(spark, root, NOON).count() == 30
+    for n in range(5):
+        put_weather(lake, "SP-Santos", NOON + timedelta(minutes=n), f"2025-06-08T12:0{n}", 1.0)
+    assert upkeep.file_weather(spark, lake) == 5
+    assert upkeep.compact_weather(spark, lake, NOON + timedelta(days=9), by_city=False) == 0
+
+
+def test_a_failed_compaction_changes_nothing(spark, tmp_path, monkeypatch):
+    lake = make_lake(tmp_path)
+    for n in range(5):
+        put_airquality(lake, NOON, [("SP-Santos", "o3", float(n), NOON)])
+    before = data_files(lake.raw_path("airquality"))
+    read = compaction._read
+    monkeypatch.setattr(compaction, "_read", lambda *a: read(*a).withColumn("value", F.raise_error(F.lit("no"))))
+    with pytest.raises(Exception):
+        upkeep.compact_air_quality(spark, lake, NOON + timedelta(days=9))
+    assert data_files(lake.raw_path("airquality")) == before
 
 
 def weather(city, minute, temperature):
