@@ -5,6 +5,7 @@ from __future__ import annotations
 import argparse
 from datetime import datetime
 
+from skygauge.operators.quantiles import METHODS
 from skygauge.plans import batch, recent, upkeep
 from skygauge.session import build_session
 from skygauge.sources.landed import LOOKBACK
@@ -42,6 +43,7 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--lookback", type=int, default=LOOKBACK, help="seconds")
     parser.add_argument("--landed-by-stream", action="store_true",
                         help="recent weather lies in the layout of land-weather")
+    parser.add_argument("--method", choices=list(METHODS), default="exact", help="quartiles of a detecting job")
     parser.add_argument("--servers", default="", help="Kafka servers of a landing job")
     parser.add_argument("--checkpoint", default="", help="checkpoint folder of a landing job")
     return parser.parse_args(argv)
@@ -57,11 +59,11 @@ def start_landing(job: str, messages, lake: Lake, checkpoint: str, trigger: dict
 def run(spark, args: argparse.Namespace) -> None:
     lake = Lake(args.raw, args.refined, args.cities)
     if args.job in BATCH:
-        BATCH[args.job](spark, lake)
+        BATCH[args.job](spark, lake, **({} if args.job == "refine" else {"method": args.method}))
     elif args.job in RECENT:
         streamed = args.job == "recent-weather" and args.landed_by_stream
         layout = {"landed_by_stream": True} if streamed else {}
-        RECENT[args.job](spark, lake, args.as_of or utc_now(), args.lookback, **layout)
+        RECENT[args.job](spark, lake, args.as_of or utc_now(), args.lookback, method=args.method, **layout)
     elif args.job in UPKEEP:
         UPKEEP[args.job](spark, lake, args.as_of or utc_now())
     else:

@@ -15,12 +15,14 @@ AQI_SOURCE = "WAQI"
 _CORRUPT = "_unreadable"
 
 
-def decode_json(df: DataFrame, column: str, schema: T.StructType) -> DataFrame:
+def decode_json(df: DataFrame, column: str, schema: T.StructType, alone: bool = True) -> DataFrame:
     """Replace ``column`` by the fields of its JSON object.
 
     Rows without exactly one such object stay, with the text in ``_unreadable``
-    and NULL fields; see :func:`readable` and :func:`unreadable`.  Whole numbers
-    inside nested fields stay doubles.
+    and NULL fields; see :func:`readable` and :func:`unreadable`.  So do those with a
+    fraction, or a number too large, where the schema has a whole number; ``90.0`` is
+    one.  Whole numbers inside nested fields stay doubles.  With ``alone=False`` text
+    after the object is passed over.
     """
     others = [c for c in df.columns if c != column]
     wrapped = T.StructType([
@@ -30,8 +32,10 @@ def decode_json(df: DataFrame, column: str, schema: T.StructType) -> DataFrame:
     text = F.col("_text")
     # The parser stops after the first value; the two wrappings expose a rest.
     parsed = F.from_json(F.concat(F.lit('{"_doc":'), text, F.lit("}")), wrapped, options)
-    alone = F.json_array_length(F.concat(F.lit("["), text, F.lit("]"))) == 1
-    good = F.coalesce(alone, F.lit(False)) & F.col("_rejected").isNull() & F.col("_doc").isNotNull()
+    good = F.col("_rejected").isNull() & F.col("_doc").isNotNull() & _whole_numbers(F.col("_doc"), schema)
+    if alone:
+        one = F.json_array_length(F.concat(F.lit("["), text, F.lit("]"))) == 1
+        good = F.coalesce(one, F.lit(False)) & good
     return (
         df.select(*others, F.coalesce(F.col(column).cast("string"), F.lit("")).alias("_text"))
         # As a generator the document is parsed once, whatever is later filtered.
@@ -48,6 +52,19 @@ def decode_json(df: DataFrame, column: str, schema: T.StructType) -> DataFrame:
     )
 
 
+def _whole_numbers(fields: Column, schema: T.StructType) -> Column:
+    """Whether every whole number of the schema, read as a double, is one and within its type."""
+    good = F.lit(True)
+    for f in schema.fields:
+        field = fields[f.name]
+        if isinstance(f.dataType, T.StructType):
+            good = good & (field.isNull() | _whole_numbers(field, f.dataType))
+        elif isinstance(f.dataType, T.IntegerType):
+            fits = field.between(-(2.0 ** 31), 2.0 ** 31 - 1) & (field == F.floor(field))
+            good = good & F.coalesce(fits, F.lit(True))
+    return good
+
+
 def _typed(field: Column, kind: T.DataType) -> Column:
     return field.try_cast(kind) if isinstance(kind, T.NumericType) else field
 

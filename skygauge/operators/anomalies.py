@@ -12,7 +12,15 @@ from pyspark.sql import types as T
 from skygauge.functions.scoring import iqr_outlier, severity, z_score
 from skygauge.functions.times import event_time
 from skygauge.operators.joins import lookup_join, total_bytes
-from skygauge.operators.quantiles import QUARTILES, counted_quantiles, quartiles, trim_band
+from skygauge.operators.quantiles import (
+    QUARTILES,
+    SKETCH_PARTS,
+    SKETCH_SIZE,
+    counted_quantiles,
+    quartiles,
+    read_sketches,
+    trim_band,
+)
 from skygauge.operators.ranks import WEIGHT
 from skygauge.operators.refine import distinct_rows
 from skygauge.session import materialize
@@ -106,11 +114,13 @@ def baseline(facts: DataFrame, kind: Readings, method: str = "exact") -> Baselin
     """Hourly statistics joined with quartiles: one row per entity and hour.
 
     What is derived from the facts is stored, so scoring does not repeat it.
-    ``method`` chooses exact or sketched quartiles.
+    ``method`` chooses the quartiles, see ``quantiles.quartiles``.
     """
     keys = list(kind.keys)
     if method == "exact":
         return _baseline_in_one_scan(facts, kind)
+    if method == "sketch":
+        return _baseline_of_sketches(facts, kind)
     table = hourly_stats(facts, kind).join(quartiles(facts, keys, kind.value, method), keys)
     stored = materialize(table, "baseline", size=total_bytes(table))
     return Baseline(stored.table, stored.measures["size"])
@@ -134,6 +144,34 @@ def _baseline_in_one_scan(facts: DataFrame, kind: Readings) -> Baseline:
     return Baseline(hourly.join(entity, keys), stored.measures["size"])
 
 
+def _baseline_of_sketches(facts: DataFrame, kind: Readings) -> Baseline:
+    """One grouped pass keeps moments and a sketch by hour; those of an entity's hours are merged.
+
+    Parts of the scan are summarised first, so a hot city does not meet in one task: at
+    most ``SKETCH_PARTS`` summaries of an hour are.
+    """
+    keys = list(kind.keys)
+    part = F.pmod(F.spark_partition_id(), F.lit(SKETCH_PARTS)).alias("_part")
+    parts = facts.groupBy(*keys, "hour", part).agg(
+        F.count(kind.value).alias("n"), F.avg(kind.value).alias("m"), F.var_pop(kind.value).alias("v"),
+        F.kll_sketch_agg_double(F.col(kind.value).cast("double"), SKETCH_SIZE).alias("_sketch"))
+    hours = parts.groupBy(*keys, "hour").agg(
+        F.sum("n").alias("_n"), F.collect_list(F.struct("n", "m", "v")).alias("_parts"),
+        F.kll_merge_agg_double("_sketch", SKETCH_SIZE).alias("_sketch"))
+    mean = F.aggregate("_parts", F.lit(0.0), lambda total, p: total + p["n"] * p["m"]) / F.col("_n")
+    squares = F.aggregate("_parts", F.lit(0.0), lambda total, p: total + p["n"] * (
+        p["v"] + (p["m"] - F.col(kind.mean)) * (p["m"] - F.col(kind.mean))))
+    grouped = hours.withColumn(kind.mean, mean).withColumn(
+        kind.spread, F.when(F.col("_n") > 1, F.sqrt(squares / (F.col("_n") - 1)))
+    ).select(*keys, "hour", kind.mean, kind.spread, "_sketch")
+    flat = grouped.drop("_sketch")
+    stored = materialize(grouped, "sketched", size=total_bytes(flat))
+    merged = stored.table.groupBy(*keys).agg(F.kll_merge_agg_double("_sketch", SKETCH_SIZE).alias("_sketch"))
+    # Kept once: merging draws again at each reading.
+    entity = materialize(read_sketches(merged, keys, QUARTILES), "quartiles").table
+    return Baseline(stored.table.drop("_sketch").join(entity, keys), stored.measures["size"])
+
+
 def score(facts: DataFrame, against: Baseline, kind: Readings,
           limit: int | None = None) -> DataFrame:
     """Add statistics, z-score, severity, quartiles and the IQR flag to facts."""
@@ -166,4 +204,7 @@ def detect_anomalies(
     while they stream past the broadcast lookup, without a shuffle.
     """
     facts = prepare(df, kind, relative_error, dedup_first, drop_nonfinite)
+    if dedup_first:
+        # The copies are dropped by one shuffle of the facts, not again by the scoring.
+        facts = materialize(facts, "distinct").table
     return only_anomalies(score(facts, baseline(facts, kind, method), kind), kind)

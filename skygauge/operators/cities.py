@@ -11,27 +11,26 @@ from pyspark.sql import functions as F
 RANGE_PART = r"([A-Z]{2})\{([A-Z])-([A-Z])\}"
 
 
-def letter_ranges(spec: str) -> dict[str, list[str]]:
-    """Letters by state of a list such as ``SP{A-H},RJ{D-F}``.
+def letter_ranges(spec: str) -> list[tuple[str, str, str]]:
+    """(state, first, last) of a list such as ``SP{A-H},RJ{D-F}``.
 
     Unreadable parts are skipped and a repeated state takes its last range.
     """
-    found = (re.match(RANGE_PART, part) for part in spec.split(","))
-    return {
-        m[1]: [chr(code) for code in range(ord(m[2]), ord(m[3]) + 1)] for m in found if m
-    }
+    last = {found[0]: found for part in spec.split(",") for found in re.findall(f"^{RANGE_PART}", part)}
+    return list(last.values())
 
 
 def in_letter_ranges(key: Column, spec: str) -> Column:
     """Whether a ``UF-Name`` key has a listed state and initial.
 
-    An accented initial is no listed letter; an empty list selects nothing.
+    Initials are compared by code point, so an accented one is in no range of letters;
+    an empty list selects nothing.
     """
-    state = F.get(F.split(key, "-", 2), F.lit(0))
-    initial = F.upper(F.substring(F.get(F.split(key, "-", 2), F.lit(1)), 1, 1))
+    parts = F.split(key, "-", 2)
+    state, initial = F.get(parts, F.lit(0)), F.upper(F.substring(F.get(parts, F.lit(1)), 1, 1))
     selected = F.lit(False)
-    for code, letters in letter_ranges(spec).items():
-        selected = selected | ((state == code) & initial.isin(letters))
+    for code, first, last in letter_ranges(spec):
+        selected = selected | ((state == code) & initial.between(first, last))
     return selected
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from skygauge.functions.times import day_bound
 from skygauge.operators.ranks import FIRST, LAST, WEIGHT, count_copies, select_ranks
-from skygauge.session import materialize
+from skygauge.session import materialize, settle
 
 #: A page that ends within this many rows is a bounded top-k in every task.
 TOP_K_ROWS = 100_000
@@ -107,7 +107,49 @@ def days_of_page(df: DataFrame, limit: int, offset: int) -> tuple[DataFrame, int
     return kept, offset - (span["first"] - 1)
 
 
+def hours_of_page(
+    df: DataFrame, index: DataFrame, limit: int, offset: int, date_from: str = "", date_to: str = "",
+    uf: str = "", city: str = "",
+) -> tuple[DataFrame, int]:
+    """Only the hours of a page, and the offset that remains in them, without reading the rows.
+
+    ``df`` is a table stored by day, filtered as the other parameters say, and ``index``
+    its rows by hour, state and city (see ``tables.indexed_table``).  The filters hold of
+    whole hours, but for the last moment of a range, whose rows the index has apart.
+    """
+    if limit <= 0 or offset < 0:
+        return df, offset
+    hours, rows = place(index, uf, city), F.col("rows")
+    kind = index.schema["hour"].dataType
+    if date_from:
+        hours = hours.filter(F.col("hour") >= F.lit(str(day_bound(date_from))).cast(kind))
+    if date_to:
+        last = F.lit(str(day_bound(date_to))).cast(kind)
+        hours = hours.filter(F.col("hour") <= last)
+        rows = F.when(F.col("hour") == last, F.col("at_start")).otherwise(rows)
+    counted = hours.groupBy(F.col("hour").alias("_bucket")).agg(F.sum(rows).alias(WEIGHT)).filter(F.col(WEIGHT) > 0)
+    # The calendar bounds the hours, so they are ranked without storing them.
+    span = _touched(counted, 0, offset, offset + limit)
+    if span is None:
+        return df.limit(0), 0
+    since = until = first_day = after = None
+    if span["since"] is not None:
+        kind = df.schema["timestamp"].dataType
+        since, last = F.lit(span["since"]).cast(kind), F.lit(span["until"]).cast(kind)
+        until = last + F.expr("INTERVAL 1 HOUR")
+        first_day, after = F.to_date(since), F.date_add(F.to_date(last), 1)
+    kept = df.filter(_within("obs_date", first_day, after, span["missing"])).filter(
+        _within("timestamp", since, until, span["missing"]))
+    return kept, offset - (span["first"] - 1)
+
+
 def _ranked_page(df, offset, end, ties, one_slice_rows):
+    """The page's rows are stored, the steps on the way to them are not kept."""
+    found = settle(lambda: _ranked_rows(df, offset, end, ties, one_slice_rows), "page")
+    return by_time(found.table, ties)
+
+
+def _ranked_rows(df, offset, end, ties, one_slice_rows):
     hours = df.select(F.date_trunc("hour", "timestamp").alias("_bucket"))
     counted = materialize(count_copies(hours, ["_bucket"]), "hours")
     span = _touched(counted.table, counted.rows, offset, end)
@@ -129,7 +171,7 @@ def _ranked_page(df, offset, end, ties, one_slice_rows):
     )
     copies = F.least(F.col(LAST), high) - F.greatest(F.col(FIRST), low) + 1
     repeated = ranked.withColumn(WEIGHT, F.explode(F.sequence(F.lit(1), copies)))
-    return by_time(repeated.select(*df.columns), ties)
+    return repeated.select(*df.columns)
 
 
 def date_range(

@@ -1,4 +1,4 @@
-"""Quantiles by group, exact or sketched, and the quantile-band trim."""
+"""Quantiles by group, exact or approximate, and the quantile-band trim."""
 
 from __future__ import annotations
 
@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skygauge.operators.ranks import FIRST, LAST, TOTAL, count_copies, select_ranks
+from skygauge.operators.refinement import refined_quantiles
 from skygauge.session import materialize
 
 #: Items a sketch keeps; larger is more precise (0.1 % of rank at 4096).
@@ -82,17 +83,48 @@ def sketch_quantiles(
         .groupBy(*group)
         .agg(F.kll_merge_agg_double("_sketch", size).alias("_sketch"))
     )
+    return read_sketches(sketched, group, shares)
+
+
+def read_sketches(sketched: DataFrame, group: Sequence[str], shares: Mapping[str, float]) -> DataFrame:
+    """Each named quantile of the sketches in ``_sketch``."""
     return sketched.select(*group, *[
         F.kll_sketch_get_quantile_double("_sketch", F.lit(s)).alias(name)
         for name, s in shares.items()
     ])
 
 
-METHODS = {"exact": exact_quantiles, "sketch": sketch_quantiles}
+#: Counters of the summary by group; its rank error is one in so many.
+ACCURACY = 10_000
+
+
+def approximate_quantiles(
+    df: DataFrame,
+    group: Sequence[str],
+    value: str,
+    shares: Mapping[str, float],
+    accuracy: int = ACCURACY,
+) -> DataFrame:
+    """The same from Spark's summary, without chance: exact for groups within ``accuracy`` rows."""
+    return df.filter(F.col(value).isNotNull()).groupBy(*group).agg(*[
+        F.percentile_approx(value, s, accuracy).alias(name) for name, s in shares.items()])
+
+
+METHODS = {
+    "exact": exact_quantiles,
+    "refine": refined_quantiles,
+    "approximate": approximate_quantiles,
+    "sketch": sketch_quantiles,
+}
 
 
 def quartiles(df: DataFrame, group: Sequence[str], value: str, method: str = "exact") -> DataFrame:
-    """Q1 and Q3 by group; ``method`` is ``exact`` or ``sketch``."""
+    """Q1 and Q3 by group.
+
+    ``exact`` counts readings by value; ``refine`` is as exact and never stores a table
+    that grows with the readings, at the price of more passes; ``approximate`` and
+    ``sketch`` are summaries, the latter one with chance in it.
+    """
     return METHODS[method](df, group, value, QUARTILES)
 
 

@@ -14,7 +14,7 @@ from skygauge.operators.refine import (
     refine_weather_anomalies,
 )
 from skygauge.session import scratch_of
-from skygauge.sources.landed import read_airquality, read_cities, read_weather
+from skygauge.sources.landed import observations, read_airquality, read_cities, rejects, weather_lines
 from skygauge.sources.tables import Lake, parsed_once, read_table, write_table
 
 
@@ -22,12 +22,14 @@ def detect_weather(spark: SparkSession, lake: Lake, **options) -> None:
     """Write raw and refined weather anomalies of the whole history.
 
     ``options`` go to the anomaly kernel.  The refined table is made from the
-    stored anomalies, so the history is scored once.
+    stored anomalies, so the history is scored once.  Lines that are no observations
+    are stored aside, with their files.
     """
     raw = lake.raw_path("weather_anomalies")
-    history = read_weather(spark, lake.raw_path("weather"))
-    with scratch_of(spark, lake.job("detect-weather")), parsed_once(history) as history:
-        write_table(detect_anomalies(history, WEATHER, **options), raw, compact=True)
+    landed_lines = weather_lines(spark, lake.raw_path("weather"))
+    with scratch_of(spark, lake.job("detect-weather")), parsed_once(landed_lines) as lines:
+        write_table(detect_anomalies(observations(lines), WEATHER, **options), raw, compact=True)
+        write_table(rejects(lines), lake.raw_path("weather_unreadable_lines"), compact=True)
     refined = refine_weather_anomalies(
         read_table(spark, raw), read_cities(spark, lake.cities)
     )
@@ -46,23 +48,24 @@ def detect_air_quality(spark: SparkSession, lake: Lake, **options) -> None:
     write_table(refined, lake.refined_path("airquality_anomalies"))
 
 
-#: Reader and refinement of each fact.
-FACTS = {
-    "weather": (read_weather, refine_weather),
-    "airquality": (read_airquality, refine_air_quality),
-}
+#: The facts that are refined.
+FACTS = ("weather", "airquality")
 
 
 def refine_facts(
-    spark: SparkSession, lake: Lake, facts: Sequence[str] = tuple(FACTS), by_day: bool = True
+    spark: SparkSession, lake: Lake, facts: Sequence[str] = FACTS, by_day: bool = True
 ) -> None:
     """Write facts with coordinates, state and typed time, once each row.
 
     Day directories let date ranges read their days only; with ``by_day=False`` the
-    tables are flat and have no ``obs_date``.
+    tables are flat and have no ``obs_date``.  Weather lines that are no observations
+    are stored aside, with their files.
     """
     cities = read_cities(spark, lake.cities)
-    for name in facts:
-        read, refine = FACTS[name]
-        refined = refine(read(spark, lake.raw_path(name)), cities)
-        write_table(refined, lake.refined_path(name), by_day)
+    if "weather" in facts:
+        with parsed_once(weather_lines(spark, lake.raw_path("weather"))) as lines:
+            write_table(refine_weather(observations(lines), cities), lake.refined_path("weather"), by_day)
+            write_table(rejects(lines), lake.raw_path("weather_unreadable_lines"), compact=True)
+    if "airquality" in facts:
+        refined = refine_air_quality(read_airquality(spark, lake.raw_path("airquality")), cities)
+        write_table(refined, lake.refined_path("airquality"), by_day)

@@ -12,9 +12,9 @@ from skygauge.operators.contracts import (
     Contract,
     project,
 )
-from skygauge.operators.paging import date_range, days_of_page, page, place
+from skygauge.operators.paging import date_range, days_of_page, hours_of_page, page, place
 from skygauge.operators.refine import clean_numbers
-from skygauge.sources.tables import Lake, load_refined
+from skygauge.sources.tables import Lake, indexed_table, load_refined
 
 # Fixed value: rows of a page.
 PAGE_ROWS = 1000
@@ -30,14 +30,19 @@ def serve(
     uf: str = "",
     city: str = "",
     cleaned: bool = False,
+    index: DataFrame | None = None,
 ) -> DataFrame:
     """One page of a refined table under a contract.
 
     Filters come first and reach the scan, only contract columns are read, and of
-    a table stored by day only the days that hold the page.
+    a table stored by day only the days that hold the page.  With its ``index`` these
+    are the hours that hold it, found without reading the table.
     """
     rows = place(date_range(table, date_from, date_to), uf, city)
-    rows, offset = days_of_page(rows, limit, offset)
+    if index is None:
+        rows, offset = days_of_page(rows, limit, offset)
+    else:
+        rows, offset = hours_of_page(rows, index, limit, offset, date_from, date_to, uf, city)
     rows = project(rows, contract)
     if cleaned:
         rows = clean_numbers(rows)
@@ -47,8 +52,8 @@ def serve(
 def query_weather(spark: SparkSession, lake: Lake, limit: int = PAGE_ROWS, offset: int = 0,
                   date_from: str = "", date_to: str = "", uf: str = "", city: str = "") -> DataFrame:
     """Weather observations."""
-    return serve(load_refined(spark, lake, "weather"), WEATHER_CONTRACT,
-                 limit, offset, date_from, date_to, uf, city)
+    table, index = indexed_table(spark, lake.refined_path("weather"))
+    return serve(table, WEATHER_CONTRACT, limit, offset, date_from, date_to, uf, city, index=index)
 
 
 def query_weather_anomalies(
@@ -71,8 +76,8 @@ def query_air_quality(
         spark: SparkSession, lake: Lake, limit: int = PAGE_ROWS, offset: int = 0,
         date_from: str = "", date_to: str = "", uf: str = "", city: str = "") -> DataFrame:
     """Air-quality measurements."""
-    return serve(load_refined(spark, lake, "airquality"), AIR_QUALITY_CONTRACT,
-                 limit, offset, date_from, date_to, uf, city)
+    table, index = indexed_table(spark, lake.refined_path("airquality"))
+    return serve(table, AIR_QUALITY_CONTRACT, limit, offset, date_from, date_to, uf, city, index=index)
 
 
 def query_air_quality_anomalies(

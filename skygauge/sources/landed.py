@@ -12,18 +12,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from skygauge import files, schemas
+from skygauge.functions.payloads import decode_json, readable
 from skygauge.functions.times import event_time, file_name_time
 
 # Fixed value: how far the recent jobs look back, in seconds.
 LOOKBACK = 7200
 
-_REJECTED = "_rejected"
-
-#: Weather as its JSON is parsed; the stream also says when it was ingested.
-WEATHER_JSON = schemas.lenient(schemas.WEATHER)
-LANDED_WEATHER_JSON = T.StructType(
-    [*WEATHER_JSON.fields, T.StructField("ingest_ts", T.TimestampType())]
-)
+#: Weather as streams land it: they also say when it was ingested.
+LANDED_WEATHER = T.StructType([*schemas.WEATHER.fields, T.StructField("ingest_ts", T.TimestampType())])
 
 
 def _airquality_files(spark: SparkSession, root: str) -> DataFrame:
@@ -82,39 +78,39 @@ def since_cutoff(
     return df.filter(when >= F.lit(str(cutoff)).cast(kind))
 
 
-def read_weather(spark: SparkSession, root: str) -> DataFrame:
-    """Every landed observation, in directories by city or as the stream lands them."""
-    return schemas.conform(_weather_files(spark, root), schemas.WEATHER)
+def weather_lines(spark: SparkSession, root: str) -> DataFrame:
+    """Every landed line with its fields and ``file``, in directories by city or as streams land them.
+
+    A line that is no observation has its text in ``_unreadable``: no JSON object, a field
+    of another type, or a fraction where a whole number belongs.  Each line is parsed
+    once, so it is readable for every query or for none.
+    """
+    lines = spark.read.option("recursiveFileLookup", "true").text(root)
+    return _decoded(lines.select("value", F.col("_metadata.file_path").alias("file")), schemas.WEATHER)
 
 
-def _weather_files(spark: SparkSession, root: str) -> DataFrame:
-    return readable_lines(_weather_lines(spark, root, WEATHER_JSON, recursiveFileLookup="true"))
+def _decoded(lines: DataFrame, schema: T.StructType) -> DataFrame:
+    return decode_json(lines.filter(F.trim("value") != ""), "value", schema, alone=False)
 
 
-def _weather_lines(spark: SparkSession, root: str | list[str], schema: T.StructType, **options: str) -> DataFrame:
-    """Landed lines; ``_rejected`` holds a line that is no JSON object of ``schema``."""
-    marked = T.StructType([*schema.fields, T.StructField(_REJECTED, T.StringType())])
-    return spark.read.schema(marked).options(
-        mode="PERMISSIVE", columnNameOfCorruptRecord=_REJECTED, **options).json(root)
+def observations(lines: DataFrame) -> DataFrame:
+    """The observations among ``weather_lines``."""
+    return schemas.conform(readable(lines), schemas.WEATHER)
 
 
-def readable_lines(lines: DataFrame) -> DataFrame:
-    """The rows of the lines that could be read."""
-    return lines.filter(_judged_whole(lines)).filter(F.col(_REJECTED).isNull()).drop(_REJECTED)
+def rejects(lines: DataFrame) -> DataFrame:
+    """file, line of what is no observation among ``weather_lines``."""
+    return lines.filter(F.col("_unreadable").isNotNull()).select("file", F.col("_unreadable").alias("line"))
 
 
-def _judged_whole(lines: DataFrame) -> Column:
-    """Always true, of all fields: the parser looks only at the fields that a query names,
-    and a line must not be readable for one query and rejected for another."""
-    fields = [c for c in WEATHER_JSON.names if c in lines.columns]
-    return F.xxhash64(*fields) >= F.lit(-(1 << 63))
+def read_weather(spark: SparkSession, root: str) -> DataFrame:
+    """Every landed observation."""
+    return observations(weather_lines(spark, root))
 
 
 def rejected_weather(spark: SparkSession, root: str) -> DataFrame:
-    """The landed lines that the reads leave out, with their file, to be counted or set aside."""
-    lines = _weather_lines(spark, root, WEATHER_JSON, recursiveFileLookup="true")
-    found = lines.filter(_judged_whole(lines)).filter(F.col(_REJECTED).isNotNull())
-    return found.select(F.col("_metadata.file_path").alias("file"), F.col(_REJECTED).alias("line"))
+    """The landed lines that the reads leave out, with their file."""
+    return rejects(weather_lines(spark, root))
 
 
 #: Folder of the files that were ingested on a day.
@@ -168,10 +164,10 @@ def read_recent_weather_files(
     folders = recent_folders(spark, root, moment)
     if not folders:
         return spark.createDataFrame([], schemas.WEATHER)
-    lines = readable_lines(_weather_lines(spark, folders, WEATHER_JSON, recursiveFileLookup="true"))
     cutoff = F.lit(str(moment)).cast("timestamp")
-    recent = lines.filter(file_name_time(F.col("_metadata.file_path")) >= cutoff)
-    return schemas.conform(recent, schemas.WEATHER)
+    lines = spark.read.option("recursiveFileLookup", "true").text(folders).filter(
+        file_name_time(F.col("_metadata.file_path")) >= cutoff)
+    return observations(_decoded(lines, schemas.WEATHER))
 
 
 def read_recent_landed_weather(
@@ -179,12 +175,9 @@ def read_recent_landed_weather(
 ) -> DataFrame:
     """The same for the stream's layout: by ingestion date, then ingestion time."""
     cutoff = as_of - timedelta(seconds=lookback)
-    recent = (
-        readable_lines(_weather_lines(spark, root, LANDED_WEATHER_JSON))
-        .filter(F.col("ingest_date") >= F.lit(str(cutoff.date())).cast("date"))
-        .filter(F.col("ingest_ts") >= F.lit(str(cutoff)).cast("timestamp"))
-    )
-    return schemas.conform(recent, schemas.WEATHER)
+    lines = spark.read.text(root).filter(F.col("ingest_date") >= F.lit(str(cutoff.date())).cast("date"))
+    recent = _decoded(lines.select("value"), LANDED_WEATHER)
+    return observations(recent.filter(F.col("ingest_ts") >= F.lit(str(cutoff)).cast("timestamp")))
 
 
 def read_cities(spark: SparkSession, path: str) -> DataFrame:

@@ -91,7 +91,7 @@ def write_table(
     """Replace a Parquet table by a new version, whole or not at all.
 
     ``by_day`` stores it in directories ``obs_date=...`` so that date ranges read
-    only their days, and counts its rows by hour, state and city (see ``row_index``).
+    only their days, and counts its rows by hour, state and city (see ``indexed_table``).
     The rows are rebalanced by day first: small days share tasks and large days are
     split, whatever their size.  ``compact`` rebalances what few rows each scan task
     kept into files of the advisory size.  Of writers that overlap the one that began
@@ -138,13 +138,15 @@ def _count_rows(spark: SparkSession, folder: str) -> None:
     ).hint("rebalance", "hour").sortWithinPartitions("hour").write.parquet(f"{folder}/{_ROWS}")
 
 
-def row_index(spark: SparkSession, path: str) -> DataFrame | None:
-    """Rows of a table by day, as it is published now: hour, uf, city, rows, at_start.
+def indexed_table(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame | None]:
+    """A table and its rows by hour, state and city: hour, uf, city, rows, at_start.
 
-    ``at_start`` are the rows timed at the hour's first moment.  None for other tables.
+    Both are of one version.  ``at_start`` are the rows timed at the hour's first moment.
+    Tables that are not stored by day have no index.
     """
-    rows = f"{current(spark, path)}/{_ROWS}"
-    return spark.read.parquet(rows) if files.exists(spark, rows) else None
+    folder = current(spark, path)
+    rows = f"{folder}/{_ROWS}"
+    return spark.read.parquet(folder), spark.read.parquet(rows) if files.exists(spark, rows) else None
 
 
 @contextmanager

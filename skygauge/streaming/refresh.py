@@ -15,9 +15,6 @@ from skygauge.operators.anomalies import Readings
 LOOKBACK_WINDOW = "2 hours"
 REFRESH_EVERY = "15 minutes"
 
-#: Tasks that share the repeats of one reading.
-REDELIVERY_PARTS = 16
-
 
 def utc_now() -> datetime:
     return datetime.now(timezone.utc).replace(tzinfo=None)
@@ -76,13 +73,14 @@ def drop_redelivered(
     readings: DataFrame,
     keys: Sequence[str],
     lateness: str = LOOKBACK_WINDOW,
-    parts: int = REDELIVERY_PARTS,
+    parts: int = 1,
 ) -> DataFrame:
     """Drop repeats of a key that arrive within ``lateness`` of each other.
 
-    Repeats are dropped within parts of the input first, so one reading delivered
-    very often is spread over ``parts`` tasks and leaves at most one row in each;
-    the second step then drops across parts.  ``parts=1`` does it in one step.
+    State is one small row per key.  Where single readings are delivered very often,
+    ``parts`` drops repeats within so many parts of the input first: one such reading is
+    then spread over as many tasks and leaves at most one row in each, for a state that
+    is held twice.
     """
     once = readings.withWatermark("timestamp", lateness)
     if parts > 1:

@@ -156,6 +156,16 @@ def lake_air_scored(where: str = "true") -> str:
 LAKE_AIR_ANOMALIES = AIR_ANOMALIES.replace("SELECT event_id,", "SELECT")
 LAKE_WEATHER_ANOMALIES = WEATHER_ANOMALIES.replace("SELECT event_id,", "SELECT")
 
+#: Files are named by the noon of their day; the lookback of ten days begins at noon, too.
+SINCE_FILE = "timestamp >= TIMESTAMP '2024-01-20 00:00:00'"
+RECENT_FILES = f"WITH {WEATHER}" + f"""
+SELECT city, time, interval, is_day, round(temperature, 6) AS temperature, weathercode, winddirection,
+       round(windspeed, 6) AS windspeed
+FROM weather WHERE {SINCE_FILE}"""
+
+LANDED_AIR = f"""user_id::VARCHAR AS city, event_type AS parameter, round(value, 6) AS value,
+       'AQI' AS unit, {stamp('ts')} AS timestamp, 'WAQI' AS source"""
+
 
 EXPECTED_SQL = {
     # statistics and scores
@@ -166,6 +176,19 @@ FROM stats""",
 SELECT city, parameter, round(q1, 6) AS "Q1", round(q3, 6) AS "Q3" FROM quarts""",
     "quartile_stats_sketch": air_scored() + """
 SELECT city, parameter, round(q1, 6) AS "Q1", round(q3, 6) AS "Q3" FROM quarts""",
+    "quartile_stats_refined": air_scored() + """
+SELECT city, parameter, round(q1, 6) AS "Q1", round(q3, 6) AS "Q3" FROM quarts""",
+    "quartile_stats_approximate": air_scored() + """
+SELECT city, parameter, round(q1, 6) AS "Q1", round(q3, 6) AS "Q3" FROM quarts""",
+    "baseline_of_sketches": air_scored() + """
+SELECT city, parameter, hr AS hour, round(mean + 1e-9, 6) AS avg_value, round(sd + 1e-9, 6) AS std_value,
+       round(q1, 6) AS "Q1", round(q3, 6) AS "Q3"
+FROM stats JOIN quarts USING (city, parameter)""",
+    "refined_global_quantiles": """
+SELECT round(quantile_disc(l_extendedprice, 0.05), 6) AS q05,
+       round(quantile_disc(l_extendedprice, 0.5), 6) AS q50,
+       round(quantile_disc(l_extendedprice, 0.95), 6) AS q95
+FROM lineitem""",
     "global_quantiles": """
 SELECT round(quantile_disc(l_extendedprice, 0.05), 6) AS q05,
        round(quantile_disc(l_extendedprice, 0.5), 6) AS q50,
@@ -309,6 +332,9 @@ SELECT event_id, anomaly_level FROM found WHERE event_id % 5 <> 0""",
 SELECT {SERVED_AIR} FROM refined ORDER BY timestamp, {SERVED_AIR} LIMIT 1000 OFFSET 500""",
     "serve_deep_page": f"WITH {WEATHER}, refined AS ({REFINED_WEATHER})" + f"""
 SELECT {SERVED_WEATHER} FROM refined ORDER BY timestamp, {SERVED_WEATHER}
+LIMIT 700 OFFSET 4000""",
+    "serve_ranked_page": f"WITH {WEATHER}, refined AS ({REFINED_WEATHER})" + f"""
+SELECT {SERVED_WEATHER} FROM refined ORDER BY timestamp, {SERVED_WEATHER}
 LIMIT 700 OFFSET 4000""",
     "serve_date_range": f"WITH {WEATHER}, refined AS ({REFINED_WEATHER})" + f"""
 SELECT {SERVED_WEATHER} FROM refined
@@ -358,13 +384,33 @@ SELECT {SERVED_AIR} FROM refined
 WHERE uf = 'EUROPE'
   AND timestamp BETWEEN '2024-01-10 00:00:00.000000' AND '2024-01-20 00:00:00.000000'
 ORDER BY timestamp, {SERVED_AIR} LIMIT 1000""",
+    "job_refine_then_range_page": f"WITH {LAKE_AIR}, refined AS ({REFINED_AIR})" + f"""
+SELECT {SERVED_AIR} FROM refined
+WHERE uf = 'ASIA'
+  AND timestamp BETWEEN '2024-01-03 00:00:00.000000' AND '2024-01-25 00:00:00.000000'
+ORDER BY timestamp, {SERVED_AIR} LIMIT 150 OFFSET 60""",
+    "recent_weather_files": RECENT_FILES,
+    "recent_weather_filed": RECENT_FILES,
+    "job_recent_weather_files": weather_scored(SINCE_FILE) + f", refined AS ({LAKE_WEATHER_ANOMALIES})" + f"""
+SELECT {SERVED_WEATHER_ANOMALY} FROM refined
+ORDER BY timestamp, {SERVED_WEATHER_ANOMALY} LIMIT 50""",
+    "job_rejected_weather": f"WITH {WEATHER}" + """
+SELECT city, time, winddirection + 0.5 AS winddirection FROM weather WHERE winddirection % 7 = 0""",
     # streams
     "stream_airquality_landing": f"""
-SELECT user_id::VARCHAR AS city, event_type AS parameter, round(value, 6) AS value,
-       'AQI' AS unit, {stamp('ts')} AS timestamp, 'WAQI' AS source
-FROM events WHERE ts >= TIMESTAMP '2024-01-28' AND ts < TIMESTAMP '2024-01-31'""",
+SELECT {LANDED_AIR} FROM events WHERE event_id % 10 <> 0 AND event_id % 11 <> 0""",
+    "stream_unreadable_airquality": """
+SELECT CASE WHEN event_id % 10 = 0 THEN '{"event_id": ' || event_id
+            ELSE '{"city": "a", "value": "v' || event_id || '"}' END AS value
+FROM events WHERE event_id % 10 = 0 OR event_id % 11 = 0""",
+    "stream_recent_airquality": f"""
+SELECT {LANDED_AIR} FROM events
+WHERE event_id % 10 <> 0 AND event_id % 11 <> 0
+  AND ts >= TIMESTAMP '2024-01-28' AND ts < TIMESTAMP '2024-01-31'""",
     "stream_weather_landing": f"""
-SELECT 'UF-' || (user_id % 5) AS city, {stamp('ts')} AS time, round(value, 6) AS temperature
+SELECT 'UF-' || (user_id % 5) AS city, {stamp('ts')} AS time, 900 AS interval, event_id % 2 AS is_day,
+       round(value, 6) AS temperature, event_id % 100 AS weathercode, user_id % 360 AS winddirection,
+       round((user_id % 40) / 2.0, 6) AS windspeed
 FROM events""",
     "stream_sliding_stats": f"""
 WITH readings AS (
@@ -378,6 +424,7 @@ SELECT city, parameter, {stamp('since')} AS since, {stamp('until')} AS until,
        avg_value, std_value, readings
 FROM closed""",
     "stream_redelivery": "SELECT event_id, round(value, 6) AS value FROM events",
+    "stream_redelivery_in_parts": "SELECT event_id, round(value, 6) AS value FROM events",
     "stream_recent_refresh": lake_air_scored(SINCE) + f", refined AS ({LAKE_AIR_ANOMALIES})" + f"""
 SELECT {SERVED_AIR_ANOMALY} FROM refined WHERE city = 'NATION_1'
 ORDER BY timestamp, {SERVED_AIR_ANOMALY} LIMIT 1000""",

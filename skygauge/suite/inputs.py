@@ -9,8 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from skygauge import files
 from skygauge.functions.times import partition_dates
-
 from skygauge.operators.anomalies import AIR_QUALITY, Readings
 from skygauge.operators.refine import refine_air_quality, refine_weather
 from skygauge.session import scratch_path
@@ -141,6 +141,24 @@ def city_file(spark: SparkSession, sf_dir: str, path: str) -> None:
     ).write.text(path)
 
 
+def named_weather(spark: SparkSession, sf_dir: str, root: str | None = None) -> str:
+    """Weather as collectors land it: a folder for each city, files named by their time.
+
+    A file holds a city's observations of one day and is named by the day's noon.
+    """
+    root = root or scratch_path(spark, "named")
+    lines = weather(spark, sf_dir).drop("event_id")
+    noon = F.concat(F.date_format(F.to_timestamp("time"), "yyyyMMdd"), F.lit("-120000"))
+    lines.select(F.col("city").alias("_city"), noon.alias("_noon"), F.to_json(F.struct("*")).alias("value")).repartition(
+        "_city").write.partitionBy("_city", "_noon").text(f"{root}/_written")
+    for file in files.files_below(spark, f"{root}/_written"):
+        if file.name.startswith("part-"):
+            *_, city, day, _ = file.path.split("/")
+            files.move(spark, file.path, f"{root}/{city.removeprefix('_city=')}/{day.removeprefix('_noon=')}.json")
+    files.remove(spark, f"{root}/_written")
+    return root
+
+
 def lake(spark: SparkSession, sf_dir: str, *facts: str) -> Lake:
     """A stored lake of the named facts in the landed layouts."""
     home = scratch_path(spark, "lake")

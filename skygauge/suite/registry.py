@@ -16,9 +16,9 @@ from skygauge import schemas
 from skygauge.functions import payloads
 from skygauge.operators import anomalies, cities, contracts, paging, quantiles, refine
 from skygauge.operators.anomalies import WEATHER
-from skygauge.plans import batch, recent, serving
+from skygauge.plans import batch, recent, serving, upkeep
 from skygauge.session import scratch_path
-from skygauge.sources import landed, tables
+from skygauge.sources import compaction, landed, tables
 from skygauge.streaming import ingest, refresh
 from skygauge.suite import inputs
 from skygauge.suite.inputs import EVENT_READINGS, STAMP, table
@@ -81,6 +81,31 @@ def quartile_stats_sketch(spark, sf_dir):
         _prepared(spark, sf_dir), EVENT_READINGS.keys, "value", method="sketch"))
 
 
+@query
+def quartile_stats_refined(spark, sf_dir):
+    return plain(quantiles.quartiles(
+        _prepared(spark, sf_dir), EVENT_READINGS.keys, "value", method="refine"))
+
+
+@query
+def quartile_stats_approximate(spark, sf_dir):
+    return plain(quantiles.quartiles(
+        _prepared(spark, sf_dir), EVENT_READINGS.keys, "value", method="approximate"))
+
+
+@query
+def baseline_of_sketches(spark, sf_dir):
+    """Hourly moments and quartiles by one grouped pass."""
+    return plain(anomalies.baseline(_prepared(spark, sf_dir), EVENT_READINGS, "sketch").table)
+
+
+@query
+def refined_global_quantiles(spark, sf_dir):
+    shares = {"q05": 0.05, "q50": 0.5, "q95": 0.95}
+    return plain(quantiles.METHODS["refine"](
+        table(spark, sf_dir, "lineitem"), [], "l_extendedprice", shares))
+
+
 @query
 def global_quantiles(spark, sf_dir):
     shares = {"q05": 0.05, "q50": 0.5, "q95": 0.95}
@@ -397,6 +422,17 @@ def serve_page(spark, sf_dir):
 
 @query
 def serve_deep_page(spark, sf_dir):
+    """Found by the stored counts of the table's hours."""
+    lake = inputs.lake(spark, sf_dir, "weather")
+    batch.refine_facts(spark, lake, ["weather"])
+    rows, index = tables.indexed_table(spark, lake.refined_path("weather"))
+    rows, offset = paging.hours_of_page(rows, index, 700, 4000)
+    return plain(paging.page(contracts.project(rows, contracts.WEATHER_CONTRACT), 700, offset))
+
+
+@query
+def serve_ranked_page(spark, sf_dir):
+    """Found by counting the rows."""
     rows = contracts.project(
         inputs.refined_weather(spark, sf_dir), contracts.WEATHER_CONTRACT)
     return plain(paging.page(rows, limit=700, offset=4000, top_k_rows=0))
@@ -500,6 +536,54 @@ def job_refine_then_range(spark, sf_dir):
         spark, lake, date_from="2024-01-10", date_to="20-01-2024", uf="europe"))
 
 
+@query
+def job_refine_then_range_page(spark, sf_dir):
+    """A page far into a range of days, by the stored counts."""
+    lake = inputs.lake(spark, sf_dir, "airquality")
+    batch.refine_facts(spark, lake, ["airquality"])
+    return plain(serving.query_air_quality(
+        spark, lake, limit=150, offset=60, date_from="2024-01-03", date_to="2024-01-25", uf="asia"))
+
+
+@query
+def recent_weather_files(spark, sf_dir):
+    """Landed files named by their time, in a folder for each city."""
+    root = inputs.named_weather(spark, sf_dir)
+    return plain(landed.read_recent_weather_files(spark, root, AS_OF, RECENT))
+
+
+@query
+def recent_weather_filed(spark, sf_dir):
+    """The same files, filed by ingestion date."""
+    root = inputs.named_weather(spark, sf_dir)
+    landed.file_weather_by_date(spark, root)
+    return plain(landed.read_recent_weather_files(spark, root, AS_OF, RECENT))
+
+
+@query
+def job_recent_weather_files(spark, sf_dir):
+    """The recent job over landed files, filed by ingestion date."""
+    lake = inputs.lake(spark, sf_dir)
+    inputs.named_weather(spark, sf_dir, lake.raw_path("weather"))
+    upkeep.file_weather(spark, lake)
+    recent.detect_recent_weather(spark, lake, AS_OF, RECENT)
+    return plain(serving.query_recent_weather_anomalies(spark, lake, limit=50))
+
+
+@query
+def job_rejected_weather(spark, sf_dir):
+    """The lines that a job sets aside: those of a reading with a fraction of a degree."""
+    lake = inputs.lake(spark, sf_dir)
+    spoiled = inputs.weather(spark, sf_dir).drop("event_id").withColumn(
+        "winddirection", F.when(F.col("winddirection") % 7 == 0, F.col("winddirection") + 0.5)
+        .otherwise(F.col("winddirection").cast("double")))
+    payloads.encode_json(spoiled).write.text(lake.raw_path("weather"))
+    batch.refine_facts(spark, lake, ["weather"])
+    return plain(tables.read_table(spark, lake.raw_path("weather_unreadable_lines")).select(
+        F.get_json_object("line", "$.city").alias("city"), F.get_json_object("line", "$.time").alias("time"),
+        F.get_json_object("line", "$.winddirection").cast("double").alias("winddirection")))
+
+
 # --- streams ---------------------------------------------------------------------
 
 def _event_stream(spark, sf_dir):
@@ -510,28 +594,58 @@ def _event_stream(spark, sf_dir):
 ONCE = {"availableNow": True}
 
 
-@query
-def stream_airquality_landing(spark, sf_dir):
-    """Messages streamed to day directories; the lookback reads three of them."""
-    messages = payloads.encode_json(_event_stream(spark, sf_dir).select(
+def _air_messages(spark, sf_dir):
+    """Every event as a message; those of every tenth are cut off, of every eleventh mistyped."""
+    texts = payloads.encode_json(_event_stream(spark, sf_dir).select(
         F.col("user_id").cast("string").alias("city"), F.col("event_type").alias("parameter"),
         "value", F.lit("AQI").alias("unit"), F.date_format("ts", STAMP).alias("timestamp"),
-        F.lit("WAQI").alias("source")))
+        F.lit("WAQI").alias("source"), "event_id"))
+    number = F.get_json_object("value", "$.event_id").cast("long")
+    return texts.select(
+        F.when(number % 10 == 0, F.concat(F.lit('{"event_id": '), number))
+        .when(number % 11 == 0, F.concat(F.lit('{"city": "a", "value": "v'), number, F.lit('"}')))
+        .otherwise(F.col("value")).alias("value"))
+
+
+def _landed(spark, messages, kind):
     home = scratch_path(spark, "landing")
-    ingest.land_air_quality(
-        messages, f"{home}/airquality", f"{home}/checkpoint", ONCE).awaitTermination()
-    return plain(landed.read_recent_airquality(spark, f"{home}/airquality", AS_OF, 2 * 86400))
+    ingest.land(messages, kind, f"{home}/rows", f"{home}/rejected", f"{home}/checkpoint", ONCE).awaitTermination()
+    return home
+
+
+@query
+def stream_airquality_landing(spark, sf_dir):
+    """Messages streamed to day directories."""
+    home = _landed(spark, _air_messages(spark, sf_dir), ingest.AIR_QUALITY)
+    return plain(landed.read_airquality(spark, f"{home}/rows"))
+
+
+@query
+def stream_unreadable_airquality(spark, sf_dir):
+    """The messages that the same stream sets aside."""
+    home = _landed(spark, _air_messages(spark, sf_dir), ingest.AIR_QUALITY)
+    return plain(ingest.read_rejected(spark, f"{home}/rejected").select("value"))
+
+
+@query
+def stream_recent_airquality(spark, sf_dir):
+    """The days of a lookback in what was streamed, after compaction."""
+    home = _landed(spark, _air_messages(spark, sf_dir), ingest.AIR_QUALITY)
+    compaction.compact_days(spark, f"{home}/rows", ingest.AIR_QUALITY.folders, "parquet", AS_OF.date(), file_bytes=1 << 12)
+    return plain(landed.read_recent_airquality(spark, f"{home}/rows", AS_OF, 2 * 86400))
 
 
 @query
 def stream_weather_landing(spark, sf_dir):
     messages = payloads.encode_json(_event_stream(spark, sf_dir).select(
         F.concat(F.lit("UF-"), F.pmod("user_id", F.lit(5))).alias("city"),
-        F.date_format("ts", STAMP).alias("time"), F.col("value").alias("temperature")))
-    home = scratch_path(spark, "landing")
-    ingest.land_weather(
-        messages, f"{home}/weather", f"{home}/checkpoint", ONCE).awaitTermination()
-    return plain(landed.read_weather(spark, f"{home}/weather").select("city", "time", "temperature"))
+        F.date_format("ts", STAMP).alias("time"), F.lit(900).alias("interval"),
+        F.pmod("event_id", F.lit(2)).alias("is_day"), F.col("value").alias("temperature"),
+        F.pmod("event_id", F.lit(100)).alias("weathercode"),
+        F.pmod("user_id", F.lit(360)).cast("double").alias("winddirection"),
+        (F.pmod("user_id", F.lit(40)) / 2).alias("windspeed")))
+    home = _landed(spark, messages, ingest.WEATHER)
+    return plain(landed.read_weather(spark, f"{home}/rows"))
 
 
 @query
@@ -565,6 +679,17 @@ def stream_redelivery(spark, sf_dir):
     return plain(spark.read.schema(once.schema).parquet(f"{home}/events").select("event_id", "value"))
 
 
+@query
+def stream_redelivery_in_parts(spark, sf_dir):
+    """The same, repeats dropped within parts of the input first."""
+    events = _event_stream(spark, sf_dir).withColumn("timestamp", F.col("ts").cast("timestamp"))
+    once = refresh.drop_redelivered(events.union(events), ["event_id"], parts=8)
+    home = scratch_path(spark, "redelivery")
+    (once.writeStream.format("parquet").option("checkpointLocation", f"{home}/checkpoint")
+     .trigger(**ONCE).start(f"{home}/events").awaitTermination())
+    return plain(spark.read.schema(once.schema).parquet(f"{home}/events").select("event_id", "value"))
+
+
 @query
 def stream_recent_refresh(spark, sf_dir):
     """The recent job run by arrivals, then served."""

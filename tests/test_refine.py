@@ -61,9 +61,9 @@ def test_refined_air_quality_keeps_every_parameter(spark):
 
 
 def test_letter_ranges():
-    assert letter_ranges("SP{A-C},bad,RJ{D-E},SP{X-Z}") == {"SP": ["X", "Y", "Z"], "RJ": ["D", "E"]}
-    assert letter_ranges("") == {} and letter_ranges("SP{C-A}") == {"SP": []}
-    assert letter_ranges("sp{A-C}, RJ{A-B},MG{A-B}tail") == {"MG": ["A", "B"]}
+    assert letter_ranges("SP{A-C},bad,RJ{D-E},SP{X-Z}") == [("SP", "X", "Z"), ("RJ", "D", "E")]
+    assert letter_ranges("") == [] and letter_ranges("SP{C-A}") == [("SP", "C", "A")]
+    assert letter_ranges("sp{A-C}, RJ{A-B},MG{A-B}tail") == [("MG", "A", "B")]
 
 
 def test_cities_in_ranges(spark):

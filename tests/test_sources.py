@@ -158,7 +158,7 @@ def test_write_by_day_prunes_and_counts(spark, tmp_path):
         *(f"obs_date=2025-06-0{d}" for d in range(1, 7)), "obs_date=__HIVE_DEFAULT_PARTITION__"}
     table = tables.read_table(spark, path)
     assert table.count() == 97 and table.columns == ["timestamp", "uf", "obs_date"]
-    index = tables.row_index(spark, path)
+    index = tables.indexed_table(spark, path)[1]
     assert index.columns == ["hour", "uf", "rows", "at_start"]
     assert index.agg(F.sum("rows"), F.sum("at_start")).first()[:] == (97, 48)
     assert rows(index.filter("hour IS NULL"), "uf", "rows", "at_start") == [("RJ", 1, 0)]
@@ -169,7 +169,7 @@ def test_a_table_by_day_without_rows(spark, tmp_path):
     empty = spark.createDataFrame([], "timestamp timestamp_ntz, uf string, city string")
     tables.write_table(empty, path, by_day=True)
     assert tables.read_table(spark, path).count() == 0
-    assert tables.row_index(spark, path).count() == 0
+    assert tables.indexed_table(spark, path)[1].count() == 0
 
 
 def test_preview_projects_and_limits(spark):
