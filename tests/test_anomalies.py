@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import functools
 import math
+import random
 from datetime import datetime, timedelta
 from statistics import mean, stdev
 
@@ -228,3 +229,71 @@ def test_random_groups_match_definition(spark, groups):
     for city, values in groups.items():
         real = [v for v in values if v is not None and not math.isnan(v)]
         assert outcome(found.filter(F.col("city") == city)) == (brute_force(values) if real else [])
+
+
+def large_groups(spark):
+    """Two cities of 60,000 different readings each, by hour; one reading is infinite."""
+    value = F.when(F.col("id") == 7, F.lit(float("inf"))).otherwise(F.sin("id") * 50 + 1e6)
+    return spark.range(0, 120_000, 1, 12).select(
+        F.concat(F.lit("c"), F.col("id") % 2).alias("city"), value.alias("temperature"),
+        (F.col("id") % 24).cast("int").alias("hour"))
+
+
+def test_sketches_share_the_pass_of_the_moments(spark):
+    facts = large_groups(spark)
+    found = an.baseline(facts, WEATHER, "sketch").table
+    exact = an.baseline(facts, WEATHER, "exact").table
+    both = found.join(exact, ["city", "hour"]).select(
+        found["avg_temp"], exact["avg_temp"], found["std_temp"], exact["std_temp"]).collect()
+    assert len(both) == 24
+    for mean, true_mean, spread, true_spread in both:
+        if math.isinf(true_mean):
+            assert math.isinf(mean) and math.isnan(spread) and math.isnan(true_spread)
+        else:
+            assert mean == pytest.approx(true_mean, rel=1e-12) and spread == pytest.approx(true_spread, rel=1e-9)
+    for city in ("c0", "c1"):
+        own = facts.filter(F.col("city") == city)
+        quarts = found.filter(F.col("city") == city).select("Q1", "Q3").distinct().collect()
+        assert len(quarts) == 1
+        for name, share in (("Q1", 0.25), ("Q3", 0.75)):
+            rank = own.filter(F.col("temperature") <= quarts[0][name]).count() / own.count()
+            assert abs(rank - share) < 0.005
+
+
+def test_sketched_kernel_reads_the_facts_twice(spark, tmp_path):
+    path = str(tmp_path / "facts")
+    spark.range(5000).select(
+        F.lit("SP-A").alias("city"), F.sin("id").alias("temperature"),
+        F.date_format(F.timestamp_seconds(F.col("id") * 600), "yyyy-MM-dd'T'HH:mm").alias("time")).write.parquet(path)
+    reads, plain = [], an.materialize
+
+    def noted(df, *args, **measures):
+        reads.append(plan(df).count("Scan parquet"))
+        return plain(df, *args, **measures)
+
+    an.materialize, keep = noted, plain
+    try:
+        found = an.detect_anomalies(spark.read.parquet(path), WEATHER, method="sketch")
+    finally:
+        an.materialize = keep
+    facts = [p for p in plan(found).splitlines() if "Location" in p and "facts" in p]
+    assert len(reads) == 2 and len(facts) == 1  # once for the statistics, once for the scores
+
+
+def test_copies_are_dropped_by_one_shuffle(spark):
+    data = [("SP-A", "o3", float(i % 7), NOON) for i in range(50)] * 2
+    df = spark.createDataFrame(data, "city string, parameter string, value double, timestamp timestamp_ntz")
+    found = an.detect_anomalies(df, AIR_QUALITY, dedup_first=True)
+    text = plan(found)
+    assert "hashpartitioning(city" not in text or "BroadcastHashJoin" in text
+    assert "HashAggregate" not in text.split("BroadcastExchange")[0]
+
+
+@pytest.mark.parametrize("method", ["exact", "refine", "approximate", "sketch"])
+def test_methods_agree_on_small_groups(spark, method):
+    rng = random.Random(2)
+    data = [(c, "o3", rng.choice([1.0, 2.0, 3.0, 50.0]), NOON + timedelta(hours=i % 3)) for c in "ab" for i in range(60)]
+    df = spark.createDataFrame(data, "city string, parameter string, value double, timestamp timestamp_ntz")
+    columns = ("city", "value", "timestamp", "Q1", "Q3", "anomaly_level", "is_iqr_anomaly")
+    found = rows(an.detect_anomalies(df, AIR_QUALITY, method=method), *columns)
+    assert found == rows(an.detect_anomalies(df, AIR_QUALITY), *columns) and found

@@ -7,8 +7,9 @@ from datetime import datetime, timedelta
 
 import pytest
 
+from skygauge import files, session
 from skygauge.operators import paging
-from skygauge.sources.tables import read_table, write_table
+from skygauge.sources.tables import indexed_table, read_table, write_table
 from tests.conftest import plan, rows
 
 START = datetime(2025, 6, 1)
@@ -101,3 +102,57 @@ def test_signed_zeros_are_one_value_on_every_way(spark):
     for bounds in ({}, {"top_k_rows": 0}, {"top_k_rows": 0, "one_slice_rows": 0}):
         found = paging.page(df, 2, 0, **bounds).collect()
         assert [str(r["value"]) for r in found] == ["0.0", "0.0"]
+
+
+@pytest.mark.parametrize("offset,limit", PAGES)
+def test_page_by_the_stored_counts(spark, tmp_path, offset, limit):
+    df, data = observations(spark)
+    write_table(df, str(tmp_path / "t"), by_day=True)
+    table, index = indexed_table(spark, str(tmp_path / "t"))
+    rows_, rest = paging.hours_of_page(table, index, limit, offset)
+    found = [tuple(r) for r in paging.page(rows_.drop("obs_date"), limit, rest).collect()]
+    assert found == ordered(data)[offset:offset + limit]
+
+
+FILTERS = [{"date_from": "2025-06-03"}, {"date_to": "2025-06-04"}, {"date_from": "2025-06-02", "date_to": "2025-06-06"},
+           {"uf": "sp"}, {"uf": "RJ", "city": "niterói", "date_to": "08-06-2025"}, {"city": "nowhere"}]
+
+
+@pytest.mark.parametrize("filters", FILTERS)
+def test_filtered_pages_by_the_stored_counts(spark, tmp_path, filters):
+    """Some rows lie exactly on a bound, others in the hour after it."""
+    rng = random.Random(11)
+    places = [("SP", "Santos"), ("RJ", "Niterói"), ("SP", None)]
+    data = [(START + timedelta(days=rng.randrange(9), minutes=rng.choice([0, 0, 1, 59, 60, 700])), i, *rng.choice(places))
+            for i in range(300)]
+    df = spark.createDataFrame(data + [(None, 1000, "SP", "Santos")], "timestamp timestamp_ntz, x int, uf string, city string")
+    write_table(df, str(tmp_path / "t"), by_day=True)
+    table, index = indexed_table(spark, str(tmp_path / "t"))
+    dates = {k: v for k, v in filters.items() if k.startswith("date")}
+    places_ = {k: v for k, v in filters.items() if not k.startswith("date")}
+    wanted = paging.place(paging.date_range(table, **dates), **places_)
+    everything = [tuple(r) for r in paging.by_time(wanted.drop("obs_date")).collect()]
+    for offset, limit in ((0, 20), (40, 30), (len(everything) - 1, 5), (len(everything), 5)):
+        if offset < 0:
+            continue
+        rows_, rest = paging.hours_of_page(wanted, index, limit, offset, **filters)
+        assert [tuple(r) for r in paging.page(rows_.drop("obs_date"), limit, rest).collect()] == everything[offset:offset + limit]
+
+
+def test_a_page_by_the_stored_counts_reads_its_hours_only_and_stores_nothing(spark, tmp_path, monkeypatch):
+    df, _ = observations(spark)
+    write_table(df, str(tmp_path / "t"), by_day=True)
+    table, index = indexed_table(spark, str(tmp_path / "t"))
+    monkeypatch.setattr(session, "materialize", None)
+    monkeypatch.setattr(paging, "materialize", None)
+    rows_, rest = paging.hours_of_page(table, index, 10, 200)
+    text = plan(rows_)
+    assert "PartitionFilters: [isnotnull(obs_date" in text and "GreaterThanOrEqual(timestamp" in text and rest < 50
+    assert paging.page(rows_, 10, rest).count() == 10
+
+
+def test_a_ranked_page_keeps_its_rows_only(spark):
+    df, _ = observations(spark)
+    with session.scratch_of(spark, "pages") as folder:
+        assert paging.page(df, 50, 100, top_k_rows=-1, one_slice_rows=0).count() == 50
+        assert [e.name.split("-", 1)[1] for e in files.entries(spark, folder) if e.folder] == ["page"]

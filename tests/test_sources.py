@@ -8,7 +8,11 @@ from pathlib import Path
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from skygauge import schemas
+from skygauge.functions import payloads
+from skygauge.plans import batch
 from skygauge.sources import landed, tables
 from tests.conftest import plan, rows
 from tests.lake import NOON, fill, make_lake, put_airquality, put_weather
@@ -201,6 +205,34 @@ def test_whole_numbers_may_be_written_as_floats(spark, tmp_path):
     assert dict(found.dtypes)["winddirection"] == "int"
 
 
+def test_fractions_and_overflows_are_no_whole_numbers(spark, tmp_path):
+    good = ['{"city": "A", "winddirection": 90, "interval": 2147483647}', '{"city": "B", "winddirection": 262.0}',
+            '{"city": "C", "is_day": null, "temperature": 1.5}']
+    bad = ['{"city": "D", "winddirection": 90.7}', '{"city": "E", "interval": 99999999999}',
+           '{"city": "F", "weathercode": -2147483649}']
+    (tmp_path / "a.json").write_text("\n".join([*good, *bad, ""]))
+    root = str(tmp_path)
+    assert rows(landed.read_weather(spark, root), "city", "winddirection") == sorted([("A", 90), ("B", 262), ("C", None)])
+    assert rows(landed.rejected_weather(spark, root), "line") == sorted((b,) for b in bad)
+    nested = T.StructType().add("w", schemas.WEATHER).add("city", "string")
+    df = spark.createDataFrame([('{"w": {"is_day": 0.5}}',), ('{"w": {"is_day": 1.0}}',), ('{"city": "x"}',)], "value string")
+    assert rows(payloads.unreadable(payloads.decode_json(df, "value", nested))) == [('{"w": {"is_day": 0.5}}',)]
+
+
+def test_jobs_store_the_lines_they_leave_out(spark, lake):
+    folder = Path(lake.raw_path("weather")) / "UF-Broken"
+    folder.mkdir()
+    (folder / "20250608-120000.json").write_text('{"city": "UF-Broken", "is_day": 0.5}\nnot json\n')
+    for job in (batch.detect_weather, lambda s, k: batch.refine_facts(s, k, ["weather"])):
+        job(spark, lake)
+        aside = tables.read_table(spark, lake.raw_path("weather_unreadable_lines"))
+        assert rows(aside, "line") == [("not json",), ('{"city": "UF-Broken", "is_day": 0.5}',)]
+        assert aside.first().file.endswith("UF-Broken/20250608-120000.json")
+    (folder / "20250608-120000.json").unlink()
+    batch.refine_facts(spark, lake, ["weather"])
+    assert tables.read_table(spark, lake.raw_path("weather_unreadable_lines")).count() == 0
+
+
 def test_broken_weather_lines_are_set_aside(spark, lake):
     root = lake.raw_path("weather")
     good = landed.read_weather(spark, root)
