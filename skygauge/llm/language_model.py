@@ -7,9 +7,10 @@ The most frequent words are classes of their own, other words share a class by t
 ending.  Within a class a word has its smoothed share of the class's counts, and a
 class holds one share for words never seen, so probabilities of all words sum to 1.
 
-Counts are of all training documents.  Each task trains on its own training
-documents against noise drawn from the class counts, and the tasks' parameters are
-averaged by tokens seen.
+Counts are of all training documents.  These are dealt to shards by hashes; a shard is
+trained in the order of hashes against noise drawn from the class counts, and the shards'
+parameters are averaged by tokens seen.  The number of shards follows the tokens, so the
+model is a function of the documents, however the table is partitioned.
 """
 
 from __future__ import annotations
@@ -32,6 +33,8 @@ WIDTH, CONTEXT, NOISE = 16, 4, 64
 BATCH, RATE = 1024, 0.1
 #: Frequent words whose counts every task holds; the others' are joined.
 KNOWN = 100_000
+#: Training tokens of a shard, and those whose positions are shuffled together.
+SHARD_TOKENS, MIXED_TOKENS = 2_000_000, 1 << 16
 #: Different words that a task counts before it passes them on.
 COUNTED = 400_000
 #: The end of a text, a token of its own: no word is empty.
@@ -114,6 +117,16 @@ def examples(texts: list[list[bytes]], classes: Classes, seed: int) -> tuple[np.
     return target[order], context[order]
 
 
+def summed(rows: np.ndarray, at: np.ndarray, size: int) -> np.ndarray:
+    """Sums of the rows that have one number, by number."""
+    total = np.zeros((size, *rows.shape[1:]), rows.dtype)
+    order = np.argsort(at, kind="stable")
+    found = at[order]
+    first = np.flatnonzero(np.concatenate([[True], found[1:] != found[:-1]]))
+    total[found[first]] = np.add.reduceat(rows[order], first, axis=0)
+    return total
+
+
 def train(p: Parameters, target: np.ndarray, context: np.ndarray, noise: np.ndarray,
           seed: int, squares: list[np.ndarray]) -> None:
     """One pass of noise-contrastive estimation with AdaGrad, in place."""
@@ -129,15 +142,12 @@ def train(p: Parameters, target: np.ndarray, context: np.ndarray, noise: np.ndar
         gt = 1 - 1 / (1 + np.exp(-np.clip(data, -20, 20)))
         gf = -1 / (1 + np.exp(-np.clip(false, -20, 20)))
         scale = 1.0 / len(t)
-        gq, gb = np.zeros_like(p.q), np.zeros_like(p.b)
-        np.add.at(gq, t, gt[:, None] * guess)
-        np.add.at(gq, drawn, gf.T @ guess)
-        np.add.at(gb, t, gt)
-        np.add.at(gb, drawn, gf.sum(axis=0))
+        wide = np.concatenate([guess, np.ones((len(t), 1), guess.dtype)], axis=1)
+        own = summed(gt[:, None] * wide, t, len(p.q)) + summed(gf.T @ wide, drawn, len(p.q))
+        gq, gb = own[:, :-1], own[:, -1]
         gg = gt[:, None] * p.q[t] + gf @ p.q[drawn]
         gc = (gg[:, None, :] * vectors).sum(axis=0)
-        gr = np.zeros_like(p.r)
-        np.add.at(gr, x.ravel(), (gg[:, None, :] * p.c).reshape(-1, WIDTH))
+        gr = summed((gg[:, None, :] * p.c).reshape(-1, WIDTH), x.ravel(), len(p.r))
         for value, gradient, square in zip(p.parts(), (gr, gc, gq, gb), squares, strict=True):
             gradient = gradient * scale
             square += gradient * gradient
@@ -202,24 +212,54 @@ def class_mass(counts: DataFrame, own: list[bytes]) -> np.ndarray:
     return mass
 
 
-def fit(texts: DataFrame, own: list[bytes], mass: np.ndarray) -> Parameters:
-    """Parameters averaged over tasks, by the training tokens of each."""
+class _Shard:
+    """Parameters of one shard as its texts come in."""
+
+    def __init__(self, mass: np.ndarray, classes: Classes):
+        self.p, self.classes, self.noise = Parameters.start(mass), classes, mass / mass.sum()
+        self.squares = [np.full_like(x, 1e-6) for x in self.p.parts()]
+        self.texts: list[list[bytes]] = []
+        self.waiting = self.seen = self.rounds = 0
+
+    def add(self, text: bytes) -> None:
+        self.texts.append(words_of(text))
+        self.waiting += len(self.texts[-1]) + 1
+        if self.waiting >= MIXED_TOKENS:
+            self.train()
+
+    def train(self) -> None:
+        if self.texts:
+            target, context = examples(self.texts, self.classes, self.rounds)
+            train(self.p, target, context, self.noise, self.rounds, self.squares)
+            self.seen, self.rounds, self.texts, self.waiting = self.seen + len(target), self.rounds + 1, [], 0
+
+    def learned(self) -> pa.RecordBatch:
+        self.train()
+        flat = self.p.flat().astype(np.float64)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(np.arange(len(flat)), pa.int64()), pa.array(flat * self.seen),
+             pa.array(np.full(len(flat), float(self.seen)))], ["i", "x", "n"])
+
+
+def fit(texts: DataFrame, own: list[bytes], mass: np.ndarray, tokens: int, shard_tokens: int = SHARD_TOKENS) -> Parameters:
+    """Parameters averaged over shards of (doc_id, text), by the training tokens of each."""
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        classes, p = Classes(own), Parameters.start(mass)
-        squares = [np.full_like(x, 1e-6) for x in p.parts()]
-        noise = mass / mass.sum()
-        seen = 0
-        for number, batch in enumerate(slices(batches)):
-            target, context = examples([words_of(t) for t in batch.column(0).to_pylist()], classes, number)
-            train(p, target, context, noise, number, squares)
-            seen += len(target)
-        if seen:
-            flat = p.flat().astype(np.float64)
-            yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(flat)), pa.int64()), pa.array(flat * seen),
-                                              pa.array(np.full(len(flat), float(seen)))], ["i", "x", "n"])
-
-    averaged = texts.select("text").mapInArrow(learn, "i long, x double, n double").groupBy("i").agg(
-        (F.sum("x") / F.sum("n")).alias("x")).toArrow()
+        classes, number, shard = Classes(own), None, None
+        for batch in slices(batches):
+            for at, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                if at != number:
+                    if shard:
+                        yield shard.learned()
+                    number, shard = at, _Shard(mass, classes)
+                shard.add(text)
+        if shard:
+            yield shard.learned()
+
+    shards = max(1, -(-tokens // shard_tokens))
+    dealt = texts.select(F.pmod(F.xxhash64("doc_id", "text"), F.lit(shards)).cast("int").alias("shard"),
+                         F.xxhash64("text", "doc_id").alias("order"), "text").repartition(shards, "shard")
+    averaged = dealt.sortWithinPartitions("shard", "order").select("shard", "text").mapInArrow(
+        learn, "i long, x double, n double").groupBy("i").agg((F.sum("x") / F.sum("n")).alias("x")).toArrow()
     start = Parameters.start(mass)
     if not averaged.num_rows:
         return start
@@ -234,7 +274,8 @@ def score(docs: DataFrame, training: Column) -> DataFrame:
     ``training`` marks the rows that are learnt from.  A null or empty text is its
     end alone.  Rows are scored one by one, also where they repeat; an empty table
     gives no rows.  Without training rows every word is as likely as any other unseen
-    one.
+    one.  Texts are read whole, however long; rows that repeat doc_id and text are learnt
+    from as often as they occur.
     """
     spark = docs.sparkSession
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), training.alias("trained"),
@@ -249,7 +290,7 @@ def score(docs: DataFrame, training: Column) -> DataFrame:
     ends = counts.filter(F.col("word") == F.lit(END)).select("c").collect()
     frequent[END] = ends[0]["c"] if ends else 0
     mass = class_mass(counts, own)
-    p = fit(texts.filter("trained"), own, mass)
+    p = fit(texts.filter("trained"), own, mass, tokens)
     shared = spark.sparkContext.broadcast((frequent, own, mass, p.flat()))
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -324,6 +324,40 @@ def test_language_model_base_is_exact_and_the_model_better(spark):
     assert sum(r["score"] for r in rows.values()) > sum(r["base_score"] for r in rows.values())
 
 
+def test_language_model_does_not_depend_on_partitions(spark, monkeypatch):
+    monkeypatch.setattr(language_model, "MIXED_TOKENS", 300)
+    texts = [pseudo(5 + i * 7 % 60, i % 13) for i in range(120)]
+    docs = frame(spark, [*texts, None, "", texts[3]])
+    models = []
+    for parts in (1, 5, 16):
+        rows = docs.repartition(parts).select("doc_id", F.coalesce("text", F.lit("")).cast("binary").alias("text"))
+        own = [f"w{(i * 7919) % 99991}x".encode() for i in range(20)]
+        mass = language_model.class_mass(language_model.count_words(rows), own)
+        models.append(language_model.fit(rows, own, mass, tokens=4000, shard_tokens=900).flat())
+    assert abs(models[0] - models[1]).max() < 1e-6 and abs(models[0] - models[2]).max() < 1e-6
+    held = F.col("doc_id") % 3 == 0
+    scores = [{r["doc_id"]: r["score"] for r in language_model.score(docs.repartition(n), ~held).collect()} for n in (1, 16)]
+    assert all(abs(scores[0][i] - scores[1][i]) < 1e-6 for i in scores[0])
+
+
+def test_language_model_of_odd_tables(spark, odd):
+    rows = language_model.score(odd, F.col("doc_id") != 5).collect()
+    assert len(rows) == 7 and sorted(r["n_tokens"] for r in rows) == [1, 1, 1, 4, 61, 61, 40_001]
+    assert language_model.score(odd.limit(0), F.lit(True)).count() == 0
+    nothing = language_model.score(odd, F.lit(False)).collect()
+    assert {(r["base_score"], r["train_tokens"], r["n_known"]) for r in nothing if r["n_tokens"] == 1} == {(0.0, 0, 0)}
+
+
+def test_sums_by_number():
+    import numpy as np
+
+    rng = np.random.default_rng(1)
+    rows, at = rng.normal(size=(500, 3)), rng.integers(0, 20, 500)
+    expected = np.zeros((25, 3))
+    np.add.at(expected, at, rows)
+    assert np.allclose(language_model.summed(rows, at, 25), expected)
+
+
 def test_every_position_is_trained_on():
     texts = [language_model.words_of(pseudo(n, n).encode()) for n in (0, 1, 30, 77)]
     classes = language_model.Classes([b"w0x"])
