@@ -123,6 +123,9 @@ def settle(build: Callable[[], DataFrame], label: str, **measures: Column) -> St
         _passing.reset(token)
     for path in steps:
         files.remove(spark, path)
+    if steps:
+        # Spark drops the shuffle files of what nobody refers to when the driver collects garbage.
+        spark.sparkContext._jvm.System.gc()
     return done
 
 
