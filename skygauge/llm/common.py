@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from skygauge.operators.joins import total_bytes
 from skygauge.session import Stored, materialize
+from skygauge.session import settle as settled_by
 
 #: Regular expression of what lies between words: space, and tab to carriage return.
 GAP = r"[\x20\x09-\x0D]+"
@@ -52,6 +53,11 @@ def measured(df: DataFrame, label: str, **measures: Column) -> Stored:
     return stored(df, label, bytes=total_bytes(df), **measures)
 
 
+def settled(build: Callable[[], DataFrame], label: str, **measures: Column) -> Stored:
+    """A stored step; the steps that ``build`` stores on the way to it are removed."""
+    return settled_by(build, f"llm-{label}", **measures)
+
+
 def lookup(step: Stored, limit: int = LOOKUP_BYTES) -> DataFrame:
     """The table of a ``measured`` step, marked for broadcast if it is small."""
     return F.broadcast(step.table) if step.measures["bytes"] <= limit else step.table

@@ -46,6 +46,8 @@ def connected_components(edges: DataFrame, a: str, b: str) -> DataFrame:
     while state.rows:
         after = stored(_small_star(_large_star(state.table)), "stars", seen=_sum_of_hashes())
         same = (after.rows, after.measures["seen"]) == (state.rows, state.measures["seen"])
+        if state.table is not nodes:
+            state.release()
         state = after
         if same:
             break

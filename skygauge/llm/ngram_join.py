@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skygauge.llm.common import (
-    WordHashes, lookup, measured, same, shingle_hashes, slices, stored, whole)
+    WordHashes, lookup, measured, same, settled, shingle_hashes, slices, stored, whole)
 from skygauge.llm.components import connected_components
 
 #: Shingles are counted by this many leading bits of their hash: a fixed table,
@@ -32,6 +32,8 @@ from skygauge.llm.components import connected_components
 COUNT_BITS = 18
 #: Prefix shingles of a group that look for a pivot in the first round.
 PIVOT_SHINGLES = 3
+#: A list of shingles, one number a row, up to this measured size is copied to every executor.
+SHINGLE_BYTES = 64 * 1024 * 1024
 #: Parts of the hash range whose counts bound what two sets can share.
 RANGES = 64
 
@@ -172,7 +174,7 @@ def shared_prefixes(named: DataFrame) -> DataFrame:
     every = named.select("grp", "n", "core", F.posexplode("prefix").alias("pos", "token"))
     several = measured(every.groupBy("token").agg(F.min("grp").alias("lo"), F.max("grp").alias("hi"))
                        .filter("lo < hi").select("token"), "shared-shingles")
-    return every.join(lookup(several), "token", "left_semi").groupBy("grp", "token").agg(
+    return every.join(lookup(several, SHINGLE_BYTES), "token", "left_semi").groupBy("grp", "token").agg(
         F.min("n").alias("n"), F.min("pos").alias("pos"), F.max("core").alias("core"))
 
 
@@ -230,6 +232,23 @@ def _cross_pairs(classes: DataFrame, index: DataFrame, parts: DataFrame, percent
     return inside.union(expanded)
 
 
+def _named_parts(named: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
+    """cls, part, least (doc_id of the part) of all classes."""
+    classes = stored(named.groupBy("cls").agg(
+        F.min("doc_id").alias("doc_id"), F.min("grp").alias("grp"), F.min("n").alias("n"),
+        F.first("spread").alias("spread"), F.min("core").alias("core")), "classes").table
+    index = settled(lambda: shared_prefixes(named), "prefixes").table
+    near = settled(lambda: verified(_pivot_pairs(classes, index, percent), classes, texts, size, percent), "pivots")
+    parts = settled(lambda: connected_components(near.table, "a", "b"), "near-parts").table
+    rest = settled(lambda: verified(_cross_pairs(classes, index, parts, percent), classes, texts, size, percent), "cross")
+    if rest.rows:
+        parts = connected_components(near.table.union(rest.table), "a", "b")
+    joined = classes.join(parts.withColumnRenamed("node", "cls"), "cls", "left").withColumn(
+        "part", F.coalesce("component", "cls"))
+    least = joined.groupBy("part").agg(F.min("doc_id").alias("least"))
+    return joined.join(least, "part").select("cls", "part", "least")
+
+
 def ngram_components(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, txt (the text's hash), n_shingles, part (the component), component_id of every row.
 
@@ -243,20 +262,7 @@ def ngram_components(docs: DataFrame, size: int = 5, percent: int = 80) -> DataF
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(whole("text")).alias("txt"),
                         whole("text").cast("binary").alias("text"))
     rows = stored(document_sets(texts, size, percent), "doc-sets").table
-    named = rows.filter("cls IS NOT NULL")
-    classes = stored(named.groupBy("cls").agg(
-        F.min("doc_id").alias("doc_id"), F.min("grp").alias("grp"), F.min("n").alias("n"),
-        F.first("spread").alias("spread"), F.min("core").alias("core")), "classes").table
-    index = stored(shared_prefixes(named), "prefixes").table
-    near = stored(verified(_pivot_pairs(classes, index, percent), classes, texts, size, percent), "pivots")
-    parts = connected_components(near.table, "a", "b")
-    rest = stored(verified(_cross_pairs(classes, index, parts, percent), classes, texts, size, percent), "cross")
-    if rest.rows:
-        parts = connected_components(near.table.union(rest.table), "a", "b")
-    joined = classes.join(parts.withColumnRenamed("node", "cls"), "cls", "left").withColumn(
-        "part", F.coalesce("component", "cls"))
-    least = joined.groupBy("part").agg(F.min("doc_id").alias("least"))
-    answer = joined.join(least, "part").select("cls", "part", "least")
+    answer = settled(lambda: _named_parts(rows.filter("cls IS NOT NULL"), texts, size, percent), "parts").table
     return rows.join(answer, "cls", "left").select(
         "doc_id", "txt", F.col("n").alias("n_shingles"), "part",
         F.coalesce("least", "doc_id").alias("component_id"))
