@@ -138,12 +138,37 @@ def edit_distance(a, b):
     return row[-1]
 
 
-def test_masks_find_every_pair_within_the_distance(spark):
-    for count in (10, 10**6, 10**9):
-        masks = lines.block_masks(count)
-        for bits in ((0, 1, 2), (0, 20, 40), (5, 33, 59), (14, 15, 59)):
-            change = sum(1 << b for b in bits)
-            assert any(change & m == 0 for m in masks)
+def grouped_by_brute_force(texts):
+    """Which lines go: all but the first of each group of lines that edits connect."""
+    kinds = [re.findall(r"[^\W_]+", t.lower()) for t in texts]
+    part = list(range(len(texts)))
+    for i, a in enumerate(kinds):
+        for j in range(i):
+            b = kinds[j]
+            if min(len(a), len(b)) >= lines.MIN_WORDS and part[i] != part[j] and edit_distance(a, b) <= max(
+                    len(a), len(b)) * 20 // 100:
+                old, new = max(part[i], part[j]), min(part[i], part[j])
+                part = [new if p == old else p for p in part]
+    return [p != i for i, p in enumerate(part)]
+
+
+def test_groups_of_many_lines_are_joined(spark):
+    """Chains and clouds of copies of copies, among lines that are like nothing."""
+    rng = random.Random(4)
+    texts = [pseudo(rng.randrange(5, 40), 1000 + i) for i in range(30)]
+    for size in (6, 11, 18, 30):
+        line = [f"w{rng.randrange(9999)}x" for _ in range(size)]
+        for _ in range(25):
+            near = list(line)
+            for at in rng.sample(range(size), max(1, size // 10)):
+                near[at] = f"n{rng.randrange(10**6)}"
+            texts.append(" ".join(near))
+            if rng.random() < 0.3:
+                line = near
+    found = {r["doc_id"]: r["line_dedup"]["n_removed"] == 1 for r in lines.dedup_lines(frame(spark, texts)).collect()}
+    expected = grouped_by_brute_force(texts)
+    wrong = [i for i in range(len(texts)) if found[i] != expected[i]]
+    assert sum(expected) > 60 and len(wrong) <= 0.02 * sum(expected)
 
 
 def test_dedup_of_odd_rows(spark, odd):
