@@ -131,22 +131,23 @@ def train(p: Parameters, target: np.ndarray, context: np.ndarray, noise: np.ndar
           seed: int, squares: list[np.ndarray]) -> None:
     """One pass of noise-contrastive estimation with AdaGrad, in place."""
     random = np.random.default_rng(seed)
-    log_noise = np.log(NOISE * noise)
+    # All in single precision: a double among the factors would make doubles of the rest.
+    log_noise = np.log(NOISE * noise).astype(np.float32)
     for start in range(0, len(target), BATCH):
         t, x = target[start: start + BATCH], context[start: start + BATCH]
         drawn = random.choice(len(noise), NOISE, p=noise)
         vectors = p.r[x]  # batch, place, width
-        guess = (vectors * p.c).sum(axis=1)
-        data = (guess * p.q[t]).sum(axis=1) + p.b[t] - log_noise[t]
+        guess = np.einsum("bkw,kw->bw", vectors, p.c)
+        data = np.einsum("bw,bw->b", guess, p.q[t]) + p.b[t] - log_noise[t]
         false = guess @ p.q[drawn].T + p.b[drawn] - log_noise[drawn]
-        gt = 1 - 1 / (1 + np.exp(-np.clip(data, -20, 20)))
+        gt = 1 / (1 + np.exp(np.clip(data, -20, 20)))
         gf = -1 / (1 + np.exp(-np.clip(false, -20, 20)))
-        scale = 1.0 / len(t)
+        scale = np.float32(1.0 / len(t))
         wide = np.concatenate([guess, np.ones((len(t), 1), guess.dtype)], axis=1)
         own = summed(gt[:, None] * wide, t, len(p.q)) + summed(gf.T @ wide, drawn, len(p.q))
         gq, gb = own[:, :-1], own[:, -1]
         gg = gt[:, None] * p.q[t] + gf @ p.q[drawn]
-        gc = (gg[:, None, :] * vectors).sum(axis=0)
+        gc = np.einsum("bw,bkw->kw", gg, vectors)
         gr = summed((gg[:, None, :] * p.c).reshape(-1, WIDTH), x.ravel(), len(p.r))
         for value, gradient, square in zip(p.parts(), (gr, gc, gq, gb), squares, strict=True):
             gradient = gradient * scale

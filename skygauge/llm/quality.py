@@ -188,10 +188,11 @@ def kept() -> Column:
 
 
 def good(docs: DataFrame, rules: Sequence[Rule] | None = None) -> DataFrame:
-    """The rows of ``docs`` that stay, with the columns of ``docs``.
+    """The rows of ``docs`` that stay, with the columns of ``docs``, whatever their names.
 
     A filter is moved below the measures, which are then computed once more for each
     time that the verdict names them, unless it reads something like a partition id.
     """
-    judged = judge(docs, rules).withColumn("judged_at", F.spark_partition_id())
-    return judged.filter(kept() & (F.col("judged_at") >= 0)).select(*[F.col(f"`{c}`") for c in docs.columns])
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("whole_row"), "text")
+    judged = judge(rows, rules).withColumn("judged_at", F.spark_partition_id())
+    return judged.filter(kept() & (F.col("judged_at") >= 0)).select("whole_row.*")

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from skygauge.llm import (
     chat, decontaminate, html, language_model, lines, mixing, ngram_join, quality, toxicity, urls)
+from skygauge.llm.common import stored
 from skygauge.llm.components import connected_components
 from skygauge.llm.oracle import EXPECTED_SQL
 from skygauge.llm.queries import QUERIES
@@ -141,12 +142,17 @@ def edit_distance(a, b):
 def grouped_by_brute_force(texts):
     """Which lines go: all but the first of each group of lines that edits connect."""
     kinds = [re.findall(r"[^\W_]+", t.lower()) for t in texts]
-    part = list(range(len(texts)))
+    bags, part = [Counter(k) for k in kinds], list(range(len(texts)))
     for i, a in enumerate(kinds):
         for j in range(i):
             b = kinds[j]
-            if min(len(a), len(b)) >= lines.MIN_WORDS and part[i] != part[j] and edit_distance(a, b) <= max(
-                    len(a), len(b)) * 20 // 100:
+            longer = max(len(a), len(b))
+            limit = longer * 20 // 100
+            # No fewer edits than the longer line has words that the other lacks.
+            if part[i] == part[j] or min(len(a), len(b)) < max(lines.MIN_WORDS, longer - limit) or longer - sum(
+                    (bags[i] & bags[j]).values()) > limit:
+                continue
+            if edit_distance(a, b) <= limit:
                 old, new = max(part[i], part[j]), min(part[i], part[j])
                 part = [new if p == old else p for p in part]
     return [p != i for i, p in enumerate(part)]
@@ -506,12 +512,23 @@ def test_pipeline_stages(spark):
     leaks = {r["text"] for r in spark.read.parquet(f"{SF_DIR}/benchmark.parquet").collect()}
     before = docs
     for name, stage in corpus_pipeline.STAGES:
-        after = corpus_pipeline.stored(stage(spark, before, SF_DIR), "test-stage").table
+        after = stored(stage(spark, before, SF_DIR), "test-stage").table
         if name != "source mixing":
             assert after.columns == docs.columns and after.count() <= before.count()
         if name == "quality rules":
             good = {r["doc_id"] for r in QUERIES["op10_quality_rules"](spark, SF_DIR).collect() if r["kept"]}
             assert {r["doc_id"] for r in after.collect()} == good
+        if name == "line dedup":
+            rows = sorted(before.collect(), key=lambda r: r["doc_id"])
+            spots = [(r["doc_id"], i, line) for r in rows for i, line in enumerate(r["text"].split("\n"))]
+            long = [s for s in spots if len(re.findall(r"[^\W_]+", s[2])) >= lines.MIN_WORDS]
+            gone = {s[:2] for s, g in zip(long, grouped_by_brute_force([s[2] for s in long]), strict=True) if g}
+            expected = {}
+            for i, at, line in spots:
+                expected.setdefault(i, []).extend([] if (i, at) in gone else [line])
+            found = {r["doc_id"]: r["text"] for r in after.collect()}
+            texts = {i: "\n".join(kept) for i, kept in expected.items()}
+            assert found == {i: t for i, t in texts.items() if t.strip()}
         if name == "n-gram Jaccard join":
             texts = [r["text"] for r in after.collect()]
             assert [p for _, p in components(texts, 5, 80)] == list(range(len(texts)))
@@ -519,3 +536,30 @@ def test_pipeline_stages(spark):
             assert not any(item in r["text"] for r in after.collect() for item in leaks)
         before = after
     assert before.count() > 0 and "epoch" in before.columns
+
+
+CLASHES = ["txt", "copies", "row", "id", "hash", "__id", "__txt", "judged_at", "quality", "line_dedup", "whole_row",
+           "size", "part", "epochs", "key", "a b", "found", "gone", "n_words"]
+
+
+@tables
+@pytest.mark.parametrize("name, stage", corpus_pipeline.STAGES)
+def test_stages_of_odd_rows_and_clashing_names(spark, odd, name, stage):
+    docs = odd.select("doc_id", "text", "source")
+    for number, column in enumerate(CLASHES):
+        docs = docs.withColumn(column, F.lit(number))
+    found = stage(spark, docs, SF_DIR)
+    assert found.columns == [*docs.columns, *(["epoch"] if name == "source mixing" else [])]
+    rows = found.collect()
+    assert all(r[c] == i for r in rows for i, c in enumerate(CLASHES))
+    ids = sorted((r["doc_id"] is None, r["doc_id"] or 0) for r in rows)
+    if name == "quality rules":
+        assert ids == [(False, 4), (False, 4), (False, 5)]
+    elif name == "n-gram Jaccard join":
+        assert ids == [(False, 1), (False, 2), (False, 4), (False, 5), (False, 6), (True, 0)]
+    elif name != "source mixing":
+        assert len(ids) == 7 and {r["text"] for r in rows} == {r["text"] for r in docs.collect()}
+    assert stage(spark, docs.limit(0), SF_DIR).count() == 0
+    if name == "source mixing":
+        replaced = stage(spark, docs.withColumn("epoch", F.lit(99)), SF_DIR)
+        assert replaced.columns == [*docs.columns, "epoch"] and replaced.filter("epoch = 99").count() == 0
