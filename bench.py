@@ -12,12 +12,10 @@ import re
 import statistics
 import time
 
-from pyspark.sql import functions as F
-
 from skygauge.operators import anomalies
 from skygauge.session import build_session
 from skygauge.suite import QUERIES
-from skygauge.suite.inputs import EVENT_READINGS, PARAMETERS, air_quality
+from skygauge.suite.inputs import EVENT_READINGS, air_quality
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
@@ -31,37 +29,20 @@ HEADLINE = [
 ]
 
 
-def kernel(method):
+def kernel(method, **options):
     """The anomaly kernel by itself."""
     def run(spark, sf_dir):
         return anomalies.detect_anomalies(
-            air_quality(spark, sf_dir), EVENT_READINGS, method=method)
+            air_quality(spark, sf_dir), EVENT_READINGS, method=method, **options)
     return run
 
 
-def textbook_kernel(spark, sf_dir):
-    """The plain formulation, for comparison: a summary for the trim, approximate
-    quartiles after the statistics join, no stored intermediate."""
-    keys, x = ["city", "parameter"], F.col("value")
-    df = air_quality(spark, sf_dir).filter(F.col("parameter").isin(*PARAMETERS))
-    df = df.withColumn("hour", F.hour("timestamp"))
-    low, high = df.approxQuantile("value", [0.05, 0.95], 0.05)
-    df = df.filter(x.between(low, high))
-    stats = df.groupBy(*keys, "hour").agg(F.avg("value").alias("m"), F.stddev("value").alias("s"))
-    df = df.join(stats, [*keys, "hour"])
-    quarts = df.groupBy(*keys).agg(
-        F.percentile_approx("value", 0.25).alias("q1"),
-        F.percentile_approx("value", 0.75).alias("q3"))
-    df = df.join(quarts, keys)
-    reach = 1.5 * (F.col("q3") - F.col("q1"))
-    z = F.abs(F.try_divide(x - F.col("m"), F.col("s")))
-    return df.filter((z > 2) | (x < F.col("q1") - reach) | (x > F.col("q3") + reach))
-
-
 COMPARED = {
     "kernel_exact": kernel("exact"),
     "kernel_sketch": kernel("sketch"),
-    "kernel_textbook": textbook_kernel,
+    "kernel_refine": kernel("refine"),
+    # A summary for the trim and one for the quartiles.
+    "kernel_textbook": kernel("approximate", relative_error=0.01),
 }
 
 
