@@ -25,7 +25,7 @@ HEADLINE = [
     "hourly_stats", "quartile_stats", "quartile_stats_sketch", "trim_exact",
     "anomalies_airquality", "anomalies_weather", "recent_anomalies",
     "refined_airquality", "refine_dedup", "payload_explode", "slugify_documents",
-    "serve_page", "serve_deep_page", "serve_date_range", "stream_airquality_landing",
+    "serve_page", "serve_ranked_page", "serve_date_range", "stream_airquality_landing",
 ]
 
 
