@@ -3,7 +3,7 @@
 The index holds the benchmark's items: for each word the items with it and its BM25
 share of their own score, so that 1.0 is an item scored against itself.  Items lie
 in blocks of ``BLOCK_ITEMS`` of like length, and each word keeps its largest share
-in every block.
+in every block that has it.
 
 Every text is cut into cells of ``CELL`` words.  A passage, the cells that an item of
 a block can span, is a query: blocks whose largest shares sum to less than the
@@ -41,6 +41,8 @@ INDEX_ITEMS = 4096
 BLOCK_ITEMS = 16
 #: Words of a cell.
 CELL = 16
+#: Cells of a text that are searched at once, so that memory does not grow with its length.
+RUN = 512
 #: A passage may be this much longer than the item that it holds.
 STRETCH = 1.25
 K1, B = 1.2, 0.75
@@ -58,7 +60,11 @@ class Index:
     #: By word: item numbers in order, and the item's share.
     postings: list[tuple[list[int], list[float]]] = field(default_factory=list)
     #: By word and block: the largest share.
-    block_max: np.ndarray = field(default_factory=lambda: np.zeros((0, 0), np.float32))
+    block_max: dict[tuple[int, int], float] = field(default_factory=dict)
+    #: The same by word: its blocks and shares, from ``block_starts[word]`` on.
+    block_starts: np.ndarray = field(default_factory=lambda: np.zeros(1, np.int64))
+    block_of: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
+    block_share: np.ndarray = field(default_factory=lambda: np.zeros(0))
     #: By block: cells that a passage with one of its items can span.
     spans: list[int] = field(default_factory=list)
 
@@ -78,12 +84,15 @@ def build_index(items: list[tuple[int, list[bytes]]], frequency: dict[bytes, int
             lists.setdefault(word, []).append((at, share / own))
     blocks = [index.items[at: at + BLOCK_ITEMS] for at in range(0, len(items), BLOCK_ITEMS)]
     index.spans = [math.ceil(STRETCH * len(block[-1][1]) / CELL) + 1 for block in blocks]
-    index.block_max = np.zeros((len(lists), len(blocks)), np.float32)
     for number, (word, entries) in enumerate(sorted(lists.items())):
         index.words[word] = number
         index.postings.append(([at for at, _ in entries], [share for _, share in entries]))
         for at, share in entries:
-            index.block_max[number, at // BLOCK_ITEMS] = max(index.block_max[number, at // BLOCK_ITEMS], share)
+            place = number, at // BLOCK_ITEMS
+            index.block_max[place] = max(index.block_max.get(place, 0.0), share)
+    places = np.array(list(index.block_max), dtype=np.int64).reshape(-1, 2)  # by word, as they were put in
+    index.block_starts = np.searchsorted(places[:, 0], np.arange(len(lists) + 1))
+    index.block_of, index.block_share = places[:, 1], np.array(list(index.block_max.values()))
     return index
 
 
@@ -101,7 +110,7 @@ def retrieve(index: Index, block: int, terms: list[int], threshold: float) -> li
         heads.sort()
         bound, pivot = 0.0, None
         for item, _, term in heads:
-            bound += float(index.block_max[term, block])
+            bound += index.block_max[term, block]
             if bound >= threshold:
                 pivot = item
                 break
@@ -155,43 +164,51 @@ def search(index: Index, texts: list[list[bytes]], threshold: float, least_quest
     A pair has the overlaps of one passage, if there is one of a passage within both limits.
     """
     threshold -= 1e-6
-    get, width = index.words.get, len(index.words)
-    cells = [-(-len(found) // CELL) for found in texts]
-    first = np.cumsum([0, *cells])
-    if not width or not first[-1]:
+    if not index.spans or not any(texts):
         return
-    ids = np.array([get(w, -1) for found in texts for w in found], dtype=np.int64)
-    lengths = np.array([len(found) for found in texts])
-    place = np.arange(len(ids)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-    cell = np.repeat(first[:-1], lengths) + place // CELL
-    known = ids >= 0
-    keys = np.unique(cell[known] * width + ids[known])  # a word counts once in a cell
-    at, terms = keys // width, keys % width
-    starts = np.searchsorted(at, np.arange(first[-1] + 1))
-    sums = np.zeros((first[-1] + 1, index.block_max.shape[1]))
-    running = np.cumsum(index.block_max[terms], axis=0, dtype=np.float64)
-    sums[1:] = np.where(starts[1:, None] > 0, running[np.maximum(starts[1:], 1) - 1], 0) if len(terms) else 0
-    ends = np.repeat(first[1:], cells)
-    number = np.repeat(np.arange(len(texts)), cells)
     best: dict[tuple[int, int], tuple[float, float]] = {}
-    for block, span in enumerate(index.spans):
-        stop = np.minimum(np.arange(first[-1]) + span, ends)
-        for c in np.flatnonzero(sums[stop, block] - sums[:-1, block] >= threshold - 1e-6).tolist():
-            text = int(number[c])
-            passage = sorted(set(terms[starts[c]: starts[stop[c]]].tolist()))
-            for item in retrieve(index, block, passage, threshold):
-                if best.get((text, item), (0.0, 0.0)) >= (1.0, 1.0):
-                    continue
-                begin = (c - int(first[text])) * CELL
-                near = texts[text][begin: begin + (span + 1) * CELL]
-                question, answer = question_answer(index.items[item][1])
-                pair = (overlap(question, near), overlap(answer, near))
-                best[text, item] = max(best.get((text, item), pair), pair, key=lambda p: (
-                    p[0] >= least_question and p[1] >= least_answer, p))
+    for text, found in enumerate(texts):
+        ids = np.array([index.words.get(w, -1) for w in found], dtype=np.int64)
+        for begin in range(0, len(found), RUN * CELL):
+            run = ids[begin: begin + (RUN + max(index.spans)) * CELL]
+            for c, block, passage in candidates(index, run, threshold):
+                near = found[begin + c * CELL: begin + (c + index.spans[block] + 1) * CELL]
+                for item in retrieve(index, block, passage, threshold):
+                    if best.get((text, item), (0.0, 0.0)) >= (1.0, 1.0):
+                        continue
+                    question, answer = question_answer(index.items[item][1])
+                    pair = (overlap(question, near), overlap(answer, near))
+                    best[text, item] = max(best.get((text, item), pair), pair, key=lambda p: (
+                        p[0] >= least_question and p[1] >= least_answer, p))
     for (text, item), (q, a) in best.items():
         yield text, item, q, a
 
 
+def candidates(index: Index, ids: np.ndarray, threshold: float) -> Iterator[tuple[int, int, list[int]]]:
+    """(cell, block, word numbers) of passages whose largest shares in a block reach the threshold.
+
+    ``ids`` are the word numbers of a run of a text, -1 for words that no item has; only
+    the first ``RUN`` cells begin a passage.  Each word adds its shares to the blocks of
+    its own postings alone.
+    """
+    known = np.flatnonzero(ids >= 0)
+    cells, blocks, width = -(-len(ids) // CELL), len(index.spans), len(index.words)
+    keys = np.unique(known // CELL * width + ids[known])  # a word counts once in a cell
+    at, terms = keys // width, keys % width
+    counts = index.block_starts[terms + 1] - index.block_starts[terms]
+    entry = np.repeat(index.block_starts[terms] - np.cumsum(counts) + counts, counts) + np.arange(counts.sum())
+    sums = np.zeros((cells + 1, blocks))
+    sums[1:] = np.bincount(np.repeat(at, counts) * blocks + index.block_of[entry], index.block_share[entry],
+                           cells * blocks).reshape(cells, blocks)
+    np.cumsum(sums, axis=0, out=sums)
+    starts = np.searchsorted(at, np.arange(cells + 1))
+    heads = np.arange(min(cells, RUN))
+    for block, span in enumerate(index.spans):
+        stop = np.minimum(heads + span, cells)
+        for c in np.flatnonzero(sums[stop, block] - sums[heads, block] >= threshold - 1e-6).tolist():
+            yield c, block, np.unique(terms[starts[c]: starts[stop[c]]]).tolist()
+
+
 def words_of(text: bytes) -> list[bytes]:
     """Words of letters and digits in lower case; symbols where there are no others."""
     lowered = text.decode("utf-8", "replace").lower()

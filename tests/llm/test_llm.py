@@ -268,6 +268,28 @@ def test_a_pair_is_kept_if_one_passage_passes_both_limits():
     assert q >= decontaminate.QUESTION and a >= decontaminate.ANSWER
 
 
+def test_items_are_found_wherever_runs_of_a_long_text_meet():
+    items = [(n, decontaminate.words_of(pseudo(40, n + 60).encode())) for n in range(20)]
+    frequency = Counter(w for _, found in items for w in set(found))
+    index = decontaminate.build_index(items, frequency, len(items))
+    run = decontaminate.RUN * decontaminate.CELL
+    text = [b"other"] * (3 * run)
+    for number, at in enumerate(range(2 * run - 60, 2 * run + 21, 8)):
+        near = [*text[:at], *items[number][1], *text[at:]]
+        assert {index.items[i][0] for _, i, q, a in decontaminate.search(
+            index, [[], near, [b"other"]], decontaminate.THRESHOLD) if (q, a) == (1, 1)} == {number}
+    index = decontaminate.build_index([], Counter(), 0)
+    assert not list(decontaminate.search(index, [text], decontaminate.THRESHOLD))
+
+
+def test_repeated_rows_of_a_contaminated_text_give_one_pair(spark):
+    docs = frame(spark, [f"{pseudo(3000, 7)} {pseudo(20)} {pseudo(9, 8)}"]).withColumn("item_id", F.lit(5))
+    benchmark = spark.createDataFrame([(1, pseudo(20)), (2, pseudo(20, 3))], "item_id long, text string")
+    pairs = decontaminate.contaminated(docs.union(docs), benchmark).select("doc_id", "item_id").collect()
+    assert [tuple(r) for r in pairs] == [(0, 1)]
+    assert decontaminate.contaminated(docs.limit(0), benchmark).count() == 0
+
+
 def test_wand_retrieves_what_full_scoring_does():
     items = [(i, [f"w{(i * k) % 23}".encode() for k in range(1, 12)]) for i in range(40)]
     frequency = Counter(w for _, found in items for w in set(found))
