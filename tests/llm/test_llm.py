@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import html as entities
+import itertools
 import math
 import os
 import random
@@ -12,6 +13,7 @@ import zlib
 from collections import Counter
 
 import duckdb
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -356,6 +358,44 @@ def test_insults_are_found_with_letters_put_in_between(spark):
     assert all(r["predicted"] == 0 for r in toxicity.toxicity(docs, labels.limit(0)).collect())
 
 
+def test_a_word_is_scored_by_the_kernel_of_its_landmarks():
+    def occurrences(word):
+        found = {}
+        for i, j, k in itertools.combinations(range(len(word)), 3):
+            if k - i < toxicity.SPAN:
+                key = word[i], word[j], word[k]
+                found[key] = max(found.get(key, 0), toxicity.DECAY ** (k - i - 2))
+        return found
+
+    def compared(x, y):
+        return sum(v * y.get(key, 0) for key, v in x.items())
+
+    names, weights = ["nitwit", "ass", "bonehead"], np.array([0.7, 1.5, -0.4])
+    maps = [occurrences(n) for n in names]
+    model = toxicity.Model(toxicity.Landmarks(names).table @ weights[:, None], -0.25)
+    for word in ["nitwit", "nxixtxwxixt", "a", "", "assassin", "boneheadednesses", "as", "abracadabraaaaaass"]:
+        wanted = sum(w * compared(occurrences(word), m) / compared(m, m) ** 0.5 for w, m in zip(weights, maps, strict=True))
+        assert model.margins([word])[0] == pytest.approx(wanted - 0.25)
+    assert model.worst(["x y n i t w i t z", "bone-head", ""])[2] == (-0.25, "")
+    assert model.margins(["b-o.n3ehead"]) == model.margins(["bonehead"])
+
+
+def test_toxicity_of_odd_rows_is_that_of_their_texts(spark):
+    bad, fair = ["grumbleface", "nitwit", "oaf"], 240
+    docs = frame(spark, [pseudo(30, i) + f" You {bad[i // 4 % 3] if i % 4 == 0 else 'friend'} there" for i in range(fair)])
+    labels = spark.createDataFrame([(i, 1, int(i % 4 == 0)) for i in range(fair)], "doc_id long, quality int, toxic int")
+    model = toxicity.fit(docs, labels)
+    long = " ".join(["plain words"] * 30_000)
+    probe = ["you oaf", "you oaf", long, f"{long} nitwit {long}", "gxrumbleface", "x" * 5000, f"{'.' * 4000}nitwit", None]
+    table = frame(spark, probe).withColumns({"score": F.lit("x"), "held_out": F.lit(1), "toxic": F.lit(None)})
+    rows = toxicity.score(table.union(table.limit(1)), model).orderBy("doc_id").collect()
+    assert [r["predicted"] for r in rows] == [1, 1, 1, 0, 1, 1, 0, 1, 0]
+    assert rows[0] == rows[1] and all(0 <= r["score"] <= 1 for r in rows)
+    assert toxicity.toxicity(docs.limit(0), labels).count() == 0
+    spelt = [w[:at] + "x" + w[at:] for w in bad[:2] for at in range(1, len(w))]
+    assert sum(model.score(m) >= 0.5 for m, _ in model.worst(spelt)) >= 0.9 * len(spelt)
+
+
 # --- 3 language model -------------------------------------------------------
 
 @tables
