@@ -1,8 +1,8 @@
 """Main text of web pages by a maximum-scoring subsequence.
 
 A page is a row of tokens: tags, and the words between them.  Tags score below zero.
-A word scores by where it stands: its nearest block or sectioning element, and the
-names in class, id and role around it.  The scores are log odds of lying in the
+A word scores by where it stands: its nearest block or sectioning element, whether in a
+link, and the parts that whole names in class, id and role around it name.  The scores are log odds of lying in the
 content, counted on labelled pages, those whose markup names its content (article
 or main element), so that pages without such markup are read by the same weights.
 One scan finds the contiguous run of tokens with the largest sum; its blocks, less
@@ -24,6 +24,8 @@ from skygauge.llm.common import slices, whole
 
 #: Pages (at most, in expectation) from which weights are counted.
 LABELLED_PAGES = 4000
+#: What marks the place of a text in a link.
+LINK = " a"
 #: Score of a tag, and bounds of a word's score.
 TAG, BOUND = -0.05, 3.0
 
@@ -42,11 +44,17 @@ HIDDEN = {"script", "style", "noscript", "template", "svg", "iframe", "object",
 APART = {"nav", "menu", "aside", "footer", "form", "dialog"}
 #: Words of class, id and role that name a part which is never the article's.
 PARTS = {
-    "ad", "ads", "advert", "advertisement", "banner", "breadcrumb", "breadcrumbs", "comment", "comments", "consent",
-    "cookie", "cookies", "disqus", "footer", "form", "login", "menu", "nav", "navbar", "navigation", "newsletter",
+    "ad", "ads", "advert", "advertisement", "banner", "breadcrumb", "breadcrumbs", "comment", "commentlist", "comments",
+    "consent", "cookie", "cookies", "copyright", "disqus", "footer", "form", "login", "menu", "nav", "navbar", "navigation", "newsletter",
     "notice", "pagination", "popup", "promo", "related", "reply", "replies", "respond", "share", "sharing", "sidebar",
     "signup", "social", "sponsor", "sponsored", "subscribe", "toolbar", "widget",
 }
+#: Words that stand beside these in a name without changing what it names.
+LAYOUT = {
+    "area", "bar", "block", "bottom", "box", "buttons", "container", "content", "fixed", "form", "inner", "item", "items",
+    "left", "links", "list", "main", "navigation", "outer", "page", "policy", "post", "posts", "primary", "right", "secondary",
+    "section", "site", "sticky", "thread", "top", "unit", "wrap", "wrapper",
+}
 CONTENT = {"article", "main"}
 
 _RAW = "script|style|noscript|template|textarea|iframe|svg|title"
@@ -54,7 +62,7 @@ _TOKEN = re.compile(
     rf"(?is)<!--.*?(?:-->|\Z)|<({_RAW})\b[^>]*>.*?(?:</\1\s*>|\Z)"
     r"""|<(/?)([a-z][^\s/>]*)((?:"[^"]*"|'[^']*'|[^'">])*+)>|<[!?/][^>]*>""")
 _NAMES = re.compile(r"""(?is)[\s"'/](?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""")
-_PIECE = re.compile(r"[A-Za-z]+")
+_PIECE = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[^\W\d_]+")
 _WORD = re.compile(r"\S+")
 #: White space as HTML and Unicode know it.
 _SPACE = re.compile(r"\s+")
@@ -77,10 +85,13 @@ def tokens(page: str) -> Iterator[tuple[str, str, str]]:
 
 
 def named_parts(attributes: str) -> set[str]:
-    """Words of class, id and role."""
+    """Parts that class, id and role name: "site-footer" is a footer, "share-market" no sharing."""
     found: set[str] = set()
     for m in _NAMES.finditer(f" {attributes}"):
-        found.update(piece.lower() for piece in _PIECE.findall(m[1] or m[2] or m[3] or ""))
+        for name in (m[1] or m[2] or m[3] or "").split():
+            own = {piece.lower() for piece in _PIECE.findall(name)}
+            if own <= PARTS | LAYOUT | {"header"}:
+                found |= own & (PARTS | {"header"})
     return found
 
 
@@ -114,7 +125,8 @@ def _pieces(page: str, wrappers: frozenset[int], words: dict[int, list[int]]) ->
         element, part, hidden, content = stack[-1]
         if kind == "text":
             if not hidden:
-                near = next((e for e, *_ in reversed(stack) if e in BLOCKS), "")
+                level = next((i for i in range(len(stack) - 1, 0, -1) if stack[i][0] in BLOCKS), 0)
+                near = stack[level][0] + (LINK if any(e == "a" for e, *_ in stack[level:]) else "")
                 found.append((rest, part or near, content, block))
                 count = len(_WORD.findall(rest))
                 while parts[-1][0] >= len(stack):
@@ -138,8 +150,8 @@ def _pieces(page: str, wrappers: frozenset[int], words: dict[int, list[int]]) ->
                     stack.pop()
             element, part, hidden, content = stack[-1]
             names = named_parts(rest)
-            own = name if name in APART else next(iter(sorted(names & PARTS)), "")
-            own = own or ("header" if name == "header" and not content else "")
+            own = name if name in APART else next(iter(sorted(names - {"header"})), "")
+            own = own or ("header" if not content and (name == "header" or "header" in names) else "")
             if name in CONTENT or name == "body" or name == "html":
                 own = name if name in APART else ""
             number += 1
@@ -212,13 +224,14 @@ def main_text(page: str, weights: dict[str, float]) -> str:
     """The article's blocks, one to a line."""
     found = pieces(page)
     scores = []
-    for text, place, _, _ in found:
+    for text, place, content, _ in found:
         if not place:
             scores.append(TAG if not text else 0.0)
         else:
-            apart = is_apart(place)
-            weight = weights.get(place, -1.0 if apart else 1.0)
-            scores.append(len(_WORD.findall(text)) * (min(weight, -0.5) if apart else max(weight, 0.5)))
+            apart, link = is_apart(place), place.endswith(LINK) and not content
+            weight = weights.get(place, -1.0 if apart or link and place != "p" + LINK else 1.0)
+            weight = min(weight, -0.5) if apart else weight if link else max(weight, 0.5)
+            scores.append(len(_WORD.findall(text)) * weight)
     start, stop = best_run(neutral_inside(found, scores))
     blocks: dict[int, list[str]] = {}
     for text, place, _, block in found[start:stop]:

@@ -551,6 +551,41 @@ def test_comments_with_more_words_than_the_article_are_removed():
     assert html.main_text(page, WEIGHTS) == "a short article"
 
 
+@pytest.mark.parametrize("names", ["form-of-government", "share-market", "adHocRules", "cookie-recipes", "social-history"])
+@pytest.mark.parametrize("element", ["article", "div"])
+def test_names_with_other_words_are_no_parts(names, element):
+    inner = f"<section class='{names}'><p>a paragraph that belongs to it</p></section>"
+    page = f"<{element}><p>{'body ' * 20}</p>{inner}<p>the last words</p></{element}>"
+    assert html.main_text(page, {}).split("\n")[1:] == ["a paragraph that belongs to it", "the last words"]
+
+
+@pytest.mark.parametrize("other", [
+    "<div class='header'>slogan of the site</div>", "<ul class='commentlist'><li>" + "reply " * 30 + "</li></ul>",
+    "<div class='copyright'>by us</div>", "<div id='siteFooter'>by us</div>", "<div class='cookie-box'>accept it</div>",
+    "<ul>" + "<li><a href='/x'>another page here</a></li>" * 30 + "</ul>"])
+def test_other_parts_of_a_page_without_markup_of_its_content_are_left_out(other):
+    body = f"<h1>A heading</h1><p>{'body ' * 40}<a href='/y'>with a link</a></p><p>the last words</p>"
+    wanted = f"A heading\n{'body ' * 40}with a link\nthe last words"
+    assert html.main_text(f"<body>{other}<div>{body}</div>{other}</body>", {}) == wanted
+
+
+def test_links_at_the_edges_of_an_article_belong_to_it():
+    body = "<ul><li><a href='#a'>first part</a></li></ul><p>some words</p><p><a href='/b'>read on</a></p>"
+    found = html.main_text(f"<article>{body}</article>", {"li a": -3.0, "p a": -3.0, "p": 3.0})
+    assert found == "first part\nsome words\nread on"
+
+
+def test_odd_pages_are_extracted_alike(spark):
+    long = "<p>" + "some words " * 50_000 + "</p>"
+    rows = [(1, "u", long), (1, "u", long), (2, None, "<div class>plain</div>"), (None, None, "<p>no id"), (3, "v", "<<<>")]
+    table = spark.createDataFrame(rows, "page_id long, url string, html string").withColumns(
+        {"text": F.lit(1), "n_chars": F.lit("x"), "place": F.lit(None)})
+    found = sorted((r["page_id"] or 0, r["url"], r["text"]) for r in html.extract(table).collect() if r["page_id"] != 3)
+    text = ("some words " * 50_000).strip()
+    assert found == [(0, None, "no id"), (1, "u", text), (1, "u", text), (2, None, "plain")]
+    assert html.extract(table.limit(0)).count() == 0
+
+
 def test_best_run():
     assert html.best_run([-1, 2, -1, 3, -5, 4]) == (1, 4)
     assert html.best_run([-1.0, 0.0]) == html.best_run([]) == (0, 0)
