@@ -16,8 +16,10 @@ model is a function of the documents, however the table is partitioned.
 from __future__ import annotations
 
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import filterfalse
 
 import numpy as np
 import pyarrow as pa
@@ -102,7 +104,7 @@ def contexts(texts: list[list[bytes]], classes: Classes) -> tuple[np.ndarray, np
     ids: list[int] = []
     for text in texts:
         ids.extend([_START] * CONTEXT)
-        ids.extend([classes[w] for w in text])
+        ids.extend(map(classes.__getitem__, text))
         ids.append(OWN + ENDINGS)
     flat = np.array(ids, dtype=np.int32)
     text = np.repeat(np.arange(len(texts)), lengths)
@@ -177,7 +179,7 @@ def class_log10(p: Parameters, target: np.ndarray, context: np.ndarray, rows: in
 def count_words(texts: DataFrame) -> DataFrame:
     """word, c: tokens of all ``texts`` (column ``text``, UTF-8 bytes), ends included."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: dict[bytes, int] = {}
+        seen: Counter[bytes] = Counter()
 
         def passed() -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([pa.array(list(seen), pa.binary()),
@@ -185,12 +187,11 @@ def count_words(texts: DataFrame) -> DataFrame:
 
         for batch in slices(batches):
             for text in batch.column(0).to_pylist():
-                for word in words_of(text):
-                    seen[word] = seen.get(word, 0) + 1
-                seen[END] = seen.get(END, 0) + 1
+                seen.update(words_of(text))
+                seen[END] += 1
             if len(seen) > COUNTED:
                 yield passed()
-                seen = {}
+                seen = Counter()
         yield passed()
 
     return texts.select("text").mapInArrow(count, "word binary, c long").groupBy("word").agg(F.sum("c").alias("c"))
@@ -303,13 +304,12 @@ def score(docs: DataFrame, training: Column) -> DataFrame:
             found = [words_of(t) for t in batch.column(2).to_pylist()]
             target, context, text = contexts(found, classes)
             gain = np.bincount(text, class_log10(known, target, context) - log_share[target], minlength=len(found))
-            values = [[logs.get(w) for w in words] for words in found]
-            rare = [[w for w, v in zip(words, vs, strict=True) if v is None]
-                    for words, vs in zip(found, values, strict=True)]
+            rare = [list(filterfalse(logs.__contains__, words)) for words in found]
+            base = [sum(map(logs.__getitem__, filter(logs.__contains__, words))) + logs[END] for words in found]
             yield pa.RecordBatch.from_arrays([
                 batch.column(0), batch.column(1), pa.array([len(w) + 1 for w in found], pa.int64()),
                 pa.array([len(w) - len(r) + (table[END] > 0) for w, r in zip(found, rare, strict=True)], pa.int64()),
-                pa.array([sum(v for v in vs if v is not None) + logs[END] for vs in values], pa.float64()),
+                pa.array(base, pa.float64()),
                 pa.array(gain, pa.float64()), pa.array(rare, pa.list_(pa.binary())),
             ], ["doc_id", "trained", "n_tokens", "known", "base", "gain", "rare"])
 
