@@ -18,6 +18,7 @@ from __future__ import annotations
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -96,20 +97,33 @@ class Parameters:
                             for a, p in zip(np.split(flat, cuts), self.parts(), strict=True)])
 
 
-def contexts(texts: list[list[bytes]], classes: Classes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Target classes of all tokens, their context classes, and the text of each."""
-    lengths = [len(t) + 1 for t in texts]
-    ids: list[int] = []
-    for text in texts:
-        ids.extend([_START] * CONTEXT)
-        ids.extend([classes[w] for w in text])
-        ids.append(OWN + ENDINGS)
-    flat = np.array(ids, dtype=np.int32)
-    text = np.repeat(np.arange(len(texts)), lengths)
+def class_numbers(found: list[bytes], classes: Classes) -> np.ndarray:
+    return np.fromiter(map(classes.__getitem__, found), np.int16, len(found))
+
+
+def numbered_contexts(numbers: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Target classes of all tokens, their context classes, and the text of each.
+
+    ``numbers`` are the classes of the words of texts one after another, ``words`` the
+    number of words of each text.
+    """
+    text = np.repeat(np.arange(len(words)), words + 1)
     at = np.arange(len(text)) + CONTEXT * (text + 1)
+    ends = np.cumsum(words + 1) - 1
+    word = np.ones(len(text), dtype=bool)
+    word[ends] = False
+    flat = np.full(len(text) + CONTEXT * len(words), _START, dtype=np.int16)
+    flat[at[word]] = numbers
+    flat[at[ends]] = OWN + ENDINGS
     return flat[at], np.stack([flat[at - k - 1] for k in range(CONTEXT)], axis=1), text
 
 
+def contexts(texts: list[list[bytes]], classes: Classes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The same from the words of texts."""
+    return numbered_contexts(class_numbers(list(chain.from_iterable(texts)), classes),
+                             np.array([len(t) for t in texts], dtype=np.int64))
+
+
 def examples(texts: list[list[bytes]], classes: Classes, seed: int) -> tuple[np.ndarray, np.ndarray]:
     """Targets and contexts of every position of the texts, in random order."""
     target, context, _ = contexts(texts, classes)
@@ -118,12 +132,16 @@ def examples(texts: list[list[bytes]], classes: Classes, seed: int) -> tuple[np.
 
 
 def summed(rows: np.ndarray, at: np.ndarray, size: int) -> np.ndarray:
-    """Sums of the rows that have one number, by number."""
+    """Sums of the rows that have one number, by number.
+
+    ``at`` may hold several numbers a row.  Numbers of 16 bits are sorted in linear time.
+    """
     total = np.zeros((size, *rows.shape[1:]), rows.dtype)
-    order = np.argsort(at, kind="stable")
-    found = at[order]
+    several = at.shape[1] if at.ndim > 1 else 1
+    order = np.argsort(at.ravel(), kind="stable")
+    found = at.ravel()[order]
     first = np.flatnonzero(np.concatenate([[True], found[1:] != found[:-1]]))
-    total[found[first]] = np.add.reduceat(rows[order], first, axis=0)
+    total[found[first]] = np.add.reduceat(rows[order // several], first, axis=0)
     return total
 
 
@@ -133,22 +151,29 @@ def train(p: Parameters, target: np.ndarray, context: np.ndarray, noise: np.ndar
     random = np.random.default_rng(seed)
     # All in single precision: a double among the factors would make doubles of the rest.
     log_noise = np.log(NOISE * noise).astype(np.float32)
+    placed = (context + np.arange(CONTEXT) * _CLASSES).astype(np.int16)  # a number by place and class
+    target = target.astype(np.int16)
     for start in range(0, len(target), BATCH):
-        t, x = target[start: start + BATCH], context[start: start + BATCH]
-        drawn = random.choice(len(noise), NOISE, p=noise)
-        vectors = p.r[x]  # batch, place, width
-        guess = np.einsum("bkw,kw->bw", vectors, p.c)
-        data = np.einsum("bw,bw->b", guess, p.q[t]) + p.b[t] - log_noise[t]
-        false = guess @ p.q[drawn].T + p.b[drawn] - log_noise[drawn]
-        gt = 1 / (1 + np.exp(np.clip(data, -20, 20)))
-        gf = -1 / (1 + np.exp(-np.clip(false, -20, 20)))
+        t, x = target[start: start + BATCH], placed[start: start + BATCH]
+        drawn = random.choice(len(noise), NOISE, p=noise).astype(np.int16)
+        weighted = (p.c[:, None, :] * p.r).reshape(-1, WIDTH)
+        guess = sum(weighted[x[:, k]] for k in range(CONTEXT))
+        gt = np.einsum("bw,bw->b", guess, p.q[t]) + (p.b - log_noise)[t]
+        gf = guess @ p.q[drawn].T
+        gf += (p.b - log_noise)[drawn]
+        gt = 1 / (1 + np.exp(np.clip(gt, -20, 20)))
+        np.negative(gf, out=gf)
+        np.clip(gf, -20, 20, out=gf)
+        np.exp(gf, out=gf)
+        gf += 1
+        np.divide(np.float32(-1), gf, out=gf)
         scale = np.float32(1.0 / len(t))
         wide = np.concatenate([guess, np.ones((len(t), 1), guess.dtype)], axis=1)
         own = summed(gt[:, None] * wide, t, len(p.q)) + summed(gf.T @ wide, drawn, len(p.q))
         gq, gb = own[:, :-1], own[:, -1]
-        gg = gt[:, None] * p.q[t] + gf @ p.q[drawn]
-        gc = np.einsum("bw,bkw->kw", gg, vectors)
-        gr = summed((gg[:, None, :] * p.c).reshape(-1, WIDTH), x.ravel(), len(p.r))
+        # The sum of errors by place and class gives both the vectors' and the weights' gradients.
+        errors = summed(gt[:, None] * p.q[t] + gf @ p.q[drawn], x, CONTEXT * _CLASSES).reshape(CONTEXT, _CLASSES, WIDTH)
+        gr, gc = (errors * p.c[:, None, :]).sum(axis=0), (errors * p.r).sum(axis=1)
         for value, gradient, square in zip(p.parts(), (gr, gc, gq, gb), squares, strict=True):
             gradient = gradient * scale
             square += gradient * gradient
@@ -297,20 +322,30 @@ def score(docs: DataFrame, training: Column) -> DataFrame:
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table, names, sizes, flat = shared.value
         known, classes = Parameters.start(sizes).filled(flat), Classes(names)
-        logs = {w: float(np.log10((c + 0.5) / total)) for w, c in table.items()}
+        # Of the frequent words one lookup gives both the count and the class.
+        number = {w: i for i, w in enumerate(table)}
+        logs = np.log10((np.array(list(table.values()), dtype=np.float64) + 0.5) / total)
+        of_number = class_numbers(list(table), classes)
         log_share = np.log10(sizes / total)
         for batch in slices(batches, 64):
             found = [words_of(t) for t in batch.column(2).to_pylist()]
-            target, context, text = contexts(found, classes)
+            size = np.array([len(w) for w in found], dtype=np.int64)
+            flat = list(chain.from_iterable(found))
+            at = np.fromiter(map(number.get, flat, repeat(-1)), np.int32, len(flat))
+            unknown = np.flatnonzero(at < 0)
+            rare = [flat[i] for i in unknown]
+            numbers, base = of_number[at], logs[at]
+            numbers[unknown], base[unknown] = class_numbers(rare, classes), 0
+            target, context, text = numbered_contexts(numbers, size)
             gain = np.bincount(text, class_log10(known, target, context) - log_share[target], minlength=len(found))
-            values = [[logs.get(w) for w in words] for words in found]
-            rare = [[w for w, v in zip(words, vs, strict=True) if v is None]
-                    for words, vs in zip(found, values, strict=True)]
+            word = np.repeat(np.arange(len(found)), size)
+            seldom = np.bincount(word[unknown], minlength=len(found))
             yield pa.RecordBatch.from_arrays([
-                batch.column(0), batch.column(1), pa.array([len(w) + 1 for w in found], pa.int64()),
-                pa.array([len(w) - len(r) + (table[END] > 0) for w, r in zip(found, rare, strict=True)], pa.int64()),
-                pa.array([sum(v for v in vs if v is not None) + logs[END] for vs in values], pa.float64()),
-                pa.array(gain, pa.float64()), pa.array(rare, pa.list_(pa.binary())),
+                batch.column(0), batch.column(1), pa.array(size + 1),
+                pa.array(size - seldom + (table[END] > 0)),
+                pa.array(np.bincount(word, base, minlength=len(found)) + logs[number[END]]), pa.array(gain, pa.float64()),
+                pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(seldom)]), pa.int32()),
+                                         pa.array(rare, pa.binary())),
             ], ["doc_id", "trained", "n_tokens", "known", "base", "gain", "rare"])
 
     rows = stored(texts.mapInArrow(
