@@ -143,6 +143,22 @@ def global_quantiles(
     return [] if found is None or found["q0"] is None else list(found)
 
 
+def rank_shares(df: DataFrame, value: str, values: Sequence[float]) -> DataFrame:
+    """value, below, up_to: the shares of readings less than each value, and of those up to it.
+
+    One pass; NULL and NaN are no readings, and without any both shares are NULL.
+    """
+    if not values:
+        return df.sparkSession.createDataFrame([], "value double, below double, up_to double")
+
+    def share(holds: Column) -> Column:
+        return F.try_divide(F.count_if(holds), F.count(F.lit(1)))
+
+    spans = [F.struct(F.lit(float(v)).alias("value"), share(F.col(value) < v).alias("below"),
+                      share(F.col(value) <= v).alias("up_to")) for v in values]
+    return numbers_only(df, value).agg(F.array(*spans).alias("spans")).select(F.inline("spans"))
+
+
 def numbers_only(df: DataFrame, value: str) -> DataFrame:
     """Rows whose value is neither NULL nor NaN; infinities stay."""
     return df.filter(F.col(value).isNotNull() & ~F.isnan(value))

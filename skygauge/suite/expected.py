@@ -194,6 +194,9 @@ SELECT round(quantile_disc(l_extendedprice, 0.05), 6) AS q05,
        round(quantile_disc(l_extendedprice, 0.5), 6) AS q50,
        round(quantile_disc(l_extendedprice, 0.95), 6) AS q95
 FROM lineitem""",
+    "global_quantiles_approximate": """
+SELECT share::DOUBLE AS share, true AS within_error FROM unnest([0.05, 0.5, 0.95]) AS t(share)
+WHERE EXISTS (SELECT 1 FROM lineitem WHERE l_extendedprice IS NOT NULL)""",
     "trim_reference": GAPPY + """
 SELECT event_id, round(value, 6) AS value FROM numbers
 WHERE value BETWEEN (SELECT min(value) FROM numbers) AND (SELECT max(value) FROM numbers)""",

@@ -113,6 +113,18 @@ def global_quantiles(spark, sf_dir):
         table(spark, sf_dir, "lineitem"), [], "l_extendedprice", shares))
 
 
+@query
+def global_quantiles_approximate(spark, sf_dir):
+    """Quantiles within a rank error of 1 %: how many there are, and whether each keeps to it."""
+    shares, error = [0.05, 0.5, 0.95], 0.01
+    prices = table(spark, sf_dir, "lineitem")
+    found = quantiles.global_quantiles(prices, "l_extendedprice", shares, error)
+    spans = quantiles.rank_shares(prices, "l_extendedprice", found)
+    wanted = spark.createDataFrame(list(zip(found, shares)), "value double, share double")
+    near = (F.col("below") <= F.col("share") + error) & (F.col("up_to") >= F.col("share") - error)
+    return spans.join(F.broadcast(wanted), "value").select("share", near.alias("within_error"))
+
+
 @query
 def trim_reference(spark, sf_dir):
     return plain(quantiles.trim_band(inputs.gappy(spark, sf_dir), "value"))

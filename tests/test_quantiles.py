@@ -109,6 +109,24 @@ def test_intermediate_error_uses_a_summary(spark):
     assert 8_700 <= kept <= 9_300
 
 
+def test_rank_shares_count_readings_below_and_up_to(spark):
+    values = [None, float("nan"), 1.0, 1.0, 2.0, 4.0]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    spans = [tuple(r) for r in q.rank_shares(df, "v", [1.0, 3.0, 4.0]).collect()]
+    assert spans == [(1.0, 0.0, 0.5), (3.0, 0.75, 0.75), (4.0, 0.75, 1.0)]
+    assert [tuple(r) for r in q.rank_shares(df.limit(0), "v", [1.0]).collect()] == [(1.0, None, None)]
+    assert q.rank_shares(df, "v", []).collect() == []
+
+
+def test_summary_keeps_to_its_rank_error(spark):
+    df = spark.range(1, 20_001).select((F.col("id") * 7919 % 20_011).cast("double").alias("v")).repartition(7)
+    shares = [0.05, 0.25, 0.5, 0.95]
+    for error in (0.001, 0.01, 0.1):
+        found = q.global_quantiles(df, "v", shares, error)
+        for share, r in zip(shares, q.rank_shares(df, "v", found).collect(), strict=True):
+            assert r["below"] <= share + error and r["up_to"] >= share - error
+
+
 def test_one_sided_band(spark):
     df = spark.range(1, 101).select(F.col("id").cast("double").alias("v"))
     kept = [r.v for r in q.trim_band(df, "v", lower=0.0, upper=0.9, relative_error=0.0).collect()]
