@@ -24,6 +24,7 @@ from skygauge.llm.common import stored
 from skygauge.llm.components import connected_components
 from skygauge.llm.oracle import EXPECTED_SQL
 from skygauge.llm.queries import QUERIES
+from tests.conftest import plan
 
 SF_DIR = "/root/testdata/sf0.001"
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
@@ -179,6 +180,33 @@ def test_groups_of_many_lines_are_joined(spark):
     assert sum(expected) > 60 and len(wrong) <= 0.02 * sum(expected)
 
 
+def test_signatures_are_shuffled_once_as_two_numbers(spark):
+    texts = [pseudo(5 + i % 40, i % 90) for i in range(120)]
+    _, table, live = lines._line_tables(frame(spark, texts), lines.MIN_WORDS)
+    assert "signs" not in table.columns and live.columns == ["sig", "h1", "least"]
+    signed = spark.createDataFrame([(1, [7, 8]), (2, [7, 9]), (3, [9, 9]), (4, [5])], "h1 long, signs array<long>")
+    shared = lines.shared_signatures(signed)
+    text = plan(shared)
+    assert len(re.findall(r"^\(\d+\) Exchange", text, re.M)) == 1 and "Join" not in text
+    assert sorted(map(tuple, shared.collect())) == [(7, 1, 1), (7, 2, 1), (9, 2, 2), (9, 3, 2)]
+
+
+def test_no_pair_of_lines_is_compared_twice(spark):
+    """Of (sig, h1, least, part): what the least line was compared with, or two leads, is not taken again."""
+    rows = [(1, 10, 10, 1), (1, 11, 10, 2),  # the two were compared already
+            (2, 10, 10, 1), (2, 11, 10, 2), (2, 12, 10, 3), (2, 13, 10, 3), (2, 14, 10, 1),
+            (3, 20, 20, 5), (3, 21, 20, 6), (3, 22, 20, 7)]
+    some = lines.mixed(spark.createDataFrame(rows, "sig long, h1 long, least long, part long")).cache()
+    assert sorted((r["sig"], r["h1"], r["lead"]) for r in some.collect()) == [
+        (2, 11, True), (2, 12, True), (2, 13, False), (2, 14, False), (3, 21, True), (3, 22, True)]
+    texts = spark.createDataFrame([(h, f"n{h}", 5, "abcde", 0, 0) for h in (11, 12, 13, 14, 21, 22)],
+                                  "h1 long, node string, size int, norm string, even long, odd long")
+    leads = {tuple(sorted(r)) for r in lines.lead_pairs(some, texts).collect()}
+    rest = {tuple(sorted(r)) for r in lines.cross_pairs(some, texts).collect()}
+    assert leads == {("n11", "n12"), ("n21", "n22")}
+    assert rest == {("n11", "n13"), ("n11", "n14"), ("n12", "n14"), ("n13", "n14")}
+
+
 def test_dedup_of_odd_rows(spark, odd):
     rows = lines.dedup_lines(odd).collect()
     assert len(rows) == 7 and all(r["quality"] == 1.5 for r in rows)
