@@ -50,6 +50,11 @@ def words_of(text: bytes) -> list[bytes]:
     return text.lower().split()
 
 
+def ending_class(ending: bytes) -> int:
+    """Class of the words that are none of their own, by their last bytes."""
+    return OWN + zlib.crc32(ending) % ENDINGS
+
+
 class Classes(dict):
     """Class by word, remembered up to a bound."""
 
@@ -65,7 +70,21 @@ class Classes(dict):
             self.clear()
             self.update(self.own)
             self[END] = OWN + ENDINGS
-        found = self[word] = OWN + zlib.crc32(word[-3:]) % ENDINGS
+        found = self[word] = ending_class(word[-3:])
+        return found
+
+
+class Endings(dict):
+    """Class by the last bytes of a word, remembered up to a bound."""
+
+    def __init__(self, bound: int = 500_000):
+        super().__init__()
+        self.bound = bound
+
+    def __missing__(self, ending: bytes) -> int:
+        if len(self) > self.bound:
+            self.clear()
+        found = self[ending] = ending_class(ending)
         return found
 
 
@@ -101,6 +120,11 @@ def class_numbers(found: list[bytes], classes: Classes) -> np.ndarray:
     return np.fromiter(map(classes.__getitem__, found), np.int16, len(found))
 
 
+def ending_numbers(found: list[bytes], endings: Endings) -> np.ndarray:
+    """Classes of words that are none of their own; rare words differ, their endings hardly."""
+    return np.fromiter(map(endings.__getitem__, [w[-3:] for w in found]), np.int16, len(found))
+
+
 def numbered_contexts(numbers: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Target classes of all tokens, their context classes, and the text of each.
 
@@ -141,10 +165,15 @@ def summed(rows: np.ndarray, at: np.ndarray, size: int) -> np.ndarray:
     order = np.argsort(at.ravel(), kind="stable")
     found = at.ravel()[order]
     first = np.flatnonzero(np.concatenate([[True], found[1:] != found[:-1]]))
-    total[found[first]] = np.add.reduceat(rows[order // several], first, axis=0)
+    total[found[first]] = np.add.reduceat(rows.take(order // several, axis=0), first, axis=0)
     return total
 
 
+def reach(a: np.ndarray, b: np.ndarray) -> float:
+    """No product of a row of ``a`` with one of ``b`` is larger, nor its negative."""
+    return float(np.abs(a).max(axis=0) @ np.abs(b).max(axis=0))
+
+
 def train(p: Parameters, target: np.ndarray, context: np.ndarray, noise: np.ndarray,
           seed: int, squares: list[np.ndarray]) -> None:
     """One pass of noise-contrastive estimation with AdaGrad, in place."""
@@ -153,17 +182,23 @@ def train(p: Parameters, target: np.ndarray, context: np.ndarray, noise: np.ndar
     log_noise = np.log(NOISE * noise).astype(np.float32)
     placed = (context + np.arange(CONTEXT) * _CLASSES).astype(np.int16)  # a number by place and class
     target = target.astype(np.int16)
+    drawn_by = noise.cumsum()
+    drawn_by /= drawn_by[-1]
     for start in range(0, len(target), BATCH):
         t, x = target[start: start + BATCH], placed[start: start + BATCH]
-        drawn = random.choice(len(noise), NOISE, p=noise).astype(np.int16)
+        drawn = np.searchsorted(drawn_by, random.random(NOISE), side="right").astype(np.int16)
         weighted = (p.c[:, None, :] * p.r).reshape(-1, WIDTH)
-        guess = sum(weighted[x[:, k]] for k in range(CONTEXT))
-        gt = np.einsum("bw,bw->b", guess, p.q[t]) + (p.b - log_noise)[t]
-        gf = guess @ p.q[drawn].T
-        gf += (p.b - log_noise)[drawn]
+        guess = weighted.take(x[:, 0], axis=0)
+        for k in range(1, CONTEXT):
+            guess += weighted.take(x[:, k], axis=0)
+        sampled, own_q, shift = p.q[drawn], p.q.take(t, axis=0), p.b - log_noise
+        gt = np.einsum("bw,bw->b", guess, own_q) + shift[t]
+        gf = guess @ sampled.T
+        gf += shift[drawn]
         gt = 1 / (1 + np.exp(np.clip(gt, -20, 20)))
         np.negative(gf, out=gf)
-        np.clip(gf, -20, 20, out=gf)
+        if reach(guess, sampled) + np.abs(shift).max() > 20:
+            np.clip(gf, -20, 20, out=gf)
         np.exp(gf, out=gf)
         gf += 1
         np.divide(np.float32(-1), gf, out=gf)
@@ -172,7 +207,7 @@ def train(p: Parameters, target: np.ndarray, context: np.ndarray, noise: np.ndar
         own = summed(gt[:, None] * wide, t, len(p.q)) + summed(gf.T @ wide, drawn, len(p.q))
         gq, gb = own[:, :-1], own[:, -1]
         # The sum of errors by place and class gives both the vectors' and the weights' gradients.
-        errors = summed(gt[:, None] * p.q[t] + gf @ p.q[drawn], x, CONTEXT * _CLASSES).reshape(CONTEXT, _CLASSES, WIDTH)
+        errors = summed(gt[:, None] * own_q + gf @ sampled, x, CONTEXT * _CLASSES).reshape(CONTEXT, _CLASSES, WIDTH)
         gr, gc = (errors * p.c[:, None, :]).sum(axis=0), (errors * p.r).sum(axis=1)
         for value, gradient, square in zip(p.parts(), (gr, gc, gq, gb), squares, strict=True):
             gradient = gradient * scale
@@ -182,20 +217,24 @@ def train(p: Parameters, target: np.ndarray, context: np.ndarray, noise: np.ndar
 
 def class_log10(p: Parameters, target: np.ndarray, context: np.ndarray, rows: int = 4096) -> np.ndarray:
     """Normalised log10 probability of every target class, by batched matrix products."""
-    tables = [p.r * p.c[k] for k in range(CONTEXT)]
-    qt = np.ascontiguousarray(p.q.T)
+    # A last column of ones brings the biases into the products.
+    tables = [np.column_stack([p.r * p.c[k], np.full(_CLASSES, k == 0, np.float32)]) for k in range(CONTEXT)]
+    qt = np.ascontiguousarray(np.column_stack([p.q, p.b]).T)
+    ones = np.ones(len(p.q), qt.dtype)
     found = np.empty(len(target), np.float64)
+    # Where no logit can be beyond the limits, none is looked for.
+    within = sum(reach(table, qt.T) for table in tables) <= 60
     for start in range(0, len(target), rows):
         x, t = context[start: start + rows], target[start: start + rows]
-        guess = tables[0][x[:, 0]]
+        guess = tables[0].take(x[:, 0], axis=0)
         for k in range(1, CONTEXT):
-            guess = guess + tables[k][x[:, k]]
+            guess += tables[k].take(x[:, k], axis=0)
         logits = guess @ qt
-        logits += p.b
-        np.clip(logits, -60, 60, out=logits)
+        if not within:
+            np.clip(logits, -60, 60, out=logits)
         chosen = logits[np.arange(len(t)), t]
         np.exp(logits, out=logits)
-        found[start: start + rows] = chosen - np.log(logits.sum(axis=1))
+        found[start: start + rows] = chosen - np.log(logits @ ones)
     return found / np.log(10)
 
 
@@ -321,11 +360,11 @@ def score(docs: DataFrame, training: Column) -> DataFrame:
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table, names, sizes, flat = shared.value
-        known, classes = Parameters.start(sizes).filled(flat), Classes(names)
+        known, endings = Parameters.start(sizes).filled(flat), Endings()
         # Of the frequent words one lookup gives both the count and the class.
         number = {w: i for i, w in enumerate(table)}
         logs = np.log10((np.array(list(table.values()), dtype=np.float64) + 0.5) / total)
-        of_number = class_numbers(list(table), classes)
+        of_number = class_numbers(list(table), Classes(names))
         log_share = np.log10(sizes / total)
         for batch in slices(batches, 64):
             found = [words_of(t) for t in batch.column(2).to_pylist()]
@@ -333,9 +372,9 @@ def score(docs: DataFrame, training: Column) -> DataFrame:
             flat = list(chain.from_iterable(found))
             at = np.fromiter(map(number.get, flat, repeat(-1)), np.int32, len(flat))
             unknown = np.flatnonzero(at < 0)
-            rare = [flat[i] for i in unknown]
+            rare = [flat[i] for i in unknown.tolist()]
             numbers, base = of_number[at], logs[at]
-            numbers[unknown], base[unknown] = class_numbers(rare, classes), 0
+            numbers[unknown], base[unknown] = ending_numbers(rare, endings), 0
             target, context, text = numbered_contexts(numbers, size)
             gain = np.bincount(text, class_log10(known, target, context) - log_share[target], minlength=len(found))
             word = np.repeat(np.arange(len(found)), size)

@@ -489,6 +489,29 @@ def test_every_position_is_trained_on():
         [t, *c] for t, c in zip(target.tolist(), context.tolist(), strict=True))
 
 
+def test_rare_words_are_classed_once_an_ending(monkeypatch):
+    found = [f"{i}{e}".encode() for i in range(500) for e in ("ing", "ion", "é")] + [b"x"]
+    expected = language_model.class_numbers(found, language_model.Classes([b"the"])).tolist()
+    seen, ending_class = [], language_model.ending_class
+    monkeypatch.setattr(language_model, "ending_class", lambda e: seen.append(e) or ending_class(e))
+    endings = language_model.Endings()
+    assert language_model.ending_numbers(found, endings).tolist() == expected
+    assert len(seen) == len({w[-3:] for w in found})
+
+
+@pytest.mark.parametrize("size", [0.1, 30])
+def test_class_probabilities_equal_their_formula(size):
+    rng = np.random.default_rng(2)
+    p = language_model.Parameters.start(rng.random(language_model._CLASSES - 1) + 0.1)
+    p.q[:] = rng.normal(0, size, p.q.shape)
+    target = rng.integers(0, len(p.q), 300)
+    context = rng.integers(0, language_model._CLASSES, (300, language_model.CONTEXT))
+    guess = sum(p.r.astype(float)[context[:, k]] * p.c[k] for k in range(language_model.CONTEXT))
+    logits = np.clip(guess @ p.q.T.astype(float) + p.b, -60, 60)
+    expected = (logits[np.arange(300), target] - np.log(np.exp(logits).sum(axis=1))) / math.log(10)
+    assert language_model.class_log10(p, target, context) == pytest.approx(expected, abs=1e-4)
+
+
 def test_class_probabilities_sum_to_one():
     import numpy as np
 
