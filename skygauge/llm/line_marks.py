@@ -1,0 +1,238 @@
+"""What tasks derive from the words of lines: hashes, parities, signatures.
+
+Spark hands texts in lower case to ``cut_lines`` and ``word_strings`` in Arrow batches.
+Texts are cut by runs of letters and digits, and everything is computed for the words
+of many lines at once.
+"""
+
+from __future__ import annotations
+
+import unicodedata
+from collections.abc import Callable, Iterator
+from functools import cache
+from itertools import combinations
+
+import numpy as np
+import pyarrow as pa
+
+from skygauge.llm.common import slices
+
+#: Lines of fewer words have word triples as signatures, those of ``LONG`` or more
+#: words 3-grams; between the two are lines that may be like shorter ones.
+SHORT, LONG = 12, 10
+#: 3-grams of a line that are signatures, at most.  Up to 19 words these are as many as
+#: any edits within the limit can take away, and one more.
+SIGNS = 12
+#: Letters of a 3-gram below which it comes after all others.
+COMMON = 12
+#: Bits of a 3-gram that are its signature; the line's place among ``LINES`` is above them while sorting.
+GRAM_BITS = 44
+#: Sketch columns of 64 parities each of a line whose words are compared; long lines fill the 128 bits of even and odd.
+WIDE = 8
+#: Characters and lines that are handled at once.
+CHARS, LINES = 1 << 20, 1 << 19
+
+_BASE = 0x9E3779B97F4A7C15 | 1
+_INVERSE = pow(_BASE, -1, 1 << 64)
+
+
+@cache
+def word_characters() -> np.ndarray:
+    """Bits that tell which code points are letters or digits (categories L and N)."""
+    return np.packbits(np.fromiter((unicodedata.category(chr(c))[0] in "LN" for c in range(0x110000)), bool, 0x110000))
+
+
+def _mix(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(33))) * np.uint64(0xFF51AFD7ED558CCD)
+    x = (x ^ (x >> np.uint64(29))) * np.uint64(0xC4CEB9FE1A85EC53)
+    return x ^ (x >> np.uint64(32))
+
+
+def _powers(base: int, count: int) -> np.ndarray:
+    found = np.full(count, base, np.uint64)
+    found[:1] = 1
+    return np.cumprod(found, dtype=np.uint64)
+
+
+class Words:
+    """Cuts lines into words: a 64-bit hash and the letters of each, and where lines begin."""
+
+    def __init__(self, bits: np.ndarray):
+        self.table = np.unpackbits(bits).view(bool)
+        self.up, self.down = _powers(_BASE, 0), _powers(_INVERSE, 0)
+
+    def of(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Hashes and letters of all words, and the number of words before each line of ``text`` and after the last."""
+        points = np.frombuffer(text.encode("utf-32-le"), np.uint32)
+        inside = np.zeros(len(points) + 2, bool)
+        inside[1:-1] = self.table[points]
+        edges = np.flatnonzero(inside[1:] != inside[:-1])
+        starts, ends = edges[0::2], edges[1::2]
+        if len(points) >= len(self.up):
+            self.up, self.down = _powers(_BASE, len(points) + 1), _powers(_INVERSE, len(points) + 1)
+        # Sums of code points times powers of a base: a word's is the difference of two, brought back to its start.
+        sums = np.zeros(len(points) + 1, np.uint64)
+        np.cumsum((points + np.uint64(1)) * self.up[:len(points)], out=sums[1:])
+        hashes = _mix((sums[ends] - sums[starts]) * self.down[starts])
+        breaks = np.searchsorted(starts, np.flatnonzero(points == 10))
+        return hashes, ends - starts, np.concatenate([[0], breaks, [len(starts)]])
+
+
+def _parts(texts: list[str], chars: int = CHARS) -> Iterator[tuple[int, int]]:
+    """Ranges of texts of some ``chars`` characters together, one text at least."""
+    start = size = 0
+    for i, text in enumerate(texts):
+        if size and size + len(text) > chars:
+            yield start, i
+            start, size = i, 0
+        size += len(text) + 1
+    if start < len(texts):
+        yield start, len(texts)
+
+
+def _least_grams(hashes: np.ndarray, letters: np.ndarray, sizes: np.ndarray, begins: np.ndarray
+                 ) -> tuple[np.ndarray, np.ndarray]:
+    """Lines and signatures of lines of ``LONG`` words or more: their least 3-grams by hash.
+
+    Those of few letters come last.  A word's hash is mixed by its place, so that the order of words counts.
+    """
+    of_line = np.repeat(np.arange(len(sizes), dtype=np.uint64), sizes)
+    at = np.ones(len(hashes), bool)
+    at[begins + sizes - 1] = at[begins + sizes - 2] = False
+    at[np.repeat(sizes < LONG, sizes)] = False
+    at = np.flatnonzero(at)
+    one, two, three = hashes[at], hashes[at + 1], hashes[at + 2]
+    mixed = one + (two ^ (two >> np.uint64(8))) * np.uint64(3) + (three ^ (three >> np.uint64(16))) * np.uint64(5)
+    few = letters[at] + letters[at + 1] + letters[at + 2] < COMMON
+    mask = np.uint64((1 << (GRAM_BITS - 1)) - 1)
+    keys = (of_line[at] << np.uint64(GRAM_BITS)) | (few.astype(np.uint64) << np.uint64(GRAM_BITS - 1)) | (
+        (mixed >> np.uint64(20)) & mask)
+    keys.sort()
+    keys = keys[np.concatenate([[True], keys[1:] != keys[:-1]])] if len(keys) else keys
+    line = (keys >> np.uint64(GRAM_BITS)).astype(np.int64)
+    limit = np.minimum(3 * (sizes // 5) + 1 + np.maximum(0, sizes % 5 - 2), SIGNS)
+    least = np.arange(len(keys)) - np.searchsorted(line, line) < limit[line]
+    return line[least], keys[least] & np.uint64((1 << GRAM_BITS) - 1)
+
+
+def _triples(hashes: np.ndarray, letters: np.ndarray, sizes: np.ndarray, begins: np.ndarray
+             ) -> tuple[np.ndarray, np.ndarray]:
+    """Lines and signatures of lines of fewer than ``SHORT`` words: triples of their longest words.
+
+    Of these (a repeated word counts by its number) 4, from ``LONG`` words on 5, are
+    taken; lines that one edit, or two, tell apart have three of them in common.
+    """
+    short = np.flatnonzero(sizes < SHORT)
+    places = begins[short][:, None] + np.arange(SHORT - 1)
+    there = np.arange(SHORT - 1) < sizes[short][:, None]
+    places = np.where(there, places, 0)
+    found = hashes[places]
+    before = np.tril(np.ones((SHORT - 1, SHORT - 1), bool), -1)
+    number = ((found[:, :, None] == found[:, None, :]) & before).sum(axis=2).astype(np.uint64)
+    letter = np.uint64(127) - np.minimum(letters[places], 127).astype(np.uint64)
+    keys = (_mix(found + number * np.uint64(_BASE)) >> np.uint64(8)) | (letter << np.uint64(56))
+    keys = np.sort(np.where(there, keys, ~np.uint64(0)), axis=1)
+    lines, signs = [], []
+    for some, count in ((sizes[short] < LONG, 4), (sizes[short] >= LONG, 5)):
+        for i, j, k in combinations(range(count), 3):
+            mixed = _mix(_mix(_mix(keys[some, i]) + keys[some, j]) + keys[some, k])
+            lines.append(short[some])
+            signs.append((mixed >> np.uint64(64 - GRAM_BITS)) | np.uint64(1 << 62))
+    return np.concatenate(lines), np.concatenate(signs)
+
+
+def _signatures(hashes: np.ndarray, letters: np.ndarray, sizes: np.ndarray, begins: np.ndarray) -> pa.Array:
+    """What each line shares with lines like it: a list of numbers a line."""
+    if not len(sizes):
+        return pa.array([], pa.list_(pa.int64()))
+    grams, triples = (f(hashes, letters, sizes, begins) for f in (_least_grams, _triples))
+    lines, signs = np.concatenate([grams[0], triples[0]]), np.concatenate([grams[1], triples[1]])
+    order = np.argsort(lines, kind="stable")
+    ends = np.concatenate([[0], np.cumsum(np.bincount(lines, minlength=len(sizes)))])
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(signs[order].view(np.int64)))
+
+
+def _signed(found: np.ndarray) -> pa.Array:
+    return pa.array(found.view(np.int64))
+
+
+def _line_columns(hashes: np.ndarray, letters: np.ndarray, sizes: np.ndarray) -> list[pa.Array]:
+    """h1, h2, size, even, odd, signs of lines."""
+    begins = np.cumsum(sizes) - sizes
+    place = (np.arange(len(hashes)) - np.repeat(begins, sizes)).astype(np.uint64)
+    bits = np.uint64(1) << (hashes & np.uint64(63))
+    upper = (hashes >> np.uint64(63)).astype(bool)
+    none = np.zeros(len(sizes), np.uint64)
+
+    def over(f: np.ufunc, of_words: np.ndarray) -> np.ndarray:
+        return f.reduceat(of_words, begins) if len(sizes) else none
+
+    return [
+        _signed(over(np.add, _mix(hashes + place * np.uint64(0xD1B54A32D192ED03)))),
+        _signed(over(np.add, _mix((hashes ^ np.uint64(0x2545F4914F6CDD1D)) * np.uint64(0xDABA0B6EB09322E3) + place))),
+        pa.array(sizes.astype(np.int32)),
+        _signed(over(np.bitwise_xor, np.where(upper, np.uint64(0), bits))),
+        _signed(over(np.bitwise_xor, np.where(upper, bits, np.uint64(0)))),
+        _signatures(hashes, letters, sizes, begins)]
+
+
+LINE_COLUMNS = "pos int, h1 long, h2 long, size int, even long, odd long, signs array<long>"
+
+
+def cut_lines(min_words: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """From doc_id, txt, text (lower case): doc_id, txt and ``LINE_COLUMNS`` of each line of ``min_words`` words or more."""
+    bits = word_characters()
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = Words(bits)
+        for batch in slices(batches):
+            texts = batch.column("text").to_pylist()
+            for start, end in _parts(texts):
+                counts = np.array([t.count("\n") + 1 for t in texts[start:end]])
+                hashes, letters, ends = words.of("\n".join(texts[start:end]))
+                of_text = np.repeat(np.arange(start, end), counts)
+                pos = np.arange(len(of_text)) - np.repeat(np.cumsum(counts) - counts, counts)
+                enough = np.flatnonzero(np.diff(ends) >= max(min_words, 1))
+                for at in range(0, len(enough), LINES):
+                    some = enough[at: at + LINES]
+                    sizes = np.diff(ends)[some]
+                    where = np.repeat(ends[some] - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())
+                    rows = pa.array(of_text[some])
+                    yield pa.RecordBatch.from_arrays(
+                        [batch.column("doc_id").take(rows), batch.column("txt").take(rows),
+                         pa.array(pos[some].astype(np.int32)), *_line_columns(hashes[where], letters[where], sizes)],
+                        ["doc_id", "txt", "pos", "h1", "h2", "size", "even", "odd", "signs"])
+
+    return cut
+
+
+WORD_COLUMNS = "node long, norm string, " + ", ".join(f"wide{k} long" for k in range(WIDE))
+
+
+def word_strings() -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """From text (lower case), positions and nodes of some of its lines: ``WORD_COLUMNS``.
+
+    norm has a character for each word, the others 64 parities each of the words that fall on them.  Characters are in U+1000 to U+D7FF, so unlike words look alike once in 51,000 times.
+    """
+    bits = word_characters()
+
+    def strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = Words(bits)
+        for batch in slices(batches):
+            texts, places, nodes = (batch.column(c).to_pylist() for c in ("text", "positions", "nodes"))
+            wanted = [[found[p] for p in at] for found, at in zip((t.split("\n") for t in texts), places, strict=True)]
+            flat, names = [t for some in wanted for t in some], [n for some in nodes for n in some]
+            for start, end in _parts(flat):
+                hashes, _, ends = words.of("\n".join(flat[start:end]))
+                codes = hashes % np.uint64(0xC800) + np.uint64(0x1000)
+                utf8 = np.stack([0xE0 | codes >> np.uint64(12), 0x80 | codes >> np.uint64(6) & np.uint64(63),
+                                 0x80 | codes & np.uint64(63)], axis=1).astype(np.uint8)
+                norms = pa.StringArray.from_buffers(end - start, pa.py_buffer((3 * ends).astype(np.int32)),
+                                                    pa.py_buffer(np.ascontiguousarray(utf8)))
+                place, one = (hashes >> np.uint64(6)) % np.uint64(WIDE), np.uint64(1) << (hashes & np.uint64(63))
+                wide = [_signed(np.bitwise_xor.reduceat(np.where(place == k, one, np.uint64(0)), ends[:-1]))
+                        for k in range(WIDE)]
+                yield pa.RecordBatch.from_arrays([pa.array(names[start:end], pa.int64()), norms, *wide],
+                                                 ["node", "norm", *(f"wide{k}" for k in range(WIDE))])
+
+    return strings
