@@ -207,6 +207,26 @@ def test_no_pair_of_lines_is_compared_twice(spark):
     assert rest == {("n11", "n13"), ("n11", "n14"), ("n12", "n14"), ("n13", "n14")}
 
 
+def test_pairs_are_told_apart_without_their_words(spark):
+    """Stars need sketches alone, in numbers; a pair whose parities differ is no candidate."""
+    live = spark.createDataFrame([(1, 10, 10), (1, 11, 10), (1, 12, 10), (2, 10, 10), (2, 11, 10)],
+                                 "sig long, h1 long, least long")
+    sketches = spark.createDataFrame([(10, 10, 5, 0, 0), (11, 11, 5, 3, 0), (12, 12, 5, 255, 0)],
+                                     "h1 long, node long, size int, even long, odd long")
+    assert [tuple(r) for r in lines.star_pairs(live, sketches).collect()] == [(10, 11)]
+
+
+def test_lines_are_cut_like_a_regular_expression_cuts_them(spark):
+    texts = ["", None, "Ünï cöde 3rd lìne, Ж-5 κ9\n\none two\n" + pseudo(30), "a b c d e\nA, b; C d e!\na b c e d", "x\n" * 3]
+    cut = lines.marked_lines(frame(spark, texts), 2).collect()
+    expected = [(i, at, len(found)) for i, t in enumerate(texts) for at, line in enumerate((t or "").split("\n"))
+                for found in [re.findall(r"[^\W_]+", line)] if len(found) >= 2]
+    assert sorted((r["doc_id"], r["pos"], r["size"]) for r in cut) == expected
+    same = {r["pos"]: (r["h1"], r["h2"], r["even"], r["odd"], r["signs"]) for r in cut if r["doc_id"] == 3}
+    assert same[0] == same[1] and same[0][0] != same[2][0] and same[0][1] != same[2][1]
+    assert same[0][2:4] == same[2][2:4]  # parities do not know the order of words
+
+
 def test_dedup_of_odd_rows(spark, odd):
     rows = lines.dedup_lines(odd).collect()
     assert len(rows) == 7 and all(r["quality"] == 1.5 for r in rows)
