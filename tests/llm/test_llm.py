@@ -227,6 +227,42 @@ def test_lines_are_cut_like_a_regular_expression_cuts_them(spark):
     assert same[0][2:4] == same[2][2:4]  # parities do not know the order of words
 
 
+def test_line_dedup_runs_no_python_on_executors(spark, monkeypatch):
+    """Every stored step and the result are DataFrame functions only."""
+    plans, store = [], lines.stored
+    monkeypatch.setattr(lines, "stored", lambda df, *a, **b: plans.append(plan(df)) or store(df, *a, **b))
+    found = lines.dedup_lines(frame(spark, [pseudo(40, i % 7) + f"\n{pseudo(30, i)}" for i in range(20)]))
+    assert len(plans) > 4 and not any(re.search("MapIn|EvalPython|InPandas|PythonUDF", p) for p in [*plans, plan(found)])
+
+
+def test_a_pair_of_lines_is_compared_in_one_signature(spark):
+    """Two lines that share signatures are compared in the least one; unlike ones are left out before their words are read."""
+    rows = [(s, h, h, False) for s in (1, 2, 3) for h in (11, 12, 13)]
+    some = spark.createDataFrame(rows, "sig long, h1 long, part long, lead boolean")
+    sketches = spark.createDataFrame([(11, 11, 5, 0, 0), (12, 12, 5, 3, 0), (13, 13, 5, 0, 255)],
+                                     "h1 long, node long, size int, even long, odd long")
+    left = lines.plausible(some, sketches).cache()
+    assert sorted((r["sig"], r["h1"]) for r in left.collect()) == [(s, h) for s in (1, 2, 3) for h in (11, 12)]
+    texts = sketches.selectExpr("*", "IF(h1 = 11, 'abcde', 'abcdx') AS norm")
+    pairs = lines._alike(left, texts, F.lit(True))
+    assert [tuple(sorted(r)) for r in pairs.collect()] == [(11, 12)] and "arrays_overlap" in plan(pairs)
+
+
+def test_words_that_the_other_line_lacks_settle_long_lines(spark):
+    """Counting them changes no verdict of the edit distance."""
+    rng = random.Random(5)
+    rows = []
+    for n in (lines.FAR - 1, lines.FAR, 300):
+        for edits in (0, n // 50, n // 10, n // 5, n // 5 + 1, n // 2):
+            a = [chr(0x1000 + rng.randrange(9000)) for _ in range(n)]
+            b = list(a)
+            for at in rng.sample(range(n), edits):
+                b[at] = chr(0x5000 + at)
+            rows.append(("".join(a), "".join(b), edits <= n * 20 // 100))
+    found = spark.createDataFrame(rows, "a string, b string, alike boolean")
+    assert found.filter(lines.edit_similar(F.col("a"), F.col("b")) != F.col("alike")).count() == 0
+
+
 def test_dedup_of_odd_rows(spark, odd):
     rows = lines.dedup_lines(odd).collect()
     assert len(rows) == 7 and all(r["quality"] == 1.5 for r in rows)
