@@ -235,6 +235,40 @@ def test_line_dedup_runs_no_python_on_executors(spark, monkeypatch):
     assert len(plans) > 4 and not any(re.search("MapIn|EvalPython|InPandas|PythonUDF", p) for p in [*plans, plan(found)])
 
 
+def test_later_links_join_components_and_do_not_walk_through_their_lines(spark, monkeypatch):
+    """What is found after the stars links whole components; the result is that of all links at once."""
+    first = [(1, k) for k in range(2, 30)] + [(40, 41), (41, 42), (50, 51), (60, 61)]
+    more = [(29, 42), (41, 7), (51, 70), (80, 81), (2, 3)]
+    links, found, walked = "a long, b long", lines.connected_components, []
+
+    def walk(edges, a, b):
+        walked.append({tuple(r) for r in edges.select(a, b).collect()})
+        return found(edges, a, b)
+
+    parts = found(spark.createDataFrame(first, links), "a", "b")
+    monkeypatch.setattr(lines, "connected_components", walk)
+    together = lines.joined(parts, spark.createDataFrame(more, links))
+    expected = found(spark.createDataFrame(first + more, links), "a", "b")
+    assert sorted(map(tuple, together.collect())) == sorted(map(tuple, expected.collect()))
+    assert walked == [{(1, 40), (40, 1), (50, 70), (80, 81), (1, 1)}]
+
+
+def test_words_are_numbered_and_sketched_without_steps_for_each_word(spark):
+    """Words are counted only in lines that repeat one; a sketch takes its bit from a table, the parity of the words there."""
+    texts = ["one two three four five six", "one two one four five one", "ж ab cde fgh ijk lm no ab"]
+    rows = frame(spark, texts).select("doc_id", lines.line_words(F.col("text")).alias("found"))
+    rows = rows.select("*", lines.word_keys(F.col("found")).alias("keys"))
+    marked = rows.select("*", lines.parity(F.col("keys"), 0).alias("even"), lines.parity(F.col("keys"), 1).alias("odd"),
+                         lines.word_triples(F.col("found")).alias("triples"))
+    for r in marked.collect():
+        bits = [0, 0]
+        for k in r["keys"]:
+            bits[k >> 6 & 1] ^= 1 << (k & 63)
+        assert [r["even"] % 2**64, r["odd"] % 2**64] == bits and len(r["triples"]) == 4
+    text = plan(marked)
+    assert "shiftleft(cast" not in text and "array_distinct" in text and "bit_not" not in text and "~" not in text
+
+
 def test_a_pair_of_lines_is_compared_in_one_signature(spark):
     """Two lines that share signatures are compared in the least one; unlike ones are left out before their words are read."""
     rows = [(s, h, h, False) for s in (1, 2, 3) for h in (11, 12, 13)]
